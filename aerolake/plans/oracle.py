@@ -160,3 +160,11 @@ def sql(body: str, *ctes: str, extra: dict | None = None) -> str:
     if not parts:
         return body
     return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+def stg_chain(source: str, prefix: str) -> dict[str, str]:
+    """typed -> stg -> fct CTEs over another bronze source (e.g. one load)."""
+    typed = CTES["typed"][1].replace("FROM bronze", f"FROM {source}")
+    stg = CTES["stg"][1].replace("FROM typed", f"FROM {prefix}typed")
+    fct = CTES["fct"][1].replace("FROM stg s", f"FROM {prefix}stg s")
+    return {f"{prefix}typed": typed, f"{prefix}stg": stg, f"{prefix}fct": fct}

@@ -1 +1,210 @@
-"""Registered queries."""
+"""Registered queries: sources and sinks (S1-S12) and incremental /
+materialisation operators (N1-N6).  Queries that write do so under a fresh
+folder of the shared checkpoint dir and return what they read back."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from aerolake.operators.incremental import new_rows, upsert
+from aerolake.plans import build, dims, layers, telemetry
+from aerolake.plans.fact import FACT_COLUMNS, fct_flights
+from aerolake.plans.oracle import sql, stg_chain
+from aerolake.plans.registry import register
+from aerolake.plans.staging import stg_flights
+from aerolake.plans.telemetry_vectors import SV_SQL_COLS, state_vectors
+from aerolake.session import fresh_path
+from aerolake.sources import ingest, sinks
+from aerolake.sources.tables import read_table
+
+SV_SQL = sql(f"SELECT {SV_SQL_COLS} FROM telemetry", "telemetry")
+
+
+def _vectors(spark, sf_dir):
+    return state_vectors(telemetry.telemetry(spark, sf_dir))
+
+
+def _documents(spark, sf_dir) -> str:
+    path = fresh_path(spark, "state-vector-docs")
+    sinks.write_state_vector_documents(_vectors(spark, sf_dir), path)
+    return path
+
+
+def _message_lines(spark, sf_dir) -> str:
+    path = fresh_path(spark, "state-vector-lines")
+    sinks.publish(_vectors(spark, sf_dir), fmt="text", path=path)
+    return path
+
+
+# ------------------------------------------------------------------ S1-S5
+@register("read_state_vectors", SV_SQL)
+def q_read_state_vectors(spark, sf_dir):
+    rows = ingest.read_state_vectors(spark, _documents(spark, sf_dir), layout="document")
+    return ingest.typed_projection(rows)
+
+
+@register("read_state_vectors_lines", SV_SQL)
+def q_read_state_vectors_lines(spark, sf_dir):
+    rows = ingest.read_state_vectors(spark, _message_lines(spark, sf_dir), layout="lines")
+    return ingest.typed_projection(rows)
+
+
+@register("unwrap_states", sql(f"SELECT time_position AS poll_time, {SV_SQL_COLS} FROM telemetry", "telemetry"))
+def q_unwrap_states(spark, sf_dir):
+    # one poll envelope per state: {"time": <t>, "states": [[...]]}
+    env = _vectors(spark, sf_dir).select(F.concat(F.lit('{"time":'), F.col("time_position").cast("string"), F.lit(',"states":['),
+                              sinks.json_array_text(sinks.STATE_VECTOR_NAMES), F.lit("]}")).alias("value"))
+    path = fresh_path(spark, "poll-envelopes")
+    env.write.text(path)
+    rows = ingest.unwrap_states(spark.read.text(path))
+    return ingest.typed_projection(rows, keep=["poll_time"])
+
+
+@register("contract_width", SV_SQL)
+def q_contract_width(spark, sf_dir):
+    rows = ingest.read_state_vectors(spark, _documents(spark, sf_dir))
+    return ingest.typed_projection(ingest.check_width(rows, on_violation="fail"))
+
+
+@register("typed_projection", SV_SQL)
+def q_typed_projection(spark, sf_dir):
+    rows = ingest.read_state_vectors(spark, _message_lines(spark, sf_dir), layout="lines")
+    return ingest.typed_projection(rows, schema=[(n, t.simpleString()) for n, t in
+                                                 [(f.name, f.dataType) for f in ingest.STATE_VECTOR_SCHEMA]])
+
+
+@register("stamp_date", sql("SELECT *, DATE '2024-02-01' AS processing_date FROM telemetry", "telemetry"))
+def q_stamp_date(spark, sf_dir):
+    return ingest.with_processing_date(telemetry.telemetry(spark, sf_dir), "2024-02-01")
+
+
+# ------------------------------------------------------------------ S6, S7 over orders
+REWRITE_MONTH = "1996-03-01"
+ORDERS_SQL_MONTH = "CAST(date_trunc('month', o_orderdate) AS DATE) AS order_month"
+
+
+def _orders_by_month(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    return o.withColumn("order_month", F.trunc("o_orderdate", "month"))
+
+
+@register("partition_overwrite", sql(
+    f"SELECT * FROM (SELECT *, {ORDERS_SQL_MONTH} FROM orders) "
+    f"WHERE NOT (order_month = DATE '{REWRITE_MONTH}' AND o_orderpriority <> '1-URGENT')"))
+def q_partition_overwrite(spark, sf_dir):
+    path = fresh_path(spark, "orders-by-month")
+    orders = _orders_by_month(spark, sf_dir)
+    sinks.write_partitions(orders, path, "order_month")
+    # a rerun of one month with fewer rows replaces that month only
+    redo = orders.filter((F.col("order_month") == F.lit(REWRITE_MONTH).cast("date"))
+                         & (F.col("o_orderpriority") == "1-URGENT"))
+    sinks.write_partitions(redo, path, "order_month")
+    return spark.read.parquet(path).select(*orders.columns)
+
+
+@register("scan_partition", sql(
+    f"SELECT * FROM (SELECT *, {ORDERS_SQL_MONTH} FROM orders) WHERE order_month = DATE '{REWRITE_MONTH}'"))
+def q_scan_partition(spark, sf_dir):
+    path = fresh_path(spark, "orders-by-month")
+    orders = _orders_by_month(spark, sf_dir)
+    sinks.write_partitions(orders, path, "order_month")
+    return ingest.scan_partition(spark, path, "order_month", F.lit(REWRITE_MONTH).cast("date")).select(*orders.columns)
+
+
+# ------------------------------------------------------------------ S9-S12
+@register("bronze_defaults")
+def q_bronze_defaults(spark, sf_dir):
+    return sinks.with_bronze_columns(_vectors(spark, sf_dir), "2024-02-01 00:00:00", id_offset=1_000_000)
+
+
+@register("reconcile_counts", sql(
+    "SELECT count(*) AS rows_in, count(*) AS rows_out, true AS matched FROM telemetry", "telemetry"))
+def q_reconcile_counts(spark, sf_dir):
+    rec = sinks.Reconciliation()
+    rows = rec.tap_in(ingest.read_state_vectors(spark, _documents(spark, sf_dir)))
+    typed = rec.tap_out(ingest.typed_projection(ingest.check_width(rows)))
+    out = fresh_path(spark, "reconciled")
+    ingest.with_processing_date(typed, "2024-02-01").write.parquet(out)
+    n_in, n_out = rec.result()
+    return spark.createDataFrame([(n_in, n_out, n_in == n_out)], "rows_in long, rows_out long, matched boolean")
+
+
+@register("land_raw", sql("SELECT *, CAST(inserted_at AS DATE) AS dt FROM telemetry", "telemetry"))
+def q_land_raw(spark, sf_dir):
+    tel = telemetry.telemetry(spark, sf_dir)
+    path = fresh_path(spark, "landing")
+    sinks.land_raw(tel, path, F.to_date("inserted_at"))
+    return sinks.read_landed(spark, path, tel.schema.add("dt", "date"))
+
+
+@register("publish_messages", SV_SQL)
+def q_publish_messages(spark, sf_dir):
+    rows = ingest.read_state_vectors(spark, _message_lines(spark, sf_dir), layout="lines")
+    return ingest.typed_projection(rows)
+
+
+# ------------------------------------------------------------------ N1-N6
+LOAD1_END = "2024-01-16 00:00:00"     # first load: rows inserted before this instant
+_LOAD1 = {"bronze1": f"SELECT * FROM bronze WHERE inserted_at < TIMESTAMP '{LOAD1_END}'",
+          **stg_chain("bronze1", "l1_")}
+
+
+def _loads(spark, sf_dir):
+    bronze_all = telemetry.bronze(spark, sf_dir)
+    bronze1 = bronze_all.filter(F.col("inserted_at") < F.lit(LOAD1_END).cast("timestamp_ntz"))
+    return bronze1, bronze_all
+
+
+@register("incremental_filter", sql(
+    "SELECT * FROM stg WHERE inserted_at > (SELECT max(ingestion_timestamp) FROM l1_fct)", "stg", "airports",
+    extra=_LOAD1))
+def q_incremental_filter(spark, sf_dir):
+    bronze1, bronze_all = _loads(spark, sf_dir)
+    airports = dims.dim_airports(spark)
+    fct1 = fct_flights(stg_flights(bronze1), airports, n_airports=dims.N_AIRPORTS)
+    return new_rows(stg_flights(bronze_all), "inserted_at", fct1, "ingestion_timestamp")
+
+
+@register("incremental_upsert", sql("SELECT * FROM fct", "fct"))
+def q_incremental_upsert(spark, sf_dir):
+    bronze1, bronze_all = _loads(spark, sf_dir)
+    airports = dims.dim_airports(spark)
+    path = fresh_path(spark, "fct_flights")
+    first = fct_flights(stg_flights(bronze1), airports, n_airports=dims.N_AIRPORTS)
+    upsert(spark, path, first, "flight_pk", "flight_date")
+    target = spark.read.parquet(path)
+    fresh = new_rows(stg_flights(bronze_all), "inserted_at", target, "ingestion_timestamp")
+    upsert(spark, path, fct_flights(fresh, airports, n_airports=dims.N_AIRPORTS), "flight_pk", "flight_date")
+    return spark.read.parquet(path).select(*FACT_COLUMNS)
+
+
+@register("full_refresh", sql("SELECT * FROM dim_aircrafts", "dim_aircrafts"))
+def q_full_refresh(spark, sf_dir):
+    root = fresh_path(spark, "warehouse")
+    stg = build.silver(spark, sf_dir)
+    layers.materialise(dims.dim_aircrafts(stg), "dim_aircrafts", "table", root=root)
+    # a second build replaces the table as a whole
+    return layers.materialise(dims.dim_aircrafts(stg), "dim_aircrafts", "table", root=root)
+
+
+@register("silver_view", sql("SELECT * FROM stg", "stg"))
+def q_silver_view(spark, sf_dir):
+    return layers.materialise(build.silver(spark, sf_dir), f"stg_flights_{uuid.uuid4().hex[:8]}", "view",
+                              layer="silver")
+
+
+@register("build_star", sql("SELECT * FROM star", "star"))
+def q_build_star(spark, sf_dir):
+    root = fresh_path(spark, "warehouse")
+    b = build.build_star(spark, telemetry.bronze(spark, sf_dir), persist=True)
+    try:
+        ac = layers.materialise(b.aircrafts, "dim_aircrafts", "table", root=root)
+        ap = layers.materialise(b.airports, "dim_airports", "table", root=root)
+        ca = layers.materialise(b.calendar, "dim_calendar", "table", root=root)
+        f = layers.materialise(b.fct, "fct_flights", "table", root=root, partition_by="flight_date")
+    finally:
+        b.stg.unpersist()
+    f = f.select(*FACT_COLUMNS)
+    return build.StarBuild(b.stg, ap, ac, ca, f).star()
