@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerolake.operators.dedup import dedup_latest
 from aerolake.operators.star import MAX_BROADCAST_DIM_ROWS
 from aerolake.session import fresh_path
 
@@ -43,9 +44,15 @@ class NullKeyError(ValueError):
 
 
 def merge_frames(target: DataFrame, batch: DataFrame, key: str, n_batch: int | None = None,
-                 max_broadcast_rows: int = MAX_BROADCAST_DIM_ROWS) -> DataFrame:
-    """Target rows whose key is not in the batch, plus the batch (newest
-    wins).  The batch's key set is broadcast below a counted size."""
+                 max_broadcast_rows: int = MAX_BROADCAST_DIM_ROWS, order_col: str | None = None) -> DataFrame:
+    """Target rows whose key is not in the batch, plus the batch.
+
+    Without ``order_col`` the batch always wins.  With it, the row with the
+    greatest ``order_col`` wins whichever side it is on, so batches applied
+    out of order cannot regress a key.  The batch's key set is broadcast
+    below a counted size."""
+    if order_col is not None:
+        return dedup_latest(target.unionByName(batch), key, order_by=order_col)
     keys = batch.select(key)
     if n_batch is not None and n_batch <= max_broadcast_rows:
         keys = F.broadcast(keys)
@@ -53,7 +60,7 @@ def merge_frames(target: DataFrame, batch: DataFrame, key: str, n_batch: int | N
 
 
 def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition_col: str,
-           reject_null_keys: bool = True, staging: str | None = None) -> dict:
+           reject_null_keys: bool = True, staging: str | None = None, order_col: str | None = None) -> dict:
     """Upsert ``batch`` into the Parquet table at ``path`` partitioned by
     ``partition_col``; ``partition_col`` must be a function of ``key``
     (true for the fact: the key embeds the signal's second).
@@ -76,7 +83,7 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition
     touched = staged.select(partition_col).distinct()
     current = (spark.read.option("basePath", path).parquet(path)
                .join(F.broadcast(touched), partition_col, "left_semi"))
-    merged = merge_frames(current, staged.select(*current.columns), key, n_batch)
+    merged = merge_frames(current, staged.select(*current.columns), key, n_batch, order_col=order_col)
     merged.write.mode("overwrite").parquet(staging + "/merged")
     (spark.read.parquet(staging + "/merged").repartition(partition_col)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

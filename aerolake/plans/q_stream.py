@@ -1 +1,135 @@
-"""Registered queries."""
+"""Registered queries: streaming drains and refreshes (T1-T7).
+
+Each replays data derived from the registered tables through a file source
+under a fresh folder of the shared checkpoint dir, drains it with
+``availableNow`` and returns what the sink holds afterwards.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from aerolake import constants as K
+from aerolake.functions.clean import typed_telemetry
+from aerolake.operators.geo import near_any
+from aerolake.plans import telemetry
+from aerolake.plans.fact import FACT_COLUMNS
+from aerolake.plans.oracle import sql
+from aerolake.plans.registry import register
+from aerolake.plans.telemetry_vectors import SV_SQL_COLS, state_vectors
+from aerolake.session import fresh_path
+from aerolake.sources import sinks
+from aerolake.streaming import drain as S
+
+SV_SQL = sql(f"SELECT {SV_SQL_COLS} FROM telemetry", "telemetry")
+
+
+def _bronze_files(spark, sf_dir):
+    """Bronze rows landed as Parquet, one folder per load date."""
+    bronze = telemetry.bronze(spark, sf_dir)
+    path = fresh_path(spark, "bronze")
+    bronze.repartition("processing_date").write.partitionBy("processing_date").parquet(path)
+    return path, bronze.schema, bronze.columns
+
+
+def _message_files(spark, sf_dir, n_files: int = 8):
+    path = fresh_path(spark, "topic")
+    sinks.publish(state_vectors(telemetry.telemetry(spark, sf_dir)).repartition(n_files), fmt="text", path=path)
+    return path
+
+
+# ------------------------------------------------------------------ T1
+@register("drain_available", SV_SQL)
+def q_drain_available(spark, sf_dir):
+    src = _message_files(spark, sf_dir)
+    out, ckpt = fresh_path(spark, "drained"), fresh_path(spark, "ckpt")
+    stream = S.open_stream(spark, "text", src, options={"maxFilesPerTrigger": "2"})
+    S.drain(S.ingest_messages(stream), ckpt, out)
+    S.drain(S.ingest_messages(S.open_stream(spark, "text", src)), ckpt, out)   # rerun: nothing new
+    return spark.read.parquet(out)
+
+
+# ------------------------------------------------------------------ T2
+@register("stage_batches", sql("SELECT * FROM bronze", "bronze"))
+def q_stage_batches(spark, sf_dir):
+    src, schema, cols = _bronze_files(spark, sf_dir)
+    out, ckpt = fresh_path(spark, "staged"), fresh_path(spark, "ckpt")
+    stream = S.open_stream(spark, "parquet", src, schema=schema, options={"maxFilesPerTrigger": "4"})
+    S.drain(stream, ckpt, foreach_batch=S.staging_writer(out))
+    return spark.read.parquet(out).select(*cols)
+
+
+# ------------------------------------------------------------------ T3
+def _near_sql() -> str:
+    terms = " OR ".join(
+        f"(abs(latitude - CAST({la!r} AS DOUBLE)) < {K.PRODUCER_MAX_DEG} AND "
+        f"abs(longitude - CAST({lo!r} AS DOUBLE)) < {K.PRODUCER_MAX_DEG})"
+        for la, lo in K.PRODUCER_CENTRES.values())
+    return f"SELECT {SV_SQL_COLS} FROM telemetry WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND ({terms})"
+
+
+@register("empty_batch_gate", sql(_near_sql(), "telemetry"))
+def q_empty_batch_gate(spark, sf_dir):
+    src = _message_files(spark, sf_dir)
+    out, ckpt = fresh_path(spark, "gated"), fresh_path(spark, "ckpt")
+    stream = S.ingest_messages(S.open_stream(spark, "text", src, options={"maxFilesPerTrigger": "2"}))
+    S.drain(stream, ckpt, foreach_batch=S.staging_writer(out, transform=near_any))
+    return spark.read.parquet(out).drop("batch_id")
+
+
+# ------------------------------------------------------------------ T4
+@register("archive_source", SV_SQL)
+def q_archive_source(spark, sf_dir):
+    src = _message_files(spark, sf_dir)
+    archive = fresh_path(spark, "archive")
+    out, ckpt = fresh_path(spark, "drained"), fresh_path(spark, "ckpt")
+    stream = S.open_stream(spark, "text", src, options={
+        "maxFilesPerTrigger": "2", "cleanSource": "archive", "sourceArchiveDir": archive})
+    S.drain(S.ingest_messages(stream), ckpt, out)
+    return spark.read.parquet(out)
+
+
+# ------------------------------------------------------------------ T5
+@register("stream_fact_upsert", sql("SELECT * FROM fct", "fct"))
+def q_stream_fact_upsert(spark, sf_dir):
+    src, schema, _ = _bronze_files(spark, sf_dir)
+    fact_path, ckpt = fresh_path(spark, "fct_flights"), fresh_path(spark, "ckpt")
+    stream = S.open_stream(spark, "parquet", src, schema=schema, options={"maxFilesPerTrigger": "8"})
+    S.drain(stream, ckpt, foreach_batch=S.fact_upsert_writer(spark, fact_path))
+    return spark.read.parquet(fact_path).select(*FACT_COLUMNS)
+
+
+# ------------------------------------------------------------------ T6
+@register("stream_dedup", sql("SELECT DISTINCT aircraft_id, position_timestamp FROM typed", "typed"))
+def q_stream_dedup(spark, sf_dir):
+    src, schema, _ = _bronze_files(spark, sf_dir)
+    out, ckpt = fresh_path(spark, "dedup"), fresh_path(spark, "ckpt")
+    typed = typed_telemetry(S.open_stream(spark, "parquet", src, schema=schema))
+    deduped = S.stream_dedup(typed, ["aircraft_id", "position_timestamp"], "position_timestamp", "1 hour")
+    S.drain(deduped.select("aircraft_id", "position_timestamp"), ckpt, out)
+    return spark.read.parquet(out)
+
+
+# ------------------------------------------------------------------ T7
+def _hourly(spark, sf_dir):
+    src, schema, _ = _bronze_files(spark, sf_dir)
+    out, ckpt = fresh_path(spark, "hourly"), fresh_path(spark, "ckpt")
+    typed = typed_telemetry(S.open_stream(spark, "parquet", src, schema=schema, options={"maxFilesPerTrigger": "8"}))
+    S.drain(S.hourly_activity(typed, "position_timestamp"), ckpt, foreach_batch=S.complete_table_writer(out),
+            output_mode="complete")
+    return spark.read.parquet(out)
+
+
+@register("stream_hourly_signals", sql(
+    "SELECT date_trunc('hour', position_timestamp) AS window_start, count(*) AS n_signals FROM typed GROUP BY 1",
+    "typed"))
+def q_stream_hourly_signals(spark, sf_dir):
+    return _hourly(spark, sf_dir).select("window_start", "n_signals")
+
+
+@register("stream_hourly_active")
+def q_stream_hourly_active(spark, sf_dir):
+    return _hourly(spark, sf_dir)
+
+
+__all__ = ["F"]
