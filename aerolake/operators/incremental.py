@@ -65,7 +65,7 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition
     ``partition_col``; ``partition_col`` must be a function of ``key``
     (true for the fact: the key embeds the signal's second).
 
-    Returns counts: batch rows, touched partitions.
+    Returns the number of batch rows.
     """
     if reject_null_keys:
         batch = batch.withColumn(key, F.when(F.col(key).isNull(),
@@ -76,10 +76,11 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition
     staged = spark.read.parquet(staging + "/batch")
     n_batch = staged.count()
     if n_batch == 0:
-        return {"batch_rows": 0, "partitions": 0}
+        return {"batch_rows": 0}
     if not path_exists(spark, path):
         staged.repartition(partition_col).write.partitionBy(partition_col).parquet(path)
-        return {"batch_rows": n_batch, "partitions": staged.select(partition_col).distinct().count()}
+        return {"batch_rows": n_batch}
+    # partitions the batch touches: bounded by the calendar, not by the data
     touched = staged.select(partition_col).distinct()
     current = (spark.read.option("basePath", path).parquet(path)
                .join(F.broadcast(touched), partition_col, "left_semi"))
@@ -88,4 +89,4 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition
     (spark.read.parquet(staging + "/merged").repartition(partition_col)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
-    return {"batch_rows": n_batch, "partitions": touched.count()}
+    return {"batch_rows": n_batch}

@@ -70,21 +70,19 @@ def dq_accepted_range(df: DataFrame, col: str, lo=None, hi=None, inclusive: bool
 
 def _anti(child: DataFrame, col: str, parent: DataFrame, pcol: str,
           n_parent: int | None, max_broadcast_rows: int) -> DataFrame:
+    """Anti join on ``col``.  A parent with a known small bound is broadcast;
+    otherwise no hint: Catalyst/AQE broadcast it only when its measured size
+    is under the threshold, else both sides shuffle and AQE splits skewed
+    child partitions (left-anti joins are eligible)."""
     keys = parent.select(F.col(pcol).alias(col)).filter(F.col(col).isNotNull())
-    if n_parent is None:
-        n_parent = keys.count()
-    if n_parent <= max_broadcast_rows:
+    if n_parent is not None and n_parent <= max_broadcast_rows:
         keys = F.broadcast(keys)
-    else:
-        keys = keys.distinct()
     return child.filter(F.col(col).isNotNull()).join(keys, col, "left_anti")
 
 
 def orphans(child: DataFrame, col: str, parent: DataFrame, pcol: str, n_parent: int | None = None,
             max_broadcast_rows: int = MAX_BROADCAST_DIM_ROWS) -> DataFrame:
-    """Child rows whose non-NULL key has no parent (anti join).  The parent
-    key set is broadcast only below a counted size; above it both sides
-    shuffle and AQE splits a skewed child partition."""
+    """Child rows whose non-NULL key has no parent (anti join)."""
     return _anti(child, col, parent, pcol, n_parent, max_broadcast_rows)
 
 

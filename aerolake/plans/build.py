@@ -1,9 +1,12 @@
 """Model dependency order: bronze -> silver -> dimensions -> fact -> star.
 
-Plain functions over DataFrames; the lazy plan carries the order.  The
-silver frame feeds three models; when they are *written* in one build,
-``build_star(..., persist=True)`` caches silver so bronze is scanned and
-deduplicated once instead of three times.
+Plain functions over DataFrames; the lazy plan carries the order.  Silver
+feeds three models (fact, aircraft, calendar) whose plans differ after
+pruning, so Spark cannot reuse the dedup shuffle between them: left alone,
+bronze would be scanned and deduplicated three times.  ``build_star``
+therefore materialises silver once (``"checkpoint"``: a reliable checkpoint
+in the shared folder, which also cuts the lineage so a lost executor does
+not replay the dedup) or caches it for a single build (``"persist"``).
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aerolake.operators.star import star
 from aerolake.plans import dims, fact, staging, telemetry
+from aerolake.session import shared_dir
 
 
 @dataclass
@@ -29,10 +33,14 @@ class StarBuild:
         return star(self.fct, self.aircrafts, self.airports, self.calendar, n_airports=dims.N_AIRPORTS)
 
 
-def build_star(spark: SparkSession, raw: DataFrame, since=None, persist: bool = False) -> StarBuild:
+def build_star(spark: SparkSession, raw: DataFrame, since=None, persist: bool = False,
+               materialize: str | None = "checkpoint") -> StarBuild:
     stg = staging.stg_flights(raw)
-    if persist:
+    if persist or materialize == "persist":
         stg = stg.persist(StorageLevel.MEMORY_AND_DISK)
+    elif materialize == "checkpoint":
+        shared_dir(spark)
+        stg = stg.checkpoint(eager=True)
     airports = dims.dim_airports(spark)
     return StarBuild(
         stg=stg,

@@ -16,9 +16,13 @@ N_AIRPORTS = len(K.AIRPORT_ROWS)
 
 
 def dim_airports(spark: SparkSession) -> DataFrame:
-    """The inline airport dimension: one local relation (not N unions);
-    bounds are DOUBLE so that edges compare equal in every engine."""
-    return spark.createDataFrame(K.AIRPORT_ROWS, AIRPORT_DDL)
+    """The inline airport dimension as one JVM-side inline table (not N
+    unions, no Python round trip); bounds are DOUBLE so that edges compare
+    equal in every engine."""
+    names = [f.split()[0] for f in AIRPORT_DDL.split(", ")]
+    rows = [F.struct(*[F.lit(v).cast("double" if i >= 5 else "string").alias(names[i])
+                       for i, v in enumerate(r)]) for r in K.AIRPORT_ROWS]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def dim_aircrafts(stg: DataFrame, order: str = "name_desc") -> DataFrame:

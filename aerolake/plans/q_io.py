@@ -198,7 +198,7 @@ def q_silver_view(spark, sf_dir):
 @register("build_star", sql("SELECT * FROM star", "star"))
 def q_build_star(spark, sf_dir):
     root = fresh_path(spark, "warehouse")
-    b = build.build_star(spark, telemetry.bronze(spark, sf_dir), persist=True)
+    b = build.build_star(spark, telemetry.bronze(spark, sf_dir), materialize="persist")
     try:
         ac = layers.materialise(b.aircrafts, "dim_aircrafts", "table", root=root)
         ap = layers.materialise(b.airports, "dim_airports", "table", root=root)

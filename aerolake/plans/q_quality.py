@@ -9,6 +9,7 @@ from aerolake.operators import quality as D
 from aerolake.plans import build, dims
 from aerolake.plans.oracle import _q, sql
 from aerolake.plans.registry import register
+from aerolake.session import shared_dir
 from aerolake.sources.tables import read_table
 
 # ------------------------------------------------------------------ D1 unique
@@ -181,10 +182,16 @@ def _suite_sql() -> str:
                "dim_calendar", "airports")
 
 
-def declared_models(spark, sf_dir, persist: bool = False) -> dict:
-    b = build.build_star(spark, build.telemetry.bronze(spark, sf_dir), persist=persist)
-    return {"stg_flights": b.stg, "dim_aircrafts": b.aircrafts, "dim_airports": b.airports,
-            "dim_calendar": b.calendar, "fct_flights": b.fct}
+def declared_models(spark, sf_dir) -> dict:
+    """The built models, as a build would leave them: silver and fact are
+    written once (reliable checkpoint in the shared folder, lineage cut) and
+    every check reads them instead of recomputing dedup and geofence."""
+    shared_dir(spark)
+    stg = build.silver(spark, sf_dir).checkpoint(eager=True)
+    airports = dims.dim_airports(spark)
+    fct = build.fact.fct_flights(stg, airports, n_airports=dims.N_AIRPORTS).checkpoint(eager=True)
+    return {"stg_flights": stg, "dim_aircrafts": dims.dim_aircrafts(stg), "dim_airports": airports,
+            "dim_calendar": dims.dim_calendar(stg), "fct_flights": fct}
 
 
 @register("dq_report", _suite_sql())

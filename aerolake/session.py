@@ -39,25 +39,25 @@ def build_session(master: str = "local[8]", app: str = "aerolake",
 def shared_dir(spark: SparkSession) -> str:
     """Root folder on shared storage for staged writes and lineage cuts.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).
-    Only when neither is set *and* the master is local (tests, laptops) do we
-    create one under the system temp folder and register it; a cluster must
-    name a shared folder, a machine-local one would vanish with the executor.
+    The context's checkpoint dir if set, else ``spark.checkpoint.dir`` from
+    the session (registered as the checkpoint dir).  Only when neither is
+    set *and* the master is local (tests, laptops) is a folder created under
+    the system temp dir; a cluster must name a shared folder, since a
+    machine-local one would vanish with its executor.
     """
-    ckpt = spark.conf.get("spark.checkpoint.dir", None)
-    if not ckpt:
-        ckpt = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    ckpt = sc.getCheckpointDir()
     if ckpt:
         return ckpt.rstrip("/")
-    master = spark.sparkContext.master or ""
-    if not master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set: name a shared folder (HDFS/S3/...) "
-            "for staged writes on a cluster")
-    path = tempfile.mkdtemp(prefix="aerolake-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    spark.conf.set("spark.checkpoint.dir", path)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if not conf:
+        if not (sc.master or "").startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a shared folder (HDFS/S3/...) "
+                "for staged writes on a cluster")
+        conf = tempfile.mkdtemp(prefix="aerolake-ckpt-")
+    sc.setCheckpointDir(conf)
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
