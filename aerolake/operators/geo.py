@@ -120,7 +120,7 @@ def _cell_join(points: DataFrame, cells: DataFrame, cond: Column, how: str, lat:
         # each cell row is replicated once per salt value.
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), F.lit(salt_buckets))
         pts = pts.withColumn(_P + "salt", salt)
-        cells = cells.withColumn(_P + "csalt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).cast("long"))
+        cells = cells.withColumn(_P + "csalt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))))
         joined = pts.join(cells, key & (F.col(_P + "salt") == F.col(_P + "csalt")) & cond, how)
     return joined.drop(*[c for c in joined.columns if c.startswith(_P + "pcell") or c.endswith("salt")
                          and c.startswith(_P)])

@@ -40,7 +40,7 @@ def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
         return fact.join(F.broadcast(dim), key, how)
     salt = "__salt"
     f = fact.withColumn(salt, F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salt_buckets)))
-    d = dim.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).cast("long"))
+    d = dim.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))))
     return f.join(d, [key, salt], how).drop(salt)
 
 
