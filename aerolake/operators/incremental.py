@@ -10,7 +10,7 @@ neither read nor rewritten.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.operators.dedup import dedup_latest
@@ -59,31 +59,59 @@ def merge_frames(target: DataFrame, batch: DataFrame, key: str, n_batch: int | N
     return target.join(keys, key, "left_anti").unionByName(batch)
 
 
+MAX_TOUCHED_PARTITIONS = 100_000
+
+
+def touched_partitions_filter(staged: DataFrame, partition_col: str,
+                              max_values: int = MAX_TOUCHED_PARTITIONS):
+    """A static predicate on the partition column listing the partitions a
+    batch touches (dates: bounded by the calendar, a metadata-sized list).
+    Spark does not apply dynamic partition pruning to a semi join against
+    the batch, so a literal list is what guarantees that only the touched
+    directories are listed and read.  ``None`` when the list is too long."""
+    vals = [r[0] for r in staged.select(partition_col).distinct().limit(max_values + 1).collect()]
+    if len(vals) > max_values:
+        return None
+    known = [v for v in vals if v is not None]
+    cond = F.col(partition_col).isin(known) if known else F.lit(False)
+    if len(known) < len(vals):
+        cond = cond | F.col(partition_col).isNull()
+    return cond
+
+
 def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition_col: str,
            reject_null_keys: bool = True, staging: str | None = None, order_col: str | None = None) -> dict:
     """Upsert ``batch`` into the Parquet table at ``path`` partitioned by
     ``partition_col``; ``partition_col`` must be a function of ``key``
     (true for the fact: the key embeds the signal's second).
 
-    Returns the number of batch rows.
+    Steps: stage the batch (materialised once, lineage cut, row count
+    observed during the write), read only the touched partitions of the
+    target, merge, stage the merged partitions, then replace exactly those
+    partitions with a dynamic overwrite.  The staged merge stays in the
+    shared folder until replaced, so a failure in the last step loses
+    nothing.  Returns the number of batch rows.
     """
     if reject_null_keys:
         batch = batch.withColumn(key, F.when(F.col(key).isNull(),
                                              F.raise_error(F.lit(f"NULL {key} in upsert batch")))
                                  .otherwise(F.col(key)))
     staging = staging or fresh_path(spark, "upsert-stage")
-    batch.write.mode("overwrite").parquet(staging + "/batch")          # stage + cut lineage
-    staged = spark.read.parquet(staging + "/batch")
-    n_batch = staged.count()
+    obs = Observation("upsert_batch")
+    batch.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(staging + "/batch")
+    n_batch = int(obs.get["n"])
     if n_batch == 0:
         return {"batch_rows": 0}
+    staged = spark.read.parquet(staging + "/batch")
     if not path_exists(spark, path):
         staged.repartition(partition_col).write.partitionBy(partition_col).parquet(path)
         return {"batch_rows": n_batch}
-    # partitions the batch touches: bounded by the calendar, not by the data
-    touched = staged.select(partition_col).distinct()
-    current = (spark.read.option("basePath", path).parquet(path)
-               .join(F.broadcast(touched), partition_col, "left_semi"))
+    target = spark.read.option("basePath", path).parquet(path)
+    cond = touched_partitions_filter(staged, partition_col)
+    if cond is not None:
+        current = target.filter(cond)
+    else:
+        current = target.join(staged.select(partition_col).distinct(), partition_col, "left_semi")
     merged = merge_frames(current, staged.select(*current.columns), key, n_batch, order_col=order_col)
     merged.write.mode("overwrite").parquet(staging + "/merged")
     (spark.read.parquet(staging + "/merged").repartition(partition_col)
