@@ -35,10 +35,33 @@ def epoch_to_ts(col) -> Column:
     return F.timestamp_add("SECOND", _c(col).cast("bigint"), F.lit(EPOCH_NTZ_TEXT).cast("timestamp_ntz"))
 
 
+def ts_text(ts_col) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of a TIMESTAMP_NTZ without any time-zone
+    conversion (``date_format`` would pass through the session zone and
+    shift wall-clock times that fall in a DST gap)."""
+    return F.substring(_c(ts_col).cast("timestamp_ntz").cast("string"), 1, 19)
+
+
 def signal_key(id_col, ts_col) -> Column:
     """``<id>-yyyy-MM-dd HH:mm:ss``; NULL when either part is NULL (concat,
     not concat_ws, which would skip the NULL)."""
-    return F.concat(_c(id_col), F.lit("-"), F.date_format(_c(ts_col), "yyyy-MM-dd HH:mm:ss"))
+    return F.concat(_c(id_col), F.lit("-"), ts_text(ts_col))
+
+
+def ntz_to_instant(col) -> Column:
+    """TIMESTAMP_NTZ read as UTC wall clock -> TIMESTAMP instant, with no
+    dependence on the session time zone: the wall-clock fields are rebuilt
+    with an explicit UTC zone (``timestamp_diff`` on NTZ would pass through
+    the session zone and fold a DST-gap hour into the next one)."""
+    c = _c(col)
+    return F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                            F.date_part(F.lit("SECOND"), c), F.lit("UTC"))
+
+
+def instant_to_ntz(col) -> Column:
+    """Inverse of ``ntz_to_instant``."""
+    epoch = F.lit(EPOCH_NTZ_TEXT).cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(col)), epoch)
 
 
 def to_date_col(ts_col) -> Column:

@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerolake.functions.clean import instant_to_ntz, ntz_to_instant
 from aerolake.operators.incremental import upsert
 from aerolake.plans import dims
 from aerolake.plans.fact import fct_flights
@@ -112,8 +113,9 @@ def fact_upsert_writer(spark: SparkSession, fact_path: str, airports: DataFrame
 
 # ------------------------------------------------------------------ T6 / T7
 def event_time(col: str) -> F.Column:
-    """Watermarks need TIMESTAMP (not NTZ) event time."""
-    return F.col(col).cast("timestamp")
+    """Watermarks need TIMESTAMP (not NTZ) event time; the NTZ wall clock is
+    read as UTC so windows do not depend on the session time zone."""
+    return ntz_to_instant(col)
 
 
 def stream_dedup(stream: DataFrame, keys, ts_col: str, delay: str = "1 hour") -> DataFrame:
@@ -133,7 +135,7 @@ def hourly_activity(stream: DataFrame, ts_col: str, id_col: str = "aircraft_id",
     s = stream.withColumn("__event_time", event_time(ts_col)).withWatermark("__event_time", delay)
     agg = s.groupBy(F.window("__event_time", "1 hour").alias("w")).agg(
         F.count(F.lit(1)).alias("n_signals"), F.approx_count_distinct(id_col, rsd).alias("approx_aircraft"))
-    return agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "n_signals", "approx_aircraft")
+    return agg.select(instant_to_ntz("w.start").alias("window_start"), "n_signals", "approx_aircraft")
 
 
 def complete_table_writer(path: str) -> Callable:
