@@ -39,10 +39,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-class NullKeyError(ValueError):
-    pass
-
-
 def merge_frames(target: DataFrame, batch: DataFrame, key: str, n_batch: int | None = None,
                  max_broadcast_rows: int = MAX_BROADCAST_DIM_ROWS, order_col: str | None = None) -> DataFrame:
     """Target rows whose key is not in the batch, plus the batch.

@@ -31,18 +31,21 @@ def dim_aircrafts(stg: DataFrame, order: str = "name_desc") -> DataFrame:
     ``order="name_desc"`` keeps the greatest country name after NULL ->
     'Desconhecido' (so 'Desconhecido' beats 'Brazil', as published);
     ``order="known_first"`` prefers any known country, then the greatest.
-    Only one attribute is kept, so this is a plain ``max`` aggregate: hash
-    aggregation with map-side partial results, no sort, no window.
+    Only one attribute is kept, so this is an aggregate, not a window.
     """
     country = F.coalesce(F.col("origin_country"), F.lit(K.UNKNOWN_COUNTRY))
     if order == "name_desc":
-        picked = F.max(country)
+        picked = F.max("origin_country")
     elif order == "known_first":
-        known = F.when(country != K.UNKNOWN_COUNTRY, country)
+        known = F.when(F.col("origin_country") != K.UNKNOWN_COUNTRY, F.col("origin_country"))
         picked = F.coalesce(F.max(known), F.lit(K.UNKNOWN_COUNTRY))
     else:
         raise ValueError(order)
-    agg = stg.groupBy(F.col("aircraft_id")).agg(picked.alias("origin_country"))
+    # distinct (aircraft, country) pairs first: a hash aggregate with map-side
+    # partial results reduces the signals to a few pairs per aircraft, so the
+    # string max (a sort-based aggregate in Spark) only sees that small set.
+    pairs = stg.select("aircraft_id", country.alias("origin_country")).distinct()
+    agg = pairs.groupBy("aircraft_id").agg(picked.alias("origin_country"))
     return agg.select(
         "aircraft_id", "origin_country",
         aircraft_category("origin_country").alias("aircraft_category"),

@@ -13,9 +13,8 @@ from aerolake.operators import geo
 from aerolake.operators.dedup import dedup_latest
 from aerolake.operators.star import lookup_join, slice_df
 from aerolake.plans import build, dims, staging, telemetry
-from aerolake.plans.oracle import (_q, altitude_case, behavior_case, calendar_cols, period_case,
-                                   speed_case, sql, status_case, us_week_sql)
-from aerolake.plans.oracle import _continent_case
+from aerolake.plans.oracle import (_continent_case, altitude_case, behavior_case, calendar_cols,
+                                   period_case, speed_case, sql, status_case, us_week_sql)
 from aerolake.plans.registry import register
 from aerolake.sources.tables import read_table
 
@@ -326,5 +325,3 @@ def q_union_all(spark, sf_dir):
         F.col("s_nationkey").alias("nation_key"))
     return c.unionByName(s)
 
-
-__all__ = ["_q"]

@@ -7,8 +7,6 @@ under a fresh folder of the shared checkpoint dir, drains it with
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from aerolake import constants as K
 from aerolake.functions.clean import typed_telemetry
 from aerolake.operators.geo import near_any
@@ -131,5 +129,3 @@ def q_stream_hourly_signals(spark, sf_dir):
 def q_stream_hourly_active(spark, sf_dir):
     return _hourly(spark, sf_dir)
 
-
-__all__ = ["F"]
