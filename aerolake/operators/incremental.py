@@ -22,14 +22,19 @@ def new_rows(df: DataFrame, ts_col: str, target: DataFrame | None = None,
              target_col: str = "ingestion_timestamp") -> DataFrame:
     """Rows strictly newer than the target's high-water mark.
 
-    The mark is a lazy scalar subquery over the target (no driver round
-    trip).  No target, or an empty target (NULL mark), is a first load: all
+    The mark is one aggregate over the target (a single scalar reaches the
+    driver, as text so no time-zone conversion happens there) and becomes a
+    literal in the filter.  A scalar subquery would be planned once per
+    reference and, in ``mark IS NULL OR ts > mark``, aggregate the target
+    twice.  No target, or an empty target (NULL mark), is a first load: all
     rows qualify.
     """
     if target is None:
         return df
-    mark = target.agg(F.max(target_col)).scalar()
-    return df.filter(mark.isNull() | (F.col(ts_col) > mark))
+    mark = target.agg(F.max(target_col).cast("string").alias("m")).first()["m"]
+    if mark is None:
+        return df
+    return df.filter(F.col(ts_col) > F.lit(mark).cast(df.schema[ts_col].dataType))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
