@@ -22,6 +22,26 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, cores: int, shuffle_partition_bytes: int = 200 * 2**20,
+                 split_bytes: int = 256 * 2**20) -> dict:
+    """Settings sized for a cluster run over ``input_bytes`` of input.
+
+    Shuffle partitions start at ~``shuffle_partition_bytes`` of input each
+    (never fewer than 2 waves of the cluster's cores) and AQE coalesces the
+    small ones; scans split at ``split_bytes``.  E.g. 100 TB on 8000 cores:
+    ~524k shuffle partitions before coalescing, 256 MB input splits.
+    """
+    parts = max(2 * cores, -(-input_bytes // shuffle_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 2**20),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def build_session(master: str = "local[8]", app: str = "aerolake",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)

@@ -89,3 +89,10 @@ def test_calendar_parts(spark):
     r = df.select(*cal.calendar_parts("t")).first()
     assert (r.year_num, r.quarter_name, r.month_num, r.week_of_year, r.day_num, r.day_of_week_num) == \
         (2026, "Q1", 1, 3, 17, 7)
+
+
+def test_cluster_conf_sizes_partitions():
+    from aerolake.session import cluster_conf
+    conf = cluster_conf(100 * 2**40, cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 524288
+    assert int(cluster_conf(10 * 2**20, cores=8)["spark.sql.shuffle.partitions"]) == 16
