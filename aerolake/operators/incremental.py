@@ -63,14 +63,13 @@ def merge_frames(target: DataFrame, batch: DataFrame, key: str, n_batch: int | N
 MAX_TOUCHED_PARTITIONS = 100_000
 
 
-def touched_partitions_filter(staged: DataFrame, partition_col: str,
-                              max_values: int = MAX_TOUCHED_PARTITIONS):
+def touched_partitions_filter(values, partition_col: str, max_values: int = MAX_TOUCHED_PARTITIONS):
     """A static predicate on the partition column listing the partitions a
     batch touches (dates: bounded by the calendar, a metadata-sized list).
     Spark does not apply dynamic partition pruning to a semi join against
     the batch, so a literal list is what guarantees that only the touched
     directories are listed and read.  ``None`` when the list is too long."""
-    vals = [r[0] for r in staged.select(partition_col).distinct().limit(max_values + 1).collect()]
+    vals = list(values)
     if len(vals) > max_values:
         return None
     known = [v for v in vals if v is not None]
@@ -86,8 +85,9 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition
     ``partition_col``; ``partition_col`` must be a function of ``key``
     (true for the fact: the key embeds the signal's second).
 
-    Steps: stage the batch (materialised once, lineage cut, row count
-    observed during the write), read only the touched partitions of the
+    Steps: stage the batch (materialised once, lineage cut; its row count and
+    touched partition values are observed during that write, so no extra
+    job), read only the touched partitions of the
     target, merge, stage the merged partitions, then replace exactly those
     partitions with a dynamic overwrite.  The staged merge stays in the
     shared folder until replaced, so a failure in the last step loses
@@ -99,7 +99,9 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition
                                  .otherwise(F.col(key)))
     staging = staging or fresh_path(spark, "upsert-stage")
     obs = Observation("upsert_batch")
-    batch.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(staging + "/batch")
+    (batch.observe(obs, F.count(F.lit(1)).alias("n"), F.collect_set(partition_col).alias("parts"),
+                   F.max(F.col(partition_col).isNull().cast("int")).alias("null_part"))
+     .write.mode("overwrite").parquet(staging + "/batch"))
     n_batch = int(obs.get["n"])
     if n_batch == 0:
         return {"batch_rows": 0}
@@ -108,7 +110,8 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition
         staged.repartition(partition_col).write.partitionBy(partition_col).parquet(path)
         return {"batch_rows": n_batch}
     target = spark.read.option("basePath", path).parquet(path)
-    cond = touched_partitions_filter(staged, partition_col)
+    touched = list(obs.get["parts"]) + ([None] if obs.get["null_part"] == 1 else [])
+    cond = touched_partitions_filter(touched, partition_col)
     if cond is not None:
         current = target.filter(cond)
     else:
