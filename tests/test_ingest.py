@@ -92,3 +92,15 @@ def test_flight_leg_reader(spark, tmp_dir):
         fh.write(json.dumps(rec) + "\n")
     legs = ingest.read_flight_legs(spark, tmp_dir).first()
     assert legs.firstSeen == 1768686000 and legs.arrivalAirportCandidatesCount is None
+
+
+def test_permuting_input_files_changes_nothing(spark, tmp_dir):
+    import tempfile
+    other = tempfile.mkdtemp(prefix="aerolake-perm-")
+    chunks = [F1_ROWS[:2], F1_ROWS[2:4], F1_ROWS[4:]]
+    for i, c in enumerate(chunks):
+        write_document(os.path.join(tmp_dir, f"b{i}.json"), c)
+        write_document(os.path.join(other, f"b{2 - i}.json"), list(reversed(c)))
+    a = sorted(map(tuple, _typed(spark, tmp_dir).collect()), key=str)
+    b = sorted(map(tuple, _typed(spark, other).collect()), key=str)
+    assert a == b and len(a) == 6
