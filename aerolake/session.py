@@ -42,11 +42,16 @@ def cluster_conf(input_bytes: int, cores: int, shuffle_partition_bytes: int = 20
     }
 
 
-def build_session(master: str = "local[8]", app: str = "aerolake",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+def build_session(master: str | None = "local[8]", app: str = "aerolake",
+                  shuffle_partitions: int | None = 8, extra: dict | None = None) -> SparkSession:
+    """``master=None`` leaves the master to spark-submit (cluster runs);
+    ``shuffle_partitions=None`` keeps the cluster's setting."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
