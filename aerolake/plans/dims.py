@@ -15,14 +15,19 @@ AIRPORT_DDL = ("region string, state string, city string, airport_code string, a
 N_AIRPORTS = len(K.AIRPORT_ROWS)
 
 
+def _sql_text(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return f"CAST({v!r} AS DOUBLE)"
+
+
 def dim_airports(spark: SparkSession) -> DataFrame:
-    """The inline airport dimension as one JVM-side inline table (not N
-    unions, no Python round trip); bounds are DOUBLE so that edges compare
-    equal in every engine."""
-    names = [f.split()[0] for f in AIRPORT_DDL.split(", ")]
-    rows = [F.struct(*[F.lit(v).cast("double" if i >= 5 else "string").alias(names[i])
-                       for i, v in enumerate(r)]) for r in K.AIRPORT_ROWS]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    """The inline airport dimension: one inline table (a LocalRelation, no
+    unions, no Python rows); bounds are DOUBLE so that edges compare equal in
+    every engine."""
+    names = ", ".join(f.split()[0] for f in AIRPORT_DDL.split(", "))
+    rows = ", ".join("(" + ", ".join(_sql_text(v) for v in r) + ")" for r in K.AIRPORT_ROWS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS airports({names})")
 
 
 def dim_aircrafts(stg: DataFrame, order: str = "name_desc") -> DataFrame:

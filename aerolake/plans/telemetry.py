@@ -11,7 +11,7 @@ padding; metrics carry NULLs; ranges reach every CASE branch.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.sources.tables import read_table
@@ -35,39 +35,28 @@ TELEMETRY_SQL = """SELECT event_id,
   ts AS inserted_at
 FROM (SELECT *, cast((event_id - event_id % 3) / 3 AS BIGINT) AS k FROM events)"""
 
-_COUNTRY_BY_K8 = ["Argentina", "United States", "Spain", "Japan"]
 
-
-def _nullif(cond: Column, value: Column) -> Column:
-    return F.when(cond, F.lit(None)).otherwise(value)
+def _projection_exprs() -> list[str]:
+    """The SELECT list of ``TELEMETRY_SQL`` as expression strings."""
+    body = TELEMETRY_SQL[len("SELECT "):TELEMETRY_SQL.index("\nFROM (")]
+    exprs, depth, cur = [], 0, ""
+    for ch in body:
+        depth += ch == "("
+        depth -= ch == ")"
+        if ch == "," and depth == 0:
+            exprs.append(cur.strip())
+            cur = ""
+        else:
+            cur += ch
+    exprs.append(cur.strip())
+    return exprs
 
 
 def telemetry_from_events(events: DataFrame) -> DataFrame:
-    eid = F.col("event_id")
-    k = F.col("k")
-    padded = F.lpad((k % 400).cast("string"), 4, "0")
-    country = F.lit("Brazil")
-    for i in reversed(range(len(_COUNTRY_BY_K8))):
-        country = F.when(k % 8 == i, F.lit(_COUNTRY_BY_K8[i])).otherwise(country)
-    return (
-        events.select("event_id", "ts")
-        .withColumn("k", ((eid - eid % 3) / 3).cast("bigint"))
-        .select(
-            eid.alias("event_id"),
-            F.when(eid % 2 == 0, F.concat(F.lit("e4"), padded))
-             .otherwise(F.concat(F.lit(" E4"), padded)).alias("icao24"),
-            F.concat(F.lit(" tam-"), (eid % 1000).cast("string"), F.lit("  ")).alias("callsign"),
-            _nullif(eid % 10 == 0, country).alias("origin_country"),
-            (F.lit(1704067200) + k * 777).alias("time_position"),
-            (F.lit(-46.2) - ((eid * 53) % 1100).cast("double") / 1000).alias("longitude"),
-            (F.lit(-22.9) - ((eid * 37) % 900).cast("double") / 1000).alias("latitude"),
-            _nullif(eid % 7 == 0, ((eid * 91) % 40000).cast("double")).alias("baro_altitude"),
-            (eid % 5 == 0).alias("on_ground"),
-            _nullif(eid % 11 == 0, ((eid * 17) % 1000).cast("double")).alias("velocity"),
-            _nullif(eid % 13 == 0, ((eid * 29) % 3001).cast("double") - 1500).alias("vertical_rate"),
-            F.col("ts").alias("inserted_at"),
-        )
-    )
+    """Per-row projection of ``events`` (one ``selectExpr``; the expressions
+    are the ones the oracle runs, so both sides derive the same rows)."""
+    with_k = events.selectExpr("event_id", "ts", "cast((event_id - event_id % 3) / 3 AS BIGINT) AS k")
+    return with_k.selectExpr(*_projection_exprs())
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,8 +66,8 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_from_telemetry(tel: DataFrame) -> DataFrame:
     """Give telemetry the bronze columns the silver model reads: the event id
     stands in for the store's surrogate id, the load date is the insert date."""
-    return (tel.withColumn("id_surrogate", F.col("event_id"))
-               .withColumn("processing_date", F.to_date("inserted_at")))
+    return tel.select("*", F.col("event_id").alias("id_surrogate"),
+                      F.to_date("inserted_at").alias("processing_date"))
 
 
 BRONZE_SQL_COLUMNS = "*, event_id AS id_surrogate, cast(inserted_at AS DATE) AS processing_date"
