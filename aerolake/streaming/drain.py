@@ -1,6 +1,6 @@
 """Structured Streaming: bounded drains and incremental refresh.
 
-The reference polls a topic, drains what is there and stops.  Here that is a
+The workflow polls a topic, drains what is there and stops.  Here that is a
 streaming query run with ``trigger(availableNow=True)``: it processes every
 record available at start (in as many micro-batches as the source's rate
 limits allow) and stops; the checkpoint remembers the offsets, so the next
