@@ -16,47 +16,33 @@ from pyspark.sql import functions as F
 
 from aerolake.sources.tables import read_table
 
-# FIXED VALUES: the oracle's spelling of the projection (must match below).
-TELEMETRY_SQL = """SELECT event_id,
-  CASE WHEN event_id % 2 = 0 THEN concat('e4', lpad(cast(k % 400 AS STRING), 4, '0'))
-       ELSE concat(' E4', lpad(cast(k % 400 AS STRING), 4, '0')) END                    AS icao24,
-  concat(' tam-', cast(event_id % 1000 AS STRING), '  ')                                AS callsign,
-  CASE WHEN event_id % 10 = 0 THEN NULL ELSE
-    CASE k % 8 WHEN 0 THEN 'Argentina' WHEN 1 THEN 'United States' WHEN 2 THEN 'Spain'
-               WHEN 3 THEN 'Japan' ELSE 'Brazil' END END                                AS origin_country,
-  1704067200 + k * 777                                                                  AS time_position,
-  -46.2 - cast((event_id * 53) % 1100 AS DOUBLE) / 1000                                 AS longitude,
-  -22.9 - cast((event_id * 37) % 900 AS DOUBLE) / 1000                                  AS latitude,
-  CASE WHEN event_id % 7 = 0 THEN NULL ELSE cast((event_id * 91) % 40000 AS DOUBLE) END AS baro_altitude,
-  CASE WHEN event_id % 5 = 0 THEN true ELSE false END                                   AS on_ground,
-  CASE WHEN event_id % 11 = 0 THEN NULL ELSE cast((event_id * 17) % 1000 AS DOUBLE) END AS velocity,
-  CASE WHEN event_id % 13 = 0 THEN NULL
-       ELSE cast((event_id * 29) % 3001 AS DOUBLE) - 1500 END                           AS vertical_rate,
-  ts AS inserted_at
-FROM (SELECT *, cast((event_id - event_id % 3) / 3 AS BIGINT) AS k FROM events)"""
-
-
-def _projection_exprs() -> list[str]:
-    """The SELECT list of ``TELEMETRY_SQL`` as expression strings."""
-    body = TELEMETRY_SQL[len("SELECT "):TELEMETRY_SQL.index("\nFROM (")]
-    exprs, depth, cur = [], 0, ""
-    for ch in body:
-        depth += ch == "("
-        depth -= ch == ")"
-        if ch == "," and depth == 0:
-            exprs.append(cur.strip())
-            cur = ""
-        else:
-            cur += ch
-    exprs.append(cur.strip())
-    return exprs
+# FIXED VALUES: the per-row projection, one SQL expression per column (the
+# Spark side runs them with ``selectExpr``, the oracle inside TELEMETRY_SQL).
+TELEMETRY_K = "cast((event_id - event_id % 3) / 3 AS BIGINT) AS k"
+TELEMETRY_EXPRS = [
+    "event_id",
+    "CASE WHEN event_id % 2 = 0 THEN concat('e4', lpad(cast(k % 400 AS STRING), 4, '0')) "
+    "ELSE concat(' E4', lpad(cast(k % 400 AS STRING), 4, '0')) END AS icao24",
+    "concat(' tam-', cast(event_id % 1000 AS STRING), '  ') AS callsign",
+    "CASE WHEN event_id % 10 = 0 THEN NULL ELSE CASE k % 8 WHEN 0 THEN 'Argentina' WHEN 1 THEN 'United States' "
+    "WHEN 2 THEN 'Spain' WHEN 3 THEN 'Japan' ELSE 'Brazil' END END AS origin_country",
+    "1704067200 + k * 777 AS time_position",
+    "-46.2 - cast((event_id * 53) % 1100 AS DOUBLE) / 1000 AS longitude",
+    "-22.9 - cast((event_id * 37) % 900 AS DOUBLE) / 1000 AS latitude",
+    "CASE WHEN event_id % 7 = 0 THEN NULL ELSE cast((event_id * 91) % 40000 AS DOUBLE) END AS baro_altitude",
+    "CASE WHEN event_id % 5 = 0 THEN true ELSE false END AS on_ground",
+    "CASE WHEN event_id % 11 = 0 THEN NULL ELSE cast((event_id * 17) % 1000 AS DOUBLE) END AS velocity",
+    "CASE WHEN event_id % 13 = 0 THEN NULL ELSE cast((event_id * 29) % 3001 AS DOUBLE) - 1500 END AS vertical_rate",
+    "ts AS inserted_at",
+]
+TELEMETRY_SQL = ("SELECT " + ",\n  ".join(TELEMETRY_EXPRS)
+                 + f"\nFROM (SELECT *, {TELEMETRY_K} FROM events)")
 
 
 def telemetry_from_events(events: DataFrame) -> DataFrame:
     """Per-row projection of ``events`` (one ``selectExpr``; the expressions
     are the ones the oracle runs, so both sides derive the same rows)."""
-    with_k = events.selectExpr("event_id", "ts", "cast((event_id - event_id % 3) / 3 AS BIGINT) AS k")
-    return with_k.selectExpr(*_projection_exprs())
+    return events.selectExpr("event_id", "ts", TELEMETRY_K).selectExpr(*TELEMETRY_EXPRS)
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
