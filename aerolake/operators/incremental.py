@@ -10,6 +10,8 @@ neither read nor rewritten.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,46 +81,52 @@ def touched_partitions_filter(values, partition_col: str, max_values: int = MAX_
     return cond
 
 
-def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition_col: str,
+def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition_col,
            reject_null_keys: bool = True, staging: str | None = None, order_col: str | None = None) -> dict:
     """Upsert ``batch`` into the Parquet table at ``path`` partitioned by
-    ``partition_col``; ``partition_col`` must be a function of ``key``
-    (true for the fact: the key embeds the signal's second).
+    ``partition_col`` (one name or a list, e.g. ``["flight_date", "hour_24"]``
+    so a frequent small batch rewrites only the hours it touches).  Every
+    partition column must be a function of ``key`` (true for the fact: the
+    key embeds the signal's second).
 
     Steps: stage the batch (materialised once, lineage cut; its row count and
     touched partition values are observed during that write, so no extra
-    job), read only the touched partitions of the
-    target, merge, stage the merged partitions, then replace exactly those
-    partitions with a dynamic overwrite.  The staged merge stays in the
-    shared folder until replaced, so a failure in the last step loses
-    nothing.  Returns the number of batch rows.
+    job), read only the touched partitions of the target (a static filter
+    per partition column; with several columns the product of the touched
+    values is read, a superset that the merge leaves unchanged), merge, stage
+    the merged partitions, then replace exactly those partitions with a
+    dynamic overwrite.  The staged merge stays in the shared folder until
+    replaced, so a failure in the last step loses nothing.  Returns the
+    number of batch rows.
     """
+    parts = [partition_col] if isinstance(partition_col, str) else list(partition_col)
     if reject_null_keys:
         batch = batch.withColumn(key, F.when(F.col(key).isNull(),
                                              F.raise_error(F.lit(f"NULL {key} in upsert batch")))
                                  .otherwise(F.col(key)))
     staging = staging or fresh_path(spark, "upsert-stage")
     obs = Observation("upsert_batch")
-    (batch.observe(obs, F.count(F.lit(1)).alias("n"), F.collect_set(partition_col).alias("parts"),
-                   F.max(F.col(partition_col).isNull().cast("int")).alias("null_part"))
-     .write.mode("overwrite").parquet(staging + "/batch"))
+    metrics = [F.count(F.lit(1)).alias("n")]
+    for i, c in enumerate(parts):
+        metrics += [F.collect_set(c).alias(f"v{i}"), F.max(F.col(c).isNull().cast("int")).alias(f"null{i}")]
+    batch.observe(obs, *metrics).write.mode("overwrite").parquet(staging + "/batch")
     n_batch = int(obs.get["n"])
     if n_batch == 0:
         return {"batch_rows": 0}
     staged = spark.read.parquet(staging + "/batch")
     if not path_exists(spark, path):
-        staged.repartition(partition_col).write.partitionBy(partition_col).parquet(path)
+        staged.repartition(*parts).write.partitionBy(*parts).parquet(path)
         return {"batch_rows": n_batch}
     target = spark.read.option("basePath", path).parquet(path)
-    touched = list(obs.get["parts"]) + ([None] if obs.get["null_part"] == 1 else [])
-    cond = touched_partitions_filter(touched, partition_col)
-    if cond is not None:
-        current = target.filter(cond)
+    conds = [touched_partitions_filter(list(obs.get[f"v{i}"]) + ([None] if obs.get[f"null{i}"] == 1 else []), c)
+             for i, c in enumerate(parts)]
+    if all(c is not None for c in conds):
+        current = target.filter(reduce(lambda a, b: a & b, conds))
     else:
-        current = target.join(staged.select(partition_col).distinct(), partition_col, "left_semi")
+        current = target.join(staged.select(*parts).distinct(), parts, "left_semi")
     merged = merge_frames(current, staged.select(*current.columns), key, n_batch, order_col=order_col)
     merged.write.mode("overwrite").parquet(staging + "/merged")
-    (spark.read.parquet(staging + "/merged").repartition(partition_col)
+    (spark.read.parquet(staging + "/merged").repartition(*parts)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+     .partitionBy(*parts).parquet(path))
     return {"batch_rows": n_batch}

@@ -73,3 +73,15 @@ def test_build_star_materialisations_agree(spark):
     a = build.build_star(spark, raw, materialize="checkpoint").star()
     b = build.build_star(spark, raw, materialize=None).star()
     assert _rows(a) == _rows(b)
+
+
+def test_upsert_by_date_and_hour_equals_by_date(spark):
+    f = _full_fact(spark)
+    half = f.filter(F.col("hour_24") < 12)
+    p1, p2 = fresh_path(spark, "byday"), fresh_path(spark, "byhour")
+    for p, parts in ((p1, "flight_date"), (p2, ["flight_date", "hour_24"])):
+        upsert(spark, p, half, "flight_pk", parts)
+        upsert(spark, p, f, "flight_pk", parts, order_col="ingestion_timestamp")
+    cols = fact.FACT_COLUMNS
+    assert _rows(spark.read.parquet(p1).select(*cols)) == _rows(spark.read.parquet(p2).select(*cols)) \
+        == _rows(f.select(*cols))
