@@ -26,8 +26,13 @@ from aerolake.sources.ingest import check_width, typed_projection
 
 def open_stream(spark: SparkSession, fmt: str, path: str | None = None, schema=None,
                 options: dict | None = None) -> DataFrame:
-    """A streaming DataFrame over ``fmt`` (kafka: ``value`` cast to string)."""
-    r = spark.readStream.format(fmt).options(**(options or {}))
+    """A streaming DataFrame over ``fmt`` (kafka: ``value`` cast to string and,
+    unless given, ``startingOffsets=earliest`` so a first drain reads the
+    whole topic; later drains resume from the checkpointed offsets)."""
+    options = dict(options or {})
+    if fmt == "kafka":
+        options.setdefault("startingOffsets", "earliest")
+    r = spark.readStream.format(fmt).options(**options)
     if schema is not None:
         r = r.schema(schema)
     df = r.load(path) if path else r.load()
@@ -71,19 +76,21 @@ def gate(df: DataFrame, fn: Callable[[DataFrame], None]) -> bool:
     return True
 
 
-def stage_batch(df: DataFrame, batch_id: int, path: str, batch_col: str = "batch_id") -> None:
-    """Write one micro-batch under ``batch_id=<id>``; a retried batch
-    replaces its own folder (idempotent), other batches are untouched."""
+def stage_batch(df: DataFrame, batch_id: int, path: str, batch_col: str = "batch_id",
+                fmt: str = "parquet") -> None:
+    """Write one micro-batch under ``batch_id=<id>`` (``fmt`` parquet or
+    json); a retried batch replaces its own folder (idempotent), other
+    batches are untouched."""
     (df.withColumn(batch_col, F.lit(batch_id).cast("long"))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(batch_col).parquet(path))
+       .partitionBy(batch_col).format(fmt).save(path))
 
 
 def staging_writer(path: str, transform: Callable[[DataFrame], DataFrame] | None = None,
-                   stats: list | None = None) -> Callable:
+                   stats: list | None = None, fmt: str = "parquet") -> Callable:
     def fn(df: DataFrame, batch_id: int):
         out = transform(df) if transform else df
-        done = gate(out, lambda d: stage_batch(d, batch_id, path))
+        done = gate(out, lambda d: stage_batch(d, batch_id, path, fmt=fmt))
         if stats is not None:
             stats.append((batch_id, done))
     return fn

@@ -33,6 +33,10 @@ def test_stage_batch_is_idempotent_and_gate_skips_empty(spark):
     stats = []
     S.staging_writer(path, stats=stats)(spark.range(0), 2)
     assert stats == [(2, False)] and spark.read.parquet(path).count() == 5
+    jpath = fresh_path(spark, "staged-json")
+    S.stage_batch(df, 0, jpath, fmt="json")
+    S.stage_batch(df, 0, jpath, fmt="json")
+    assert spark.read.json(jpath).count() == 3
 
 
 def test_archive_moves_processed_files(spark):
