@@ -39,11 +39,14 @@ def dim_aircrafts(stg: DataFrame, order: str = "name_desc") -> DataFrame:
     Only one attribute is kept, so this is an aggregate, not a window.
     """
     country = F.coalesce(F.col("origin_country"), F.lit(K.UNKNOWN_COUNTRY))
+    # max_by(c, c) is max(c); written so because Catalyst drops a distinct
+    # below a plain max/min (duplicate-agnostic) and the hash pre-aggregation
+    # would be lost.
     if order == "name_desc":
-        picked = F.max("origin_country")
+        picked = F.max_by("origin_country", "origin_country")
     elif order == "known_first":
         known = F.when(F.col("origin_country") != K.UNKNOWN_COUNTRY, F.col("origin_country"))
-        picked = F.coalesce(F.max(known), F.lit(K.UNKNOWN_COUNTRY))
+        picked = F.coalesce(F.max_by(known, known), F.lit(K.UNKNOWN_COUNTRY))
     else:
         raise ValueError(order)
     # distinct (aircraft, country) pairs first: a hash aggregate with map-side
