@@ -44,9 +44,15 @@ def near_any(df: DataFrame, centres=None, max_deg: float = PRODUCER_MAX_DEG,
     pts = list(centres.values()) if isinstance(centres, dict) else list(centres)
     base = df.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     if len(pts) <= max_or_terms:
-        preds = [(F.abs(F.col(lat) - F.lit(float(c_lat))) < max_deg)
+        # A pure OR of slightly widened ranges (a superset Spark translates
+        # into a Parquet filter, whose min/max statistics skip row groups)
+        # AND the exact OR of abs() tests, which alone decides membership.
+        eps = max_deg * 1e-6
+        ranges = [F.col(lat).between(c_lat - max_deg - eps, c_lat + max_deg + eps)
+                  & F.col(lon).between(c_lon - max_deg - eps, c_lon + max_deg + eps) for c_lat, c_lon in pts]
+        exact = [(F.abs(F.col(lat) - F.lit(float(c_lat))) < max_deg)
                  & (F.abs(F.col(lon) - F.lit(float(c_lon))) < max_deg) for c_lat, c_lon in pts]
-        return base.filter(reduce(lambda a, b: a | b, preds))
+        return base.filter(reduce(lambda a, b: a | b, ranges) & reduce(lambda a, b: a | b, exact))
     spark = spark or df.sparkSession
     boxes = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(pts)],
                                   "box_id long, c_lat double, c_lon double")

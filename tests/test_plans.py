@@ -42,3 +42,19 @@ def test_star_scans_silver_once(spark):
     plan = _plan(df)
     assert plan.count("Scan parquet") == 0      # silver comes from the checkpoint, not re-deduplicated
     assert plan.count("Window") == 0
+
+
+def test_near_any_pushes_a_range_superset_to_parquet(spark):
+    from aerolake.operators.geo import near_any
+    path = fresh_path(spark, "pts")
+    spark.range(2000).select((F.lit(-24.0) + F.col("id") / 1000).alias("latitude"),
+                             (F.lit(-47.0) + F.col("id") / 2000).alias("longitude")).write.parquet(path)
+    df = near_any(spark.read.parquet(path))
+    plan = _plan(df)
+    pushed = [ln.split("PushedFilters:")[1] for ln in plan.splitlines() if "PushedFilters" in ln][0]
+    assert "Or(" in pushed and "GreaterThanOrEqual(latitude" in pushed
+    exact = spark.read.parquet(path).filter(
+        ((F.abs(F.col("latitude") + 23.43) < 0.2) & (F.abs(F.col("longitude") + 46.47) < 0.2))
+        | ((F.abs(F.col("latitude") + 23.63) < 0.2) & (F.abs(F.col("longitude") + 46.65) < 0.2))
+        | ((F.abs(F.col("latitude") + 23.01) < 0.2) & (F.abs(F.col("longitude") + 47.13) < 0.2)))
+    assert df.count() == exact.count() > 0
