@@ -23,10 +23,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.operators import quality as D
-from aerolake.operators.incremental import new_rows, path_exists, upsert
+from aerolake.operators.incremental import high_water_mark, path_exists, upsert
 from aerolake.plans import dims, layers
 from aerolake.plans.build import build_star
 from aerolake.plans.fact import FACT_COLUMNS, fct_flights
+from aerolake.plans.staging import stg_flights_since
 from aerolake.session import build_session, fresh_path
 from aerolake.sources import ingest as I
 from aerolake.sources import sinks as S
@@ -85,7 +86,7 @@ def build(spark: SparkSession, raw_path: str, root: str) -> DataFrame:
     calendar = layers.materialise(b.calendar, "dim_calendar", "table", root=root)
     fact_path = layers.layer_path(root, "gold", "fct_flights")
     target = spark.read.parquet(fact_path) if path_exists(spark, fact_path) else None
-    fresh = new_rows(b.stg, "inserted_at", target, "ingestion_timestamp")
+    fresh = stg_flights_since(raw, high_water_mark(target))
     upsert(spark, fact_path, fct_flights(fresh, airports, n_airports=dims.N_AIRPORTS), "flight_pk", "flight_date",
            staging=fresh_path(spark, "fct-stage"))
     fct = spark.read.parquet(fact_path).select(*FACT_COLUMNS)

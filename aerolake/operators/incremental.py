@@ -20,23 +20,32 @@ from aerolake.operators.star import MAX_BROADCAST_DIM_ROWS
 from aerolake.session import fresh_path
 
 
+def high_water_mark(target: DataFrame | None, target_col: str = "ingestion_timestamp") -> str | None:
+    """The target's high-water mark as text (one aggregate; a single scalar
+    reaches the driver, as text so no time-zone conversion happens there).
+    ``None`` for no target or an empty one (a first load)."""
+    if target is None:
+        return None
+    return target.agg(F.max(target_col).cast("string").alias("m")).first()["m"]
+
+
+def newer_than(df: DataFrame, ts_col: str, mark: str | None) -> DataFrame:
+    """Rows with ``ts_col`` strictly above ``mark`` (all rows for ``None``)."""
+    if mark is None:
+        return df
+    return df.filter(F.col(ts_col) > F.lit(mark).cast(df.schema[ts_col].dataType))
+
+
 def new_rows(df: DataFrame, ts_col: str, target: DataFrame | None = None,
              target_col: str = "ingestion_timestamp") -> DataFrame:
     """Rows strictly newer than the target's high-water mark.
 
-    The mark is one aggregate over the target (a single scalar reaches the
-    driver, as text so no time-zone conversion happens there) and becomes a
-    literal in the filter.  A scalar subquery would be planned once per
-    reference and, in ``mark IS NULL OR ts > mark``, aggregate the target
-    twice.  No target, or an empty target (NULL mark), is a first load: all
-    rows qualify.
+    The mark becomes a literal in the filter (a scalar subquery would be
+    planned once per reference and, in ``mark IS NULL OR ts > mark``,
+    aggregate the target twice).  No target, or an empty target (NULL mark),
+    is a first load: all rows qualify.
     """
-    if target is None:
-        return df
-    mark = target.agg(F.max(target_col).cast("string").alias("m")).first()["m"]
-    if mark is None:
-        return df
-    return df.filter(F.col(ts_col) > F.lit(mark).cast(df.schema[ts_col].dataType))
+    return newer_than(df, ts_col, high_water_mark(target, target_col))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -8,12 +8,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from aerolake.operators.incremental import new_rows, upsert
+from aerolake.operators.incremental import high_water_mark, upsert
 from aerolake.plans import build, dims, layers, telemetry
 from aerolake.plans.fact import FACT_COLUMNS, fct_flights
 from aerolake.plans.oracle import sql, stg_chain
 from aerolake.plans.registry import register
-from aerolake.plans.staging import stg_flights
+from aerolake.plans.staging import stg_flights, stg_flights_since
 from aerolake.plans.telemetry_vectors import SV_SQL_COLS, state_vectors
 from aerolake.session import fresh_path
 from aerolake.sources import ingest, sinks
@@ -164,7 +164,7 @@ def q_incremental_filter(spark, sf_dir):
     bronze1, bronze_all = _loads(spark, sf_dir)
     airports = dims.dim_airports(spark)
     fct1 = fct_flights(stg_flights(bronze1), airports, n_airports=dims.N_AIRPORTS)
-    return new_rows(stg_flights(bronze_all), "inserted_at", fct1, "ingestion_timestamp")
+    return stg_flights_since(bronze_all, high_water_mark(fct1))
 
 
 @register("incremental_upsert", sql("SELECT * FROM fct", "fct"))
@@ -174,8 +174,7 @@ def q_incremental_upsert(spark, sf_dir):
     path = fresh_path(spark, "fct_flights")
     first = fct_flights(stg_flights(bronze1), airports, n_airports=dims.N_AIRPORTS)
     upsert(spark, path, first, "flight_pk", "flight_date")
-    target = spark.read.parquet(path)
-    fresh = new_rows(stg_flights(bronze_all), "inserted_at", target, "ingestion_timestamp")
+    fresh = stg_flights_since(bronze_all, high_water_mark(spark.read.parquet(path)))
     upsert(spark, path, fct_flights(fresh, airports, n_airports=dims.N_AIRPORTS), "flight_pk", "flight_date")
     return spark.read.parquet(path).select(*FACT_COLUMNS)
 

@@ -85,3 +85,13 @@ def test_upsert_by_date_and_hour_equals_by_date(spark):
     cols = fact.FACT_COLUMNS
     assert _rows(spark.read.parquet(p1).select(*cols)) == _rows(spark.read.parquet(p2).select(*cols)) \
         == _rows(f.select(*cols))
+
+
+@pytest.mark.parametrize("mark", [None, "2024-01-01 00:00:00", "2024-01-09 13:05:00", "2024-01-29 23:00:00",
+                                  "2030-01-01 00:00:00"])
+def test_filter_before_dedup_equals_filter_after(spark, mark):
+    from aerolake.operators.incremental import newer_than
+    raw = telemetry.bronze(spark, SF)
+    after = newer_than(staging.stg_flights(raw), "inserted_at", mark)
+    before = staging.stg_flights_since(raw, mark)
+    assert _rows(after) == _rows(before)
