@@ -71,6 +71,23 @@ def load(spark: SparkSession, parquet_root: str, processing_date: str, raw_path:
     return int(o.get["n"])
 
 
+def _mark_path(root: str) -> str:
+    return layers.layer_path(root, "_state", "fct_flights_high_water_mark")
+
+
+def read_mark(spark: SparkSession, root: str) -> str | None:
+    """The fact's high-water mark kept by the last successful build (a one-row
+    table), so an incremental run does not scan the whole fact for it."""
+    path = _mark_path(root)
+    if not path_exists(spark, path):
+        return None
+    return spark.read.parquet(path).first()["mark"]
+
+
+def write_mark(spark: SparkSession, root: str, mark: str) -> None:
+    spark.createDataFrame([(mark,)], "mark string").coalesce(1).write.mode("overwrite").parquet(_mark_path(root))
+
+
 def _declared_suite():
     from aerolake.plans.q_quality import SUITE
     return SUITE
@@ -85,10 +102,18 @@ def build(spark: SparkSession, raw_path: str, root: str) -> DataFrame:
     airports = layers.materialise(b.airports, "dim_airports", "table", root=root)
     calendar = layers.materialise(b.calendar, "dim_calendar", "table", root=root)
     fact_path = layers.layer_path(root, "gold", "fct_flights")
-    target = spark.read.parquet(fact_path) if path_exists(spark, fact_path) else None
-    fresh = stg_flights_since(raw, high_water_mark(target))
-    upsert(spark, fact_path, fct_flights(fresh, airports, n_airports=dims.N_AIRPORTS), "flight_pk", "flight_date",
-           staging=fresh_path(spark, "fct-stage"))
+    mark = read_mark(spark, root)
+    if mark is None and path_exists(spark, fact_path):
+        mark = high_water_mark(spark.read.parquet(fact_path))          # first run with state: scan once
+    fresh = stg_flights_since(raw, mark)
+    stage = fresh_path(spark, "fct-stage")
+    n = upsert(spark, fact_path, fct_flights(fresh, airports, n_airports=dims.N_AIRPORTS), "flight_pk",
+               "flight_date", staging=stage)["batch_rows"]
+    if n:
+        # the new mark comes from the staged batch (new rows only, all newer than
+        # the old mark), written after the upsert: a failure in between leaves
+        # the older mark, and re-applying rows already upserted is idempotent
+        write_mark(spark, root, high_water_mark(spark.read.parquet(stage + "/batch")))
     fct = spark.read.parquet(fact_path).select(*FACT_COLUMNS)
     models = {"stg_flights": b.stg, "dim_aircrafts": aircrafts, "dim_airports": airports,
               "dim_calendar": calendar, "fct_flights": fct}

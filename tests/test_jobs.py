@@ -28,7 +28,11 @@ def test_two_loads_end_to_end(spark, tmp_dir):
     assert jobs.ingest(spark, day2, pq, "2026-01-30") == {"rows_in": 3, "rows_out": 3}
     assert jobs.load(spark, pq, "2026-01-30", raw, "2026-01-30 10:00:00") == 3
     assert jobs.load(spark, pq, "2026-02-01", raw) == 0                            # nothing landed that day
+    assert jobs.read_mark(spark, root) == "2026-01-29 10:00:00"
     report2 = jobs.build(spark, raw, root).collect()
+    assert jobs.read_mark(spark, root) == "2026-01-30 10:00:00"
+    report3 = jobs.build(spark, raw, root).collect()                           # nothing new: no-op upsert
+    assert jobs.read_mark(spark, root) == "2026-01-30 10:00:00" and len(report3) == 19
 
     fct = spark.read.parquet(f"{root}/gold/fct_flights")
     assert fct.count() == 6
