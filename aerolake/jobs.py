@@ -4,9 +4,9 @@
             processing date (counts reconciled in the same pass)
 ``load``    one Parquet partition -> bronze table (surrogate ids, one insert
             timestamp per load); an empty partition is a no-op
-``build``   bronze -> silver view -> dimension tables (full refresh) -> fact
-            (incremental: rows past the high-water mark, upserted) -> the
-            declared data-quality suite, written as a verdict table
+``build``   new bronze rows -> silver table (upsert) -> dimension tables (full
+            refresh from silver) -> fact (upsert) -> the declared
+            data-quality suite, written as a verdict table
 
 usage: python -m aerolake.jobs ingest <input> <parquet_root> <yyyy-mm-dd>
        python -m aerolake.jobs load <parquet_root> <yyyy-mm-dd> <raw_path> [<insert ts>]
@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 from aerolake.operators import quality as D
 from aerolake.operators.incremental import high_water_mark, path_exists, upsert
 from aerolake.plans import dims, layers
-from aerolake.plans.build import build_star
 from aerolake.plans.fact import FACT_COLUMNS, fct_flights
 from aerolake.plans.staging import stg_flights_since
-from aerolake.session import build_session, fresh_path
+from aerolake.functions.clean import signal_key
+from aerolake.session import build_session, fresh_path, shared_dir
 from aerolake.sources import ingest as I
 from aerolake.sources import sinks as S
 
@@ -93,29 +93,54 @@ def _declared_suite():
     return SUITE
 
 
+SILVER_KEY_COL = "silver_key"
+
+
+def _with_silver_key(stg: DataFrame) -> DataFrame:
+    """A single-column key for (aircraft, second) that is never NULL (an
+    untimed signal keeps one row per aircraft, like PARTITION BY with NULL),
+    plus the date partition."""
+    key = F.coalesce(signal_key("aircraft_id", "position_timestamp"),
+                     F.concat(F.coalesce("aircraft_id", F.lit("")), F.lit("-untimed")))
+    return stg.withColumn(SILVER_KEY_COL, key).withColumn("flight_date", F.to_date("position_timestamp"))
+
+
 def build(spark: SparkSession, raw_path: str, root: str) -> DataFrame:
-    """One model run over the bronze table; returns the DQ verdict table."""
+    """One model run over the bronze table; returns the DQ verdict table.
+
+    Incremental end to end: only bronze rows newer than the kept mark are
+    deduplicated; they are upserted into the silver *table* (newest
+    ``inserted_at`` wins per aircraft and second) and, as fact rows, into the
+    fact.  Dimensions are then rebuilt in full (as published) but from the
+    silver table by plain aggregation, with no dedup shuffle over history.
+    The silver view readers see is the silver table.
+    """
     raw = spark.read.parquet(raw_path)
-    b = build_star(spark, raw, materialize="checkpoint")
-    layers.materialise(b.stg, "stg_flights", "view", layer="silver")
-    aircrafts = layers.materialise(b.aircrafts, "dim_aircrafts", "table", root=root)
-    airports = layers.materialise(b.airports, "dim_airports", "table", root=root)
-    calendar = layers.materialise(b.calendar, "dim_calendar", "table", root=root)
+    silver_path = layers.layer_path(root, "silver", "stg_flights")
     fact_path = layers.layer_path(root, "gold", "fct_flights")
     mark = read_mark(spark, root)
     if mark is None and path_exists(spark, fact_path):
         mark = high_water_mark(spark.read.parquet(fact_path))          # first run with state: scan once
     fresh = stg_flights_since(raw, mark)
+    shared_dir(spark)
+    fresh = fresh.checkpoint(eager=True)                                # new rows only; feeds two upserts
+    upsert(spark, silver_path, _with_silver_key(fresh), SILVER_KEY_COL, "flight_date",
+           order_col="inserted_at", reject_null_keys=False)
+    stg = spark.read.parquet(silver_path).select(*fresh.columns)
+    layers.materialise(stg, "stg_flights", "view", layer="silver")
+    airports = layers.materialise(dims.dim_airports(spark), "dim_airports", "table", root=root)
+    aircrafts = layers.materialise(dims.dim_aircrafts(stg), "dim_aircrafts", "table", root=root)
+    calendar = layers.materialise(dims.dim_calendar(stg), "dim_calendar", "table", root=root)
     stage = fresh_path(spark, "fct-stage")
     n = upsert(spark, fact_path, fct_flights(fresh, airports, n_airports=dims.N_AIRPORTS), "flight_pk",
                "flight_date", staging=stage)["batch_rows"]
     if n:
         # the new mark comes from the staged batch (new rows only, all newer than
-        # the old mark), written after the upsert: a failure in between leaves
+        # the old mark), written after the upserts: a failure in between leaves
         # the older mark, and re-applying rows already upserted is idempotent
         write_mark(spark, root, high_water_mark(spark.read.parquet(stage + "/batch")))
     fct = spark.read.parquet(fact_path).select(*FACT_COLUMNS)
-    models = {"stg_flights": b.stg, "dim_aircrafts": aircrafts, "dim_airports": airports,
+    models = {"stg_flights": stg, "dim_aircrafts": aircrafts, "dim_airports": airports,
               "dim_calendar": calendar, "fct_flights": fct}
     return layers.materialise(D.dq_run(models, _declared_suite()), "dq_report", "table", root=root)
 
