@@ -106,6 +106,15 @@ def _explode_cells(boxes: DataFrame, cell: float) -> DataFrame:
             .withColumn(_P + "cell_lon", F.explode(F.sequence(idx(_P + "lo_lon"), idx(_P + "hi_lon")))))
 
 
+def auto_cell_deg(boxes: DataFrame, margin: float = 0.0, lo: float = 1e-4, hi: float = 10.0) -> float:
+    """Grid cell size from the boxes: their median extent (one aggregate over
+    the box dimension), clamped.  Cells about one box wide keep both the
+    cells per box (~4) and the boxes per cell (local density) small."""
+    ext = F.greatest(F.col("lat_max") - F.col("lat_min"), F.col("lon_max") - F.col("lon_min")) + 2 * margin
+    med = boxes.agg(F.percentile_approx(ext.cast("double"), 0.5).alias("m")).first()["m"]
+    return DEFAULT_CELL_DEG if med is None or med <= 0 else float(min(max(med, lo), hi))
+
+
 def _point_cell(lat: str, lon: str, cell: float) -> list[Column]:
     return [F.floor(F.col(lat) / F.lit(cell)).cast("long").alias(_P + "pcell_lat"),
             F.floor(F.col(lon) / F.lit(cell)).cast("long").alias(_P + "pcell_lon")]
@@ -135,7 +144,7 @@ def _cell_join(points: DataFrame, cells: DataFrame, cond: Column, how: str, lat:
 def geofence_join(points: DataFrame, boxes: DataFrame, margin: float = GEOFENCE_MARGIN_DEG,
                   multi: str = "all", lat: str = "latitude", lon: str = "longitude",
                   keep=("airport_code",), strategy: str = "auto", order_col: str | None = None,
-                  cell_deg: float = DEFAULT_CELL_DEG, n_boxes: int | None = None,
+                  cell_deg: float | None = None, n_boxes: int | None = None,
                   max_broadcast_rows: int = MAX_BROADCAST_ROWS, salt_buckets: int = 32) -> DataFrame:
     """LEFT join of points to boxes: ``lo - margin <= lat <= hi + margin`` on
     both axes.  Unmatched points keep NULL box columns; a point inside two
@@ -144,7 +153,8 @@ def geofence_join(points: DataFrame, boxes: DataFrame, margin: float = GEOFENCE_
 
     ``strategy``: ``"nested_loop"`` (broadcast theta join, few boxes),
     ``"grid"`` (cell equi-join), or ``"auto"`` (decided on the box count).
-    ``n_boxes`` may be passed when the caller knows it (constant dims).
+    ``n_boxes`` may be passed when the caller knows it (constant dims);
+    ``cell_deg=None`` sizes the grid from the boxes.
     """
     keep = list(keep)
     if n_boxes is None:
@@ -166,9 +176,12 @@ def geofence_join(points: DataFrame, boxes: DataFrame, margin: float = GEOFENCE_
 
 def geofence_join_grid(points: DataFrame, boxes: DataFrame, margin: float = GEOFENCE_MARGIN_DEG,
                        lat: str = "latitude", lon: str = "longitude", keep=("airport_code",),
-                       cell_deg: float = DEFAULT_CELL_DEG, max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                       cell_deg: float | None = DEFAULT_CELL_DEG, max_broadcast_rows: int = MAX_BROADCAST_ROWS,
                        salt_buckets: int = 32, rename: bool = True) -> DataFrame:
+    """``cell_deg=None`` sizes the grid from the boxes (``auto_cell_deg``)."""
     keep = list(keep)
+    if cell_deg is None:
+        cell_deg = auto_cell_deg(boxes, margin)
     b = _prepared_boxes(boxes, margin, keep, None)
     cells = _explode_cells(b, cell_deg)
     out = _cell_join(points, cells, _closed_cond(lat, lon), "left", lat, lon, cell_deg,
@@ -185,6 +198,8 @@ def _geofence_first(points, boxes, margin, lat, lon, keep, order_col, cell_deg):
     the point side is a plain many-to-one lookup with no dedup shuffle."""
     if order_col is None:
         order_col = keep[0]
+    if cell_deg is None:
+        cell_deg = auto_cell_deg(boxes, margin)
     b = _prepared_boxes(boxes, margin, keep, order_col)
     cells = _explode_cells(b, cell_deg)
     fields = [_P + "order"] + [_P + k for k in keep] + [_P + x for x in ("lo_lat", "hi_lat", "lo_lon", "hi_lon")]

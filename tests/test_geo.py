@@ -78,3 +78,17 @@ def test_airport_dimension_rows(spark):
     assert sorted(r.airport_code for r in d.collect()) == ["CGH", "GRU", "N/A", "VCP"]
     assert "ExistingRDD" not in d._jdf.queryExecution().executedPlan().toString()
     assert d.filter(F.col("airport_code") == "VCP").first().city == "Campinas"
+
+
+def test_auto_cell_size_same_result(spark):
+    rnd = random.Random(3)
+    boxes = [(f"T{i}", la, la + 0.002, lo, lo + 0.003)
+             for i, (la, lo) in enumerate((rnd.uniform(-1, 1), rnd.uniform(-1, 1)) for _ in range(60))]
+    bdf = spark.createDataFrame(boxes, BOX_DDL)
+    assert 0.002 <= geo.auto_cell_deg(bdf) <= 0.01
+    pts = spark.createDataFrame([(b[1] + 0.001, b[3] + 0.001) for b in boxes] + [(5.0, 5.0)],
+                                "latitude double, longitude double")
+    cols = ["latitude", "longitude", "airport_code"]
+    auto = _bag(geo.geofence_join_grid(pts, bdf, margin=0.0, cell_deg=None), cols)
+    nl = _bag(geo.geofence_join(pts, bdf, margin=0.0, strategy="nested_loop"), cols)
+    assert auto == nl and sum(1 for r in auto if r[2] is not None) >= 60
