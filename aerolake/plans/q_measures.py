@@ -10,9 +10,6 @@ from aerolake.plans.oracle import _q, period_case, sql
 from aerolake.plans.registry import register
 from aerolake.functions.categorise import day_period
 
-R4 = "round({}, 4)"
-
-
 # ----------------------------------------------------------------- A1-A5
 @register("total_signals", sql("SELECT count(flight_pk) AS total_signals FROM fct", "fct"))
 def q_total_signals(spark, sf_dir):
