@@ -75,15 +75,18 @@ def width_violation(row_col: str = "row", width: int = len(STATE_VECTOR_SCHEMA))
     return F.coalesce(F.size(F.col(row_col)) != width, F.lit(True))
 
 
-def check_width(df: DataFrame, width: int = len(STATE_VECTOR_SCHEMA), row_col: str = "row",
+def check_width(df: DataFrame, width=len(STATE_VECTOR_SCHEMA), row_col: str = "row",
                 on_violation: str = "fail"):
-    """Contract on every row (not just the first): each row has ``width`` values.
+    """Contract on every row (not just the first): each row has ``width``
+    values (an int, or the contract schema: its number of fields).
 
     ``fail``: the check is fused into the projection with ``raise_error``, so
     no extra pass is made and a write of the result aborts (its output is
     never committed) when any row breaks the contract.
     ``quarantine``: returns ``(good, bad)`` DataFrames.
     """
+    if not isinstance(width, int):
+        width = len(ordered_schema(width).fields)
     bad = width_violation(row_col, width)
     if on_violation == "fail":
         msg = F.concat(F.lit(f"CONTRACT BROKEN: expected {width} values, got "),

@@ -51,6 +51,8 @@ def test_width_contract_fail_and_quarantine(spark, tmp_dir):
     assert (rep.n_rows, rep.n_bad_width, rep.min_width, rep.max_width) == (3, 2, 16, 18)
     good, bad = ingest.check_width(raw, on_violation="quarantine")
     assert good.count() == 1 and bad.count() == 2
+    good2, _ = ingest.check_width(raw, STATE_VECTOR_SCHEMA, on_violation="quarantine")
+    assert good2.count() == 1
     with pytest.raises(Exception, match="CONTRACT BROKEN"):
         ingest.typed_projection(ingest.check_width(raw)).collect()
 
