@@ -67,10 +67,6 @@ def unwrap_states(df: DataFrame, col: str = "value") -> DataFrame:
 
 
 # ------------------------------------------------------------------ S3 / D8
-class ContractViolation(ValueError):
-    pass
-
-
 def width_violation(row_col: str = "row", width: int = len(STATE_VECTOR_SCHEMA)) -> Column:
     return F.coalesce(F.size(F.col(row_col)) != width, F.lit(True))
 
