@@ -74,3 +74,14 @@ def test_materialise_view_and_table(spark):
     assert layers.materialise(df, "things", "table", root=root).count() == 5
     t2 = layers.materialise(df.limit(2), "things", "table", root=root)
     assert t2.count() == 2 and layers.layer_path(root, " gold ", "x").endswith("/gold/x")
+
+
+def test_source_resolves_declared_names(spark):
+    from aerolake.sources.tables import source
+    path = fresh_path(spark, "raw-flights")
+    spark.range(3).write.parquet(path)
+    df = spark.range(5)
+    assert source(spark, {"raw.flights_raw": path}, "raw", "flights_raw").count() == 3
+    assert source(spark, {"raw.flights_raw": df}, "raw", "flights_raw").count() == 5
+    df.createOrReplaceTempView("flights_raw_view")
+    assert source(spark, {"raw.flights_raw": "flights_raw_view"}, "raw", "flights_raw").count() == 5
