@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from aerolake.operators.dedup import dedup_latest
 from aerolake.operators.star import MAX_BROADCAST_DIM_ROWS
 from aerolake.session import fresh_path
+from aerolake.sources.sinks import cluster_for_partitioned_write
 
 
 def high_water_mark(target: DataFrame | None, target_col: str = "ingestion_timestamp") -> str | None:
@@ -124,7 +125,7 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition
         return {"batch_rows": 0}
     staged = spark.read.parquet(staging + "/batch")
     if not path_exists(spark, path):
-        staged.repartition(*parts).write.partitionBy(*parts).parquet(path)
+        cluster_for_partitioned_write(staged, parts, F.xxhash64(key)).write.partitionBy(*parts).parquet(path)
         return {"batch_rows": n_batch}
     target = spark.read.option("basePath", path).parquet(path)
     conds = [touched_partitions_filter(list(obs.get[f"v{i}"]) + ([None] if obs.get[f"null{i}"] == 1 else []), c)
@@ -135,7 +136,7 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition
         current = target.join(staged.select(*parts).distinct(), parts, "left_semi")
     merged = merge_frames(current, staged.select(*current.columns), key, n_batch, order_col=order_col)
     merged.write.mode("overwrite").parquet(staging + "/merged")
-    (spark.read.parquet(staging + "/merged").repartition(*parts)
+    (cluster_for_partitioned_write(spark.read.parquet(staging + "/merged"), parts, F.xxhash64(key))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts).parquet(path))
     return {"batch_rows": n_batch}

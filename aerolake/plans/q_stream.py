@@ -26,7 +26,7 @@ def _bronze_files(spark, sf_dir):
     """Bronze rows landed as Parquet, one folder per load date."""
     bronze = telemetry.bronze(spark, sf_dir)
     path = fresh_path(spark, "bronze")
-    bronze.repartition("processing_date").write.partitionBy("processing_date").parquet(path)
+    sinks.cluster_for_partitioned_write(bronze, "processing_date").write.partitionBy("processing_date").parquet(path)
     return path, bronze.schema, bronze.columns
 
 

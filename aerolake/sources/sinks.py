@@ -10,13 +10,36 @@ from aerolake.sources.schemas import STATE_VECTOR_FIELDS
 
 
 # ------------------------------------------------------------------ S6
+def cluster_for_partitioned_write(df: DataFrame, by, tie=None, method: str = "range",
+                                  buckets: int | None = None) -> DataFrame:
+    """Spread rows for a partitioned write so one partition value is written
+    by several tasks.
+
+    Hash-partitioning on the partition columns alone would send all rows of
+    one date to one task (a batch usually holds one date: the whole batch in
+    a single writer).  ``range``: range partitioning on (partition columns,
+    row hash) samples the data, splits a large date over as many tasks as its
+    share of the rows and keeps each task's rows contiguous (few files); its
+    sampling pass re-runs the plan, so do not use it under ``observe``.
+    ``hash``: hash partitioning on (partition columns, row hash mod
+    ``buckets``), no extra pass; a date is spread over up to ``buckets``
+    tasks (default: ``spark.sql.shuffle.partitions``)."""
+    by = [by] if isinstance(by, str) else list(by)
+    tie = tie if tie is not None else F.xxhash64(*[F.col(c) for c in df.columns])
+    if method == "range":
+        return df.repartitionByRange(*[F.col(c) for c in by], tie)
+    if buckets is None:
+        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(*[F.col(c) for c in by], F.pmod(tie, F.lit(max(1, buckets))))
+
+
 def write_partitions(df: DataFrame, path: str, by, fmt: str = "parquet", dynamic: bool = True) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic partition
-    overwrite, set on this write only); the other partitions survive.
-    Rows are clustered by the partition columns first so each task writes
-    few files per partition."""
+    overwrite, set on this write only); the other partitions survive.  Rows
+    are spread by hash (no sampling pass, so counts observed upstream with
+    ``observe`` stay exact)."""
     by = [by] if isinstance(by, str) else list(by)
-    w = df.repartition(*[F.col(c) for c in by]).write.mode("overwrite").partitionBy(*by).format(fmt)
+    w = cluster_for_partitioned_write(df, by, method="hash").write.mode("overwrite").partitionBy(*by).format(fmt)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
     w.save(path)
