@@ -71,8 +71,9 @@ def q_contract_width(spark, sf_dir):
 @register("typed_projection", SV_SQL)
 def q_typed_projection(spark, sf_dir):
     rows = ingest.read_state_vectors(spark, _message_lines(spark, sf_dir), layout="lines")
-    return ingest.typed_projection(rows, schema=[(n, t.simpleString()) for n, t in
-                                                 [(f.name, f.dataType) for f in ingest.STATE_VECTOR_SCHEMA]])
+    # the contract given as ordered (name, type) pairs, as a config file would list it
+    pairs = [(f.name, f.dataType.simpleString()) for f in ingest.STATE_VECTOR_SCHEMA]
+    return ingest.typed_projection(rows, schema=pairs)
 
 
 @register("stamp_date", sql("SELECT *, DATE '2024-02-01' AS processing_date FROM telemetry", "telemetry"))
