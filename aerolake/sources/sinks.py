@@ -3,6 +3,8 @@ the bronze defaults and count reconciliation that go with a load."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -61,9 +63,10 @@ class Reconciliation:
     """Counts rows at two points of one plan with ``observe`` (no extra
     ``count()`` jobs); read the numbers after the action that writes."""
 
-    def __init__(self):
-        self.obs_in = Observation("rows_in")
-        self.obs_out = Observation("rows_out")
+    def __init__(self, name: str = "reconcile"):
+        tag = uuid.uuid4().hex[:8]          # observation names must be unique within a plan
+        self.obs_in = Observation(f"{name}_in_{tag}")
+        self.obs_out = Observation(f"{name}_out_{tag}")
 
     def tap_in(self, df: DataFrame) -> DataFrame:
         return df.observe(self.obs_in, F.count(F.lit(1)).alias("n"))

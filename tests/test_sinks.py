@@ -107,3 +107,10 @@ def test_observed_counts_exact_through_partitioned_write(spark):
     df = rec.tap_out(rec.tap_in(spark.range(5000)).select("id", F.lit("2024-01-01").cast("date").alias("d")))
     sinks.write_partitions(df, fresh_path(spark, "obs"), "d")
     assert rec.result() == (5000, 5000)
+
+
+def test_two_reconciliations_in_one_plan(spark):
+    a, b = sinks.Reconciliation(), sinks.Reconciliation()
+    df = b.tap_out(b.tap_in(a.tap_out(a.tap_in(spark.range(10))).filter("id < 4")))
+    df.write.format("noop").mode("overwrite").save()
+    assert a.result() == (10, 10) and b.result() == (4, 4)
