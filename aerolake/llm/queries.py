@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import bpe_codec, token_count
+from aerolake.llm import bpe_codec, token_count, toxicity
 from aerolake.llm.common import prepare, sha256_hex, table
 
 OVER_LIMIT_TOKENS = 4096
@@ -27,6 +27,25 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_tokens") > OVER_LIMIT_TOKENS).alias("over_limit"))
 
 
+def held_out(doc_id: str = "doc_id"):
+    """The fold that no model learns from."""
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
+
+
+def fit_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.ToxicityModel:
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out())
+    return toxicity.fit(docs, labels)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, fit_toxicity(spark, docs, sf_dir))
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return bpe_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -44,6 +63,7 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op3_toxicity": op3_toxicity,
     "op5_bpe_codec": op5_bpe_codec,
 }
 ORACLE: dict[str, str] = {}
