@@ -12,12 +12,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import bpe_codec, token_count, toxicity
+from aerolake.llm import bpe_codec, decontaminate, token_count, toxicity
 from aerolake.llm.common import prepare, sha256_hex, table
 
 OVER_LIMIT_TOKENS = 4096
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    pairs = decontaminate.leaked_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return pairs.select("doc_id", "item_id", "n_item_tokens", "n_matched", "coverage",
+                        F.size("tiles").alias("n_tiles"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -62,6 +69,7 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
     "op5_bpe_codec": op5_bpe_codec,
