@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import bpe_codec, decontaminate, token_count, toxicity
+from aerolake.llm import bpe_codec, decontaminate, minhash, token_count, toxicity
 from aerolake.llm.common import prepare, sha256_hex, table
 
 OVER_LIMIT_TOKENS = 4096
@@ -68,10 +68,16 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
         sha256_hex("ids").alias("ids_sha256"), sha256_hex("decoded").alias("decoded_sha256"))
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
     "op5_bpe_codec": op5_bpe_codec,
+    "op9_minhash": op9_minhash,
 }
 ORACLE: dict[str, str] = {}
