@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import bpe_codec, decontaminate, minhash, token_count, toxicity
+from aerolake.llm import bpe_codec, decontaminate, line_dedup, minhash, token_count, toxicity
 from aerolake.llm.common import prepare, sha256_hex, table
 
 OVER_LIMIT_TOKENS = 4096
@@ -68,6 +68,19 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
         sha256_hex("ids").alias("ids_sha256"), sha256_hex("decoded").alias("decoded_sha256"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = line_dedup.line_decisions(docs)
+    by_doc = lines.groupBy("doc_id").agg(
+        F.count("*").alias("n_lines"), F.sum("n_links").alias("n_links"),
+        F.array_sort(F.collect_list(F.when(~F.col("kept"), F.col("line_no")))).alias("removed"))
+    return docs.select("doc_id").join(by_doc, "doc_id", "left").select(
+        "doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"),
+        F.coalesce("removed", F.array().cast("array<int>")).alias("removed_lines"))
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -78,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
     "op5_bpe_codec": op5_bpe_codec,
+    "op7_line_dedup": op7_line_dedup,
     "op9_minhash": op9_minhash,
 }
 ORACLE: dict[str, str] = {}
