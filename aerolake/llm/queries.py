@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import bpe_codec, decontaminate, line_dedup, minhash, token_count, toxicity
+from aerolake.llm import bpe_codec, decontaminate, html_text, line_dedup, minhash, token_count, toxicity
 from aerolake.llm.common import prepare, sha256_hex, table
 
 OVER_LIMIT_TOKENS = 4096
@@ -81,6 +81,12 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed_lines"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    extracted = html_text.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return extracted.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -92,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op5_bpe_codec": op5_bpe_codec,
     "op7_line_dedup": op7_line_dedup,
+    "op8_html_text": op8_html_text,
     "op9_minhash": op9_minhash,
 }
 ORACLE: dict[str, str] = {}
