@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import bpe_codec, decontaminate, html_text, line_dedup, minhash, token_count, toxicity
+from aerolake.llm import bpe_codec, decontaminate, html_text, line_dedup, minhash, quality, token_count, toxicity
 from aerolake.llm.common import prepare, sha256_hex, table
 
 OVER_LIMIT_TOKENS = 4096
@@ -53,6 +53,13 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    judged = quality.judge(quality.text_statistics(docs))
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "distance")
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return bpe_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -96,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
+    "op4_quality": op4_quality,
     "op5_bpe_codec": op5_bpe_codec,
     "op7_line_dedup": op7_line_dedup,
     "op8_html_text": op8_html_text,
