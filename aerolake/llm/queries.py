@@ -12,8 +12,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import bpe_codec, decontaminate, html_text, line_dedup, minhash, quality, token_count, toxicity
+from aerolake.llm import bpe_codec, decontaminate, html_text, line_dedup, minhash, quality, token_count, toxicity, warc
 from aerolake.llm.common import prepare, sha256_hex, table
+from aerolake.session import fresh_path
 
 OVER_LIMIT_TOKENS = 4096
 
@@ -99,6 +100,19 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    path = fresh_path(spark, "warc")
+    warc.write_warc(warc.plan_records(table(spark, sf_dir, "pages").select("page_id", "url", "html")), path)
+    # what a response says of its payload is taken from the payload itself
+    responses = warc.read_warc(spark, path).where("record_type = 'response'").withColumns(
+        {"payload_digest": F.sha1("payload"), "payload_bytes": F.octet_length("payload").cast("bigint")})
+    revisits = warc.read_warc(spark, path, payload=False).where("record_type = 'revisit'")
+    return responses.drop("payload").unionByName(revisits.drop("payload")).select(
+        warc.page_id_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc.page_id_of("refers_to").alias("refers_to"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
@@ -108,5 +122,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_line_dedup": op7_line_dedup,
     "op8_html_text": op8_html_text,
     "op9_minhash": op9_minhash,
+    "op10_warc": op10_warc,
 }
 ORACLE: dict[str, str] = {}
