@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import bpe_codec, decontaminate, html_text, line_dedup, minhash, quality, token_count, toxicity, warc
+from aerolake.llm import bpe_codec, decontaminate, html_text, line_dedup, minhash, quality, suffix_dedup, token_count, toxicity, warc
 from aerolake.llm.common import prepare, sha256_hex, table
 from aerolake.session import fresh_path
 
@@ -76,6 +76,14 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
         sha256_hex("ids").alias("ids_sha256"), sha256_hex("decoded").alias("decoded_sha256"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep_first=False)
+    return cut.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), sha256_hex("kept").alias("kept_sha256"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -119,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
     "op5_bpe_codec": op5_bpe_codec,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op8_html_text": op8_html_text,
     "op9_minhash": op9_minhash,
