@@ -39,7 +39,7 @@ def ts_text(ts_col) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` of a TIMESTAMP_NTZ without any time-zone
     conversion (``date_format`` would pass through the session zone and
     shift wall-clock times that fall in a DST gap)."""
-    return F.substring(_c(ts_col).cast("timestamp_ntz").cast("string"), 1, 19)
+    return F.substring_index(_c(ts_col).cast("timestamp_ntz").cast("string"), ".", 1)
 
 
 def signal_key(id_col, ts_col) -> Column:
@@ -48,6 +48,12 @@ def signal_key(id_col, ts_col) -> Column:
     return F.concat(_c(id_col), F.lit("-"), ts_text(ts_col))
 
 
+def silver_key(id_col, ts_col) -> Column:
+    """Like ``signal_key`` but never NULL: equal keys mean equal ids and equal
+    seconds, a missing part being equal to a missing part only."""
+    return F.to_json(F.array(_c(id_col), ts_text(ts_col)))
+
+
 def ntz_to_instant(col) -> Column:
     """TIMESTAMP_NTZ read as UTC wall clock -> TIMESTAMP instant, with no
     dependence on the session time zone: the wall-clock fields are rebuilt

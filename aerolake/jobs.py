@@ -1,15 +1,18 @@
 """The three runs of the telemetry workflow, composed from the operators.
 
-``ingest``  batch files -> contract -> typed rows -> Parquet partition of the
-            processing date (counts reconciled in the same pass)
-``load``    one Parquet partition -> bronze table (surrogate ids, one insert
-            timestamp per load); an empty partition is a no-op
-``build``   new bronze rows -> silver table (upsert) -> dimension tables (full
-            refresh from silver) -> fact (upsert) -> the declared
-            data-quality suite, written as a verdict table
-
-usage: python -m aerolake.jobs ingest <input> <parquet_root> <yyyy-mm-dd>
-       python -m aerolake.jobs load <parquet_root> <yyyy-mm-dd> <raw_path> [<insert ts>]
+``ingest``  batch files -> contract -> typed rows -> Parquet under the processing
+            date and the poll's batch id; what is broken aborts the run or is
+            quarantined, and counts in and out must agree
+``load``    one processing date (or one batch of it) -> bronze table, under the
+            load's id (surrogate ids, one insert timestamp per load)
+``build``   new bronze rows -> silver and fact (upserts, rows without a key
+            quarantined) -> dimensions (merged with what is stored) -> the
+            declared data-quality suite, written as a verdict table
+
+Every run may be repeated after a failure: it replaces what it wrote before.
+
+usage: python -m aerolake.jobs ingest <input> <parquet_root> <yyyy-mm-dd> [<batch id>]
+       python -m aerolake.jobs load <parquet_root> <yyyy-mm-dd> <raw_path> [<insert ts>] [<batch id>]
        python -m aerolake.jobs build <raw_path> <warehouse_root>
 """
 
@@ -17,75 +20,114 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import re
 import sys
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerolake import storage
 from aerolake.operators import quality as D
-from aerolake.operators.incremental import high_water_mark, path_exists, upsert
+from aerolake.operators.incremental import high_water_mark, read_partitions, recover, table_schema, upsert
 from aerolake.plans import dims, layers
 from aerolake.plans.fact import FACT_COLUMNS, fct_flights
 from aerolake.plans.staging import stg_flights_since
-from aerolake.functions.clean import signal_key
-from aerolake.session import build_session, fresh_path, shared_dir
+from aerolake.functions.clean import silver_key
+from aerolake.session import build_session, fresh_path
 from aerolake.sources import ingest as I
 from aerolake.sources import sinks as S
+from aerolake.sources.tables import source
+from aerolake.storage import path_exists
 
 
-def ingest(spark: SparkSession, input_path: str, parquet_root: str, processing_date: str,
-           layout: str = "document", on_violation: str = "fail") -> dict:
-    """Batch files -> typed Parquet under ``processing_date=<date>``.
+def _now() -> str:
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
 
-    ``fail`` aborts the write on any row of the wrong width (nothing is
-    committed); ``quarantine`` lands such rows under ``<root>_quarantine``.
-    """
-    rec = S.Reconciliation()
-    rows = rec.tap_in(I.read_state_vectors(spark, input_path, layout=layout))
-    if on_violation == "quarantine":
-        good, bad = I.check_width(rows, on_violation="quarantine")
-        bad.withColumn("processing_date", F.lit(processing_date).cast("date")).write.mode("append") \
-           .partitionBy("processing_date").json(parquet_root.rstrip("/") + "_quarantine")
-    else:
-        good = I.check_width(rows, on_violation="fail")
-    typed = rec.tap_out(I.with_processing_date(I.typed_projection(good), processing_date))
-    S.write_partitions(typed, parquet_root, "processing_date")
-    n_in, n_out = rec.result()
-    return {"rows_in": n_in, "rows_out": n_out}
+
+class ContractBroken(Exception):
+    """An ingest in ``fail`` mode met inputs that break the contract."""
+
+
+def ingest(spark: SparkSession, input_path: str, parquet_root: str, processing_date: str, batch_id: str | None = None,
+           layout: str = "document", on_violation: str = "fail") -> dict:
+    """Batch files -> typed Parquet under ``processing_date=<date>/batch_id=<id>``.
+
+    ``batch_id`` names the poll (default: the time); polls of a day stay side by
+    side and repeating one replaces it.  ``fail`` aborts on any malformed input
+    or row of the wrong width, and nothing is kept; ``quarantine`` lands them
+    under ``<root>_quarantine`` with the reason.  The input is parsed once, into
+    a staged copy from which everything is counted and written; a batch without
+    rows is a no-op."""
+    batch_id = batch_id or _now().replace(" ", "T").replace(":", "")
+    stage = fresh_path(spark, "ingest-stage")
+    I.classified_inputs(spark, input_path, layout).write.parquet(stage)
+    staged = spark.read.parquet(stage)
+    counts = staged.agg(
+        F.count(F.lit(1)).alias("rows_in"), F.count_if(F.col("problem") == I.MALFORMED).alias("malformed"),
+        F.count_if(F.col("problem") == I.BAD_WIDTH).alias("bad_width"),
+        F.coalesce(F.sum(F.when(F.col("problem").isNull(), I.failed_casts())), F.lit(0)).alias("failed_casts")).first().asDict()
+    bad = counts["malformed"] + counts["bad_width"]
+    if bad and on_violation == "fail":
+        storage.delete(spark, stage)
+        raise ContractBroken(f"CONTRACT BROKEN: {counts}")
+    keys = {"processing_date": F.lit(processing_date).cast("date"), "batch_id": F.lit(batch_id)}
+    if bad:
+        S.write_partitions(staged.where("problem is not null").withColumns(keys), parquet_root.rstrip("/") + "_quarantine",
+                           ["processing_date", "batch_id"], fmt="json")
+    counts["rows_out"] = 0
+    if counts["rows_in"] > bad:
+        S.write_partitions(I.typed_projection(staged.where("problem is null")).withColumns(keys), parquet_root,
+                           ["processing_date", "batch_id"])
+        counts["rows_out"] = spark.read.parquet(
+            f"{parquet_root.rstrip('/')}/processing_date={processing_date}/batch_id={batch_id}").count()
+    if counts["rows_in"] != counts["rows_out"] + bad:
+        raise ContractBroken(f"counts do not agree: {counts}")
+    storage.delete(spark, stage)
+    return counts
+
+
+def _state(root: str, name: str) -> str:
+    return layers.layer_path(root, "_state", name)
+
+
+def _read_state(spark: SparkSession, path: str):
+    """A one-row table's ``value``, or None."""
+    storage.recover_table(spark, path)
+    return spark.read.parquet(path).first()["value"] if path_exists(spark, path) else None
+
+
+def _write_state(spark: SparkSession, path: str, value) -> None:
+    storage.replace_table(spark.createDataFrame([(value,)], f"value {'string' if isinstance(value, str) else 'bigint'}").coalesce(1), path)
 
 
 def load(spark: SparkSession, parquet_root: str, processing_date: str, raw_path: str,
-         inserted_at: str | None = None) -> int:
-    """Append one processing date to the bronze table; returns rows loaded."""
-    part = I.scan_partition(spark, parquet_root, "processing_date", F.lit(processing_date).cast("date"))
+         inserted_at: str | None = None, batch_id: str | None = None) -> int:
+    """One processing date (or one batch of it) into the bronze table, under
+    ``load_id``; returns rows loaded.
+
+    Loading the same again replaces it.  The first surrogate id of a load is
+    kept in a state table beside bronze, so bronze is never scanned for it."""
+    folder = f"{parquet_root.rstrip('/')}/processing_date={processing_date}" + (f"/batch_id={batch_id}" if batch_id else "")
+    if not path_exists(spark, folder):
+        return 0
+    part = spark.read.option("basePath", parquet_root).parquet(folder).drop("batch_id")
     if part.isEmpty():
         return 0
-    offset = 0
-    if path_exists(spark, raw_path):
-        top = spark.read.parquet(raw_path).agg(F.max("id_surrogate")).first()[0]
-        offset = 0 if top is None else int(top) + 1
-    ts = inserted_at or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
-    o = Observation("load")
-    (S.with_bronze_columns(part, ts, id_offset=offset).observe(o, F.count(F.lit(1)).alias("n"))
-     .write.mode("append").partitionBy("processing_date").parquet(raw_path))
-    return int(o.get["n"])
-
-
-def _mark_path(root: str) -> str:
-    return layers.layer_path(root, "_state", "fct_flights_high_water_mark")
+    load_id = processing_date + (f"_{batch_id}" if batch_id else "")
+    state = f"{raw_path.rstrip('/')}_state/next_surrogate_id"
+    offset = _read_state(spark, state) or 0
+    rows = S.with_bronze_columns(part, inserted_at or _now(), id_offset=offset).withColumn("load_id", F.lit(load_id))
+    S.write_partitions(rows, raw_path, ["processing_date", "load_id"])
+    written = spark.read.parquet(f"{raw_path.rstrip('/')}/processing_date={processing_date}/load_id={load_id}")
+    n, top = written.agg(F.count(F.lit(1)), F.max("id_surrogate")).first()
+    _write_state(spark, state, int(top) + 1)
+    return int(n)
 
 
 def read_mark(spark: SparkSession, root: str) -> str | None:
-    """The fact's high-water mark kept by the last successful build (a one-row
-    table), so an incremental run does not scan the whole fact for it."""
-    path = _mark_path(root)
-    if not path_exists(spark, path):
-        return None
-    return spark.read.parquet(path).first()["mark"]
-
-
-def write_mark(spark: SparkSession, root: str, mark: str) -> None:
-    spark.createDataFrame([(mark,)], "mark string").coalesce(1).write.mode("overwrite").parquet(_mark_path(root))
+    """The high-water mark kept by the last successful build (a one-row table),
+    so an incremental run does not scan the whole fact for it."""
+    return _read_state(spark, _state(root, "fct_flights_high_water_mark"))
 
 
 def _declared_suite():
@@ -94,55 +136,66 @@ def _declared_suite():
 
 
 SILVER_KEY_COL = "silver_key"
+VERSION = ["inserted_at", "id_surrogate"]       # newest insert wins, then the greatest id
 
 
 def _with_silver_key(stg: DataFrame) -> DataFrame:
-    """A single-column key for (aircraft, second) that is never NULL (an
-    untimed signal keeps one row per aircraft, like PARTITION BY with NULL),
-    plus the date partition."""
-    key = F.coalesce(signal_key("aircraft_id", "position_timestamp"),
-                     F.concat(F.coalesce("aircraft_id", F.lit("")), F.lit("-untimed")))
-    return stg.withColumn(SILVER_KEY_COL, key).withColumn("flight_date", F.to_date("position_timestamp"))
+    """A single-column key for (aircraft, second) that is never NULL: a missing
+    part has a mark of its own, so that it equals only another missing one."""
+    return stg.withColumn(SILVER_KEY_COL, silver_key("aircraft_id", "position_timestamp")).withColumn(
+        "flight_date", F.to_date("position_timestamp"))
 
 
-def build(spark: SparkSession, raw_path: str, root: str) -> DataFrame:
+def build(spark: SparkSession, raw_path: str, root: str, full_checks: bool = False) -> DataFrame:
     """One model run over the bronze table; returns the DQ verdict table.
 
-    Incremental end to end: only bronze rows newer than the kept mark are
-    deduplicated; they are upserted into the silver *table* (newest
-    ``inserted_at`` wins per aircraft and second) and, as fact rows, into the
-    fact.  Dimensions are then rebuilt in full (as published) but from the
-    silver table by plain aggregation, with no dedup shuffle over history.
-    The silver view readers see is the silver table.
+    Only bronze rows newer than the kept mark are deduplicated; they are upserted
+    into the silver table and, as fact rows, into the fact.  Fact rows without a
+    key (no id or no time) go to ``fct_flights_rejected`` and show in the not_null
+    check.  Dimensions are merged from their stored rows and the new ones.  The
+    checks read the partitions that this run touched (a key names its second, so
+    no duplicate can lie elsewhere); ``full_checks`` reads everything.
     """
-    raw = spark.read.parquet(raw_path)
+    raw = source(spark, {"raw.flights_raw": raw_path}, "raw", "flights_raw")
     silver_path = layers.layer_path(root, "silver", "stg_flights")
     fact_path = layers.layer_path(root, "gold", "fct_flights")
+    for path in (silver_path, fact_path):
+        recover(spark, path)
     mark = read_mark(spark, root)
-    if mark is None and path_exists(spark, fact_path):
-        mark = high_water_mark(spark.read.parquet(fact_path))          # first run with state: scan once
-    fresh = stg_flights_since(raw, mark)
-    shared_dir(spark)
-    fresh = fresh.checkpoint(eager=True)                                # new rows only; feeds two upserts
-    upsert(spark, silver_path, _with_silver_key(fresh), SILVER_KEY_COL, "flight_date",
-           order_col="inserted_at", reject_null_keys=False)
-    stg = spark.read.parquet(silver_path).select(*fresh.columns)
-    layers.materialise(stg, "stg_flights", "view", layer="silver")
+    stage = fresh_path(spark, "build-fresh")
+    fresh = storage.replace_table(stg_flights_since(raw, mark), f"{stage}/stg_flights")    # new rows only; read by all below
+    new_mark = high_water_mark(fresh, "inserted_at")
+    run_id = re.sub(r"\D", "", new_mark or "none")          # a folder name of the same run, if repeated
+    silver = upsert(spark, silver_path, _with_silver_key(fresh), SILVER_KEY_COL, "flight_date", order_by=VERSION)
+
     airports = layers.materialise(dims.dim_airports(spark), "dim_airports", "table", root=root)
-    aircrafts = layers.materialise(dims.dim_aircrafts(stg), "dim_aircrafts", "table", root=root)
-    calendar = layers.materialise(dims.dim_calendar(stg), "dim_calendar", "table", root=root)
-    stage = fresh_path(spark, "fct-stage")
-    n = upsert(spark, fact_path, fct_flights(fresh, airports, n_airports=dims.N_AIRPORTS), "flight_pk",
-               "flight_date", staging=stage)["batch_rows"]
-    if n:
-        # the new mark comes from the staged batch (new rows only, all newer than
-        # the old mark), written after the upserts: a failure in between leaves
-        # the older mark, and re-applying rows already upserted is idempotent
-        write_mark(spark, root, high_water_mark(spark.read.parquet(stage + "/batch")))
-    fct = spark.read.parquet(fact_path).select(*FACT_COLUMNS)
-    models = {"stg_flights": stg, "dim_aircrafts": aircrafts, "dim_airports": airports,
-              "dim_calendar": calendar, "fct_flights": fct}
-    return layers.materialise(D.dq_run(models, _declared_suite()), "dq_report", "table", root=root)
+    stored = lambda name: layers.stored_layer(spark, root, "gold", name)
+    aircrafts = layers.materialise(dims.merge_aircrafts(stored("dim_aircrafts"), fresh), "dim_aircrafts", "table", root=root)
+    calendar = layers.materialise(dims.merge_calendar(stored("dim_calendar"), fresh), "dim_calendar", "table", root=root)
+
+    rows = fct_flights(fresh, airports, n_airports=dims.N_AIRPORTS, keep=["id_surrogate"])
+    fact = upsert(spark, fact_path, rows, "flight_pk", "flight_date", order_by=["ingestion_timestamp", "id_surrogate"],
+                  on_null_key="quarantine", run_id=run_id)
+    if new_mark is not None:
+        # written last: a failure before it leaves the older mark, and applying
+        # the same rows again changes nothing
+        _write_state(spark, _state(root, "fct_flights_high_water_mark"), new_mark)
+
+    def checked(path: str, frame: DataFrame, touched: list[str]) -> DataFrame:
+        schema = table_schema(spark, path) or frame.schema
+        if full_checks and path_exists(spark, path):
+            return spark.read.schema(schema).parquet(path)
+        return read_partitions(spark, path, touched, schema)
+
+    fct = checked(fact_path, rows, fact["touched"])
+    if fact["rejected_rows"]:
+        bad = spark.read.schema(rows.schema).parquet(f"{fact_path}_rejected/run_id={run_id}")
+        fct = fct.select(*rows.columns).unionByName(bad)
+    models = {"stg_flights": checked(silver_path, _with_silver_key(fresh), silver["touched"]), "dim_aircrafts": aircrafts,
+              "dim_airports": airports, "dim_calendar": calendar, "fct_flights": fct.select(*FACT_COLUMNS)}
+    report = layers.materialise(D.dq_run(models, _declared_suite()), "dq_report", "table", root=root)
+    storage.delete(spark, stage)
+    return report
 
 
 def main(argv: list[str]) -> None:

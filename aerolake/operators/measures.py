@@ -58,31 +58,35 @@ def high_water(df: DataFrame, col: str = "ingestion_timestamp") -> DataFrame:
     return df.agg(F.max(col).alias("high_water_mark"))
 
 
-def high_water_value(df: DataFrame, col: str = "ingestion_timestamp"):
-    """The scalar mark (one aggregate row to the driver); None when empty."""
-    row = high_water(df, col).first()
-    return None if row is None else row[0]
+DEFAULT_MEASURES = ("total_signals", "active_aircraft", "avg_speed")
 
 
-DEFAULT_MEASURES = ("total_signals", "active_aircraft", "avg_speed")
+def _reduced(df: DataFrame, levels) -> DataFrame:
+    """One row per finest level and aircraft: what the measures need of the
+    signals, so that the Expand of a roll-up multiplies these rows only."""
+    keys = list(dict.fromkeys([*levels, "aircraft_id"]))
+    return df.groupBy(*keys).agg(F.count("flight_pk").alias("__n"), F.sum("speed_kmh").alias("__speed"),
+                                 F.count("speed_kmh").alias("__n_speed"))
 
 
 def _measure_cols(measures, approx: bool) -> list[Column]:
-    table = {"total_signals": total_signals_col, "active_aircraft": lambda: active_aircraft_col(approx),
-             "avg_speed": avg_speed_col}
-    return [table[m]() for m in measures]
+    """The measures over ``_reduced`` rows."""
+    table = {"total_signals": F.sum("__n").alias("total_signals"), "active_aircraft": active_aircraft_col(approx),
+             "avg_speed": F.round(F.sum("__speed") / F.sum("__n_speed"), 4).alias("avg_speed")}
+    return [table[m] for m in measures]
 
 
 def rollup_hierarchy(df: DataFrame, levels, measures=DEFAULT_MEASURES, approx: bool = False) -> DataFrame:
     """Drill path totals: one row per prefix of ``levels`` (ROLLUP) with
     ``grouping_level`` = grouping_id() (bit set = level rolled up)."""
     levels = list(levels)
-    return df.rollup(*levels).agg(*_measure_cols(measures, approx), F.grouping_id().alias("grouping_level"))
+    return _reduced(df, levels).rollup(*levels).agg(*_measure_cols(measures, approx),
+                                                    F.grouping_id().alias("grouping_level"))
 
 
 def grouping_sets_hierarchy(df: DataFrame, sets, columns, measures=DEFAULT_MEASURES,
                             approx: bool = False) -> DataFrame:
     """Branching drill paths (e.g. behaviour -> altitude tier | speed tier)."""
     sets = [[F.col(c) for c in s] for s in sets]
-    return df.groupingSets(sets, *columns).agg(*_measure_cols(measures, approx),
-                                               F.grouping_id().alias("grouping_level"))
+    return _reduced(df, columns).groupingSets(sets, *columns).agg(*_measure_cols(measures, approx),
+                                                                  F.grouping_id().alias("grouping_level"))

@@ -17,7 +17,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.operators.star import MAX_BROADCAST_DIM_ROWS
 
 
 def _cols(cols) -> list[str]:
@@ -68,30 +67,24 @@ def dq_accepted_range(df: DataFrame, col: str, lo=None, hi=None, inclusive: bool
     return df.filter(accepted_range_violation(col, lo, hi, inclusive))
 
 
-def _anti(child: DataFrame, col: str, parent: DataFrame, pcol: str,
-          n_parent: int | None, max_broadcast_rows: int) -> DataFrame:
-    """Anti join on ``col``.  A parent with a known small bound is broadcast;
-    otherwise no hint: Catalyst/AQE broadcast it only when its measured size
-    is under the threshold, else both sides shuffle and AQE splits skewed
-    child partitions (left-anti joins are eligible)."""
+def _anti(child: DataFrame, col: str, parent: DataFrame, pcol: str) -> DataFrame:
+    """Anti join on ``col`` without a hint: adaptive execution broadcasts the
+    parent only when its measured size is under the threshold, else both sides
+    shuffle and skewed child partitions are split."""
     keys = parent.select(F.col(pcol).alias(col)).filter(F.col(col).isNotNull())
-    if n_parent is not None and n_parent <= max_broadcast_rows:
-        keys = F.broadcast(keys)
     return child.filter(F.col(col).isNotNull()).join(keys, col, "left_anti")
 
 
-def orphans(child: DataFrame, col: str, parent: DataFrame, pcol: str, n_parent: int | None = None,
-            max_broadcast_rows: int = MAX_BROADCAST_DIM_ROWS) -> DataFrame:
+def orphans(child: DataFrame, col: str, parent: DataFrame, pcol: str) -> DataFrame:
     """Child rows whose non-NULL key has no parent (anti join)."""
-    return _anti(child, col, parent, pcol, n_parent, max_broadcast_rows)
+    return _anti(child, col, parent, pcol)
 
 
-def dq_relationships(child: DataFrame, col: str, parent: DataFrame, pcol: str,
-                     n_parent: int | None = None, max_broadcast_rows: int = MAX_BROADCAST_DIM_ROWS) -> DataFrame:
+def dq_relationships(child: DataFrame, col: str, parent: DataFrame, pcol: str) -> DataFrame:
     """Orphan keys with their child row count: child keys are aggregated
     first (map-side), so the anti join sees one row per distinct key."""
     keys = child.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n_rows"))
-    return _anti(keys, col, parent, pcol, n_parent, max_broadcast_rows)
+    return _anti(keys, col, parent, pcol)
 
 
 # ------------------------------------------------------------------ D6 suite

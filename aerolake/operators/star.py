@@ -1,12 +1,10 @@
 """Star lookups and slicing.
 
-Dimension joins are many-to-one LEFT joins.  A dimension is broadcast only
-behind a row-count check (airports are a constant; the calendar is bounded
-by the date range; aircraft are bounded by the 24-bit address space but can
-reach millions, so they are left to AQE's runtime size check).  Above the
-limit the join shuffles on the key with a salt on the fact side and the
-dimension replicated per salt, so one hot key (an aircraft or airport with a
-third of the rows) spreads over many tasks.
+Dimension joins are many-to-one LEFT joins without hints: adaptive execution
+measures a dimension's bytes at run time, broadcasts it only below its
+threshold, and otherwise keeps a sort-merge join whose skewed partitions (an
+aircraft or airport with a third of the rows) it splits.  The airports are an
+inline constant, whose size the planner knows.
 """
 
 from __future__ import annotations
@@ -16,51 +14,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_DIM_ROWS = 1_000_000
-SALT_BUCKETS = 32
 
-
-def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left",
-                n_rows: int | None = None, max_broadcast_rows: int = MAX_BROADCAST_DIM_ROWS,
-                salt_buckets: int = SALT_BUCKETS) -> DataFrame:
-    """Many-to-one join of ``fact`` to ``dim`` on ``key`` (same name on both).
-
-    ``n_rows`` is a *known bound* on the dimension (a constant, a calendar):
-    under the limit the dimension is broadcast; over it the join shuffles
-    with a salted fact side and a replicated dimension.  ``None`` (a derived
-    dimension such as aircraft): no hint and no counting job; the dimension
-    is the output of an aggregate, so AQE knows its exact size before the
-    join runs and broadcasts it only below
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold``, otherwise it keeps a
-    sort-merge join whose skewed partitions it splits.
-    """
-    if n_rows is None:
-        return fact.join(dim, key, how)
-    if n_rows <= max_broadcast_rows:
-        return fact.join(F.broadcast(dim), key, how)
-    salt = "__salt"
-    f = fact.withColumn(salt, F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salt_buckets)))
-    d = dim.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))))
-    return f.join(d, [key, salt], how).drop(salt)
-
-
-# Days in a century: a proven bound on calendar-dimension rows.
-CALENDAR_MAX_ROWS = 36_525
+def lookup_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Many-to-one join of ``fact`` to ``dim`` on ``key`` (same name on both)."""
+    return fact.join(dim, key, how)
 
 
 def star(fact: DataFrame, aircrafts: DataFrame | None = None, airports: DataFrame | None = None,
-         calendar: DataFrame | None = None, n_airports: int | None = None) -> DataFrame:
-    """Fact joined to its dimensions; dimension attributes appended."""
+         calendar: DataFrame | None = None) -> DataFrame:
+    """Fact joined to the given dimensions; dimension attributes appended."""
     out = fact
     if aircrafts is not None:
         out = lookup_join(out, aircrafts, "aircraft_id")
     if airports is not None:
-        a = airports.select("airport_code", "region", "state", "city", "airport_name")
-        out = lookup_join(out, a, "airport_code", n_rows=n_airports)
+        out = lookup_join(out, airports.select("airport_code", "region", "state", "city", "airport_name"), "airport_code")
     if calendar is not None:
-        c = calendar.select("flight_date", "year_num", "quarter_name", "month_num", "week_of_year",
-                            "day_num", "day_of_week_num")
-        out = lookup_join(out, c, "flight_date", n_rows=CALENDAR_MAX_ROWS)
+        out = lookup_join(out, calendar.select("flight_date", "year_num", "quarter_name", "month_num", "week_of_year",
+                                               "day_num", "day_of_week_num"), "flight_date")
     return out
 
 

@@ -2,23 +2,22 @@
 
 Plain functions over DataFrames; the lazy plan carries the order.  Silver
 feeds three models (fact, aircraft, calendar) whose plans differ after
-pruning, so Spark cannot reuse the dedup shuffle between them: left alone,
-bronze would be scanned and deduplicated three times.  ``build_star``
-therefore materialises silver once (``"checkpoint"``: a reliable checkpoint
-in the shared folder, which also cuts the lineage so a lost executor does
-not replay the dedup) or caches it for a single build (``"persist"``).
+pruning, so Spark cannot reuse the dedup shuffle between them.
+``build_star`` therefore writes silver once as Parquet in the shared folder:
+the lineage is cut, and each model reads only the columns it needs with its
+filters pushed down.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from aerolake.operators.star import star
 from aerolake.plans import dims, fact, staging, telemetry
-from aerolake.session import shared_dir
+from aerolake.session import fresh_path
+from aerolake.storage import replace_table
 
 
 @dataclass
@@ -29,18 +28,17 @@ class StarBuild:
     calendar: DataFrame
     fct: DataFrame
 
-    def star(self) -> DataFrame:
-        return star(self.fct, self.aircrafts, self.airports, self.calendar, n_airports=dims.N_AIRPORTS)
+    def star(self, *dimensions: str) -> DataFrame:
+        """The fact joined to the named dimensions (aircrafts, airports,
+        calendar; all without names)."""
+        names = dimensions or ("aircrafts", "airports", "calendar")
+        return star(self.fct, **{n: getattr(self, n) for n in names})
 
 
-def build_star(spark: SparkSession, raw: DataFrame, since=None, persist: bool = False,
-               materialize: str | None = "checkpoint") -> StarBuild:
+def build_star(spark: SparkSession, raw: DataFrame, since=None, materialize: bool = True) -> StarBuild:
     stg = staging.stg_flights(raw)
-    if persist or materialize == "persist":
-        stg = stg.persist(StorageLevel.MEMORY_AND_DISK)
-    elif materialize == "checkpoint":
-        shared_dir(spark)
-        stg = stg.checkpoint(eager=True)
+    if materialize:
+        stg = replace_table(stg, f"{fresh_path(spark, 'silver')}/stg_flights")
     airports = dims.dim_airports(spark)
     return StarBuild(
         stg=stg,
@@ -59,5 +57,5 @@ def gold_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact.fct_flights(silver(spark, sf_dir), dims.dim_airports(spark), n_airports=dims.N_AIRPORTS)
 
 
-def gold_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_star(spark, telemetry.bronze(spark, sf_dir)).star()
+def gold_star(spark: SparkSession, sf_dir: str, *dimensions: str) -> DataFrame:
+    return build_star(spark, telemetry.bronze(spark, sf_dir)).star(*dimensions)

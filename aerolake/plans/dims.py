@@ -78,3 +78,15 @@ def dim_calendar(df: DataFrame, ts_col: str = "position_timestamp") -> DataFrame
     at most (dates x map partitions) rows however many signals there are.
     """
     return df.select(*calendar_parts(F.col(ts_col))).distinct()
+
+
+def merge_aircrafts(stored: DataFrame | None, fresh: DataFrame) -> DataFrame:
+    """``dim_aircrafts`` over stored rows and new signals: the greatest name of
+    both is the greatest of all signals."""
+    rows = fresh.select("aircraft_id", "origin_country")
+    return dim_aircrafts(rows if stored is None else rows.unionByName(stored.select("aircraft_id", "origin_country")))
+
+
+def merge_calendar(stored: DataFrame | None, fresh: DataFrame) -> DataFrame:
+    days = dim_calendar(fresh)
+    return days if stored is None else days.unionByName(stored).distinct()

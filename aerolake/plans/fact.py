@@ -17,17 +17,18 @@ FACT_COLUMNS = ["flight_pk", "aircraft_id", "flight_date", "airport_code", "lati
 
 def fct_flights(stg: DataFrame, airports: DataFrame, since=None, margin: float = K.GEOFENCE_MARGIN_DEG,
                 strategy: str = "auto", multi: str = "all", n_airports: int | None = None,
-                drop_untimed: bool = False, thresholds: dict | None = None) -> DataFrame:
+                drop_untimed: bool = False, thresholds: dict | None = None, keep=()) -> DataFrame:
     """Fact rows from silver.
 
     ``since``: high-water mark; only rows with ``inserted_at > since`` are
     built (incremental run).  ``None`` = first/full build.
     Tiers and behaviour read the *raw* metrics (NULL falls through the CASE),
-    the stored metrics are NULL -> 0, as published.
+    the stored metrics are NULL -> 0, as published.  ``keep``: silver columns
+    to carry along (an upsert orders versions by them).
     """
     th = thresholds or {}
     s = stg.select("aircraft_id", "position_timestamp", "latitude", "longitude", "speed_kmh",
-                   "altitude_baro", "vertical_rate", "on_ground", "inserted_at")
+                   "altitude_baro", "vertical_rate", "on_ground", "inserted_at", *keep)
     if since is not None:
         s = s.filter(F.col("inserted_at") > F.lit(since))
     if drop_untimed:
@@ -52,5 +53,5 @@ def fct_flights(stg: DataFrame, airports: DataFrame, since=None, margin: float =
         altitude_tier("on_ground", "altitude_baro").alias("altitude_tier"),
         speed_tier("on_ground", "speed_kmh").alias("speed_tier"),
         F.col("inserted_at").alias("ingestion_timestamp"),
-        F.hour("position_timestamp").alias("hour_24"),
+        F.hour("position_timestamp").alias("hour_24"), *keep,
     )

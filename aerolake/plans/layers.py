@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from aerolake.storage import path_exists, recover_table, replace_table
+
 LAYERS = ("raw", "silver", "gold")
 
 
@@ -20,8 +22,9 @@ def layer_path(root: str, layer: str, name: str) -> str:
 def materialise(df: DataFrame, name: str, kind: str = "table", root: str | None = None,
                 layer: str = "gold", partition_by=None) -> DataFrame:
     """``view``: temp view ``<layer>_<name>`` (nothing is computed).
-    ``table``: overwrite the Parquet table at ``layer_path`` and return a
-    DataFrame reading it back (a lineage cut that survives executor loss)."""
+    ``table``: replace the Parquet table at ``layer_path`` (written aside, then
+    swapped) and return a DataFrame reading it back (a lineage cut that survives
+    executor loss)."""
     spark = df.sparkSession
     if kind == "view":
         view = f"{layer}_{name}"
@@ -31,13 +34,12 @@ def materialise(df: DataFrame, name: str, kind: str = "table", root: str | None
         raise ValueError(kind)
     if root is None:
         raise ValueError("a table needs a root folder on shared storage")
-    path = layer_path(root, layer, name)
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-    w.parquet(path)
-    return spark.read.parquet(path)
+    by = [] if not partition_by else [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    return replace_table(df, layer_path(root, layer, name), by)
 
 
-def read_layer(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    return spark.read.parquet(layer_path(root, layer, name))
+def stored_layer(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame | None:
+    """The table of a model, None before its first build."""
+    path = layer_path(root, layer, name)
+    recover_table(spark, path)
+    return spark.read.parquet(path) if path_exists(spark, path) else None

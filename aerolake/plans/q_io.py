@@ -9,9 +9,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from aerolake.operators.incremental import high_water_mark, upsert
+from aerolake import jobs
 from aerolake.plans import build, dims, layers, telemetry
 from aerolake.plans.fact import FACT_COLUMNS, fct_flights
 from aerolake.plans.oracle import sql, stg_chain
+from aerolake.plans.q_stream import broken_message_files
 from aerolake.plans.registry import register
 from aerolake.plans.staging import stg_flights, stg_flights_since
 from aerolake.plans.telemetry_vectors import SV_SQL_COLS, state_vectors
@@ -62,10 +64,18 @@ def q_unwrap_states(spark, sf_dir):
     return ingest.typed_projection(rows, keep=["poll_time"])
 
 
-@register("contract_width", SV_SQL)
+@register("contract_width", sql(
+    "SELECT problem, count(*) AS n, true AS reconciled FROM (SELECT CASE WHEN event_id % 41 = 0 THEN 'malformed' "
+    "WHEN event_id % 31 = 0 THEN 'width' ELSE 'good' END AS problem FROM telemetry) GROUP BY 1", "telemetry"))
 def q_contract_width(spark, sf_dir):
-    rows = ingest.read_state_vectors(spark, _documents(spark, sf_dir))
-    return ingest.typed_projection(ingest.check_width(rows, on_violation="fail"))
+    """An ingest run in quarantine mode over messages of which some are cut off
+    and some one value short: what it landed and what it set aside."""
+    src, root = broken_message_files(spark, sf_dir), fresh_path(spark, "ingested")
+    counts = jobs.ingest(spark, src, root, "2024-02-01", "poll-1", layout="lines", on_violation="quarantine")
+    bad = spark.read.json(f"{root}_quarantine").groupBy("problem").agg(F.count("*").alias("n"))
+    good = spark.read.parquet(root).agg(F.lit("good").alias("problem"), F.count("*").alias("n"))
+    agreed = counts["rows_in"] == counts["rows_out"] + counts["malformed"] + counts["bad_width"]
+    return good.union(bad).withColumn("reconciled", F.lit(agreed))
 
 
 @register("typed_projection", SV_SQL)
@@ -111,13 +121,34 @@ def q_scan_partition(spark, sf_dir):
     path = fresh_path(spark, "orders-by-month")
     orders = _orders_by_month(spark, sf_dir)
     sinks.write_partitions(orders, path, "order_month")
-    return ingest.scan_partition(spark, path, "order_month", F.lit(REWRITE_MONTH).cast("date")).select(*orders.columns)
+    return ingest.scan_partition(spark, path, "order_month", REWRITE_MONTH).select(*orders.columns)
+
+
+@register("poll_batches", sql(
+    "SELECT o_orderkey, o_orderpriority, DATE '2024-02-01' AS processing_date, CASE WHEN o_orderkey % 3 = 0 THEN 'p1' ELSE 'p2' END AS batch_id "
+    "FROM orders WHERE o_orderkey % 3 = 0 OR o_orderpriority = '1-URGENT'"))
+def q_poll_batches(spark, sf_dir):
+    """Two polls of one date stay side by side; the second, run again with fewer
+    rows, replaces itself only."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority").withColumn(
+        "processing_date", F.lit("2024-02-01").cast("date"))
+    path = fresh_path(spark, "polls")
+    by = ["processing_date", "batch_id"]
+    second = orders.where("o_orderkey % 3 <> 0").withColumn("batch_id", F.lit("p2"))
+    sinks.write_partitions(orders.where("o_orderkey % 3 = 0").withColumn("batch_id", F.lit("p1")), path, by)
+    sinks.write_partitions(second, path, by)
+    sinks.write_partitions(second.where("o_orderpriority = '1-URGENT'"), path, by)
+    return spark.read.parquet(path).select("o_orderkey", "o_orderpriority", *by)
 
 
 # ------------------------------------------------------------------ S9-S12
-@register("bronze_defaults")
+@register("bronze_defaults", sql(
+    "SELECT count(*) AS n_rows, count(*) AS n_ids, true AS above_offset, 1::BIGINT AS n_insert_times FROM telemetry", "telemetry"))
 def q_bronze_defaults(spark, sf_dir):
-    return sinks.with_bronze_columns(_vectors(spark, sf_dir), "2024-02-01 00:00:00", id_offset=1_000_000)
+    out = sinks.with_bronze_columns(_vectors(spark, sf_dir), "2024-02-01 00:00:00", id_offset=1_000_000)
+    return out.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id_surrogate").alias("n_ids"),
+                   (F.min("id_surrogate") >= 1_000_000).alias("above_offset"),
+                   F.count_distinct("inserted_at").alias("n_insert_times"))
 
 
 @register("reconcile_counts", sql(
@@ -180,6 +211,50 @@ def q_incremental_upsert(spark, sf_dir):
     return spark.read.parquet(path).select(*FACT_COLUMNS)
 
 
+_MONTH_OR_NULL = "CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(date_trunc('month', o_orderdate) AS DATE) END"
+
+
+@register("upsert_null_partition", sql(f"SELECT o_orderkey, o_orderstatus, {_MONTH_OR_NULL} AS order_month FROM orders"))
+def q_upsert_null_partition(spark, sf_dir):
+    """Three batches that all touch the NULL partition: nothing stored there goes."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.when(
+        F.expr("o_orderkey % 7 <> 0"), F.trunc("o_orderdate", "month")).alias("order_month"))
+    path = fresh_path(spark, "upsert-null")
+    for part in range(3):
+        upsert(spark, path, orders.where(f"o_orderkey % 3 = {part}"), "o_orderkey", "order_month")
+    return spark.read.schema(orders.schema).parquet(path).select(*orders.columns)
+
+
+@register("upsert_ties", sql(
+    "SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS order_month, 1 AS load_no, "
+    "CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END AS v FROM orders"))
+def q_upsert_ties(spark, sf_dir):
+    """Equal order values: the later batch wins; an older load never does."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", F.trunc("o_orderdate", "month").alias("order_month"))
+    path = fresh_path(spark, "upsert-ties")
+    for modulus, load_no, v in ((1, 1, 1), (3, 1, 2), (5, 0, 3)):
+        batch = orders.where(f"o_orderkey % {modulus} = 0").withColumn("load_no", F.lit(load_no)).withColumn("v", F.lit(v))
+        upsert(spark, path, batch, "o_orderkey", "order_month", order_by="load_no")
+    return spark.read.parquet(path).select("o_orderkey", "order_month", "load_no", "v")
+
+
+_UNTIMED = {"bronze_u": "SELECT * REPLACE (CASE WHEN event_id % 17 = 0 THEN NULL ELSE time_position END AS time_position) FROM bronze",
+            **stg_chain("bronze_u", "u_")}
+
+
+@register("upsert_untimed", sql("SELECT *, flight_pk IS NULL AS rejected FROM u_fct", "stg", "airports", extra=_UNTIMED))
+def q_upsert_untimed(spark, sf_dir):
+    """Signals without a time have no key: they are set aside, the rest is kept."""
+    bronze = telemetry.bronze(spark, sf_dir).withColumn(
+        "time_position", F.when(F.expr("event_id % 17 <> 0"), F.col("time_position")))
+    path = fresh_path(spark, "upsert-untimed")
+    rows = fct_flights(stg_flights(bronze), dims.dim_airports(spark), n_airports=dims.N_AIRPORTS)
+    upsert(spark, path, rows, "flight_pk", "flight_date", on_null_key="quarantine", run_id="r1")
+    kept = spark.read.schema(rows.schema).parquet(path).select(*rows.columns, F.lit(False).alias("rejected"))
+    aside = spark.read.schema(rows.schema).parquet(f"{path}_rejected/run_id=r1").select(*rows.columns, F.lit(True).alias("rejected"))
+    return kept.union(aside)
+
+
 @register("full_refresh", sql("SELECT * FROM dim_aircrafts", "dim_aircrafts"))
 def q_full_refresh(spark, sf_dir):
     root = fresh_path(spark, "warehouse")
@@ -198,13 +273,9 @@ def q_silver_view(spark, sf_dir):
 @register("build_star", sql("SELECT * FROM star", "star"))
 def q_build_star(spark, sf_dir):
     root = fresh_path(spark, "warehouse")
-    b = build.build_star(spark, telemetry.bronze(spark, sf_dir), materialize="persist")
-    try:
-        ac = layers.materialise(b.aircrafts, "dim_aircrafts", "table", root=root)
-        ap = layers.materialise(b.airports, "dim_airports", "table", root=root)
-        ca = layers.materialise(b.calendar, "dim_calendar", "table", root=root)
-        f = layers.materialise(b.fct, "fct_flights", "table", root=root, partition_by="flight_date")
-    finally:
-        b.stg.unpersist()
-    f = f.select(*FACT_COLUMNS)
+    b = build.build_star(spark, telemetry.bronze(spark, sf_dir))
+    ac = layers.materialise(b.aircrafts, "dim_aircrafts", "table", root=root)
+    ap = layers.materialise(b.airports, "dim_airports", "table", root=root)
+    ca = layers.materialise(b.calendar, "dim_calendar", "table", root=root)
+    f = layers.materialise(b.fct, "fct_flights", "table", root=root, partition_by="flight_date").select(*FACT_COLUMNS)
     return build.StarBuild(b.stg, ap, ac, ca, f).star()

@@ -63,18 +63,18 @@ _STAR_P = {"star_p": f"SELECT *, {period_case('hour_24')} AS day_period FROM sta
 
 @register("rollup_time", sql(_rollup_sql(TIME_LEVELS), "star", extra=_STAR_P))
 def q_rollup_time(spark, sf_dir):
-    s = build.gold_star(spark, sf_dir).withColumn("day_period", day_period("hour_24"))
+    s = build.gold_star(spark, sf_dir, "calendar").withColumn("day_period", day_period("hour_24"))
     return M.rollup_hierarchy(s, TIME_LEVELS)
 
 
 @register("rollup_geo", sql(_rollup_sql(GEO_LEVELS, "star"), "star"))
 def q_rollup_geo(spark, sf_dir):
-    return M.rollup_hierarchy(build.gold_star(spark, sf_dir), GEO_LEVELS)
+    return M.rollup_hierarchy(build.gold_star(spark, sf_dir, "airports"), GEO_LEVELS)
 
 
 @register("rollup_aircraft", sql(_rollup_sql(AIRCRAFT_LEVELS, "star"), "star"))
 def q_rollup_aircraft(spark, sf_dir):
-    return M.rollup_hierarchy(build.gold_star(spark, sf_dir), AIRCRAFT_LEVELS)
+    return M.rollup_hierarchy(build.gold_star(spark, sf_dir, "aircrafts"), AIRCRAFT_LEVELS)
 
 
 def _phase_sql() -> str:
@@ -114,9 +114,11 @@ def q_approach_speed(spark, sf_dir):
 @register("q_altitude_profile", sql(
     "SELECT aircraft_category, min(altitude_baro) AS min_altitude, round(avg(altitude_baro), 4) AS avg_altitude, "
     "max(altitude_baro) AS max_altitude, round(stddev_samp(altitude_baro), 4) AS std_altitude, "
+    "round(quantile_cont(altitude_baro, 0.25), 4) AS p25_altitude, round(quantile_cont(altitude_baro, 0.5), 4) AS p50_altitude, "
+    "round(quantile_cont(altitude_baro, 0.75), 4) AS p75_altitude, "
     f"count(*) AS n_signals FROM star WHERE flight_status = {_q(K.STATUS_AIR)} GROUP BY aircraft_category", "star"))
 def q_altitude_profile(spark, sf_dir):
-    return Q.altitude_profile(build.gold_star(spark, sf_dir))
+    return Q.altitude_profile(build.gold_star(spark, sf_dir, "aircrafts"))
 
 
 @register("q_peak_landing_takeoff", sql(
@@ -126,7 +128,7 @@ def q_altitude_profile(spark, sf_dir):
     "ELSE 'takeoff' END AS movement, hour_24, count(*) AS n_signals FROM star WHERE flight_behavior IN ("
     + _q(K.BEHAVIOR_DESCENT) + ", " + _q(K.BEHAVIOR_CLIMB) + ") GROUP BY 1, 2, 3)) WHERE rn = 1", "star"))
 def q_peak_landing_takeoff(spark, sf_dir):
-    return Q.peak_landing_takeoff(build.gold_star(spark, sf_dir))
+    return Q.peak_landing_takeoff(build.gold_fact(spark, sf_dir))
 
 
 @register("q_ground_share", sql(

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from aerolake import constants as K
 from aerolake.operators import quality as D
-from aerolake.plans import build, dims
+from aerolake.plans import build, dims, layers
 from aerolake.plans.oracle import _q, sql
 from aerolake.plans.registry import register
-from aerolake.session import shared_dir
+from aerolake.session import fresh_path
 from aerolake.sources.tables import read_table
 
 # ------------------------------------------------------------------ D1 unique
@@ -124,8 +124,7 @@ def q_fk_orphans_orders(spark, sf_dir):
     "SELECT f.* FROM fct f WHERE f.airport_code IS NOT NULL AND NOT EXISTS "
     "(SELECT 1 FROM airports a WHERE a.airport_code = f.airport_code)", "fct", "airports"))
 def q_fk_orphans_fact(spark, sf_dir):
-    return D.orphans(build.gold_fact(spark, sf_dir), "airport_code", dims.dim_airports(spark), "airport_code",
-                     n_parent=dims.N_AIRPORTS)
+    return D.orphans(build.gold_fact(spark, sf_dir), "airport_code", dims.dim_airports(spark), "airport_code")
 
 
 # ------------------------------------------------------------------ D6 the declared suite
@@ -183,13 +182,13 @@ def _suite_sql() -> str:
 
 
 def declared_models(spark, sf_dir) -> dict:
-    """The built models, as a build would leave them: silver and fact are
-    written once (reliable checkpoint in the shared folder, lineage cut) and
-    every check reads them instead of recomputing dedup and geofence."""
-    shared_dir(spark)
-    stg = build.silver(spark, sf_dir).checkpoint(eager=True)
+    """The built models, as a build would leave them: silver and fact are written
+    once as Parquet and every check reads the columns it needs."""
+    root = fresh_path(spark, "warehouse")
+    stg = layers.materialise(build.silver(spark, sf_dir), "stg_flights", "table", root=root, layer="silver")
     airports = dims.dim_airports(spark)
-    fct = build.fact.fct_flights(stg, airports, n_airports=dims.N_AIRPORTS).checkpoint(eager=True)
+    fct = layers.materialise(build.fact.fct_flights(stg, airports, n_airports=dims.N_AIRPORTS), "fct_flights", "table",
+                             root=root)
     return {"stg_flights": stg, "dim_aircrafts": dims.dim_aircrafts(stg), "dim_airports": airports,
             "dim_calendar": dims.dim_calendar(stg), "fct_flights": fct}
 

@@ -7,8 +7,10 @@ under a fresh folder of the shared checkpoint dir, drains it with
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from aerolake import constants as K
-from aerolake.functions.clean import typed_telemetry
+from aerolake.functions.clean import instant_to_ntz, typed_telemetry
 from aerolake.operators.geo import near_any
 from aerolake.plans import telemetry
 from aerolake.plans.fact import FACT_COLUMNS
@@ -97,15 +99,48 @@ def q_stream_fact_upsert(spark, sf_dir):
     return spark.read.parquet(fact_path).select(*FACT_COLUMNS)
 
 
+# ------------------------------------------------------------------ T1 with broken messages
+_BROKEN = "CASE WHEN event_id % 41 = 0 THEN 'malformed' WHEN event_id % 31 = 0 THEN 'width' END"
+
+
+@register("stream_quarantine", sql(
+    f"SELECT problem, count(*) AS n FROM (SELECT {_BROKEN} AS problem FROM telemetry) GROUP BY 1", "telemetry"))
+def q_stream_quarantine(spark, sf_dir):
+    src = broken_message_files(spark, sf_dir)
+    good, bad, ckpt = fresh_path(spark, "drained"), fresh_path(spark, "quarantine"), fresh_path(spark, "ckpt")
+    stream = S.open_stream(spark, "text", src, options={"maxFilesPerTrigger": "3"})
+    S.drain(stream, ckpt, foreach_batch=S.quarantine_writer(good, bad))
+    return spark.read.parquet(bad).groupBy("problem").agg(F.count("*").alias("n")).union(
+        spark.read.parquet(good).agg(F.lit(None).cast("string"), F.count("*")))
+
+
+def broken_message_files(spark, sf_dir, n_files: int = 8) -> str:
+    """State-vector messages, some cut off and some one value short."""
+    tel = telemetry.telemetry(spark, sf_dir)
+    text = sinks.json_array_text(sinks.STATE_VECTOR_NAMES)
+    short = sinks.json_array_text(sinks.STATE_VECTOR_NAMES[:-1])
+    path = fresh_path(spark, "broken-topic")
+    rows = state_vectors(tel, keep=["event_id"])
+    rows.select(F.when(F.expr("event_id % 41 = 0"), F.substr(text, F.lit(1), F.length(text) - 5))
+                .when(F.expr("event_id % 31 = 0"), short).otherwise(text).alias("value")).repartition(n_files).write.text(path)
+    return path
+
+
 # ------------------------------------------------------------------ T6
 @register("stream_dedup", sql("SELECT DISTINCT aircraft_id, position_timestamp FROM typed", "typed"))
 def q_stream_dedup(spark, sf_dir):
-    src, schema, _ = _bronze_files(spark, sf_dir)
+    """Several micro-batches, the newer half of the loads first, so that event
+    times go backwards."""
+    bronze = telemetry.bronze(spark, sf_dir)
+    middle = bronze.agg(F.date_add(F.min("processing_date"), F.floor(F.datediff(
+        F.max("processing_date"), F.min("processing_date")) / 2).cast("int"))).first()[0]
     out, ckpt = fresh_path(spark, "dedup"), fresh_path(spark, "ckpt")
-    typed = typed_telemetry(S.open_stream(spark, "parquet", src, schema=schema))
-    deduped = S.stream_dedup(typed, ["aircraft_id", "position_timestamp"], "position_timestamp", "1 hour")
-    S.drain(deduped.select("aircraft_id", "position_timestamp"), ckpt, out)
-    return spark.read.parquet(out)
+    for half, part in enumerate((F.col("processing_date") > F.lit(middle), F.col("processing_date") <= F.lit(middle))):
+        src = fresh_path(spark, "bronze")
+        sinks.cluster_for_partitioned_write(bronze.where(part), "processing_date").write.partitionBy("processing_date").parquet(src)
+        typed = typed_telemetry(S.open_stream(spark, "parquet", src, schema=bronze.schema, options={"maxFilesPerTrigger": "8"}))
+        S.drain(typed, f"{ckpt}-{half}", foreach_batch=S.dedup_writer(out, ["aircraft_id", "position_timestamp"], "position_timestamp"))
+    return spark.read.parquet(out).select("aircraft_id", "position_timestamp")
 
 
 # ------------------------------------------------------------------ T7
@@ -113,19 +148,26 @@ def _hourly(spark, sf_dir):
     src, schema, _ = _bronze_files(spark, sf_dir)
     out, ckpt = fresh_path(spark, "hourly"), fresh_path(spark, "ckpt")
     typed = typed_telemetry(S.open_stream(spark, "parquet", src, schema=schema, options={"maxFilesPerTrigger": "8"}))
-    S.drain(S.hourly_activity(typed, "position_timestamp"), ckpt, foreach_batch=S.complete_table_writer(out),
-            output_mode="complete")
-    return spark.read.parquet(out)
+    S.drain(typed, ckpt, foreach_batch=S.hourly_writer(out, "position_timestamp"))
+    return S.hourly_activity(spark, out)
 
 
 @register("stream_hourly_signals", sql(
-    "SELECT date_trunc('hour', position_timestamp) AS window_start, count(*) AS n_signals FROM typed GROUP BY 1",
+    "SELECT date_trunc('hour', position_timestamp) AS window_start, CAST(count(*) AS BIGINT) AS n_signals FROM typed GROUP BY 1",
     "typed"))
 def q_stream_hourly_signals(spark, sf_dir):
     return _hourly(spark, sf_dir).select("window_start", "n_signals")
 
 
-@register("stream_hourly_active")
+@register("stream_hourly_active", sql(
+    "SELECT date_trunc('hour', position_timestamp) AS window_start, count(DISTINCT aircraft_id) AS active_aircraft, "
+    "true AS estimate_is_close FROM typed GROUP BY 1", "typed"))
 def q_stream_hourly_active(spark, sf_dir):
-    return _hourly(spark, sf_dir)
-
+    """The streamed estimate next to the exact count: within 5 % or one aircraft."""
+    exact = typed_telemetry(telemetry.bronze(spark, sf_dir)).groupBy(
+        F.date_trunc("hour", S.event_time("position_timestamp")).alias("h")).agg(
+        F.count_distinct("aircraft_id").alias("active_aircraft")).select(
+        instant_to_ntz("h").alias("window_start"), "active_aircraft")
+    gap = F.abs(F.col("approx_aircraft") - F.col("active_aircraft"))
+    return exact.join(_hourly(spark, sf_dir), "window_start").select(
+        "window_start", "active_aircraft", (gap <= F.greatest(F.lit(1.0), F.col("active_aircraft") * 0.05)).alias("estimate_is_close"))

@@ -43,11 +43,15 @@ def altitude_profile(star: DataFrame) -> DataFrame:                           #
         _r(F.avg("altitude_baro")).alias("avg_altitude"),
         F.max("altitude_baro").alias("max_altitude"),
         _r(F.stddev_samp("altitude_baro")).alias("std_altitude"),
+        # exact; the partial state is a count per distinct altitude
+        *(_r(F.percentile("altitude_baro", q / 100)).alias(f"p{q}_altitude") for q in (25, 50, 75)),
         F.count(F.lit(1)).alias("n_signals"))
 
 
-def peak_landing_takeoff(star: DataFrame) -> DataFrame:                       # B5
-    """Busiest hour per weekday for landings (descent) and take-offs (climb)."""
+def peak_landing_takeoff(fact: DataFrame) -> DataFrame:                       # B5
+    """Busiest hour per weekday for landings (descent) and take-offs (climb);
+    the weekday follows from the date, no dimension is joined."""
+    star = fact.withColumn("day_of_week_num", F.dayofweek("flight_date"))
     movement = (F.when(F.col("flight_behavior") == K.BEHAVIOR_DESCENT, "landing")
                 .when(F.col("flight_behavior") == K.BEHAVIOR_CLIMB, "takeoff"))
     counts = (star.filter(F.col("flight_behavior").isin(K.BEHAVIOR_DESCENT, K.BEHAVIOR_CLIMB))

@@ -14,12 +14,13 @@ SV_SQL_COLS = ("icao24, callsign, origin_country, time_position, time_position A
                "CAST(NULL AS VARCHAR) AS squawk, false AS spi, CAST(0 AS BIGINT) AS position_source")
 
 
-def state_vectors(tel: DataFrame) -> DataFrame:
+def state_vectors(tel: DataFrame, keep=()) -> DataFrame:
     return tel.select(
+        *keep,
         "icao24", "callsign", "origin_country", "time_position",
         F.col("time_position").alias("last_contact"), "longitude", "latitude", "baro_altitude",
         "on_ground", "velocity", F.lit(None).cast("double").alias("heading"), "vertical_rate",
         F.lit(None).cast("string").alias("sensors"), F.lit(None).cast("double").alias("geo_altitude"),
         F.lit(None).cast("string").alias("squawk"), F.lit(False).alias("spi"),
         F.lit(0).cast("bigint").alias("position_source"),
-    ).select(*STATE_VECTOR_NAMES)
+    ).select(*keep, *STATE_VECTOR_NAMES)

@@ -14,34 +14,49 @@ from pyspark.sql import types as T
 
 from aerolake.sources.schemas import (FLIGHT_LEG_SCHEMA, POLL_ENVELOPE_SCHEMA, STATE_VECTOR_SCHEMA,
                                       ordered_schema)
+from aerolake.storage import path_exists
 
 ROWS_TYPE = T.ArrayType(T.ArrayType(T.StringType()))
 ROW_TYPE = T.ArrayType(T.StringType())
 
 
 # ------------------------------------------------------------------ S1
-def read_state_vectors(spark: SparkSession, path: str, layout: str = "document",
-                       partitions: int | None = None, with_source: bool = False) -> DataFrame:
+MALFORMED, BAD_WIDTH = "malformed", "width"
+
+
+def parse_inputs(spark: SparkSession, path: str, layout: str = "document") -> DataFrame:
+    """(source_file, value, rows) of every non-blank file (``document``) or line
+    (``lines``); ``rows`` is NULL where it is not an array of arrays."""
+    if layout == "document":
+        raw, rows = spark.read.text(path, wholetext=True), F.from_json("value", ROWS_TYPE)
+    elif layout == "lines":
+        raw, rows = spark.read.text(path), F.from_json("value", ROW_TYPE)
+        rows = F.when(rows.isNotNull(), F.array(rows))
+    else:
+        raise ValueError(layout)
+    return raw.where(F.trim("value") != "").select(F.input_file_name().alias("source_file"), "value", rows.alias("rows"))
+
+
+def read_state_vectors(spark: SparkSession, path: str, layout: str = "document", partitions: int | None = None,
+                       with_source: bool = False, on_malformed: str = "fail") -> DataFrame:
     """One row ``row array<string>`` per inner array.
 
     ``document``: each file is read whole (``wholetext``; a pretty-printed
     file would yield NULL rows in line mode) and exploded.  A whole file is
     one task, so for large files pass ``partitions`` to spread the exploded
     rows before the typed projection.  ``lines``: one array per line, split
-    like any text file.  A file (or line) that does not parse yields no rows
-    and is reported by ``malformed_inputs``.
+    like any text file.
+
+    ``on_malformed``: an input that does not parse aborts the read (``fail``,
+    fused into the plan), or is left out (``skip``; ``malformed_inputs`` has it).
     """
-    if layout == "document":
-        raw = spark.read.text(path, wholetext=True)
-        parsed = raw.select(F.input_file_name().alias("source_file"),
-                            F.from_json("value", ROWS_TYPE).alias("rows"))
-        out = parsed.select("source_file", F.explode("rows").alias("row"))
-    elif layout == "lines":
-        raw = spark.read.text(path)
-        out = raw.select(F.input_file_name().alias("source_file"),
-                         F.from_json("value", ROW_TYPE).alias("row")).filter(F.col("row").isNotNull())
-    else:
-        raise ValueError(layout)
+    parsed = parse_inputs(spark, path, layout)
+    rows = F.col("rows")
+    if on_malformed == "fail":
+        rows = F.when(rows.isNull(), F.raise_error(F.concat(F.lit("MALFORMED INPUT in "), "source_file"))).otherwise(rows)
+    elif on_malformed != "skip":
+        raise ValueError(on_malformed)
+    out = parsed.select("source_file", F.explode(rows).alias("row"))
     if partitions:
         out = out.repartition(partitions)
     return out if with_source else out.select("row")
@@ -49,20 +64,28 @@ def read_state_vectors(spark: SparkSession, path: str, layout: str = "document",
 
 def malformed_inputs(spark: SparkSession, path: str, layout: str = "document") -> DataFrame:
     """Files (document layout) or lines that are not an array of arrays."""
-    if layout == "document":
-        raw = spark.read.text(path, wholetext=True)
-        return (raw.select(F.input_file_name().alias("source_file"), "value")
-                .filter(F.from_json("value", ROWS_TYPE).isNull() & (F.trim("value") != "")))
-    raw = spark.read.text(path)
-    return (raw.select(F.input_file_name().alias("source_file"), "value")
-            .filter(F.from_json("value", ROW_TYPE).isNull() & (F.trim("value") != "")))
+    return parse_inputs(spark, path, layout).where("rows is null").select("source_file", "value")
+
+
+def classified_inputs(spark: SparkSession, path: str, layout: str = "document") -> DataFrame:
+    """(source_file, value, row, problem): one row per inner array, and one per
+    malformed input; ``problem`` is NULL for a good row, else names what is wrong
+    (``value`` has the text of a malformed input)."""
+    parsed = parse_inputs(spark, path, layout)
+    out = parsed.select("source_file", F.when(F.col("rows").isNull(), F.col("value")).alias("value"),
+                        F.explode_outer("rows").alias("row"), F.col("rows").isNull().alias("_bad"),
+                        (F.size("rows") == 0).alias("_empty")).where("_bad or not _empty")
+    return out.select("source_file", "value", "row", F.when(F.col("_bad"), MALFORMED).when(
+        width_violation("row"), BAD_WIDTH).alias("problem"))
 
 
 # ------------------------------------------------------------------ S2
 def unwrap_states(df: DataFrame, col: str = "value") -> DataFrame:
     """Poll envelope ``{"time": t, "states": [[...], ...]}`` -> one row per
-    state; a missing, null or empty ``states`` gives no rows."""
-    env = df.select(F.from_json(F.col(col), POLL_ENVELOPE_SCHEMA).alias("env"))
+    state; a missing, null or empty ``states`` gives no rows, text that is no
+    JSON object aborts."""
+    env = F.from_json(F.col(col), POLL_ENVELOPE_SCHEMA, {"mode": "FAILFAST"})
+    env = df.where(F.trim(F.col(col)) != "").select(env.alias("env"))
     return env.select(F.col("env.time").alias("poll_time"), F.explode("env.states").alias("row"))
 
 
@@ -111,6 +134,14 @@ def typed_projection(df: DataFrame, schema=STATE_VECTOR_SCHEMA, row_col: str = "
     return df.select(*keep, *cols)
 
 
+def failed_casts(schema=STATE_VECTOR_SCHEMA, row_col: str = "row") -> Column:
+    """How many of a row's values are present but not castable."""
+    fields = ordered_schema(schema).fields
+    values = [F.get(F.col(row_col), i) for i in range(len(fields))]
+    return sum((F.when(v.isNotNull() & v.try_cast(f.dataType).isNull(), 1).otherwise(0)
+                for v, f in zip(values, fields)), F.lit(0))
+
+
 def cast_failures(df: DataFrame, schema=STATE_VECTOR_SCHEMA, row_col: str = "row") -> DataFrame:
     """Per field: values present but not castable (counted in one pass)."""
     schema = ordered_schema(schema)
@@ -130,12 +161,19 @@ def with_processing_date(df: DataFrame, date: str, col: str = "processing_date")
 
 # ------------------------------------------------------------------ S7
 def scan_partition(spark: SparkSession, path: str, column: str, value, schema=None) -> DataFrame:
-    """Read one partition of a partitioned table *keeping* the partition
-    column (base-path read + filter; Catalyst prunes the other directories)."""
+    """Read one partition of a partitioned table *keeping* the partition column.
+
+    Only that partition's folder is listed (``basePath`` keeps the column); a
+    value that was never written gives no rows."""
+    folder = f"{path.rstrip('/')}/{column}={value}"
+    if not path_exists(spark, folder):
+        if schema is None:
+            schema = spark.read.parquet(path).schema
+        return spark.createDataFrame([], schema)
     reader = spark.read.option("basePath", path)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(path).filter(F.col(column) == F.lit(value))
+    return reader.parquet(folder)
 
 
 # ------------------------------------------------------------------ S14

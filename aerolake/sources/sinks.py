@@ -12,36 +12,22 @@ from aerolake.sources.schemas import STATE_VECTOR_FIELDS
 
 
 # ------------------------------------------------------------------ S6
-def cluster_for_partitioned_write(df: DataFrame, by, tie=None, method: str = "range",
-                                  buckets: int | None = None) -> DataFrame:
-    """Spread rows for a partitioned write so one partition value is written
-    by several tasks.
-
-    Hash-partitioning on the partition columns alone would send all rows of
-    one date to one task (a batch usually holds one date: the whole batch in
-    a single writer).  ``range``: range partitioning on (partition columns,
-    row hash) samples the data, splits a large date over as many tasks as its
-    share of the rows and keeps each task's rows contiguous (few files); its
-    sampling pass re-runs the plan, so do not use it under ``observe``.
-    ``hash``: hash partitioning on (partition columns, row hash mod
-    ``buckets``), no extra pass; a date is spread over up to ``buckets``
-    tasks (default: ``spark.sql.shuffle.partitions``)."""
+def cluster_for_partitioned_write(df: DataFrame, by) -> DataFrame:
+    """Rows brought together for a partitioned write by the rebalance hint.
+
+    At run time AQE merges small partition values into one task and splits a
+    large one over several by its bytes: about one file for a small date, more
+    for a hot one, whatever the number of tasks and dates.  No sampling pass, so
+    counts taken upstream with ``observe`` stay exact."""
     by = [by] if isinstance(by, str) else list(by)
-    tie = tie if tie is not None else F.xxhash64(*[F.col(c) for c in df.columns])
-    if method == "range":
-        return df.repartitionByRange(*[F.col(c) for c in by], tie)
-    if buckets is None:
-        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(*[F.col(c) for c in by], F.pmod(tie, F.lit(max(1, buckets))))
+    return df.hint("rebalance", *by)
 
 
 def write_partitions(df: DataFrame, path: str, by, fmt: str = "parquet", dynamic: bool = True) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic partition
-    overwrite, set on this write only); the other partitions survive.  Rows
-    are spread by hash (no sampling pass, so counts observed upstream with
-    ``observe`` stay exact)."""
+    overwrite, set on this write only); the other partitions survive."""
     by = [by] if isinstance(by, str) else list(by)
-    w = cluster_for_partitioned_write(df, by, method="hash").write.mode("overwrite").partitionBy(*by).format(fmt)
+    w = cluster_for_partitioned_write(df, by).write.mode("overwrite").partitionBy(*by).format(fmt)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
     w.save(path)
@@ -85,7 +71,7 @@ def land_raw(df: DataFrame, path: str, date, date_col: str = "dt") -> None:
     ``date`` is a literal day (one run) or a Column (each row's day, so a
     backfill lands many days in one job).  Timestamps keep microseconds."""
     d = F.lit(date).cast("date") if isinstance(date, str) else date.cast("date")
-    (df.withColumn(date_col, d)
+    (cluster_for_partitioned_write(df.withColumn(date_col, d), date_col)
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .options(**JSON_TS_OPTIONS).partitionBy(date_col).json(path))
 
@@ -142,15 +128,15 @@ def write_state_vector_documents(df: DataFrame, path: str, rows_per_file: int =
                                  n_rows: int | None = None, cols=None, batch_col: str = "batch") -> None:
     """Write rows as document-layout batch files (``[[...],[...]]`` per file).
 
-    Rows are assigned to ``ceil(n / rows_per_file)`` batches by a hash of
-    their values, so every batch is bounded by ~``rows_per_file`` rows (no
-    single task ever holds an unbounded group); each batch becomes one file
-    under ``batch=<k>/``.
+    Rows are dealt to ``ceil(n / rows_per_file)`` batches by a hash of their
+    values and their place in the input, so equal rows spread as well and a batch
+    holds about ``rows_per_file`` rows; each becomes one file under
+    ``batch=<k>/``.
     """
     cols = cols or STATE_VECTOR_NAMES
     n_rows = df.count() if n_rows is None else n_rows
     n_batches = max(1, -(-n_rows // rows_per_file))
-    keyed = df.select(F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(n_batches)).alias(batch_col),
+    keyed = df.select(F.pmod(F.xxhash64(F.monotonically_increasing_id(), *[F.col(c) for c in cols]), F.lit(n_batches)).alias(batch_col),
                       json_array_text(cols).alias("msg"))
     docs = keyed.groupBy(batch_col).agg(
         F.concat(F.lit("["), F.array_join(F.collect_list("msg"), ","), F.lit("]")).alias("value"))

@@ -11,17 +11,19 @@ file sources (json/text/parquet) here.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from aerolake.functions.clean import instant_to_ntz, ntz_to_instant
 from aerolake.operators.incremental import upsert
 from aerolake.plans import dims
 from aerolake.plans.fact import fct_flights
 from aerolake.plans.staging import stg_flights
-from aerolake.sources.ingest import check_width, typed_projection
+from aerolake.sources.ingest import BAD_WIDTH, MALFORMED, typed_projection, width_violation
 
 
 def open_stream(spark: SparkSession, fmt: str, path: str | None = None, schema=None,
@@ -41,6 +43,33 @@ def open_stream(spark: SparkSession, fmt: str, path: str | None = None, schema=N
     return df
 
 
+class _Progress(StreamingQueryListener):
+    """Sums the progress of one run; a query itself keeps only its last updates."""
+
+    def __init__(self):
+        self.counts: dict[str, list[int]] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def event(self, run: str) -> threading.Event:
+        return self.ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        if p.numInputRows > 0:
+            c = self.counts.setdefault(str(p.runId), [0, 0])
+            c[0] += 1
+            c[1] += p.numInputRows
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.event(str(event.runId)).set()
+
+
 def drain(stream: DataFrame, checkpoint: str, sink_path: str | None = None, fmt: str = "parquet",
           foreach_batch: Callable | None = None, output_mode: str = "append",
           partition_by=None) -> dict:
@@ -48,23 +77,27 @@ def drain(stream: DataFrame, checkpoint: str, sink_path: str | None = None, fmt:
 
     Either a file sink (exactly-once through the sink's metadata log) or a
     ``foreach_batch(df, batch_id)`` function.  Returns the progress numbers
-    (batches, input rows) of this run."""
+    (batches, input rows) of this run, however many batches it had."""
     w = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True)
-    if foreach_batch is not None:
-        w = w.foreachBatch(foreach_batch)
-        q = w.start()
-    else:
-        w = w.format(fmt)
-        if partition_by:
-            w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-        q = w.start(sink_path)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    progress = q.recentProgress
-    return {"batches": sum(1 for p in progress if p.get("numInputRows", 0) > 0),
-            "input_rows": sum(int(p.get("numInputRows", 0)) for p in progress)}
+    progress, streams = _Progress(), stream.sparkSession.streams
+    streams.addListener(progress)
+    try:
+        if foreach_batch is not None:
+            q = w.foreachBatch(foreach_batch).start()
+        else:
+            w = w.format(fmt)
+            if partition_by:
+                w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+            q = w.start(sink_path)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+        progress.event(str(q.runId)).wait(60)       # events arrive in order: the last one ends the sums
+    finally:
+        streams.removeListener(progress)
+    batches, rows = progress.counts.get(str(q.runId), (0, 0))
+    return {"batches": batches, "input_rows": rows}
 
 
 # ------------------------------------------------------------------ T2 / T3
@@ -97,58 +130,86 @@ def staging_writer(path: str, transform: Callable[[DataFrame], DataFrame] | None
 
 
 # ------------------------------------------------------------------ ingest path per batch
+def parsed_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
+    """(value, row, problem) of every message; ``problem`` is NULL for a good one."""
+    row = F.from_json(F.col(value_col), "array<string>")
+    return df.select(F.col(value_col).alias("value"), row.alias("row")).withColumn(
+        "problem", F.when(F.col("row").isNull(), MALFORMED).when(width_violation("row"), BAD_WIDTH))
+
+
 def ingest_messages(stream: DataFrame, value_col: str = "value") -> DataFrame:
-    """Message text -> positional row -> contract -> typed state vectors."""
-    rows = stream.select(F.from_json(F.col(value_col), "array<string>").alias("row")).filter(F.col("row").isNotNull())
-    return typed_projection(check_width(rows))
+    """Message text -> positional row -> contract -> typed state vectors; a broken
+    message aborts the batch (``quarantine_writer`` sets it aside instead)."""
+    problem = F.concat(F.lit("CONTRACT BROKEN: "), "problem", F.lit(" message "), F.coalesce("value", F.lit("NULL")))
+    rows = parsed_messages(stream, value_col).withColumn(
+        "row", F.when(F.col("problem").isNull(), F.col("row")).otherwise(F.raise_error(problem)))
+    return typed_projection(rows)
+
+
+def quarantine_writer(path: str, quarantine_path: str, value_col: str = "value") -> Callable:
+    """foreachBatch body: typed rows staged under ``path``, broken messages under
+    ``quarantine_path``, each by batch id (a retried batch replaces its own)."""
+    def fn(df: DataFrame, batch_id: int):
+        parsed = parsed_messages(df, value_col)
+        gate(typed_projection(parsed.where("problem is null")), lambda d: stage_batch(d, batch_id, path))
+        gate(parsed.where("problem is not null"), lambda d: stage_batch(d, batch_id, quarantine_path))
+    return fn
 
 
 # ------------------------------------------------------------------ T5
 def fact_upsert_writer(spark: SparkSession, fact_path: str, airports: DataFrame | None = None,
                        partition_by=("flight_date",)) -> Callable:
     """foreachBatch body: bronze rows -> silver (dedup in batch) -> fact ->
-    upsert by ``flight_pk``, newest ``ingestion_timestamp`` winning across
-    batches (so batch order does not matter).  For a frequent trigger pass
-    ``partition_by=("flight_date", "hour_24")``: each batch then rewrites the
-    hours it touches instead of the whole day."""
+    upsert by ``flight_pk``.  The newest load wins, then the greatest surrogate
+    id, as in a batch build, so batch order does not matter; the fact keeps the
+    id for that.  Rows without a key are quarantined under the batch's id.  For a
+    frequent trigger pass ``partition_by=("flight_date", "hour_24")``: each batch
+    then rewrites the hours it touches instead of the whole day."""
     airports = airports if airports is not None else dims.dim_airports(spark)
 
     def fn(df: DataFrame, batch_id: int):
         # an empty batch stages nothing and returns before touching the fact
-        f = fct_flights(stg_flights(df), airports, n_airports=dims.N_AIRPORTS)
-        upsert(df.sparkSession, fact_path, f, "flight_pk", list(partition_by), order_col="ingestion_timestamp")
+        f = fct_flights(stg_flights(df), airports, n_airports=dims.N_AIRPORTS, keep=["id_surrogate"])
+        upsert(df.sparkSession, fact_path, f, "flight_pk", list(partition_by),
+               order_by=["ingestion_timestamp", "id_surrogate"], on_null_key="quarantine", run_id=f"batch-{batch_id}")
     return fn
 
 
 # ------------------------------------------------------------------ T6 / T7
-def event_time(col: str) -> F.Column:
-    """Watermarks need TIMESTAMP (not NTZ) event time; the NTZ wall clock is
-    read as UTC so windows do not depend on the session time zone."""
-    return ntz_to_instant(col)
-
-
-def stream_dedup(stream: DataFrame, keys, ts_col: str, delay: str = "1 hour") -> DataFrame:
-    """Drop repeats of ``keys`` seen within ``delay`` of event time; keeps the
-    first arrival, so use it where repeats are identical or only keys matter.
-    State is bounded by the watermark."""
+def dedup_writer(path: str, keys, ts_col: str) -> Callable:
+    """foreachBatch body: the distinct ``keys`` seen so far, as a table partitioned
+    by day.  An upsert of the batch's keys, so late rows are never dropped, no
+    state grows, and a batch reads and rewrites the days it touches only."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    s = stream.withColumn("__event_time", event_time(ts_col)).withWatermark("__event_time", delay)
-    return s.dropDuplicatesWithinWatermark(keys).drop("__event_time")
 
-
-def hourly_activity(stream: DataFrame, ts_col: str, id_col: str = "aircraft_id",
-                    delay: str = "2 hours", rsd: float = 0.02) -> DataFrame:
-    """Signals and (approximate) unique aircraft per event-time hour.  Exact
-    distinct counts are not supported on streams; HLL++ keeps the state per
-    hour at a few KB."""
-    s = stream.withColumn("__event_time", event_time(ts_col)).withWatermark("__event_time", delay)
-    agg = s.groupBy(F.window("__event_time", "1 hour").alias("w")).agg(
-        F.count(F.lit(1)).alias("n_signals"), F.approx_count_distinct(id_col, rsd).alias("approx_aircraft"))
-    return agg.select(instant_to_ntz("w.start").alias("window_start"), "n_signals", "approx_aircraft")
+    def fn(df: DataFrame, batch_id: int):
+        day = F.to_date(ts_col)
+        rows = df.select(*keys, day.alias("key_date")).distinct().withColumn("dedup_key", F.to_json(F.array(
+            *(F.col(k).cast("string") for k in keys), F.col("key_date").cast("string"))))
+        upsert(df.sparkSession, path, rows, "dedup_key", "key_date")
+    return fn
 
 
-def complete_table_writer(path: str) -> Callable:
-    """foreachBatch body for ``complete`` mode: replace the result table."""
+def hourly_writer(path: str, ts_col: str, id_col: str = "aircraft_id") -> Callable:
+    """foreachBatch body: each batch's signals and aircraft sketch per event-time
+    hour, appended under its batch id (a retried batch replaces its own).  There
+    is no state to bound, and a row counts however late it comes."""
     def fn(df: DataFrame, batch_id: int):
-        df.write.mode("overwrite").parquet(path)
+        hour = F.date_trunc("hour", event_time(ts_col))
+        partial = df.groupBy(hour.alias("hour")).agg(
+            F.count(F.lit(1)).alias("n"), F.hll_sketch_agg(F.coalesce(id_col, F.lit("")), F.lit(12)).alias("aircraft"))
+        gate(partial.select(instant_to_ntz("hour").alias("window_start"), "n", "aircraft"),
+             lambda d: stage_batch(d, batch_id, path))
     return fn
+
+
+def hourly_activity(spark: SparkSession, path: str) -> DataFrame:
+    """Signals and approximate unique aircraft per hour from the batches' partial
+    rows (sums and mergeable sketches)."""
+    return spark.read.parquet(path).groupBy("window_start").agg(
+        F.sum("n").alias("n_signals"), F.hll_sketch_estimate(F.hll_union_agg("aircraft")).alias("approx_aircraft"))
+
+
+def event_time(col: str) -> F.Column:
+    """NTZ wall clock read as UTC, independent of the session time zone."""
+    return ntz_to_instant(col)

@@ -65,16 +65,26 @@ def test_geofence_matches_brute_force(spark, boxes, pts):
         assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
 
 
-@settings(max_examples=6, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 8), st.integers(0, 100)), max_size=15, unique_by=lambda r: r[0]),
-       st.lists(st.tuples(st.integers(0, 8), st.integers(0, 100)), max_size=15, unique_by=lambda r: r[0]))
-def test_merge_matches_dict_update(spark, target, batch):
-    t = spark.createDataFrame(target, "k int, v int")
-    b = spark.createDataFrame(batch, "k int, v int")
-    want = dict(target)
-    want.update(dict(batch))
-    assert sorted(map(tuple, merge_frames(t, b, "k").collect())) == sorted(want.items())
-    newest = dict(target)
-    for k, v in batch:
-        newest[k] = max(v, newest.get(k, v))
-    assert sorted(map(tuple, merge_frames(t, b, "k", order_col="v").collect())) == sorted(newest.items())
+versions = st.lists(st.tuples(st.integers(0, 6), st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 9)), max_size=15)
+
+
+@settings(max_examples=8, deadline=None)
+@given(versions, versions)
+def test_merge_matches_brute_force(spark, target, batch):
+    """Keys repeat and orders tie: all rows of a key's newest version stay."""
+    t = spark.createDataFrame(target, "k int, o int, v int")
+    b = spark.createDataFrame(batch, "k int, o int, v int")
+
+    def newest(rows):
+        rank = lambda r: (r[1] is not None, r[1] or 0, r[3])
+        best = {}
+        for r in rows:
+            best[r[0]] = max(best.get(r[0], rank(r)), rank(r))
+        return sorted((r[:3] for r in rows if rank(r) == best[r[0]]), key=str)
+
+    both = [(*r, 0) for r in target] + [(*r, 1) for r in batch]
+    assert sorted(map(tuple, merge_frames(t, b, "k", ["o"]).collect()), key=str) == newest(both)
+    assert sorted(map(tuple, merge_frames(None, b, "k", ["o"]).collect()), key=str) == newest([(*r, 1) for r in batch])
+    keys = {r[0] for r in batch}
+    assert sorted(map(tuple, merge_frames(t, b, "k").collect()), key=str) == sorted(
+        [r for r in target if r[0] not in keys] + list(batch), key=str)

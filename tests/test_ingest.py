@@ -35,10 +35,14 @@ def test_lines_layout(spark, tmp_dir):
 def test_empty_and_malformed_files(spark, tmp_dir):
     with open(os.path.join(tmp_dir, "empty.json"), "w") as fh:
         fh.write("[]")
-    with open(os.path.join(tmp_dir, "bad.json"), "w") as fh:
-        fh.write("[[\"e4\", 1, ")
     write_document(os.path.join(tmp_dir, "ok.json"), F1_ROWS[:2])
     assert _typed(spark, tmp_dir).count() == 2
+    with open(os.path.join(tmp_dir, "bad.json"), "w") as fh:
+        fh.write("[[\"e4\", 1, ")
+    with pytest.raises(Exception, match="MALFORMED INPUT"):
+        _typed(spark, tmp_dir).collect()
+    skipped = ingest.read_state_vectors(spark, tmp_dir, on_malformed="skip")
+    assert skipped.count() == 2
     bad = ingest.malformed_inputs(spark, tmp_dir).collect()
     assert len(bad) == 1 and bad[0].source_file.endswith("bad.json")
 
@@ -71,16 +75,18 @@ def test_malformed_number_becomes_null_and_is_counted(spark, tmp_dir):
 def test_unwrap_states_envelope_cases(spark):
     docs = [json.dumps({"time": 1, "states": F1_ROWS[:2]}), json.dumps({"time": 2}),
             json.dumps({"time": 3, "states": None}), json.dumps({"time": 4, "states": []})]
-    df = spark.createDataFrame([(d,) for d in docs], "value string")
+    df = spark.createDataFrame([(d,) for d in docs + ["", " "]], "value string")
     out = ingest.typed_projection(ingest.unwrap_states(df), keep=["poll_time"])
     assert [r.poll_time for r in out.collect()] == [1, 1]
+    with pytest.raises(Exception):
+        ingest.unwrap_states(spark.createDataFrame([('{"time": 5, "sta',)], "value string")).collect()
 
 
 def test_processing_date_and_scan_partition(spark, tmp_dir):
     df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], "id int, d string")
     df = df.withColumn("d", F.col("d").cast("date"))
     df.write.partitionBy("d").parquet(tmp_dir + "/t")
-    one = ingest.scan_partition(spark, tmp_dir + "/t", "d", F.lit("2024-01-02").cast("date"))
+    one = ingest.scan_partition(spark, tmp_dir + "/t", "d", "2024-01-02")
     rows = one.collect()
     assert len(rows) == 1 and str(rows[0].d) == "2024-01-02"      # partition column kept
     stamped = ingest.with_processing_date(df, "2024-02-01")

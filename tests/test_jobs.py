@@ -4,6 +4,7 @@ declared checks report as expected."""
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from aerolake import jobs
@@ -22,17 +23,19 @@ def test_two_loads_end_to_end(spark, tmp_dir):
     write_document(os.path.join(day2, "flights_3.json"), F1_ROWS[4:] + [newer])
     pq, raw, root = fresh_path(spark, "pq"), fresh_path(spark, "raw"), fresh_path(spark, "wh")
 
-    assert jobs.ingest(spark, day1, pq, "2026-01-29") == {"rows_in": 4, "rows_out": 4}
+    assert jobs.ingest(spark, day1, pq, "2026-01-29", "p1") == {
+        "rows_in": 4, "malformed": 0, "bad_width": 0, "failed_casts": 0, "rows_out": 4}
     assert jobs.load(spark, pq, "2026-01-29", raw, "2026-01-29 10:00:00") == 4
     report1 = {(r.model, r.check_name, r.column_name): r.violations for r in jobs.build(spark, raw, root).collect()}
-    assert jobs.ingest(spark, day2, pq, "2026-01-30") == {"rows_in": 3, "rows_out": 3}
-    assert jobs.load(spark, pq, "2026-01-30", raw, "2026-01-30 10:00:00") == 3
+    assert jobs.ingest(spark, day2, pq, "2026-01-30")["rows_out"] == 3
+    for _ in range(2):                                                            # a repeated load replaces itself
+        assert jobs.load(spark, pq, "2026-01-30", raw, "2026-01-30 10:00:00") == 3
     assert jobs.load(spark, pq, "2026-02-01", raw) == 0                            # nothing landed that day
     assert jobs.read_mark(spark, root) == "2026-01-29 10:00:00"
     report2 = jobs.build(spark, raw, root).collect()
     assert jobs.read_mark(spark, root) == "2026-01-30 10:00:00"
     report3 = jobs.build(spark, raw, root).collect()                           # nothing new: no-op upsert
-    assert jobs.read_mark(spark, root) == "2026-01-30 10:00:00" and len(report3) == 19
+    assert jobs.read_mark(spark, root) == "2026-01-30 10:00:00" and len(report3) == 19 and all(r.passed for r in report3)
 
     fct = spark.read.parquet(f"{root}/gold/fct_flights")
     assert fct.count() == 6
@@ -62,7 +65,7 @@ def test_incremental_builds_equal_a_full_build(spark):
         part.write.mode("append").parquet(raw)
         jobs.build(spark, raw, root)
         prev = cut
-    full = B.build_star(spark, bronze, materialize=None)
+    full = B.build_star(spark, bronze, materialize=False)
 
     def rows(df):
         return sorted(map(tuple, df.collect()), key=str)
@@ -71,3 +74,67 @@ def test_incremental_builds_equal_a_full_build(spark):
     assert rows(spark.read.parquet(f"{root}/gold/dim_calendar")) == rows(full.calendar)
     stg_cols = full.stg.columns
     assert rows(spark.read.parquet(f"{root}/silver/stg_flights").select(*stg_cols)) == rows(full.stg)
+
+
+def test_polls_of_a_day_stay_side_by_side(spark, tmp_dir):
+    a, b = os.path.join(tmp_dir, "a"), os.path.join(tmp_dir, "b")
+    os.makedirs(a)
+    os.makedirs(b)
+    write_document(os.path.join(a, "1.json"), F1_ROWS[:2])
+    write_document(os.path.join(b, "2.json"), F1_ROWS[2:3])
+    pq, raw = fresh_path(spark, "pq"), fresh_path(spark, "raw")
+    for poll, batch in ((a, "p1"), (b, "p2"), (b, "p2")):
+        jobs.ingest(spark, poll, pq, "2026-01-29", batch)
+    assert spark.read.parquet(pq).count() == 3
+    assert jobs.load(spark, pq, "2026-01-29", raw, "2026-01-29 10:00:00", "p1") == 2
+    assert jobs.load(spark, pq, "2026-01-29", raw, "2026-01-29 10:05:00", "p2") == 1
+    assert spark.read.parquet(raw).select("id_surrogate").distinct().count() == 3
+
+
+def test_broken_input_aborts_or_is_quarantined(spark, tmp_dir):
+    only_bad, empty, mixed = (os.path.join(tmp_dir, x) for x in ("bad", "empty", "mixed"))
+    for folder in (only_bad, empty, mixed):
+        os.makedirs(folder)
+    for folder in (only_bad, mixed):
+        with open(os.path.join(folder, "cut.json"), "w") as fh:
+            fh.write('[["e4", 1, ')
+    write_document(os.path.join(empty, "e.json"), [])
+    write_document(os.path.join(mixed, "ok.json"), F1_ROWS[:3] + [F1_ROWS[3][:16]])
+    pq = fresh_path(spark, "pq")
+    for folder in (only_bad, mixed):
+        with pytest.raises(jobs.ContractBroken):
+            jobs.ingest(spark, folder, pq, "2026-01-29", "p")
+    assert jobs.ingest(spark, empty, pq, "2026-01-29", "p")["rows_in"] == 0           # a no-op
+    assert jobs.load(spark, pq, "2026-01-29", fresh_path(spark, "raw")) == 0
+    out = jobs.ingest(spark, only_bad, pq, "2026-01-29", "p", on_violation="quarantine")
+    assert (out["rows_in"], out["malformed"], out["rows_out"]) == (1, 1, 0)
+    for _ in range(2):
+        out = jobs.ingest(spark, mixed, pq, "2026-01-29", "q", on_violation="quarantine")
+    assert (out["rows_in"], out["malformed"], out["bad_width"], out["rows_out"]) == (5, 1, 1, 3)
+    assert spark.read.json(f"{pq}_quarantine").count() == 3 and spark.read.parquet(pq).count() == 3
+
+
+def test_build_with_null_ids_and_times_equals_the_full_build(spark):
+    from aerolake.plans import build as B
+    from aerolake.plans import telemetry
+    from aerolake.plans.fact import FACT_COLUMNS
+    bronze = telemetry.bronze(spark, "/root/testdata/sf0.001").withColumns({
+        "time_position": F.when(F.expr("event_id % 17 <> 0"), F.col("time_position")),
+        "icao24": F.when(F.expr("event_id % 19 <> 0"), F.col("icao24"))})
+    raw, root = fresh_path(spark, "raw"), fresh_path(spark, "wh")
+    middle = F.lit("2024-01-15").cast("timestamp_ntz")
+    for part in (F.col("inserted_at") < middle, F.col("inserted_at") >= middle):
+        bronze.where(part).write.mode("append").parquet(raw)
+        report = {(r.model, r.check_name, r.column_name): r.violations for r in jobs.build(spark, raw, root).collect()}
+        assert report[("fct_flights", "not_null", "flight_pk")] > 0      # reported, not fatal
+    full = B.build_star(spark, bronze, materialize=False)
+
+    def rows(df):
+        return sorted(map(tuple, df.collect()), key=str)
+    assert rows(spark.read.parquet(f"{root}/silver/stg_flights").select(*full.stg.columns)) == rows(full.stg)
+    fact = spark.read.parquet(f"{root}/gold/fct_flights").select(*FACT_COLUMNS)
+    assert rows(fact) == rows(full.fct.where("flight_pk is not null"))
+    aside = spark.read.parquet(f"{root}/gold/fct_flights_rejected")
+    assert aside.where("flight_pk is null").count() == aside.count() >= full.fct.where("flight_pk is null").count()
+    checked = {(r.model, r.check_name, r.column_name): r.violations for r in jobs.build(spark, raw, root, full_checks=True).collect()}
+    assert checked[("fct_flights", "unique", "flight_pk")] == 0

@@ -3,9 +3,8 @@
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from aerolake.operators.incremental import touched_partitions_filter
 from aerolake.session import fresh_path
-from aerolake.sources import ingest
+from aerolake.sources import ingest, sinks
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,24 +23,40 @@ def test_flagship_prunes_columns_and_limits_before_shuffle(spark):
     assert "ExistingRDD" not in plan                                          # no Python-built relation
 
 
-def test_partition_reads_are_pruned(spark):
+def test_partition_reads_list_one_folder(spark):
     path = fresh_path(spark, "pp")
     spark.range(1000).select((F.col("id") % 10).alias("d"), "id").write.partitionBy("d").parquet(path)
-    plan = _plan(ingest.scan_partition(spark, path, "d", 3))
-    assert "PartitionFilters: [isnotnull(d" in plan and "(d#" in plan and "= 3)" in plan
-    cond = touched_partitions_filter([3, 4, None], "d")
-    df2 = spark.read.parquet(path).filter(cond)
-    plan2 = _plan(df2)
-    pf = [ln.split("PartitionFilters:")[1] for ln in plan2.splitlines() if "PartitionFilters" in ln][0]
-    assert "IN (3,4)" in pf and "isnull(d" in pf
-    assert df2.count() == 200
-
-
-def test_star_scans_silver_once(spark):
-    df = entry.queries()["star_join"](spark, SF)
+    df = ingest.scan_partition(spark, path, "d", 3)
+    assert df.count() == 100 and df.columns == ["id", "d"]
+    assert all("/d=3/" in f for f in df.inputFiles())
+    assert ingest.scan_partition(spark, path, "d", 77).count() == 0
+
+
+def test_star_reads_pruned_silver(spark):
+    df = entry.queries()["rollup_geo"](spark, SF)
     plan = _plan(df)
-    assert plan.count("Scan parquet") == 0      # silver comes from the checkpoint, not re-deduplicated
-    assert plan.count("Window") == 0
+    assert "Window" not in plan                 # silver is read back, not deduplicated again
+    scans = [ln for ln in plan.splitlines() if "ReadSchema" in ln]
+    assert scans and all("callsign" not in ln for ln in scans)
+    sliced = _plan(entry.queries()["slice_star"](spark, SF))
+    assert "PushedFilters: [" in sliced
+
+
+def test_partitioned_write_has_few_files(spark):
+    """About one file for a small date, several for a hot one."""
+    import os
+    path = fresh_path(spark, "files")
+    df = spark.range(200_000, numPartitions=16).select(
+        "id", F.sha2(F.col("id").cast("string"), 256).alias("pad"),
+        F.when(F.col("id") < 180_000, 0).otherwise(F.col("id") % 30).alias("d"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        sinks.write_partitions(df, path, "d")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {d: len([f for f in os.listdir(os.path.join(path.replace("file:", ""), d)) if f.endswith(".parquet")])
+             for d in os.listdir(path.replace("file:", "")) if d.startswith("d=")}
+    assert files.pop("d=0") > 1 and len(files) == 29 and sum(files.values()) <= 2 * len(files)
 
 
 def test_near_any_pushes_a_range_superset_to_parquet(spark):

@@ -35,6 +35,34 @@ def test_document_writer_round_trip(spark):
     assert back.count() == len(F1_ROWS)
 
 
+def test_document_writer_spreads_equal_rows(spark):
+    one = bronze_rows(spark).select(*sinks.STATE_VECTOR_NAMES).limit(1)
+    equal = one.crossJoin(spark.range(500)).drop("id")
+    path = fresh_path(spark, "docs")
+    sinks.write_state_vector_documents(equal, path, rows_per_file=100)
+    sizes = [r.n for r in spark.read.text(path, wholetext=True).selectExpr(
+        "size(from_json(value, 'array<array<string>>')) AS n").collect()]
+    assert sum(sizes) == 500 and len(sizes) == 5 and max(sizes) < 200
+
+
+def test_replaced_table_recovers(spark):
+    from aerolake import storage
+    root = fresh_path(spark, "swap")
+    path = f"{root}/t"
+    storage.replace_table(spark.range(3).toDF("a"), path)
+    out = storage.replace_table(spark.read.parquet(path).selectExpr("a + 10 AS a"), path)     # reads what it replaces
+    assert sorted(r.a for r in out.collect()) == [10, 11, 12]
+    # stopped after the old table was moved away and the new one complete
+    spark.range(2).toDF("a").write.parquet(f"{root}/_t.new")
+    storage.rename(spark, path, f"{root}/_t.old")
+    storage.recover_table(spark, path)
+    assert spark.read.parquet(path).count() == 2 and not storage.path_exists(spark, f"{root}/_t.old")
+    # stopped before the new one was complete
+    storage.rename(spark, path, f"{root}/_t.old")
+    storage.recover_table(spark, path)
+    assert spark.read.parquet(path).count() == 2
+
+
 def test_bronze_defaults_unique_ids(spark):
     df = spark.range(1000).repartition(7)
     out = sinks.with_bronze_columns(df, "2024-02-01 00:00:00", id_offset=500)
@@ -87,21 +115,6 @@ def test_source_resolves_declared_names(spark):
     assert source(spark, {"raw.flights_raw": "flights_raw_view"}, "raw", "flights_raw").count() == 5
 
 
-def test_one_date_batch_is_written_by_many_tasks(spark):
-    # AQE would merge these tiny ranges into one task (right for small data);
-    # switched off here to see how a large single-date batch is spread.
-    path = fresh_path(spark, "hotday")
-    df = spark.range(20000).select("id", F.lit("2024-01-01").cast("date").alias("d"))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        sinks.write_partitions(df, path, "d")
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    files = [f for f in os.listdir(os.path.join(path.replace("file:", ""), "d=2024-01-01")) if f.endswith(".parquet")]
-    assert len(files) > 1                       # not one task holding the whole day
-    assert spark.read.parquet(path).count() == 20000
-
-
 def test_observed_counts_exact_through_partitioned_write(spark):
     rec = sinks.Reconciliation()
     df = rec.tap_out(rec.tap_in(spark.range(5000)).select("id", F.lit("2024-01-01").cast("date").alias("d")))

@@ -1,5 +1,8 @@
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from aerolake.plans import build, fact, telemetry
 from aerolake.session import fresh_path
 from aerolake.sources import sinks
@@ -67,15 +70,56 @@ def test_stream_dedup_and_hourly(spark):
     src = fresh_path(spark, "b")
     bronze.write.parquet(src)
     from aerolake.functions.clean import typed_telemetry
-    typed = typed_telemetry(S.open_stream(spark, "parquet", src, schema=bronze.schema))
+    typed = lambda: typed_telemetry(S.open_stream(spark, "parquet", src, schema=bronze.schema))
     out, ckpt = fresh_path(spark, "d"), fresh_path(spark, "ckpt")
-    S.drain(S.stream_dedup(typed, ["aircraft_id", "position_timestamp"], "position_timestamp")
-            .select("aircraft_id", "position_timestamp"), ckpt, out)
+    writer = S.dedup_writer(out, ["aircraft_id", "position_timestamp"], "position_timestamp")
+    S.drain(typed(), ckpt, foreach_batch=writer)
+    assert spark.read.parquet(out).count() == 6
+    writer(typed_telemetry(bronze), 99)                     # everything again, however late: nothing new
     assert spark.read.parquet(out).count() == 6
     out2, ckpt2 = fresh_path(spark, "h"), fresh_path(spark, "ckpt")
-    typed2 = typed_telemetry(S.open_stream(spark, "parquet", src, schema=bronze.schema))
-    S.drain(S.hourly_activity(typed2, "position_timestamp"), ckpt2, foreach_batch=S.complete_table_writer(out2),
-            output_mode="complete")
-    hours = {str(r.window_start): (r.n_signals, r.approx_aircraft) for r in spark.read.parquet(out2).collect()}
-    assert hours["2026-01-17 21:00:00"] == (6, 3)
-    assert sum(v[0] for v in hours.values()) == 12
+    hourly = S.hourly_writer(out2, "position_timestamp")
+    S.drain(typed(), ckpt2, foreach_batch=hourly)
+    hourly(typed_telemetry(bronze_rows(spark)), 7)
+    hourly(typed_telemetry(bronze_rows(spark)), 7)          # a retried batch replaces itself
+    hours = {str(r.window_start): (r.n_signals, r.approx_aircraft) for r in S.hourly_activity(spark, out2).collect()}
+    assert hours["2026-01-17 21:00:00"] == (9, 3)
+    assert sum(v[0] for v in hours.values()) == 18
+
+
+def test_broken_messages_abort_or_are_set_aside(spark):
+    good = bronze_rows(spark).select(*sinks.STATE_VECTOR_NAMES)
+    src = fresh_path(spark, "topic")
+    sinks.publish(good, fmt="text", path=src)
+    spark.createDataFrame([('["cut", 1',), ('["short", 2]',)], "value string").coalesce(1).write.mode("append").text(src)
+    with pytest.raises(Exception):
+        S.drain(S.ingest_messages(S.open_stream(spark, "text", src)), fresh_path(spark, "c"), fresh_path(spark, "o"))
+    ok, aside = fresh_path(spark, "ok"), fresh_path(spark, "aside")
+    S.drain(S.open_stream(spark, "text", src), fresh_path(spark, "c"), foreach_batch=S.quarantine_writer(ok, aside))
+    assert spark.read.parquet(ok).count() == 6
+    assert {(r.value, r.problem) for r in spark.read.parquet(aside).collect()} == {
+        ('["cut", 1', "malformed"), ('["short", 2]', "width")}
+
+
+def test_progress_counts_every_batch(spark):
+    src = fresh_path(spark, "many")
+    spark.range(12).selectExpr("cast(id AS string) AS value").repartition(6).write.text(src)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        stream = S.open_stream(spark, "text", src, options={"maxFilesPerTrigger": "1"})
+        done = S.drain(stream, fresh_path(spark, "c"), fresh_path(spark, "o"))
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert done == {"batches": 6, "input_rows": 12}
+
+
+def test_stream_ties_end_as_in_a_batch(spark):
+    """One load split over two micro-batches, the greater id first."""
+    rows = bronze_rows(spark)
+    low = rows.withColumn("velocity", F.lit(1.0))
+    high = rows.withColumn("velocity", F.lit(2.0)).withColumn("id_surrogate", F.col("id_surrogate") + 1000)
+    path = fresh_path(spark, "fct")
+    writer = S.fact_upsert_writer(spark, path)
+    writer(high, 0)
+    writer(low, 1)
+    assert {r.speed_kmh for r in spark.read.parquet(path).collect()} == {2.0}
