@@ -86,8 +86,6 @@ DECLARED_STATUS_VALUES = ["No solo", "Em voo"]
 ALTERNATIVE_STATUS_VALUES = ["Taxiando/Parado", "Decolagem/Pouso",
                              "Baixa Altitude (Aproximacao)", "Voo de Cruzeiro"]
 SPEED_RANGE = (0, 1300)
-LATITUDE_RANGE = (-90, 90)
-LONGITUDE_RANGE = (-180, 180)
 
 # --- period of day (hierarchy level without published limits; our default) ---
 DAY_PERIODS = [("Manhã", 5, 11), ("Tarde", 12, 17)]

@@ -8,14 +8,15 @@
                         the cells it touches, the range test stays a residual
                         join condition, so LEFT semantics and multiplicity hold.
 
-Broadcasts happen only behind a row-count check of the box side (boxes are
-a dimension: they do not grow with the points).  Beyond the limit the cell
-join shuffles with a salt so that a hot cell (one airport can hold a third
-of all signals) is spread over ``salt_buckets`` tasks.
+A box lies on the grid level whose cells are at least its size, so it touches
+four cells at most however unequal the boxes are; a point probes each level once.
+Joins carry no hints: adaptive execution broadcasts what it measures as small and
+splits the partitions of a hot cell (one airport can hold a third of all signals).
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 from aerolake.constants import GEOFENCE_MARGIN_DEG, PRODUCER_CENTRES, PRODUCER_MAX_DEG
 
 NESTED_LOOP_MAX_BOXES = 16          # beyond this, per-point work favours the grid
-MAX_BROADCAST_ROWS = 200_000        # box / cell rows we accept to broadcast
-DEFAULT_CELL_DEG = 0.25
+LEVEL_FACTOR = 8                    # cell size from one grid level to the next
+LEAST_CELL_DEG = 1e-4
 
 _P = "__g_"                         # prefix for box-side helper columns
 
@@ -63,19 +64,10 @@ def near_any(df: DataFrame, centres=None, max_deg: float = PRODUCER_MAX_DEG,
         F.col("c_lat").alias(_P + "c_lat"), F.col("c_lon").alias(_P + "c_lon"),
         (F.col("c_lat") - max_deg - pad).alias(_P + "lo_lat"), (F.col("c_lat") + max_deg + pad).alias(_P + "hi_lat"),
         (F.col("c_lon") - max_deg - pad).alias(_P + "lo_lon"), (F.col("c_lon") + max_deg + pad).alias(_P + "hi_lon"))
-    cells = _explode_cells(boxes, max(2 * max_deg, 1e-6))
+    cell = max(2 * max_deg, 1e-6)
     cond = ((F.abs(F.col(lat) - F.col(_P + "c_lat")) < max_deg)
             & (F.abs(F.col(lon) - F.col(_P + "c_lon")) < max_deg))
-    return _cell_join(base, cells, cond, "left_semi", lat, lon, max(2 * max_deg, 1e-6))
-
-
-def in_centre_boxes(centres=None, max_deg: float = PRODUCER_MAX_DEG,
-                    lat: str = "latitude", lon: str = "longitude") -> Column:
-    """Array of centre names whose strict box holds the point (tagging)."""
-    centres = centres if centres is not None else PRODUCER_CENTRES
-    tags = [F.when((F.abs(F.col(lat) - c_lat) < max_deg) & (F.abs(F.col(lon) - c_lon) < max_deg), F.lit(name))
-            for name, (c_lat, c_lon) in centres.items()]
-    return F.filter(F.array(*tags), lambda x: x.isNotNull())
+    return _cell_join(base, _explode_cells(boxes, cell), cond, "left_semi", lat, lon, cell)
 
 
 # --------------------------------------------------------------------------- J1/J2
@@ -106,107 +98,93 @@ def _explode_cells(boxes: DataFrame, cell: float) -> DataFrame:
             .withColumn(_P + "cell_lon", F.explode(F.sequence(idx(_P + "lo_lon"), idx(_P + "hi_lon")))))
 
 
-def auto_cell_deg(boxes: DataFrame, margin: float = 0.0, lo: float = 1e-4, hi: float = 10.0) -> float:
-    """Grid cell size from the boxes: their median extent (one aggregate over
-    the box dimension), clamped.  Cells about one box wide keep both the
-    cells per box (~4) and the boxes per cell (local density) small."""
-    ext = F.greatest(F.col("lat_max") - F.col("lat_min"), F.col("lon_max") - F.col("lon_min")) + 2 * margin
-    med = boxes.agg(F.percentile_approx(ext.cast("double"), 0.5).alias("m")).first()["m"]
-    return DEFAULT_CELL_DEG if med is None or med <= 0 else float(min(max(med, lo), hi))
+def _levels(boxes: DataFrame) -> list[tuple[float, DataFrame]]:
+    """(cell size, boxes) of each grid level that has boxes: the least size, from
+    ``LEAST_CELL_DEG`` up by ``LEVEL_FACTOR``, that a box fits in (seven levels
+    reach beyond the globe)."""
+    extent = F.greatest(F.col(_P + "hi_lat") - F.col(_P + "lo_lat"), F.col(_P + "hi_lon") - F.col(_P + "lo_lon"))
+    level = F.greatest(F.lit(0), F.ceil(F.log(F.greatest(extent, F.lit(LEAST_CELL_DEG)) / LEAST_CELL_DEG)
+                                        / math.log(LEVEL_FACTOR))).cast("int")
+    leveled = boxes.withColumn(_P + "level", level)
+    found = sorted(r[0] for r in leveled.select(_P + "level").where(F.col(_P + "level").isNotNull()).distinct().collect())
+    return [(LEAST_CELL_DEG * LEVEL_FACTOR ** k, leveled.where(F.col(_P + "level") == k).drop(_P + "level")) for k in found]
 
 
-def _point_cell(lat: str, lon: str, cell: float) -> list[Column]:
-    return [F.floor(F.col(lat) / F.lit(cell)).cast("long").alias(_P + "pcell_lat"),
-            F.floor(F.col(lon) / F.lit(cell)).cast("long").alias(_P + "pcell_lon")]
-
-
-def _cell_join(points: DataFrame, cells: DataFrame, cond: Column, how: str, lat: str, lon: str,
-               cell: float, max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-               salt_buckets: int = 32, n_cells: int | None = None) -> DataFrame:
+def _cell_join(points: DataFrame, cells: DataFrame, cond: Column, how: str, lat: str, lon: str, cell: float) -> DataFrame:
     """Equi-join on the point's cell with ``cond`` as residual condition."""
-    pts = points.select("*", *_point_cell(lat, lon, cell))
+    pts = points.select("*", F.floor(F.col(lat) / F.lit(cell)).cast("long").alias(_P + "pcell_lat"),
+                        F.floor(F.col(lon) / F.lit(cell)).cast("long").alias(_P + "pcell_lon"))
     key = ((F.col(_P + "pcell_lat") == F.col(_P + "cell_lat"))
            & (F.col(_P + "pcell_lon") == F.col(_P + "cell_lon")))
-    n_cells = cells.count() if n_cells is None else n_cells
-    if n_cells <= max_broadcast_rows:
-        joined = pts.join(F.broadcast(cells), key & cond, how)
-    else:
-        # Deterministic salt from the point's own values (safe on task retry);
-        # each cell row is replicated once per salt value.
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in points.columns]), F.lit(salt_buckets))
-        pts = pts.withColumn(_P + "salt", salt)
-        cells = cells.withColumn(_P + "csalt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))))
-        joined = pts.join(cells, key & (F.col(_P + "salt") == F.col(_P + "csalt")) & cond, how)
-    return joined.drop(*[c for c in joined.columns if c.startswith(_P + "pcell") or c.endswith("salt")
-                         and c.startswith(_P)])
+    return pts.join(cells, key & cond, how).drop(_P + "pcell_lat", _P + "pcell_lon")
 
 
 def geofence_join(points: DataFrame, boxes: DataFrame, margin: float = GEOFENCE_MARGIN_DEG,
                   multi: str = "all", lat: str = "latitude", lon: str = "longitude",
                   keep=("airport_code",), strategy: str = "auto", order_col: str | None = None,
-                  cell_deg: float | None = None, n_boxes: int | None = None,
-                  max_broadcast_rows: int = MAX_BROADCAST_ROWS, salt_buckets: int = 32) -> DataFrame:
+                  n_boxes: int | None = None, nested_loop_max: int = NESTED_LOOP_MAX_BOXES) -> DataFrame:
     """LEFT join of points to boxes: ``lo - margin <= lat <= hi + margin`` on
     both axes.  Unmatched points keep NULL box columns; a point inside two
     boxes yields two rows (``multi="all"``) or only the box with the lowest
     ``order_col`` (``multi="first"``).
 
-    ``strategy``: ``"nested_loop"`` (broadcast theta join, few boxes),
-    ``"grid"`` (cell equi-join), or ``"auto"`` (decided on the box count).
-    ``n_boxes`` may be passed when the caller knows it (constant dims);
-    ``cell_deg=None`` sizes the grid from the boxes.
+    ``strategy``: ``"nested_loop"`` (broadcast theta join; taken for up to
+    ``nested_loop_max`` boxes only), ``"grid"`` (cell equi-join), or ``"auto"``.
+    ``n_boxes`` may be passed when the caller knows it (constant dims).
     """
     keep = list(keep)
+    if multi == "first":
+        return _geofence_first(points, boxes, margin, lat, lon, keep, order_col)
     if n_boxes is None:
         n_boxes = boxes.count()       # a dimension: cheap, and bounds the broadcast
-    if strategy == "auto":
-        strategy = "nested_loop" if (n_boxes <= NESTED_LOOP_MAX_BOXES and multi == "all") else "grid"
-    if multi == "first":
-        return _geofence_first(points, boxes, margin, lat, lon, keep, order_col, cell_deg)
-    if strategy == "nested_loop":
-        if n_boxes > max_broadcast_rows:
-            raise ValueError(f"{n_boxes} boxes exceed the broadcast limit; use strategy='grid'")
-        b = _prepared_boxes(boxes, margin, keep, None)
-        out = points.join(F.broadcast(b), _closed_cond(lat, lon), "left")
-    else:
-        out = geofence_join_grid(points, boxes, margin, lat, lon, keep, cell_deg,
-                                 max_broadcast_rows, salt_buckets, rename=False)
+    if strategy == "grid" or n_boxes > nested_loop_max:
+        return geofence_join_grid(points, boxes, margin, lat, lon, keep)
+    b = _prepared_boxes(boxes, margin, keep, None)
+    out = points.join(F.broadcast(b), _closed_cond(lat, lon), "left")
     return out.select(*points.columns, *[F.col(_P + k).alias(k) for k in keep])
 
 
 def geofence_join_grid(points: DataFrame, boxes: DataFrame, margin: float = GEOFENCE_MARGIN_DEG,
-                       lat: str = "latitude", lon: str = "longitude", keep=("airport_code",),
-                       cell_deg: float | None = DEFAULT_CELL_DEG, max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                       salt_buckets: int = 32, rename: bool = True) -> DataFrame:
-    """``cell_deg=None`` sizes the grid from the boxes (``auto_cell_deg``)."""
+                       lat: str = "latitude", lon: str = "longitude", keep=("airport_code",)) -> DataFrame:
+    """The join on grid cells.  Boxes of one level: one LEFT join.  Of several:
+    the matches of each level, and the points that match on none."""
     keep = list(keep)
-    if cell_deg is None:
-        cell_deg = auto_cell_deg(boxes, margin)
-    b = _prepared_boxes(boxes, margin, keep, None)
-    cells = _explode_cells(b, cell_deg)
-    out = _cell_join(points, cells, _closed_cond(lat, lon), "left", lat, lon, cell_deg,
-                     max_broadcast_rows, salt_buckets)
-    if not rename:
-        return out
-    return out.select(*points.columns, *[F.col(_P + k).alias(k) for k in keep])
-
-
-def _geofence_first(points, boxes, margin, lat, lon, keep, order_col, cell_deg):
+    levels = _levels(_prepared_boxes(boxes, margin, keep, None))
+    kinds = {f.name: f.dataType for f in boxes.schema.fields}
+    inside = _closed_cond(lat, lon)
+    found = [F.col(_P + k).alias(k) for k in keep]
+    if len(levels) == 1:
+        cell, some = levels[0]
+        return _cell_join(points, _explode_cells(some, cell), inside, "left", lat, lon, cell).select(*points.columns, *found)
+    rest, parts = points, []
+    for cell, some in levels:
+        cells = _explode_cells(some, cell)
+        parts.append(_cell_join(points, cells, inside, "inner", lat, lon, cell).select(*points.columns, *found))
+        rest = _cell_join(rest, cells, inside, "left_anti", lat, lon, cell)
+    none = rest.select(*points.columns, *[F.lit(None).cast(kinds[k]).alias(k) for k in keep])
+    return reduce(lambda a, b: a.unionByName(b), parts, none)
+
+
+def _geofence_first(points, boxes, margin, lat, lon, keep, order_col):
     """At most one box per point: the lowest ``order_col`` among the boxes
-    that hold it.  Boxes are grouped per cell into a candidate array (a
+    that hold it.  Boxes are grouped per level and cell into a candidate array (a
     dimension-side aggregate, sized by how many boxes overlap one cell), so
-    the point side is a plain many-to-one lookup with no dedup shuffle."""
-    if order_col is None:
-        order_col = keep[0]
-    if cell_deg is None:
-        cell_deg = auto_cell_deg(boxes, margin)
-    b = _prepared_boxes(boxes, margin, keep, order_col)
-    cells = _explode_cells(b, cell_deg)
-    fields = [_P + "order"] + [_P + k for k in keep] + [_P + x for x in ("lo_lat", "hi_lat", "lo_lon", "hi_lon")]
-    per_cell = (cells.groupBy(_P + "cell_lat", _P + "cell_lon")
-                .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(_P + "cands")))
-    joined = _cell_join(points, per_cell, F.lit(True), "left", lat, lon, cell_deg)
-    hit = F.get(F.filter(F.col(_P + "cands"), lambda s: (
-        F.col(lat).between(s[_P + "lo_lat"], s[_P + "hi_lat"])
-        & F.col(lon).between(s[_P + "lo_lon"], s[_P + "hi_lon"]))), 0)
-    return joined.select(*points.columns, *[hit[_P + k].alias(k) for k in keep])
+    the point side is a plain many-to-one lookup per level with no dedup shuffle."""
+    order_col = order_col or keep[0]
+    fields = [_P + "order"] + [_P + k for k in keep]
+    kinds = {f.name: f.dataType for f in boxes.schema.fields}
+    out, hits = points, []
+    for n, (cell, some) in enumerate(_levels(_prepared_boxes(boxes, margin, keep, order_col))):
+        cands = f"{_P}cands{n}"
+        per_cell = _explode_cells(some, cell).groupBy(_P + "cell_lat", _P + "cell_lon").agg(F.array_sort(F.collect_list(
+            F.struct(*fields, *(_P + x for x in ("lo_lat", "hi_lat", "lo_lon", "hi_lon"))))).alias(cands))
+        out = _cell_join(out, per_cell, F.lit(True), "left", lat, lon, cell).drop(_P + "cell_lat", _P + "cell_lon")
+        hit = F.get(F.filter(F.col(cands), lambda s: (
+            F.col(lat).between(s[_P + "lo_lat"], s[_P + "hi_lat"])
+            & F.col(lon).between(s[_P + "lo_lon"], s[_P + "hi_lon"]))), 0)
+        out = out.withColumn(f"{_P}hit{n}", F.when(hit.isNotNull(), F.struct(*(hit[f].alias(f) for f in fields)))).drop(cands)
+        hits.append(f"{_P}hit{n}")
+    if not hits:
+        return points.select("*", *[F.lit(None).cast(kinds[k]).alias(k) for k in keep])
+    best = F.array_min(F.filter(F.array(*hits), lambda h: h.isNotNull()))
+    return out.withColumn(_P + "best", best).select(*points.columns, *[F.col(_P + "best")[_P + k].alias(k) for k in keep])

@@ -227,11 +227,41 @@ def q_geofence_join_grid(spark, sf_dir):
     return geo.geofence_join_grid(_points(spark, sf_dir), dims.dim_airports(spark))
 
 
-@register("geofence_join_first", _GEO_SQL)
+# boxes of very unequal size that overlap, one per nation
+_BOXES_SQL = """SELECT concat('N', CAST(n_nationkey AS VARCHAR)) AS code, lat AS lat_min, lat + ext AS lat_max,
+  lon AS lon_min, lon + ext AS lon_max FROM (SELECT n_nationkey, CAST(-23.85 AS DOUBLE) + n_nationkey * CAST(0.037 AS DOUBLE) AS lat,
+  CAST(-47.35 AS DOUBLE) + n_nationkey * CAST(0.04 AS DOUBLE) AS lon,
+  CASE WHEN n_nationkey % 6 = 0 THEN CAST(0.4 AS DOUBLE) ELSE CAST(0.03 AS DOUBLE) END AS ext FROM nation)"""
+_INSIDE = ("t.latitude BETWEEN b.lat_min - CAST(0.005 AS DOUBLE) AND b.lat_max + CAST(0.005 AS DOUBLE) "
+           "AND t.longitude BETWEEN b.lon_min - CAST(0.005 AS DOUBLE) AND b.lon_max + CAST(0.005 AS DOUBLE)")
+
+
+def _nation_boxes(spark, sf_dir):
+    read_table(spark, sf_dir, "nation").createOrReplaceTempView("nation")
+    return spark.sql(_BOXES_SQL.replace("VARCHAR", "STRING"))
+
+
+@register("geofence_join_first", sql(
+    f"SELECT t.event_id, min(b.code) AS code FROM telemetry t LEFT JOIN ({_BOXES_SQL}) b ON {_INSIDE} GROUP BY t.event_id",
+    "telemetry"))
 def q_geofence_join_first(spark, sf_dir):
-    # boxes do not overlap, so the first-match form returns the same bag
-    return geo.geofence_join(_points(spark, sf_dir), dims.dim_airports(spark), multi="first",
-                             n_boxes=dims.N_AIRPORTS)
+    points = telemetry.telemetry(spark, sf_dir).select("event_id", "latitude", "longitude")
+    return geo.geofence_join(points, _nation_boxes(spark, sf_dir), multi="first", keep=["code"]).select("event_id", "code")
+
+
+_OVERLAP_SQL = sql(f"SELECT t.event_id, b.code FROM telemetry t LEFT JOIN ({_BOXES_SQL}) b ON {_INSIDE}", "telemetry")
+
+
+@register("geofence_overlap_all", _OVERLAP_SQL)
+def q_geofence_overlap_all(spark, sf_dir):
+    points = telemetry.telemetry(spark, sf_dir).select("event_id", "latitude", "longitude")
+    return geo.geofence_join(points, _nation_boxes(spark, sf_dir), keep=["code"], nested_loop_max=25).select("event_id", "code")
+
+
+@register("geofence_overlap_grid", _OVERLAP_SQL)
+def q_geofence_overlap_grid(spark, sf_dir):
+    points = telemetry.telemetry(spark, sf_dir).select("event_id", "latitude", "longitude")
+    return geo.geofence_join_grid(points, _nation_boxes(spark, sf_dir), keep=["code"]).select("event_id", "code")
 
 
 @register("star_join", sql("SELECT * FROM star", "star"))

@@ -21,12 +21,6 @@ def test_near_any_centres_strict_and_nulls(spark):
         _bag(geo.near_any(pts, max_or_terms=0), ["latitude", "longitude"])
 
 
-def test_centre_tags(spark):
-    pts = spark.createDataFrame([(-23.5, -46.55)], "latitude double, longitude double")
-    tags = pts.select(geo.in_centre_boxes().alias("t")).first().t
-    assert sorted(tags) == ["SBGR", "SBSP"]
-
-
 def test_geofence_edges_margin_and_origin(spark):
     pts = spark.createDataFrame([(-23.685, -46.6), (-23.6851, -46.6), (0.004, -0.005), (-23.5, -46.4)],
                                 "latitude double, longitude double")
@@ -48,28 +42,49 @@ def test_overlap_all_vs_first(spark):
     assert got == {(0.7, 0.7): "A", (1.5, 1.5): "B", (5.0, 5.0): None}
 
 
-def test_nested_loop_equals_grid_equals_salted(spark):
+def test_nested_loop_equals_grid(spark):
     rnd = random.Random(7)
     boxes = []
     for i in range(40):
         la, lo = rnd.uniform(-30, -20), rnd.uniform(-50, -40)
-        boxes.append((f"B{i}", la, la + rnd.uniform(0.01, 0.8), lo, lo + rnd.uniform(0.01, 0.8)))
+        size = rnd.choice([0.001, 0.05, 0.8, 6.0])
+        boxes.append((f"B{i}", la, la + rnd.uniform(0.5, 1) * size, lo, lo + rnd.uniform(0.5, 1) * size))
     bdf = spark.createDataFrame(boxes, BOX_DDL)
-    pts = spark.createDataFrame([(rnd.uniform(-31, -19), rnd.uniform(-51, -39)) for _ in range(4000)],
+    pts = spark.createDataFrame([(rnd.uniform(-31, -19), rnd.uniform(-51, -39)) for _ in range(3000)]
+                                + [(b[1], b[3]) for b in boxes] + [(None, -45.0), (0.0, None)],
                                 "latitude double, longitude double")
-    cols = ["latitude", "longitude", "airport_code"]
-    nl = _bag(geo.geofence_join(pts, bdf, strategy="nested_loop", margin=0.005), cols)
-    grid = _bag(geo.geofence_join_grid(pts, bdf, margin=0.005, cell_deg=0.3), cols)
-    salted = _bag(geo.geofence_join_grid(pts, bdf, margin=0.005, cell_deg=0.3, max_broadcast_rows=0,
-                                         salt_buckets=5), cols)
-    assert nl == grid == salted
+    bag = lambda df: sorted(map(tuple, df.select("latitude", "longitude", "airport_code").collect()), key=str)
+    nl = bag(geo.geofence_join(pts, bdf, margin=0.005, nested_loop_max=100))
+    assert nl == bag(geo.geofence_join_grid(pts, bdf, margin=0.005)) == bag(geo.geofence_join(pts, bdf, margin=0.005))
     assert sum(1 for r in nl if r[2] is not None) > 50
+    best = {}
+    for la, lo, code in nl:
+        best[(la, lo)] = min(code, best.get((la, lo), code)) if code else None
+    first = {(r.latitude, r.longitude): r.airport_code for r in geo.geofence_join(pts, bdf, margin=0.005, multi="first").collect()}
+    assert first == best
+
+
+def test_few_cells_however_unequal_the_boxes(spark):
+    rnd = random.Random(1)
+    boxes = [(f"S{i}", la, la + 0.01, lo, lo + 0.01) for i, (la, lo) in enumerate(
+        (rnd.uniform(-60, 60), rnd.uniform(-90, 90)) for _ in range(200))] + [("L", -80.0, 80.0, -170.0, 170.0)]
+    prepared = geo._prepared_boxes(spark.createDataFrame(boxes, BOX_DDL), 0.005, ["airport_code"], None)
+    levels = geo._levels(prepared)
+    assert len(levels) == 2
+    assert sum(geo._explode_cells(b, cell).count() for cell, b in levels) <= 4 * len(boxes)
 
 
 def test_grid_plan_is_hash_join(spark):
     pts = spark.createDataFrame([(-23.6, -46.6)], "latitude double, longitude double")
     plan = geo.geofence_join_grid(pts, dims.dim_airports(spark))._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_no_boxes(spark):
+    pts = spark.createDataFrame([(1.0, 2.0)], "latitude double, longitude double")
+    none = spark.createDataFrame([], BOX_DDL)
+    for out in (geo.geofence_join_grid(pts, none), geo.geofence_join(pts, none), geo.geofence_join(pts, none, multi="first")):
+        assert [tuple(r) for r in out.collect()] == [(1.0, 2.0, None)]
 
 
 def test_airport_dimension_rows(spark):
@@ -78,17 +93,3 @@ def test_airport_dimension_rows(spark):
     assert sorted(r.airport_code for r in d.collect()) == ["CGH", "GRU", "N/A", "VCP"]
     assert "ExistingRDD" not in d._jdf.queryExecution().executedPlan().toString()
     assert d.filter(F.col("airport_code") == "VCP").first().city == "Campinas"
-
-
-def test_auto_cell_size_same_result(spark):
-    rnd = random.Random(3)
-    boxes = [(f"T{i}", la, la + 0.002, lo, lo + 0.003)
-             for i, (la, lo) in enumerate((rnd.uniform(-1, 1), rnd.uniform(-1, 1)) for _ in range(60))]
-    bdf = spark.createDataFrame(boxes, BOX_DDL)
-    assert 0.002 <= geo.auto_cell_deg(bdf) <= 0.01
-    pts = spark.createDataFrame([(b[1] + 0.001, b[3] + 0.001) for b in boxes] + [(5.0, 5.0)],
-                                "latitude double, longitude double")
-    cols = ["latitude", "longitude", "airport_code"]
-    auto = _bag(geo.geofence_join_grid(pts, bdf, margin=0.0, cell_deg=None), cols)
-    nl = _bag(geo.geofence_join(pts, bdf, margin=0.0, strategy="nested_loop"), cols)
-    assert auto == nl and sum(1 for r in auto if r[2] is not None) >= 60

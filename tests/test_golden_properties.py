@@ -61,7 +61,7 @@ def test_geofence_matches_brute_force(spark, boxes, pts):
                 if (a - m) <= la <= (a + h + m) and (b - m) <= lo <= (b + w + m)]
         want += [(i, c) for c in hits] or [(i, None)]
     for strategy in ("nested_loop", "grid"):
-        got = geo.geofence_join(pdf, bdf, margin=m, strategy=strategy, cell_deg=0.7).select("pid", "airport_code")
+        got = geo.geofence_join(pdf, bdf, margin=m, strategy=strategy).select("pid", "airport_code")
         assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
 
 
