@@ -53,11 +53,18 @@ def q_read_state_vectors_lines(spark, sf_dir):
     return ingest.typed_projection(rows)
 
 
-@register("unwrap_states", sql(f"SELECT time_position AS poll_time, {SV_SQL_COLS} FROM telemetry", "telemetry"))
+@register("unwrap_states", sql(
+    f"SELECT time_position AS poll_time, {SV_SQL_COLS} FROM telemetry WHERE event_id % 23 <> 0 AND event_id % 29 <> 0 "
+    "AND event_id % 31 <> 0", "telemetry"))
 def q_unwrap_states(spark, sf_dir):
-    # one poll envelope per state: {"time": <t>, "states": [[...]]}
-    env = _vectors(spark, sf_dir).select(F.concat(F.lit('{"time":'), F.col("time_position").cast("string"), F.lit(',"states":['),
-                              sinks.json_array_text(sinks.STATE_VECTOR_NAMES), F.lit("]}")).alias("value"))
+    # one poll envelope per state: {"time": <t>, "states": [[...]]}; some without
+    # states, some with null, some with an empty list
+    head = F.concat(F.lit('{"time":'), F.col("time_position").cast("string"))
+    env = state_vectors(telemetry.telemetry(spark, sf_dir), keep=["event_id"]).select(
+        F.when(F.expr("event_id % 23 = 0"), F.concat(head, F.lit("}")))
+        .when(F.expr("event_id % 29 = 0"), F.concat(head, F.lit(',"states":null}')))
+        .when(F.expr("event_id % 31 = 0"), F.concat(head, F.lit(',"states":[]}')))
+        .otherwise(F.concat(head, F.lit(',"states":['), sinks.json_array_text(sinks.STATE_VECTOR_NAMES), F.lit("]}"))).alias("value"))
     path = fresh_path(spark, "poll-envelopes")
     env.write.text(path)
     rows = ingest.unwrap_states(spark.read.text(path))
@@ -177,6 +184,25 @@ def q_publish_messages(spark, sf_dir):
     return ingest.typed_projection(rows)
 
 
+# ------------------------------------------------------------------ S14
+@register("flight_legs", sql(
+    "SELECT trim(icao24) AS icao24, CAST(time_position AS INTEGER) AS \"firstSeen\", CAST(time_position + 3600 AS INTEGER) AS \"lastSeen\", "
+    "CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'SBGR' END AS \"estDepartureAirport\", trim(callsign) AS callsign, "
+    "CAST(event_id % 5 AS INTEGER) AS \"arrivalAirportCandidatesCount\", CAST(3600 AS BIGINT) AS seconds FROM telemetry", "telemetry"))
+def q_flight_legs(spark, sf_dir):
+    """Departure and arrival records as the endpoint delivers them, read back with the declared schema."""
+    legs = telemetry.telemetry(spark, sf_dir).select(
+        F.trim("icao24").alias("icao24"), F.col("time_position").alias("firstSeen"),
+        (F.col("time_position") + 3600).alias("lastSeen"),
+        F.when(F.expr("event_id % 4 <> 0"), "SBGR").alias("estDepartureAirport"), F.trim("callsign").alias("callsign"),
+        (F.col("event_id") % 5).alias("arrivalAirportCandidatesCount"), F.lit("unknown").alias("extra"))
+    path = fresh_path(spark, "legs")
+    legs.write.json(path)
+    got = ingest.read_flight_legs(spark, path)
+    return got.select("icao24", "firstSeen", "lastSeen", "estDepartureAirport", "callsign", "arrivalAirportCandidatesCount",
+                      (F.unix_seconds("last_seen_ts") - F.unix_seconds("first_seen_ts")).alias("seconds"))
+
+
 # ------------------------------------------------------------------ N1-N6
 LOAD1_END = "2024-01-16 00:00:00"     # first load: rows inserted before this instant
 _LOAD1 = {"bronze1": f"SELECT * FROM bronze WHERE inserted_at < TIMESTAMP '{LOAD1_END}'",

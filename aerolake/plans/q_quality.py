@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from aerolake import constants as K
 from aerolake.operators import quality as D
-from aerolake.plans import build, dims, layers
+from aerolake.plans import build, dims, layers, telemetry
 from aerolake.plans.oracle import _q, sql
 from aerolake.plans.registry import register
 from aerolake.session import fresh_path
@@ -59,6 +59,20 @@ def q_dq_accepted_values_strict(spark, sf_dir):
     return D.dq_accepted_values(f, "flight_status", K.DECLARED_STATUS_VALUES, case_sensitive=True)
 
 
+_ALTERNATIVE = "('Taxiando/Parado', 'Decolagem/Pouso', 'Baixa Altitude (Aproximacao)', 'Voo de Cruzeiro')"
+_ALT_STATUS = ("CASE event_id % 6 WHEN 0 THEN 'Taxiando/Parado' WHEN 1 THEN 'Decolagem/Pouso' "
+               "WHEN 2 THEN 'Baixa Altitude (Aproximacao)' WHEN 3 THEN 'Voo de Cruzeiro' WHEN 4 THEN 'Em Voo' END")
+
+
+@register("dq_accepted_values_alternative", sql(
+    f"SELECT * FROM (SELECT event_id, {_ALT_STATUS} AS flight_status FROM telemetry) WHERE flight_status NOT IN {_ALTERNATIVE}",
+    "telemetry"))
+def q_dq_accepted_values_alternative(spark, sf_dir):
+    """The vocabulary of the test file that is not loaded, over statuses of it and one of the other."""
+    rows = telemetry.telemetry(spark, sf_dir).select("event_id", F.expr(_ALT_STATUS).alias("flight_status"))
+    return D.dq_accepted_values(rows, "flight_status", K.ALTERNATIVE_STATUS_VALUES)
+
+
 @register("dq_accepted_values_orders", sql(
     "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority NOT IN "
     "('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED')"))

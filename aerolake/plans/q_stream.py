@@ -70,10 +70,18 @@ def _near_sql() -> str:
 
 @register("empty_batch_gate", sql(_near_sql(), "telemetry"))
 def q_empty_batch_gate(spark, sf_dir):
-    src = _message_files(spark, sf_dir)
-    out, ckpt = fresh_path(spark, "gated"), fresh_path(spark, "ckpt")
-    stream = S.ingest_messages(S.open_stream(spark, "text", src, options={"maxFilesPerTrigger": "2"}))
-    S.drain(stream, ckpt, foreach_batch=S.staging_writer(out, transform=near_any))
+    """Files of near and of far positions, one a micro-batch: those of far ones leave nothing to stage."""
+    vectors = state_vectors(telemetry.telemetry(spark, sf_dir))
+    src = fresh_path(spark, "topic")
+    near = near_any(vectors)
+    for part in (near, vectors.exceptAll(near)):
+        messages = sinks.to_messages(part.repartition(2))
+        messages.write.mode("append").text(src)
+    out, ckpt, staged = fresh_path(spark, "gated"), fresh_path(spark, "ckpt"), []
+    stream = S.ingest_messages(S.open_stream(spark, "text", src, options={"maxFilesPerTrigger": "1"}))
+    S.drain(stream, ckpt, foreach_batch=S.staging_writer(out, transform=near_any, stats=staged))
+    if all(done for _, done in staged):
+        raise AssertionError("no empty micro-batch was met")
     return spark.read.parquet(out).drop("batch_id")
 
 
@@ -86,7 +94,11 @@ def q_archive_source(spark, sf_dir):
     stream = S.open_stream(spark, "text", src, options={
         "maxFilesPerTrigger": "2", "cleanSource": "archive", "sourceArchiveDir": archive})
     S.drain(S.ingest_messages(stream), ckpt, out)
-    return spark.read.parquet(out)
+    # the drained files lie in the archive, but for those of the last batch, which
+    # stay until the next: together they are every message
+    files = spark.read.option("recursiveFileLookup", "true")
+    messages = files.text(archive).union(files.text(src))
+    return S.ingest_messages(messages)
 
 
 # ------------------------------------------------------------------ T5
