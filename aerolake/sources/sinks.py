@@ -61,7 +61,8 @@ class Reconciliation:
         return df.observe(self.obs_out, F.count(F.lit(1)).alias("n"))
 
     def result(self) -> tuple[int, int]:
-        return int(self.obs_in.get["n"]), int(self.obs_out.get["n"])
+        """Rows in and out; a plan that was found empty before it ran counts as 0."""
+        return int(self.obs_in.get.get("n", 0)), int(self.obs_out.get.get("n", 0))
 
 
 # ------------------------------------------------------------------ S11

@@ -77,6 +77,9 @@ def test_reconciliation_counts_in_one_pass(spark):
     out = rec.tap_out(df.filter("id % 2 = 0"))
     out.write.format("noop").mode("overwrite").save()
     assert rec.result() == (100, 50)
+    none = sinks.Reconciliation()
+    none.tap_out(none.tap_in(spark.range(10).where("id < 0").select("id"))).write.format("noop").mode("overwrite").save()
+    assert none.result() == (0, 0)
 
 
 def test_land_raw_replaces_only_its_day(spark):
