@@ -12,15 +12,17 @@
    at least ``MIN_MATCHES`` of all coordinates are confirmed on the full sets;
    confirmed links are contracted to components.
 4. Second merge, which skips every list that lies in one component: the other
-   lists are merged pair by pair across components, in blocks of at most
-   ``BLOCK`` nodes a side, a pair being counted in its first common list only.
-   Survivors are confirmed on the full sets, and the components finished.
-
-A pair inside one component is never built, hence large groups of near copies
-cost a constant number of pairs a document while no component loses a link.  A
-document group of any size is spread: minima are combined before the shuffle,
-long lists are cut in blocks, joins on hot nodes can be split.  Every phase is a
-table in shared storage.
+   lists are cut by set size (linked sets fall in the same class or the next) and
+   merged across components, in blocks of about ``BLOCK`` nodes a side, a pair
+   being counted in its first common list only.  The texts of the nodes
+   that take part in a possible pair join their blocks, and a node is confirmed
+   against the best-matching nodes first, skipping the pairs whose components the
+   block has joined already.  Only confirmed links leave a task.
+
+So pairs are never written out: large groups of near copies cost a few rows a
+document, while no component loses a link.  A group of any size is spread:
+minima are combined before the shuffle, long lists are cut in blocks, joins on
+hot nodes can be split.  Every phase is a table in shared storage.
 
 Parameters: with 64 coordinates a linked pair (J >= 0.75) has fewer than 28
 collisions with probability below 1e-7.
@@ -34,6 +36,7 @@ set, so a doc_id that occurs twice gets a result for each row.
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -50,7 +53,8 @@ PERCENT = 75                # a link: 100 * intersection >= PERCENT * union
 COORDINATES = 64
 PREFIX = 16
 MIN_MATCHES = 28
-BLOCK = 2048
+BLOCK = 512
+SIZE_STEP = 1.3334          # just above 100 / PERCENT: linked sizes are at most one class apart
 CACHED_WORDS = 500_000
 
 _M = (1 << 64) - 1
@@ -165,14 +169,18 @@ def _confirmed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["u", "v"])
 
 
+def _texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text): a document's text for each node of ``wanted``."""
+    ids = wanted.distinct().join(nodes.select("node", "doc_id"), "node").select("node", F.col("doc_id").alias("_id"))
+    # several rows of one doc_id are told apart by their set
+    found = docs.select(F.col("doc_id").cast("bigint").alias("_id"), "text").where("text is not null").join(
+        ids, "_id").select("node", "text").mapInArrow(_of_node, "node binary, text string")
+    return stored(found.dropDuplicates(["node"]), "minhash-texts")
+
+
 def _confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (u, v) that are linked on the full sets of their documents."""
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(
-        nodes.select("node", "doc_id"), "node").select("node", F.col("doc_id").alias("_id"))
-    # one text per node; several rows of one doc_id are told apart by their set
-    found = docs.select(F.col("doc_id").cast("bigint").alias("_id"), "text").where("text is not null").join(
-        wanted, "_id").select("node", "text").mapInArrow(_of_node, "node binary, text string")
-    texts = stored(found.dropDuplicates(["node"]), "minhash-texts")
+    texts = _texts(pairs.select(F.explode(F.array("u", "v")).alias("node")), nodes, docs)
     of = lambda side: texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
     full = pairs.join(of("u"), "u").join(of("v"), "v").select("u", "v", "text_u", "text_v")
     return full.mapInArrow(_confirmed, "u binary, v binary")
@@ -186,55 +194,100 @@ def _of_node(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(keep)
 
 
-def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs across components within each (key, i, j) group of rows sorted by
-    (key, i, j, side): side 0 rows against side 1 rows, or all pairs if i = j."""
+def _possible(rows: list[tuple]) -> Iterator[tuple[int, list[int]]]:
+    """Of one group of rows (``BLOCK_ROW``): the pairs across components that sizes
+    and signatures allow, as (row, other rows, best match first).  Side 0 rows meet
+    side 1 rows, or all rows if i = j; one of a pair is of the group's own size
+    class (``low``), so that a pair meets in one group."""
+    key, same = rows[0][0], rows[0][2] == rows[0][3]
+    left = [k for k, r in enumerate(rows) if same or r[4] == 0]
+    right = np.array([k for k, r in enumerate(rows) if same or r[4] == 1], dtype=np.int64)
+    if not left or not len(right):
+        return
+    sig = np.frombuffer(b"".join(r[9] for r in rows), dtype=np.uint32).reshape(-1, COORDINATES)
+    size = np.array([r[8] for r in rows])
+    low = np.array([r[5] for r in rows], dtype=bool)
+    codes: dict[bytes, int] = {}
+    comp = np.array([codes.setdefault(r[7], len(codes)) for r in rows])
+    sig_right, size_right, comp_right, low_right = sig[right], size[right], comp[right], low[right]
+    here = key % PREFIX
+    for n, k in enumerate(left):
+        start = n + 1 if same else 0
+        s = size_right[start:]
+        ok = np.flatnonzero((comp_right[start:] != comp[k]) & (low_right[start:] | low[k]) & (
+            100 * np.minimum(s, size[k]) >= PERCENT * np.maximum(s, size[k]))) + start
+        if not len(ok):
+            continue
+        equal = sig_right[ok] == sig[k]
+        matches = equal.sum(axis=1)
+        # counted in the first list of the prefix that both share
+        good = np.flatnonzero((matches >= MIN_MATCHES) & ~equal[:, :here].any(axis=1))
+        if len(good):
+            yield k, right[ok[good[np.argsort(-matches[good], kind="stable")]]].tolist()
+
+
+def _grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The (key, s, i, j) groups of two rows and more."""
     held: list[tuple] = []
     at = None
-
-    def merge(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
-        key, same = rows[0][0], rows[0][1] == rows[0][2]
-        left = rows if same else [r for r in rows if r[3] == 0]
-        right = rows if same else [r for r in rows if r[3] == 1]
-        if not left or not right:
-            return []
-        sig = [np.frombuffer(b"".join(r[7] for r in side), dtype=np.uint32).reshape(-1, COORDINATES)
-               for side in (left, right)]
-        size = [np.array([r[6] for r in side]) for side in (left, right)]
-        codes: dict[bytes, int] = {}
-        comp = [np.array([codes.setdefault(r[5], len(codes)) for r in side]) for side in (left, right)]
-        here = key % PREFIX
-        out = []
-        for i in range(len(left)):
-            start = i + 1 if same else 0
-            s = size[1][start:]
-            ok = np.flatnonzero((comp[1][start:] != comp[0][i])
-                                & (100 * np.minimum(s, size[0][i]) >= PERCENT * np.maximum(s, size[0][i]))) + start
-            if not len(ok):
-                continue
-            equal = sig[1][ok] == sig[0][i]
-            good = equal.sum(axis=1) >= MIN_MATCHES
-            # counted in the first list of the prefix that both share
-            good &= ~equal[:, :here].any(axis=1)
-            out += [(left[i][4], right[j][4]) for j in ok[good].tolist()]
-        return out
-
-    def batch_of(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([min(p) for p in pairs], pa.binary()), pa.array([max(p) for p in pairs], pa.binary())], ["u", "v"])
-
     for batch in batches:
-        out = []
         for row in zip(*(c.to_pylist() for c in batch.columns)):
-            if row[:3] != at:
+            if row[:4] != at:
                 if len(held) > 1:
-                    out += merge(held)
-                at, held = row[:3], []
+                    yield held
+                at, held = row[:4], []
             held.append(row)
-        if out:
-            yield batch_of(out)
     if len(held) > 1:
-        yield batch_of(merge(held))
+        yield held
+
+
+# a list's key, size class, blocks, which block the row is of, whether its own class
+# is the group's, and the node
+BLOCK_ROW = ("key bigint, s int, i int, j int, side int, low int, node binary, comp binary, n bigint, sig binary")
+BLOCK_ARROW = pa.schema([("key", pa.int64()), ("s", pa.int32()), ("i", pa.int32()), ("j", pa.int32()),
+                         ("side", pa.int32()), ("low", pa.int32()), ("node", pa.binary()), ("comp", pa.binary()),
+                         ("n", pa.int64()), ("sig", pa.binary())])
+
+
+def _taking_part(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each group that are in a possible pair."""
+    for rows in _grouped(batches):
+        part: set[int] = set()
+        for k, others in _possible(rows):
+            part.add(k)
+            part.update(others)
+        if part:
+            columns = zip(*(rows[k] for k in sorted(part)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, BLOCK_ARROW.types)],
+                                             schema=BLOCK_ARROW)
+
+
+def _links_across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (u, v) that join the components of each group of rows with text."""
+    for rows in _grouped(batches):
+        sets: dict[int, np.ndarray] = {}
+        root: dict[bytes, bytes] = {}
+
+        def find(c: bytes) -> bytes:
+            while (up := root.get(c, c)) != c:
+                root[c] = c = root.get(up, up)
+            return c
+
+        def shingles(k: int) -> np.ndarray:
+            if k not in sets:
+                sets[k] = shingle_set(rows[k][10])
+            return sets[k]
+
+        found = []
+        for k, others in _possible(rows):
+            for o in others:
+                a, b = find(rows[k][7]), find(rows[o][7])
+                if a != b and similar(shingles(k), shingles(o)):
+                    root[a] = b
+                    found.append((rows[k][6], rows[o][6]))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in found], pa.binary()),
+                                              pa.array([v for _, v in found], pa.binary())], ["u", "v"])
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -250,36 +303,44 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     posts = nodes.select("node", "n", F.explode("prefix").alias("key"))
 
     # lists of two nodes and more, each with its least node
-    lists = stored(posts.groupBy("key").agg(F.min("node").alias("u"), F.max("node").alias("_max"),
-                                            F.count("*").alias("n_posts")).where("u < _max").drop("_max"), "minhash-lists")
+    lists = stored(posts.groupBy("key").agg(F.min("node").alias("u"), F.max("node").alias("_max")).where(
+        "u < _max").drop("_max"), "minhash-lists")
     small = nodes.select("node", "n", "sig")
     star = posts.select(F.col("node").alias("v"), "key").join(lists.select("key", "u"), "key").where(
         "u < v").select("u", "v").distinct()
     of = lambda side: small.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"),
                                    F.col("sig").alias(f"sig_{side}"))
-    tested = stored(star.join(of("u"), "u").join(of("v"), "v").where(_sizes_allow("n_u", "n_v")).select(
+    pairs = stored(star.join(of("u"), "u").join(of("v"), "v").where(_sizes_allow("n_u", "n_v")).select(
         "u", "v", "sig_u", "sig_v").mapInArrow(_enough_matches, "u binary, v binary"), "minhash-pairs")
-    links = stored(_confirm(tested, nodes, docs), "minhash-links")
+    links = stored(_confirm(pairs, nodes, docs), "minhash-links")
     roots = stored(connected_components(links), "minhash-roots")
 
     # second merge: lists that hold several components
-    posted = posts.join(lists.select("key", "n_posts"), "key").join(roots, "node", "left").select(
-        "key", "n_posts", "node", "n", F.coalesce("root", "node").alias("comp"))
-    posted = stored(posted, "minhash-posted")
-    mixed = posted.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("key")
-    mixed = stored(mixed, "minhash-mixed")
-    blocks = F.ceil(F.col("n_posts") / BLOCK).cast("int")
-    spread = posted.join(mixed, "key").withColumn("_n", blocks).withColumn(
+    posted = stored(posts.join(lists.select("key"), "key").join(roots, "node", "left").select(
+        "key", "node", "n", F.coalesce("root", "node").alias("comp")), "minhash-posted")
+    several = (F.min("comp").alias("a"), F.max("comp").alias("b"))
+    mixed = stored(posted.groupBy("key").agg(*several).where("a < b").select("key"), "minhash-mixed")
+    own = F.floor(F.ln("n") / math.log(SIZE_STEP)).cast("int")
+    classed = stored(posted.join(mixed, "key").withColumn("_own", own).withColumn(
+        "s", F.explode(F.array("_own", F.col("_own") - 1))).select(
+        "key", "s", (F.col("s") == F.col("_own")).cast("int").alias("low"), "node", "comp", "n"), "minhash-classed")
+    # a group needs two components and a node of its own class
+    worth = stored(classed.groupBy("key", "s").agg(*several, F.max("low").alias("low"), F.count("*").alias("n_posts")).where(
+        "a < b and low = 1").select("key", "s", F.ceil(F.col("n_posts") / BLOCK).cast("int").alias("_n")), "minhash-groups")
+    spread = classed.join(worth, ["key", "s"]).withColumn(
         "_g", F.pmod(F.xxhash64("node"), F.col("_n")).cast("int")).withColumn(
         "_o", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).select(
-        "key", F.least("_g", "_o").alias("i"), F.greatest("_g", "_o").alias("j"),
-        (F.col("_g") > F.col("_o")).cast("int").alias("side"), "node", "comp", "n")
-    group = ["key", "i", "j"]
-    cross = spread.join(nodes.select("node", "sig"), "node").select(*group, "side", "node", "comp", "n", "sig").repartition(
-        *group).sortWithinPartitions(*group, "side").mapInArrow(_across, "u binary, v binary")
-    more = stored(cross.distinct().join(tested, ["u", "v"], "left_anti"), "minhash-pairs")
-    if not more.isEmpty():
-        links = links.union(stored(_confirm(more, nodes, docs), "minhash-links"))
+        "key", "s", F.least("_g", "_o").alias("i"), F.greatest("_g", "_o").alias("j"),
+        (F.col("_g") > F.col("_o")).cast("int").alias("side"), "low", "node", "comp", "n")
+    group = ["key", "s", "i", "j"]
+    together = lambda df: df.repartition(*group).sortWithinPartitions(*group)
+    taking_part = stored(together(spread.join(nodes.select("node", "sig"), "node").select(
+        *group, "side", "low", "node", "comp", "n", "sig")).mapInArrow(_taking_part, BLOCK_ROW), "minhash-blocks")
+    if not taking_part.isEmpty():
+        texts = _texts(taking_part.select("node"), nodes, docs)
+        more = together(taking_part.join(texts, "node").select(*taking_part.columns, "text")).mapInArrow(
+            _links_across, "u binary, v binary")
+        links = links.union(stored(more, "minhash-links"))
         roots = stored(connected_components(links), "minhash-roots")
 
     member = nodes.select("node", F.col("doc_id").alias("_first")).join(roots, "node", "left").select(
