@@ -253,25 +253,26 @@ def line_occurrences(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         _occurrences(min_chars), "doc_id bigint, line_no int, line binary, id bigint")
 
 
-def line_links(docs: DataFrame, occurrences: DataFrame, min_chars: int = MIN_CHARS,
+def line_links(docs: DataFrame, lines: DataFrame, min_chars: int = MIN_CHARS,
                threshold: int = THRESHOLD) -> DataFrame:
-    """(u, v), u < v: the digests of all different lines within the threshold."""
+    """(u, v), u < v: the digests of all different lines within the threshold;
+    ``lines`` has one row (line, id, first place) for each line of ``docs``."""
     posts = docs.where("doc_id is not null").select("text").mapInArrow(
         _post(min_chars, threshold), "key bigint, id bigint, role tinyint")
-    shared = posts.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.min("role").alias("r"),
-                                      F.count("*").alias("n_posts")).where(f"a < b and r = {INDEX}")
-    shared = stored(shared.select("key", "n_posts"), "line-keys")
-    kept = stored(posts.join(shared, "key").distinct(), "line-posts")
-
-    first = occurrences.join(kept.select("id").distinct(), "id").groupBy("line").agg(
-        F.min(F.struct("doc_id", "line_no")).alias("at")).select("at.*")
-    wanted = first.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("line_no").alias("_numbers"))
+    # as few columns as possible: these are the widest shuffles.  The join is the
+    # same at every size, a broadcast of keys would grow with the corpus
+    shared = posts.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("key")
+    kept = stored(posts.join(stored(shared, "line-keys").hint("merge"), "key").distinct(), "line-posts")
+
+    wanted = lines.join(kept.select("id").distinct(), "id").groupBy(F.col("first.doc_id").alias("_id")).agg(
+        F.collect_set("first.line_no").alias("_numbers"))
     texts = stored(docs.select(F.col("doc_id").cast("bigint").alias("_id"), "text").where("text is not null").join(
         wanted, "_id").select("text", "_numbers").mapInArrow(
             _fetch, "line binary, id bigint, line_text string").dropDuplicates(["line"]), "line-texts")
 
+    sizes = kept.groupBy("key").agg(F.count("*").alias("n_posts"))
     n = F.ceil(F.col("n_posts") / BLOCK).cast("int")
-    spread = kept.withColumn("_n", n).withColumn("_g", F.pmod(F.xxhash64("id"), F.col("_n")).cast("int")).withColumn(
+    spread = kept.join(sizes, "key").withColumn("_n", n).withColumn("_g", F.pmod(F.xxhash64("id"), F.col("_n")).cast("int")).withColumn(
         "_o", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).select(
         "key", F.least("_g", "_o").alias("i"), F.greatest("_g", "_o").alias("j"),
         (F.col("_g") > F.col("_o")).cast("int").alias("side"), "role", "id")
@@ -285,9 +286,9 @@ def line_decisions(docs: DataFrame, min_chars: int = MIN_CHARS, threshold: int =
     ``docs`` (doc_id, text); n_links counts the different lines it is linked with."""
     docs = docs.select("doc_id", "text")
     occurrences = stored(line_occurrences(docs, min_chars), "line-occurrences")
-    links = stored(line_links(docs, occurrences, min_chars, threshold), "line-links")
-    first = occurrences.groupBy("line").agg(F.min(F.struct("doc_id", "line_no")).alias("first"),
-                                            F.count("*").alias("n_copies"))
+    first = stored(occurrences.groupBy("line", "id").agg(F.min(F.struct("doc_id", "line_no")).alias("first"),
+                                                         F.count("*").alias("n_copies")), "line-first")
+    links = stored(line_links(docs, first, min_chars, threshold), "line-links")
     both = links.union(links.select("v", "u")).toDF("line", "other")
     linked = both.join(first.select(F.col("line").alias("other"), F.col("first").alias("at")), "other").groupBy(
         "line").agg(F.count("*").alias("n_links"), F.min("at").alias("earliest"))
