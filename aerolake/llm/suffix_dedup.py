@@ -46,7 +46,7 @@ from aerolake.llm.common import stored
 MIN_BYTES = 200
 GRAM = 48
 BLOCK_BITS = 21             # texts are hashed in blocks of up to 2 MiB
-BUCKET = 256                # different contexts of one gram that a task compares
+BUCKET = 8192               # different contexts of one gram that a task compares (about 2.3 MB)
 SORT_BYTES = 1 << 20        # context bytes that are put in suffix order together
 
 BASE = 0x9FB21C651E98DF25
