@@ -30,7 +30,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CACHE_WORDS = 250_000       # words per cache generation (two generations a worker)
+CACHE_WORDS = 100_000       # words per cache generation (two generations a worker)
+CACHED_PAIRS = 400_000      # pairs whose rank a worker remembers
 LONGEST_CACHED = 64         # longer words are encoded, not kept
 
 
@@ -56,7 +57,7 @@ class MergeReplay:
         key = left << 32 | right
         rank = self.pairs.get(key)
         if rank is None:
-            if len(self.pairs) > 2_000_000:
+            if len(self.pairs) > CACHED_PAIRS:
                 self.pairs.clear()
             rank = self.ranks.get(self.token[left] + self.token[right], -1)
             self.pairs[key] = rank

@@ -41,7 +41,7 @@ from aerolake.llm.common import stored
 THRESHOLD = 2
 MIN_CHARS = 20
 BLOCK = 1000
-SEEN_LINES = 300_000        # line ids that a task remembers to post a line once
+SEEN_LINES = 100_000        # line ids that a task remembers to post a line once
 
 INDEX, PROBE = 1, 2
 

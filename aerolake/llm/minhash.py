@@ -55,7 +55,7 @@ PREFIX = 16
 MIN_MATCHES = 28
 BLOCK = 512
 SIZE_STEP = 1.3334          # just above 100 / PERCENT: linked sizes are at most one class apart
-CACHED_WORDS = 500_000
+CACHED_WORDS = 150_000
 
 _M = (1 << 64) - 1
 _rng = np.random.RandomState(20240229)

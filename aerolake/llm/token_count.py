@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 SPACE = "▁"            # stands for a blank in the vocabulary's pieces
-CACHE_SEGMENTS = 400_000    # per generation
+CACHE_SEGMENTS = 250_000    # per generation
 LONGEST_CACHED = 64
 
 

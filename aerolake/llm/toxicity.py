@@ -58,7 +58,7 @@ BINS_PER_UNIT = 16              # of log(1 + evidence), for the calibration hist
 
 PREFIXES = range(3, 8)          # lengths of the prefixes that a word counts for
 LONGEST_WHOLE = 12              # longer words count by their prefixes only
-WORDS_HELD = 300_000            # distinct words a counting task or a word cache holds
+WORDS_HELD = 150_000            # distinct words a counting task or a word cache holds
 
 TOKEN = re.compile(r"[^\W\d_]+")
 PASSAGE = "array<struct<start:int,end:int,score:double,evalue:double>>"
