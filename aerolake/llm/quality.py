@@ -5,10 +5,12 @@ them alone.  The others are described by a vector of transformed statistics, and
 for each language and source the centre and covariance of the vectors are found
 by minimum covariance determinant: start from medians and median deviations,
 then repeatedly take the ``SHARE`` of rows nearest by Mahalanobis distance and
-estimate from these (concentration steps, each of which can only lower the
-determinant).  Scaled to the median distance, re-estimated once from the rows
-within the 97.5 % quantile, and a row is rejected when its squared distance
-exceeds the chi-squared quantile ``CUTOFF``.
+estimate from these (concentration steps), in each group until the determinant
+falls no more.  Half of the rows is the share with the highest breakdown point:
+junk that makes up less than half of a group can't hide itself.  Scaled to the
+median distance, re-estimated once from the rows within the 97.5 % quantile, and
+a row is rejected when its squared distance exceeds the chi-squared quantile
+``CUTOFF``.
 
 A group's rows are never brought together: quantiles come from histograms of
 fixed bins and moments from sums, both combined map-side, so a source with a
@@ -38,8 +40,9 @@ from pyspark.sql import types as T
 
 from aerolake.llm.common import stored
 
-SHARE = 0.75            # of a group's rows that an estimate rests on
-STEPS = 3               # concentration steps
+SHARE = 0.5             # of a group's rows that an estimate rests on
+STEPS = 50              # concentration steps at most; a group stops when its determinant does
+FALL = 1e-9             # of a log determinant, to count as falling
 MIN_GROUP = 100
 CUTOFF = 1 - 1e-6
 VALUE_BINS = 64         # bins per unit of a transformed statistic
@@ -136,7 +139,7 @@ def _long(rows: DataFrame, values: list[F.Column]) -> DataFrame:
 
 
 def _start(rows: DataFrame) -> DataFrame:
-    """(group, centre, precision) from medians and median absolute deviations."""
+    """``ESTIMATES`` from medians and median absolute deviations, any step falls from it."""
     to_bin = lambda x: F.round(x * VALUE_BINS).cast("int")
     middle = _quantile_bins(_long(rows, [F.col(n) for n in NAMES]).select(
         "group", "k", to_bin(F.col("x")).alias("bin")), ["group", "k"], 0.5)
@@ -150,7 +153,8 @@ def _start(rows: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("k", "mid", "bin"))).alias("v"))
     deviation = lambda i: F.col("v")[i]["bin"] * (1.4826 / VALUE_BINS)
     return both.select("group", F.array(*(F.col("v")[i]["mid"] / VALUE_BINS for i in range(P))).alias("centre"), F.array(*(
-        (1 / (deviation(i) * deviation(i) + float(FLOORS[i] ** 2)) if i == j else F.lit(0.0)) for i, j in PAIRS)).alias("precision"))
+        (1 / (deviation(i) * deviation(i) + float(FLOORS[i] ** 2)) if i == j else F.lit(0.0)) for i, j in PAIRS)).alias("precision"),
+        F.lit(math.inf).alias("spread"))
 
 
 def _distance() -> F.Column:
@@ -167,24 +171,28 @@ def _distance_bin(d2: F.Column) -> F.Column:
 
 
 def _invert(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (group, n, old centre, sums, products) -> (group, centre, precision)."""
+    """Rows (group, n, old centre, sums, products) -> ``ESTIMATES``."""
     for batch in batches:
-        groups, centres, precisions = [], [], []
+        groups, centres, precisions, spreads = [], [], [], []
         for g, n, old, sums, products in zip(*(c.to_pylist() for c in batch.columns)):
             mean = np.array(sums) / n
             cov = np.zeros((P, P))
             for (i, j), s in zip(PAIRS, products):
                 cov[i, j] = cov[j, i] = s / n - mean[i] * mean[j]
-            precision = np.linalg.inv(cov + np.diag(FLOORS ** 2))
+            cov += np.diag(FLOORS ** 2)
+            precision = np.linalg.inv(cov)
             groups.append(g)
             centres.append((np.array(old) + mean).tolist())
             precisions.append([float(precision[i, j]) for i, j in PAIRS])
+            spreads.append(float(np.linalg.slogdet(cov)[1]))
         yield pa.RecordBatch.from_arrays(
             [pa.array(groups, pa.string()), pa.array(centres, pa.list_(pa.float64())),
-             pa.array(precisions, pa.list_(pa.float64()))], ["group", "centre", "precision"])
+             pa.array(precisions, pa.list_(pa.float64())), pa.array(spreads, pa.float64())],
+            ["group", "centre", "precision", "spread"])
 
 
-ESTIMATES = "group string, centre array<double>, precision array<double>"
+# spread: the logarithm of the covariance's determinant
+ESTIMATES = "group string, centre array<double>, precision array<double>, spread double"
 
 
 def _from_rows(near: DataFrame) -> DataFrame:
@@ -210,11 +218,18 @@ def _with_scale(rows: DataFrame, estimates: DataFrame) -> DataFrame:
 def estimate(rows: DataFrame, share: float = SHARE, steps: int = STEPS) -> DataFrame:
     """(group, centre, precision) by minimum covariance determinant of ``rows``
     (group and the columns ``NAMES``)."""
-    found = stored(_start(rows), "quality-estimates")
+    found = stored(_start(rows).withColumn("falling", F.lit(True)), "quality-estimates")
     for _ in range(steps):
-        measured = rows.join(found, "group").withColumn("bin", _distance_bin(_distance()))
+        measured = rows.join(found.where("falling"), "group").withColumn("bin", _distance_bin(_distance()))
         limit = stored(_quantile_bins(measured, ["group"], share).withColumnRenamed("bin", "limit"), "quality-limits")
-        found = stored(_from_rows(measured.join(limit, "group").where("bin <= limit")), "quality-estimates")
+        moved = _from_rows(measured.join(limit, "group").where("bin <= limit"))
+        # a step that doesn't lower the determinant is not taken, and the last of its group
+        falls = F.coalesce(F.col("m.spread") < F.col("f.spread") - FALL, F.lit(False))
+        found = stored(found.alias("f").join(moved.alias("m"), "group", "left").select("group", *(
+            F.when(falls, F.col(f"m.{c}")).otherwise(F.col(f"f.{c}")).alias(c) for c in ("centre", "precision", "spread")),
+            falls.alias("falling")), "quality-estimates")
+        if found.where("falling").isEmpty():
+            break
     found = stored(_with_scale(rows, found), "quality-estimates")
     inside = rows.join(found, "group").where(_distance() <= chi2_quantile(0.975, P))
     return stored(_with_scale(rows, _from_rows(inside)), "quality-estimates")

@@ -103,6 +103,25 @@ def test_judge(spark, corpus):
         assert np.allclose([r.distance for r in own], expected, rtol=1e-6, atol=1e-9)
 
 
+@pytest.mark.parametrize("share", [0.35, 0.45])
+def test_copies_of_one_junk_text(spark, share):
+    prepare(spark)
+    r = random.Random(7)
+
+    def prose():
+        return " ".join("".join(r.choice("abcdefghij") for _ in range(r.randint(2, 8))) for _ in range(
+            int(np.exp(r.uniform(3, 6)))))
+
+    junk = " ".join(w + "*" for w in prose().split())
+    n = round(share * 400)
+    df = spark.createDataFrame([(i, junk if i < n else prose(), "en", "a") for i in range(400)],
+                               "doc_id long, text string, lang string, source string")
+    out = q.judge(q.text_statistics(df)).collect()
+    assert not any(row.base_failed for row in out)
+    assert not any(row.kept for row in out if row.doc_id < n)
+    assert sum(row.kept for row in out if row.doc_id >= n) >= 0.99 * (400 - n)
+
+
 def test_empty(spark):
     prepare(spark)
     df = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
