@@ -6,8 +6,10 @@ frequencies of *all* documents; the ratio is shrunk towards 0 by a multiple of
 its standard error, so rare tokens say nothing.  A word is counted as itself and
 as its prefixes (inflected and compound forms share a stem) and takes the ratio
 of the form that says most; it counts once a document, so that repetition within
-one text is no evidence.  Forms are hashed into a fixed number of buckets,
-which bounds the model (and what reaches the driver) whatever the corpus size.
+one text is no evidence.  Forms are counted under 64-bit keys in a table that
+grows with the corpus and stays distributed.  Only forms with a ratio other than
+0 leave it: these need labelled evidence or a good part of the prior, so the
+labelled sample and ``PRIOR_TOKENS`` bound the model.
 
 Scan.  Token scores minus a drift have a negative mean in clean text.  A
 linear-time scan finds all maximal scoring segments of a document.  Under the
@@ -20,8 +22,8 @@ Aggregate.  The evidence of a document is the sum over significant segments of
 -log E-value; a logistic curve over log(1 + evidence), fitted to the training
 documents' histogram, turns it into a score in (0, 1).
 
-Cost: one pass over all documents for the counts (rows to the shuffle: at most
-``BUCKETS`` a task), two over the training documents, one for the scores.  The
+Cost: one pass over all documents for the counts (rows to the shuffle: the
+different forms of a task), two over the training documents, one for the scores.  The
 documents are never shuffled: the training labels are a bounded sample
 (``MAX_TRAINING_ROWS``) and broadcast.
 
@@ -37,18 +39,17 @@ import collections
 import dataclasses
 import math
 import re
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolake.llm.common import stored
 
-BUCKETS = 1 << 18
 MAX_TRAINING_ROWS = 100_000     # bound of the labelled sample (a hash sample beyond it)
 PRIOR_TOKENS = 5_000.0          # weight of the prior, in tokens
 SHRINK_SD = 3.0                 # standard errors taken off every log-odds ratio
@@ -66,7 +67,7 @@ PASSAGE = "array<struct<start:int,end:int,score:double,evalue:double>>"
 
 @dataclasses.dataclass(frozen=True)
 class ToxicityModel:
-    ratios: np.ndarray | None       # shrunk log-odds per bucket; None: no model
+    ratios: dict[int, float] | None     # shrunk log-odds other than 0, by the key of a form; None: no model
     drift: float = 0.0
     lam: float = 1.0
     k: float = 1.0
@@ -79,22 +80,22 @@ def words_of(text: str | None) -> list[str]:
 
 
 def forms(word: str) -> list[int]:
-    """Buckets of the word itself and of its prefixes."""
+    """Keys (64-bit hashes) of the word itself and of its prefixes."""
     names = [word[:n] + "-" for n in PREFIXES if n < len(word)]
     if len(word) <= LONGEST_WHOLE:
         names.append(word)
-    return [zlib.crc32(name.encode("utf-8", "surrogatepass")) % BUCKETS for name in names]
+    return [xxhash.xxh3_64_intdigest(name.encode("utf-8", "surrogatepass")) for name in names]
 
 
 class WordScores(dict):
     """word -> the score of its most telling form, remembering a bounded number."""
 
-    def __init__(self, ratios: np.ndarray, drift: float):
+    def __init__(self, ratios: dict[int, float], drift: float):
         super().__init__()
         self.ratios, self.drift = ratios, drift
 
     def __missing__(self, word: str) -> float:
-        value = max((float(self.ratios[b]) for b in forms(word)), key=abs, default=0.0) - self.drift
+        value = max((self.ratios.get(k, 0.0) for k in forms(word)), key=abs, default=0.0) - self.drift
         if len(self) >= WORDS_HELD:
             self.clear()
         self[word] = value
@@ -147,53 +148,68 @@ def _training_rows(labels: DataFrame, max_rows: int) -> DataFrame:
     return rows.withColumnRenamed("doc_id", "_id")
 
 
-def _bucket_counts(docs: DataFrame, training: DataFrame) -> DataFrame:
-    """(bucket, n_all, n_clean, n_toxic) over every document."""
+def _form_counts(docs: DataFrame, training: DataFrame) -> DataFrame:
+    """(form, n_all, n_clean, n_toxic) over every document."""
     joined = docs.join(F.broadcast(training), F.col("doc_id") == F.col("_id"), "left").select("text", "_y")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_word = [collections.Counter() for _ in range(2)]     # clean, toxic
         rest: collections.Counter = collections.Counter()       # unlabelled
-        counts = np.zeros((3, BUCKETS), dtype=np.int64)
 
-        def spread() -> None:
-            for k, words in ((0, rest), (1, by_word[0]), (2, by_word[1])):
-                at: list[int] = []
-                n: list[int] = []
+        def spread() -> Iterator[pa.RecordBatch]:
+            at: list[int] = []
+            n: list[int] = []
+            ends = [0]
+            for words in (rest, *by_word):
                 for word, times in words.items():
                     found = forms(word)
                     at += found
                     n += [times] * len(found)
-                if at:
-                    counts[k] += np.bincount(at, weights=n, minlength=BUCKETS).astype(np.int64)
                 words.clear()
+                ends.append(len(at))
+            keys, where = np.unique(np.array(at, dtype=np.uint64), return_inverse=True)
+            counts = [np.bincount(where[i:j], weights=n[i:j], minlength=len(keys)).astype(np.int64)
+                      for i, j in zip(ends, ends[1:])]
+            counts[0] += counts[1] + counts[2]
+            for i in range(0, len(keys), 50_000):
+                some = slice(i, i + 50_000)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[some].view(np.int64)), *(pa.array(c[some]) for c in counts)],
+                    ["form", "n_all", "n_clean", "n_toxic"])
 
         for batch in batches:
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 (rest if y is None else by_word[y > 0]).update(set(words_of(text)))
             if len(rest) + len(by_word[0]) + len(by_word[1]) > WORDS_HELD:
-                spread()
-        spread()
-        counts[0] += counts[1] + counts[2]
-        at = np.flatnonzero(counts[0])
-        for i in range(0, len(at), 50_000):
-            some = at[i:i + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(some), *(pa.array(counts[k, some]) for k in range(3))],
-                ["bucket", "n_all", "n_clean", "n_toxic"])
+                yield from spread()
+        yield from spread()
+
+    rows = _map(joined, run, "form bigint, n_all bigint, n_clean bigint, n_toxic bigint")
+    return rows.groupBy("form").agg(*(F.sum(c).alias(c) for c in ("n_all", "n_clean", "n_toxic")))
+
+
+def _form_ratios(counts: DataFrame, totals: tuple[float, float, float]) -> DataFrame:
+    """(form, ratio) where the ratio is not 0."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ratios = log_odds(*(batch.column(i).to_numpy().astype(float) for i in (1, 2, 3)), totals=totals)
+            at = np.flatnonzero(ratios)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(ratios[at])], ["form", "ratio"])
 
-    rows = _map(joined, run, "bucket bigint, n_all bigint, n_clean bigint, n_toxic bigint")
-    return rows.groupBy("bucket").agg(*(F.sum(c).alias(c) for c in ("n_all", "n_clean", "n_toxic")))
+    return _map(counts.select("form", "n_all", "n_clean", "n_toxic"), run, "form bigint, ratio double")
 
 
 def log_odds(n_all: np.ndarray, n_clean: np.ndarray, n_toxic: np.ndarray,
-             prior_tokens: float = PRIOR_TOKENS, shrink_sd: float = SHRINK_SD) -> np.ndarray:
+             prior_tokens: float = PRIOR_TOKENS, shrink_sd: float = SHRINK_SD,
+             totals: tuple[float, float, float] | None = None) -> np.ndarray:
     """Shrunk log-odds ratios, toxic over clean, with Dirichlet pseudo-counts in
-    proportion to ``n_all``."""
-    alpha = prior_tokens * (n_all + 0.5) / (n_all.sum() + 0.5 * len(n_all))
+    proportion to ``n_all``; ``totals`` are the sums of n_all + 0.5, n_clean and
+    n_toxic over all forms where the arrays are a part of them."""
+    all_total, clean_total, toxic_total = totals or (n_all.sum() + 0.5 * len(n_all), n_clean.sum(), n_toxic.sum())
+    alpha = prior_tokens * (n_all + 0.5) / all_total
     toxic, clean = n_toxic + alpha, n_clean + alpha
-    delta = (np.log(toxic) - np.log(n_toxic.sum() + prior_tokens - toxic)
-             - np.log(clean) + np.log(n_clean.sum() + prior_tokens - clean))
+    delta = (np.log(toxic) - np.log(toxic_total + prior_tokens - toxic)
+             - np.log(clean) + np.log(clean_total + prior_tokens - clean))
     error = np.sqrt(1 / toxic + 1 / clean)
     return np.sign(delta) * np.maximum(0.0, np.abs(delta) - shrink_sd * error)
 
@@ -233,16 +249,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -
     """``docs`` (doc_id, text); ``labels`` (doc_id, toxic): the rows to learn from."""
     docs = docs.select("doc_id", "text")
     training = _training_rows(labels, max_rows)
-    counts = _bucket_counts(docs, training).toArrow()       # at most BUCKETS rows
-    at = counts["bucket"].to_numpy()
-    n_all, n_clean, n_toxic = np.zeros((3, BUCKETS))
-    for into, name in ((n_all, "n_all"), (n_clean, "n_clean"), (n_toxic, "n_toxic")):
-        into[at] = counts[name].to_numpy()
-    if not n_clean.sum() or not n_toxic.sum():
+    counts = stored(_form_counts(docs, training), "toxicity-forms")
+    n_forms, *sums = counts.agg(F.count("*"), *(F.coalesce(F.sum(c), F.lit(0)) for c in ("n_all", "n_clean", "n_toxic"))).first()
+    if not sums[1] or not sums[2]:
         n, toxic = training.agg(F.count("*"), F.sum("_y")).first()
         share = (toxic or 0) / n if n else 0.0
         return ToxicityModel(None, drift=1.0, intercept=math.log(max(share, 1e-20) / max(1 - share, 1e-20)))
-    ratios = log_odds(n_all, n_clean, n_toxic).astype(np.float32)
+    found = _form_ratios(counts, (sums[0] + 0.5 * n_forms, sums[1], sums[2])).toArrow()     # bounded by the sample
+    ratios = dict(zip(found["form"].to_numpy().view(np.uint64).tolist(), found["ratio"].to_pylist()))
     sample = docs.join(F.broadcast(training), F.col("doc_id") == F.col("_id")).select("text", "_y")
     # how often clean text has which word score (in steps of 1 / STEPS)
     clean = _map(sample.where("_y = 0"), _score_histogram(ratios), "step int, n bigint").groupBy(
@@ -271,7 +285,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -
     return dataclasses.replace(model, slope=slope, intercept=intercept)
 
 
-def _score_histogram(ratios: np.ndarray):
+def _score_histogram(ratios: dict[int, float]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores, steps = WordScores(ratios, 0.0), collections.Counter()
         for batch in batches:
@@ -283,7 +297,7 @@ def _score_histogram(ratios: np.ndarray):
     return run
 
 
-def _segment_sums(ratios: np.ndarray, drift: float):
+def _segment_sums(ratios: dict[int, float], drift: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = WordScores(ratios, drift)
         for batch in batches:
@@ -321,7 +335,7 @@ def score(df: DataFrame, model: ToxicityModel, text_col: str = "text", score_col
                                   ("score", pa.float64()), ("evalue", pa.float64())]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = WordScores(np.zeros(BUCKETS) if model.ratios is None else model.ratios, model.drift)
+        scores = WordScores(model.ratios or {}, model.drift)
         for batch in batches:
             scored = [score_words(scores.of(t), model) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -86,6 +86,39 @@ def test_fit_and_score(spark, corpus):
     assert t.score(docs.limit(0), model).count() == 0
 
 
+def test_forms_are_counted_apart(spark, corpus):
+    """Ratios equal those from plain counts by the forms' names; forms that share a checksum share nothing."""
+    import zlib
+    from collections import Counter
+
+    prepare(spark)
+    r, seen = random.Random(3), {}
+    while True:     # two words without a common prefix
+        word = "".join(r.choice("klmnopqrstuvwxyz") for _ in range(5))
+        other = seen.setdefault(zlib.crc32(word.encode()) % (1 << 18), word)
+        if other[:3] != word[:3]:
+            break
+    rows = [(i, x + f" {word}" * y, y) for i, x, y in corpus] + [(2000, other, None), (2001, None, None)]
+    docs = spark.createDataFrame([(i, x) for i, x, _ in rows], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if y is not None], "doc_id long, toxic int")
+    scores = t.WordScores(t.fit(docs, labels).ratios, 0.0)
+    assert scores[word] > 1 and scores[other] == 0
+
+    def names(w):
+        return [w[:n] + "-" for n in t.PREFIXES if n < len(w)] + [w] * (len(w) <= t.LONGEST_WHOLE)
+
+    counts = [Counter(), Counter(), Counter()]
+    for _, x, y in rows:
+        for w in set(t.words_of(x)):
+            for name in names(w):
+                counts[0][name] += 1
+                if y is not None:
+                    counts[1 + y][name] += 1
+    ratios = dict(zip(counts[0], t.log_odds(*(np.array([c[n] for n in counts[0]], dtype=float) for c in counts))))
+    for w in {w for _, x, _ in rows for w in t.words_of(x)}:
+        assert np.isclose(scores[w], max((ratios[n] for n in names(w)), key=abs, default=0.0))
+
+
 def test_sampled_training_rows(spark, corpus):
     labels = spark.createDataFrame([(i, y) for i, _, y in corpus], "doc_id long, toxic int")
     assert t._training_rows(labels, 10_000).count() == 600
