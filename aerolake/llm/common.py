@@ -14,6 +14,8 @@ PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(_
 # Rows per Arrow batch.  Documents run to 100 KB and more, so the default of
 # 10,000 rows a batch could hold a gigabyte in one Python worker.
 BATCH_ROWS = 512
+# and bytes: a batch ends when it holds so many, after one whole text at least.
+BATCH_BYTES = 32 << 20
 
 
 def prepare(spark: SparkSession) -> None:
@@ -27,6 +29,7 @@ def prepare(spark: SparkSession) -> None:
     if PACKAGE_ROOT not in known.split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (PACKAGE_ROOT, known) if x)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

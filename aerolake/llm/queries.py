@@ -12,7 +12,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import bpe_codec, decontaminate, html_text, line_dedup, minhash, quality, suffix_dedup, token_count, toxicity, warc
+from aerolake.llm import (
+    bpe_codec, decontaminate, fill_middle, filter_audit, html_text, license_scan, line_dedup, minhash, quality, suffix_dedup,
+    token_count, toxicity, warc)
 from aerolake.llm.common import prepare, sha256_hex, table
 from aerolake.session import fresh_path
 
@@ -121,6 +123,27 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         warc.page_id_of("refers_to").alias("refers_to"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", sha256_hex("output").alias("output_sha256"),
+                       sha256_hex(fill_middle.restored()).alias("restored_sha256"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """[native]"""
+    found = license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    joined = lambda c: F.array_join(c, ",").alias(c)       # noqa: E731
+    return found.select("doc_id", "n_words", F.size("places").cast("bigint").alias("n_base"),
+                        F.array_min("places").cast("bigint").alias("first_word"),
+                        F.array_max("places").cast("bigint").alias("last_word"),
+                        joined("base_labels"), joined("labels"), "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
@@ -132,5 +155,53 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_minhash": op9_minhash,
     "op10_warc": op10_warc,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_license_scan": op13_license_scan,
+}
+
+ORACLE: dict[str, str] = {
+    "op10_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS payload_digest FROM p),
+r AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes)
+                     ELSE page_id END AS top FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN top = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN top <> page_id THEN top END AS refers_to FROM r""",
+    "op11_fill_middle": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS x FROM documents),
+h AS (SELECT doc_id, t, length(t)::BIGINT AS n, ('0x' || substr(x, 1, 8))::BIGINT AS h1, ('0x' || substr(x, 9, 8))::BIGINT AS h2,
+             ('0x' || substr(x, 17, 8))::BIGINT AS h3, ('0x' || substr(x, 25, 8))::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+s AS (SELECT *, substring(t, 1, a) AS p, substring(t, a + 1, b - a) AS m, substring(t, b + 1) AS z FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || z || '<M>' || m
+                        ELSE '<S>' || z || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256 FROM s""",
+    "op12_filter_audit": r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words FROM d),
+f AS (SELECT part, len(words) < 50 AS a, 100 * len(list_distinct(words)) < 65 * len(words) AS b,
+             100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+             coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false) AS e,
+             coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS bad
+      FROM w LEFT JOIN labels USING (doc_id)),
+m AS (SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS bits, count(*) AS n,
+             count(*) FILTER (good) AS g, count(*) FILTER (bad) AS x FROM f GROUP BY 1, 2),
+l AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(l, bit)),
+p AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS o
+      FROM l a, l b, l c, l d, l e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+s AS (SELECT filter_order, step, o[step] AS own, coalesce(list_sum(o[1:step - 1]), 0)::INT AS earlier
+      FROM p, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+q AS (SELECT part, filter_order, step, own,
+             sum(CASE WHEN bits & (earlier | own) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+             sum(CASE WHEN bits & earlier = 0 AND bits & own <> 0 THEN n ELSE 0 END)::BIGINT AS removed,
+             sum(CASE WHEN bits & earlier <> 0 AND bits & own <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+             sum(CASE WHEN bits = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+             sum(CASE WHEN bits & earlier = 0 AND bits & own <> 0 THEN g ELSE 0 END)::BIGINT AS good_lost,
+             sum(CASE WHEN bits & earlier = 0 AND bits & own <> 0 THEN x ELSE 0 END)::BIGINT AS toxic_lost
+      FROM m, s GROUP BY ALL)
+SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM q""",
 }
-ORACLE: dict[str, str] = {}
