@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+from collections.abc import Callable, Hashable, Iterable, Iterator
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,3 +51,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sha256_hex(col) -> F.Column:
     return F.sha2(col, 256)
+
+
+# ------------------------------------------------------------------ in Python workers
+_HELD: dict[Hashable, Any] = {}
+
+
+def worker_state(owner: Hashable, make: Callable[[], Any]) -> Any:
+    """What an operator keeps between the tasks of a Python worker (tables, caches).
+    A worker serves many operators in turn and holds the state of one of them."""
+    if owner not in _HELD:
+        _HELD.clear()
+        give_back()
+        _HELD[owner] = make()
+    return _HELD[owner]
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system, which the allocators would keep."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):       # another C library
+        pass
+
+
+def released(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``, with its freed memory handed back when a task ends."""
+    def bounded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return bounded

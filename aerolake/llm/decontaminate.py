@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerolake.llm.common import released
+
 MIN_MATCH = 4
 MIN_COVERAGE = 0.5
 BLOCK_BYTES = 4 << 20           # benchmark text that one broadcast block holds, about
@@ -245,7 +247,7 @@ def mark_leaks(df: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH,
         return run
 
     for rows in benchmark_blocks(benchmark, block_bytes):
-        marked = marked.mapInArrow(scan(rows), schema)
+        marked = marked.mapInArrow(released(scan(rows)), schema)
     return marked
 
 

@@ -18,7 +18,6 @@ Defined results: null or empty text has 0 tokens; other columns pass through.
 
 from __future__ import annotations
 
-import functools
 import heapq
 import string
 from collections.abc import Iterable, Iterator
@@ -28,6 +27,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from aerolake.llm.common import released, worker_state
+
 SPACE = "▁"            # stands for a blank in the vocabulary's pieces
 CACHE_SEGMENTS = 250_000    # per generation
 LONGEST_CACHED = 64
@@ -116,8 +117,12 @@ class PieceCounter:
         return total
 
 
-@functools.lru_cache(maxsize=1)
 def load_counter(model_path: str) -> PieceCounter:
+    """A worker's counter for the model."""
+    return worker_state(("pieces", model_path), lambda: read_counter(model_path))
+
+
+def read_counter(model_path: str) -> PieceCounter:
     """The counter for a sentencepiece BPE model with an identity normaliser."""
     import sentencepiece
 
@@ -142,4 +147,4 @@ def token_counts(df: DataFrame, model_path: str, text_col: str = "text",
             counts = pa.array([count(t or "") for t in batch.column(at).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, counts], [*batch.schema.names, out_col])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out_col, T.LongType())]))
+    return df.mapInArrow(released(run), T.StructType([*df.schema.fields, T.StructField(out_col, T.LongType())]))
