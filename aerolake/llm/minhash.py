@@ -14,7 +14,9 @@
 4. Second merge, which skips every list that lies in one component: the other
    lists are cut by set size (linked sets fall in the same class or the next) and
    merged across components, in blocks of about ``BLOCK`` nodes a side, a pair
-   being counted in its first common list only.  The texts of the nodes
+   being counted in its first common list only.  The largest component of a long
+   list has blocks of its own, which don't meet each other, so a large group costs
+   rows in proportion to the nodes outside it.  The texts of the nodes
    that take part in a possible pair join their blocks, and a node is confirmed
    against the best-matching nodes first, skipping the pairs whose components the
    block has joined already.  Only confirmed links leave a task.
@@ -45,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import stored
+from aerolake.llm.common import released, stored, worker_state
 from aerolake.llm.components import connected_components
 
 SHINGLE = 5
@@ -53,7 +55,7 @@ PERCENT = 75                # a link: 100 * intersection >= PERCENT * union
 COORDINATES = 64
 PREFIX = 16
 MIN_MATCHES = 28
-BLOCK = 512
+BLOCK = 1024
 SIZE_STEP = 1.3334          # just above 100 / PERCENT: linked sizes are at most one class apart
 CACHED_WORDS = 150_000
 
@@ -72,8 +74,6 @@ class _WordHash(dict):
         return h
 
 
-_WORDS = _WordHash()
-
 
 def _mix(h: np.ndarray) -> np.ndarray:
     """A bijective finaliser on 64 bits."""
@@ -92,7 +92,7 @@ def shingle_set(text: str | None) -> np.ndarray:
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
         return np.zeros(0, dtype=np.uint64)
-    h = np.array(list(map(_WORDS.__getitem__, words)), dtype=np.uint64)
+    h = np.array(list(map(worker_state("minhash", _WordHash).__getitem__, words)), dtype=np.uint64)
     width = min(SHINGLE, len(h))
     n = len(h) - width + 1
     out = np.full(n, width, dtype=np.uint64)
@@ -133,7 +133,7 @@ def _signatures(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, node, sig, prefix) of ``docs`` (doc_id, text)."""
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        _signatures, "doc_id bigint, n_shingles bigint, node binary, sig binary, prefix array<bigint>")
+        released(_signatures), "doc_id bigint, n_shingles bigint, node binary, sig binary, prefix array<bigint>")
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -174,7 +174,7 @@ def _texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     ids = wanted.distinct().join(nodes.select("node", "doc_id"), "node").select("node", F.col("doc_id").alias("_id"))
     # several rows of one doc_id are told apart by their set
     found = docs.select(F.col("doc_id").cast("bigint").alias("_id"), "text").where("text is not null").join(
-        ids, "_id").select("node", "text").mapInArrow(_of_node, "node binary, text string")
+        ids, "_id").select("node", "text").mapInArrow(released(_of_node), "node binary, text string")
     return stored(found.dropDuplicates(["node"]), "minhash-texts")
 
 
@@ -183,7 +183,7 @@ def _confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     texts = _texts(pairs.select(F.explode(F.array("u", "v")).alias("node")), nodes, docs)
     of = lambda side: texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
     full = pairs.join(of("u"), "u").join(of("v"), "v").select("u", "v", "text_u", "text_v")
-    return full.mapInArrow(_confirmed, "u binary, v binary")
+    return full.mapInArrow(released(_confirmed), "u binary, v binary")
 
 
 def _of_node(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,7 +311,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     of = lambda side: small.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"),
                                    F.col("sig").alias(f"sig_{side}"))
     pairs = stored(star.join(of("u"), "u").join(of("v"), "v").where(_sizes_allow("n_u", "n_v")).select(
-        "u", "v", "sig_u", "sig_v").mapInArrow(_enough_matches, "u binary, v binary"), "minhash-pairs")
+        "u", "v", "sig_u", "sig_v").mapInArrow(released(_enough_matches), "u binary, v binary"), "minhash-pairs")
     links = stored(_confirm(pairs, nodes, docs), "minhash-links")
     roots = stored(connected_components(links), "minhash-roots")
 
@@ -325,21 +325,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "s", F.explode(F.array("_own", F.col("_own") - 1))).select(
         "key", "s", (F.col("s") == F.col("_own")).cast("int").alias("low"), "node", "comp", "n"), "minhash-classed")
     # a group needs two components and a node of its own class
-    worth = stored(classed.groupBy("key", "s").agg(*several, F.max("low").alias("low"), F.count("*").alias("n_posts")).where(
-        "a < b and low = 1").select("key", "s", F.ceil(F.col("n_posts") / BLOCK).cast("int").alias("_n")), "minhash-groups")
+    by_comp = classed.groupBy("key", "s", "comp").agg(F.count("*").alias("c"), F.max("low").alias("low"))
+    long = F.col("n_posts") > BLOCK
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")       # noqa: E731
+    worth = stored(by_comp.groupBy("key", "s").agg(
+        F.count("*").alias("n_comps"), F.max("low").alias("low"), F.sum("c").alias("n_posts"),
+        F.max(F.struct("c", "comp")).alias("top")).where("n_comps > 1 and low = 1").select(
+        "key", "s", F.when(long, F.col("top.comp")).alias("_top"),
+        F.when(long, blocks(F.col("n_posts") - F.col("top.c"))).otherwise(1).alias("_rest"),
+        F.when(long, blocks(F.col("top.c"))).otherwise(0).alias("_tops")), "minhash-groups")
+    # blocks 0.. hold the rest, which meets everything; then come those of the largest
+    # component, which meet the rest
+    in_top = F.coalesce(F.col("comp") == F.col("_top"), F.lit(False))
+    place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")     # noqa: E731
     spread = classed.join(worth, ["key", "s"]).withColumn(
-        "_g", F.pmod(F.xxhash64("node"), F.col("_n")).cast("int")).withColumn(
-        "_o", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).select(
+        "_g", F.when(in_top, F.col("_rest") + place("_tops")).otherwise(place("_rest"))).withColumn(
+        "_o", F.explode(F.sequence(F.lit(0), F.when(in_top, F.col("_rest")).otherwise(F.col("_rest") + F.col("_tops")) - 1))).select(
         "key", "s", F.least("_g", "_o").alias("i"), F.greatest("_g", "_o").alias("j"),
         (F.col("_g") > F.col("_o")).cast("int").alias("side"), "low", "node", "comp", "n")
     group = ["key", "s", "i", "j"]
     together = lambda df: df.repartition(*group).sortWithinPartitions(*group)
     taking_part = stored(together(spread.join(nodes.select("node", "sig"), "node").select(
-        *group, "side", "low", "node", "comp", "n", "sig")).mapInArrow(_taking_part, BLOCK_ROW), "minhash-blocks")
+        *group, "side", "low", "node", "comp", "n", "sig")).mapInArrow(released(_taking_part), BLOCK_ROW), "minhash-blocks")
     if not taking_part.isEmpty():
         texts = _texts(taking_part.select("node"), nodes, docs)
         more = together(taking_part.join(texts, "node").select(*taking_part.columns, "text")).mapInArrow(
-            _links_across, "u binary, v binary")
+            released(_links_across), "u binary, v binary")
         links = links.union(stored(more, "minhash-links"))
         roots = stored(connected_components(links), "minhash-roots")
 
