@@ -1,21 +1,19 @@
 """Incremental build: high-water-mark filter and key-based upsert.
 
-No lake table format is assumed (plain Parquet on any Hadoop FS), so the
-upsert merges only the partitions the batch touches beside the table and then
-moves the merged folders into their places.  Untouched partitions are neither
-listed, read nor rewritten, and a run that stops half way is finished by the
-next one (see ``upsert``).
+No lake table format is assumed (plain Parquet on any Hadoop FS): the upsert merges
+the partitions that a batch touches and commits them in a manifest
+(``aerolake.snapshots``).  Which loads are new is told by a ledger
+(``aerolake.loads``); the mark serves bronze that has none.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake import storage
-from aerolake.storage import path_exists
+from aerolake.snapshots import merge_frames, upsert
+
+__all__ = ["high_water_mark", "merge_frames", "new_rows", "newer_than", "upsert"]
 
 
 def high_water_mark(target: DataFrame | None, target_col: str = "ingestion_timestamp") -> str | None:
@@ -44,127 +42,3 @@ def new_rows(df: DataFrame, ts_col: str, target: DataFrame | None = None,
     is a first load: all rows qualify.
     """
     return newer_than(df, ts_col, high_water_mark(target, target_col))
-
-
-def merge_frames(target: DataFrame | None, batch: DataFrame, key: str, order_by=()) -> DataFrame:
-    """The newest version of every key from both sides.
-
-    A version is all rows of a key with equal ``order_by`` values from one side
-    (overlapping airport boxes give a signal several rows).  The greatest
-    ``order_by`` wins, NULLs last; on a tie, and without ``order_by``, the batch
-    does.  The same rule holds within the batch alone, so a first load and later
-    loads agree."""
-    rows = batch.withColumn("__side", F.lit(1))
-    if target is not None:
-        rows = rows.unionByName(target.withColumn("__side", F.lit(0)))
-    order = [F.col(c).desc_nulls_last() for c in order_by] + [F.col("__side").desc()]
-    # rank() = 1 is limited per map task before the shuffle, as row_number() is
-    w = Window.partitionBy(key).orderBy(*order)
-    return rows.withColumn("__rank", F.rank().over(w)).where("__rank = 1").drop("__rank", "__side")
-
-
-def pending(path: str) -> str:
-    return f"{path.rstrip('/')}/_pending"
-
-
-def recover(spark: SparkSession, path: str) -> bool:
-    """Finish the upsert that stopped on its way, if any; returns whether one did.
-
-    Merged folders that were complete are moved into the table; an upsert that
-    had not got that far is forgotten (its caller sends the batch again)."""
-    work = pending(path)
-    if not path_exists(spark, work):
-        return False
-    done = path_exists(spark, f"{work}/ready")
-    if done:
-        _move_in(spark, path, f"{work}/ready")
-    storage.delete(spark, work)
-    return done
-
-
-def _depth(spark: SparkSession, path: str) -> int:
-    depth, at = 0, path
-    while below := [n for n in storage.subfolders(spark, at) if "=" in n]:
-        depth, at = depth + 1, f"{at}/{below[0]}"
-    return depth
-
-
-def _move_in(spark: SparkSession, path: str, ready: str) -> None:
-    """Replace the table's partitions by the folders of ``ready``.  What has been
-    moved is no longer there, so doing it again goes on where it stopped."""
-    for name in storage.partition_folders(spark, ready, _depth(spark, ready)):
-        storage.delete(spark, f"{path}/{name}")
-        storage.rename(spark, f"{ready}/{name}", f"{path}/{name}")
-
-
-def read_partitions(spark: SparkSession, path: str, names, schema) -> DataFrame:
-    """The named partition folders of a table, listed and read alone."""
-    there = [f"{path}/{n}" for n in names if path_exists(spark, f"{path}/{n}")]
-    if not there:
-        return spark.createDataFrame([], schema)        # nothing stored under these names
-    return spark.read.schema(schema).option("basePath", path).parquet(*there)
-
-
-def table_schema(spark: SparkSession, path: str):
-    """The schema of the table at ``path`` from one partition (None: no table)."""
-    at = path
-    while below := [n for n in storage.subfolders(spark, at) if "=" in n]:
-        at = f"{at}/{below[0]}"
-    if at == path:
-        return None
-    return spark.read.option("basePath", path).parquet(at).schema
-
-
-def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition_col,
-           order_by=(), on_null_key: str = "fail", run_id: str | None = None) -> dict:
-    """Upsert ``batch`` into the Parquet table at ``path`` partitioned by
-    ``partition_col`` (one name or a list).  Every partition column must be a
-    function of ``key``; NULL is a partition like any other.
-
-    ``order_by``: columns that tell a key's newest version (``merge_frames``).
-    ``on_null_key``: ``fail``, or ``quarantine``: rows without a key go to
-    ``<path>_rejected/run_id=<run_id>`` (replaced when the run is repeated).
-    A batch whose columns differ from the table's is refused.
-
-    Three steps below ``<path>/_pending``: the batch is written by partition;
-    the partitions it touches are read from the table by their folders and
-    merged into ``merged``, which is renamed to ``ready`` when complete; then
-    ``ready``'s folders replace the table's one by one.  A stop before ``ready``
-    leaves the table as it was, a later one is finished by ``recover``, which
-    every upsert calls first.  Returns batch rows, rejected rows, and the touched
-    partition folders.
-    """
-    parts = [partition_col] if isinstance(partition_col, str) else list(partition_col)
-    order_by = [order_by] if isinstance(order_by, str) else list(order_by)
-    recover(spark, path)
-    schema = table_schema(spark, path)
-    if schema is not None and set(schema.names) != set(batch.columns):
-        raise ValueError(f"columns differ from the table's: {sorted(set(schema.names) ^ set(batch.columns))}")
-    if on_null_key == "fail":
-        batch = batch.withColumn(key, F.when(F.col(key).isNull(), F.raise_error(F.lit(f"NULL {key} in upsert batch")))
-                                 .otherwise(F.col(key)))
-    elif on_null_key != "quarantine":
-        raise ValueError(on_null_key)
-    work = pending(path)
-    staged_path = f"{work}/batch"
-    (batch.withColumn("__rejected", F.col(key).isNull()).hint("rebalance", *parts)
-     .write.mode("overwrite").partitionBy("__rejected", *parts).parquet(staged_path))
-    rejected = 0
-    if path_exists(spark, f"{staged_path}/__rejected=true"):
-        bad = spark.read.schema(batch.schema).parquet(f"{staged_path}/__rejected=true")
-        run = run_id or uuid.uuid4().hex
-        (bad.withColumn("run_id", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("run_id").parquet(f"{path.rstrip('/')}_rejected"))
-        rejected = bad.count()
-    touched = storage.partition_folders(spark, f"{staged_path}/__rejected=false", len(parts))
-    if not touched:
-        storage.delete(spark, work)
-        return {"batch_rows": 0, "rejected_rows": rejected, "touched": []}
-    staged = spark.read.schema(batch.schema).parquet(f"{staged_path}/__rejected=false")
-    n_batch = staged.count()                    # from the footers
-    current = None if schema is None else read_partitions(spark, path, touched, batch.schema)
-    merge_frames(current, staged, key, order_by).hint("rebalance", *parts).write.partitionBy(*parts).parquet(f"{work}/merged")
-    storage.rename(spark, f"{work}/merged", f"{work}/ready")
-    _move_in(spark, path, f"{work}/ready")
-    storage.delete(spark, work)
-    return {"batch_rows": n_batch, "rejected_rows": rejected, "touched": touched}

@@ -42,6 +42,36 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
                   if s.isDirectory() and not s.getPath().getName().startswith(("_", ".")))
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly below ``path``."""
+    fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()] if fs.exists(p) else []
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, False)
+    try:
+        out.write(data)
+    finally:
+        out.close()
+
+
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+
+
+def age_seconds(spark: SparkSession, path: str) -> float:
+    """Seconds since the folder or file last changed."""
+    fs, p = _fs(spark, path)
+    return (spark.sparkContext._jvm.System.currentTimeMillis() - fs.getFileStatus(p).getModificationTime()) / 1000
+
+
 def partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
     """Relative names of the partition folders ``depth`` levels below ``path``."""
     found = [""]

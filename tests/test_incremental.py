@@ -3,8 +3,8 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from aerolake import storage
-from aerolake.operators.incremental import merge_frames, new_rows, recover, upsert
+from aerolake import snapshots
+from aerolake.operators.incremental import merge_frames, new_rows, upsert
 from aerolake.plans import build, dims, fact, staging, telemetry
 from aerolake.session import fresh_path
 
@@ -38,9 +38,9 @@ def test_first_and_later_loads_follow_one_rule(spark):
     other = spark.createDataFrame([("z", 1, "z", 1)], batch.schema)
     path = fresh_path(spark, "rule")
     upsert(spark, path, batch, "k", "p", order_by="ts")
-    assert _rows(spark.read.parquet(path).select("k", "v")) == [("a", "new")]
+    assert _rows(snapshots.read(spark, path).select("k", "v")) == [("a", "new")]
     upsert(spark, path, other, "k", "p", order_by="ts")
-    assert _rows(spark.read.parquet(path).select("k", "v")) == [("a", "new"), ("z", "z")]
+    assert _rows(snapshots.read(spark, path).select("k", "v")) == [("a", "new"), ("z", "z")]
 
 
 def test_null_partition_survives(spark):
@@ -49,7 +49,7 @@ def test_null_partition_survives(spark):
     day = datetime.date(2024, 1, 1)
     upsert(spark, path, rows(("k1", None), ("k2", day)), "k", "d")
     upsert(spark, path, rows(("k3", None), ("k4", day)), "k", "d")
-    assert sorted(r.k for r in spark.read.parquet(path).collect()) == ["k1", "k2", "k3", "k4"]
+    assert sorted(r.k for r in snapshots.read(spark, path).collect()) == ["k1", "k2", "k3", "k4"]
 
 
 def test_upsert_refuses_other_columns(spark):
@@ -57,7 +57,7 @@ def test_upsert_refuses_other_columns(spark):
     upsert(spark, path, spark.createDataFrame([("a", 1)], "k string, p int"), "k", "p")
     with pytest.raises(ValueError, match="extra"):
         upsert(spark, path, spark.createDataFrame([("b", 1, 2)], "k string, p int, extra int"), "k", "p")
-    assert spark.read.parquet(path).count() == 1
+    assert snapshots.read(spark, path).count() == 1
 
 
 def test_upsert_quarantines_null_keys(spark):
@@ -68,51 +68,7 @@ def test_upsert_quarantines_null_keys(spark):
         assert (out["batch_rows"], out["rejected_rows"]) == (1, 1)
     assert spark.read.parquet(f"{path}_rejected").count() == 1
     assert upsert(spark, path, df.limit(0), "k", "p")["batch_rows"] == 0
-    assert spark.read.parquet(path).count() == 1
-
-
-@pytest.mark.parametrize("stop_at", [1, 2, 3])
-def test_upsert_stopped_between_delete_and_rename_is_finished(spark, stop_at, monkeypatch):
-    rows = lambda v: spark.createDataFrame([(f"k{p}{i}", p, v) for p in range(3) for i in range(2)],
-                                           "k string, p int, v string")
-    path = fresh_path(spark, "crash")
-    upsert(spark, path, rows("old"), "k", "p")
-    moves = []
-
-    def rename(s, a, b, real=storage.rename):
-        if "/ready/" in a:
-            moves.append(a)
-            if len(moves) == stop_at:
-                raise OSError("lost")
-        real(s, a, b)
-
-    monkeypatch.setattr(storage, "rename", rename)
-    with pytest.raises(OSError):
-        upsert(spark, path, rows("new"), "k", "p")
-    monkeypatch.undo()
-    assert spark.read.parquet(path).count() < 6         # a partition is away
-    assert recover(spark, path)
-    assert {r.v for r in spark.read.parquet(path).collect()} == {"new"} and spark.read.parquet(path).count() == 6
-    assert not recover(spark, path)
-    upsert(spark, path, rows("newer").where("p = 1"), "k", "p")
-    assert sorted({r.v for r in spark.read.parquet(path).collect()}) == ["new", "newer"]
-
-
-def test_upsert_stopped_before_ready_changes_nothing(spark, monkeypatch):
-    path = fresh_path(spark, "crash")
-    one = lambda v: spark.createDataFrame([("a", 1, v)], "k string, p int, v string")
-    upsert(spark, path, one("old"), "k", "p")
-
-    def rename(s, a, b):
-        raise OSError("lost")
-
-    monkeypatch.setattr(storage, "rename", rename)
-    with pytest.raises(OSError):
-        upsert(spark, path, one("new"), "k", "p")
-    monkeypatch.undo()
-    assert spark.read.parquet(path).first().v == "old"
-    upsert(spark, path, one("new"), "k", "p")
-    assert _rows(spark.read.parquet(path).select("k", "v")) == [("a", "new")]
+    assert snapshots.read(spark, path).count() == 1
 
 
 def _full_fact(spark):
@@ -127,7 +83,7 @@ def test_upsert_twice_equals_once(spark):
     upsert(spark, p2, f, "flight_pk", "flight_date")
     upsert(spark, p2, f, "flight_pk", "flight_date")
     cols = fact.FACT_COLUMNS
-    assert _rows(spark.read.parquet(p1).select(*cols)) == _rows(spark.read.parquet(p2).select(*cols)) \
+    assert _rows(snapshots.read(spark, p1).select(*cols)) == _rows(snapshots.read(spark, p2).select(*cols)) \
         == _rows(f.select(*cols))
 
 
@@ -142,11 +98,11 @@ def test_incremental_slices_equal_full_build(spark, cuts):
     for b in bounds:
         so_far = bronze.filter(F.col("inserted_at") < F.lit(b).cast("timestamp_ntz"))
         stg = staging.stg_flights(so_far)
-        target = spark.read.parquet(path) if b != bounds[0] else None
+        target = snapshots.read(spark, path) if b != bounds[0] else None
         batch = fact.fct_flights(new_rows(stg, "inserted_at", target), airports, n_airports=dims.N_AIRPORTS)
         upsert(spark, path, batch, "flight_pk", "flight_date")
     cols = fact.FACT_COLUMNS
-    assert _rows(spark.read.parquet(path).select(*cols)) == _rows(_full_fact(spark).select(*cols))
+    assert _rows(snapshots.read(spark, path).select(*cols)) == _rows(_full_fact(spark).select(*cols))
 
 
 def test_upsert_rejects_null_keys(spark):
@@ -170,7 +126,7 @@ def test_upsert_by_date_and_hour_equals_by_date(spark):
         upsert(spark, p, half, "flight_pk", parts)
         upsert(spark, p, f, "flight_pk", parts, order_by="ingestion_timestamp")
     cols = fact.FACT_COLUMNS
-    assert _rows(spark.read.parquet(p1).select(*cols)) == _rows(spark.read.parquet(p2).select(*cols)) \
+    assert _rows(snapshots.read(spark, p1).select(*cols)) == _rows(snapshots.read(spark, p2).select(*cols)) \
         == _rows(f.select(*cols))
 
 
