@@ -4,10 +4,12 @@
             date and the poll's batch id; what is broken aborts the run or is
             quarantined, and counts in and out must agree
 ``load``    one processing date (or one batch of it) -> bronze table, under the
-            load's id (surrogate ids, one insert timestamp per load)
-``build``   new bronze rows -> silver and fact (upserts, rows without a key
-            quarantined) -> dimensions (merged with what is stored) -> the
-            declared data-quality suite, written as a verdict table
+            load's id (dense surrogate ids, one insert timestamp per load), and an
+            entry in the ledger of loads
+``build``   the loads not built yet -> silver and fact (upserts into snapshot
+            tables, rows without a key quarantined) -> dimensions (merged with what
+            is stored) -> the declared data-quality suite over the state kept by
+            partition, written as a verdict table
 
 Every run may be repeated after a failure: it replaces what it wrote before.
 
@@ -22,20 +24,23 @@ import datetime as dt
 import os
 import re
 import sys
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake import storage
+from aerolake import loads, snapshots, storage
 from aerolake.operators import quality as D
-from aerolake.operators.incremental import high_water_mark, read_partitions, recover, table_schema, upsert
+from aerolake.operators import quality_state as Q
+from aerolake.operators.incremental import high_water_mark, upsert
 from aerolake.plans import dims, layers
 from aerolake.plans.fact import FACT_COLUMNS, fct_flights
-from aerolake.plans.staging import stg_flights_since
+from aerolake.plans.staging import stg_flights, stg_flights_since
 from aerolake.functions.clean import silver_key
 from aerolake.session import build_session, fresh_path
 from aerolake.sources import ingest as I
 from aerolake.sources import sinks as S
+from aerolake.sources.schemas import BRONZE_EXTRA_FIELDS, STATE_VECTOR_FIELDS, ordered_schema
 from aerolake.sources.tables import source
 from aerolake.storage import path_exists
 
@@ -71,17 +76,26 @@ def ingest(spark: SparkSession, input_path: str, parquet_root: str, processing_d
         storage.delete(spark, stage)
         raise ContractBroken(f"CONTRACT BROKEN: {counts}")
     keys = {"processing_date": F.lit(processing_date).cast("date"), "batch_id": F.lit(batch_id)}
-    if bad:
-        S.write_partitions(staged.where("problem is not null").withColumns(keys), parquet_root.rstrip("/") + "_quarantine",
-                           ["processing_date", "batch_id"], fmt="json")
+    name = f"processing_date={processing_date}/batch_id={batch_id}"
+    root = parquet_root.rstrip("/")
     counts["rows_out"] = 0
     if counts["rows_in"] > bad:
-        S.write_partitions(I.typed_projection(staged.where("problem is null")).withColumns(keys), parquet_root,
-                           ["processing_date", "batch_id"])
-        counts["rows_out"] = spark.read.parquet(
-            f"{parquet_root.rstrip('/')}/processing_date={processing_date}/batch_id={batch_id}").count()
+        good = I.typed_projection(staged.where("problem is null"))
+        content = S.ContentReconciliation(good.columns)
+        S.write_partitions(content.tap(good, "in").withColumns(keys), root, list(keys))
+        landed = content.of(spark.read.schema(good.schema).parquet(f"{root}/{name}"))
+        counts["rows_out"] = int(landed[0])
+        if landed != content.digest("in"):
+            raise ContractBroken(f"contents do not agree: {counts}")
     if counts["rows_in"] != counts["rows_out"] + bad:
         raise ContractBroken(f"counts do not agree: {counts}")
+    if bad:
+        S.write_partitions(staged.where("problem is not null").withColumns(keys), f"{root}_quarantine", list(keys), fmt="json")
+    if counts["rows_in"]:
+        # what an earlier try of this poll left on a side that has no rows now
+        for side, rows in ((root, counts["rows_out"]), (f"{root}_quarantine", bad)):
+            if not rows:
+                storage.delete(spark, f"{side}/{name}")
     storage.delete(spark, stage)
     return counts
 
@@ -105,28 +119,33 @@ def load(spark: SparkSession, parquet_root: str, processing_date: str, raw_path:
     """One processing date (or one batch of it) into the bronze table, under
     ``load_id``; returns rows loaded.
 
-    Loading the same again replaces it.  The first surrogate id of a load is
-    kept in a state table beside bronze, so bronze is never scanned for it."""
+    Loading the same again replaces it, with the same ids if there are as many rows.
+    Ids are dense over all loads: the ledger of loads tells the next one, so bronze is
+    never scanned for it, and a load is not there before its entry is."""
     folder = f"{parquet_root.rstrip('/')}/processing_date={processing_date}" + (f"/batch_id={batch_id}" if batch_id else "")
     if not path_exists(spark, folder):
         return 0
-    part = spark.read.option("basePath", parquet_root).parquet(folder).drop("batch_id")
-    if part.isEmpty():
+    part = spark.read.option("basePath", parquet_root).parquet(folder)
+    n = part.count()                            # from the footers
+    if not n:
         return 0
     load_id = processing_date + (f"_{batch_id}" if batch_id else "")
-    state = f"{raw_path.rstrip('/')}_state/next_surrogate_id"
-    offset = _read_state(spark, state) or 0
-    rows = S.with_bronze_columns(part, inserted_at or _now(), id_offset=offset).withColumn("load_id", F.lit(load_id))
-    S.write_partitions(rows, raw_path, ["processing_date", "load_id"])
-    written = spark.read.parquet(f"{raw_path.rstrip('/')}/processing_date={processing_date}/load_id={load_id}")
-    n, top = written.agg(F.count(F.lit(1)), F.max("id_surrogate")).first()
-    _write_state(spark, state, int(top) + 1)
-    return int(n)
+    name = f"processing_date={processing_date}/load_id={load_id}"
+    stamp = inserted_at or _now()
+
+    def write(first_id: int) -> str:
+        rows = S.with_dense_ids(part, first_id).drop("batch_id").withColumns(
+            {"inserted_at": F.lit(stamp).cast("timestamp_ntz"), "load_id": F.lit(load_id)})
+        S.write_partitions(rows, raw_path, ["processing_date", "load_id"])
+        written = spark.read.parquet(f"{raw_path.rstrip('/')}/{name}")
+        return "-".join(map(str, written.agg(*S.content_digest(sorted(written.columns))).first()))
+
+    return loads.record(spark, raw_path, name, n, stamp, write)["n_rows"]
 
 
 def read_mark(spark: SparkSession, root: str) -> str | None:
-    """The high-water mark kept by the last successful build (a one-row table),
-    so an incremental run does not scan the whole fact for it."""
+    """The greatest insert time built so far (a one-row table), so that a run over
+    bronze without a ledger does not scan the whole fact for it."""
     return _read_state(spark, _state(root, "fct_flights_high_water_mark"))
 
 
@@ -146,27 +165,43 @@ def _with_silver_key(stg: DataFrame) -> DataFrame:
         "flight_date", F.to_date("position_timestamp"))
 
 
+def _fresh(spark: SparkSession, raw_path: str, root: str, mark: str | None) -> tuple[DataFrame, list[dict] | None]:
+    """Silver rows of what is new in bronze, and the loads taken (None: no ledger)."""
+    if not loads.has_ledger(spark, raw_path):
+        return stg_flights_since(source(spark, {"raw.flights_raw": raw_path}, "raw", "flights_raw"), mark), None
+    taken = loads.pending(spark, raw_path, _state(root, "built_loads"))
+    if names := [e["load"] for e in taken if e["n_rows"]]:
+        return stg_flights(loads.read_loads(spark, raw_path, names)), taken
+    bronze = ordered_schema(STATE_VECTOR_FIELDS + BRONZE_EXTRA_FIELDS)
+    return stg_flights(spark.createDataFrame([], bronze)), taken
+
+
 def build(spark: SparkSession, raw_path: str, root: str, full_checks: bool = False) -> DataFrame:
     """One model run over the bronze table; returns the DQ verdict table.
 
-    Only bronze rows newer than the kept mark are deduplicated; they are upserted
-    into the silver table and, as fact rows, into the fact.  Fact rows without a
-    key (no id or no time) go to ``fct_flights_rejected`` and show in the not_null
-    check.  Dimensions are merged from their stored rows and the new ones.  The
-    checks read the partitions that this run touched (a key names its second, so
-    no duplicate can lie elsewhere); ``full_checks`` reads everything.
+    New are the loads in the ledger that no build has taken (bronze without a ledger:
+    the rows above the kept mark).  They are deduplicated among themselves and upserted
+    into the silver table and, as fact rows, into the fact, where the newest version of
+    a key stays, so a load may come late.  Fact rows without a key (no id or no time)
+    go to ``fct_flights_rejected`` and show in the not_null check.  Dimensions are
+    merged from their stored rows and the new ones.
+
+    The verdict covers the whole tables, from the state kept by partition
+    (``quality_state``): a run reads the partitions that changed since their state was
+    written, a run without new rows reads none and keeps the verdict.  ``full_checks``
+    describes every partition anew.
     """
-    raw = source(spark, {"raw.flights_raw": raw_path}, "raw", "flights_raw")
     silver_path = layers.layer_path(root, "silver", "stg_flights")
     fact_path = layers.layer_path(root, "gold", "fct_flights")
-    for path in (silver_path, fact_path):
-        recover(spark, path)
     mark = read_mark(spark, root)
     stage = fresh_path(spark, "build-fresh")
-    fresh = storage.replace_table(stg_flights_since(raw, mark), f"{stage}/stg_flights")    # new rows only; read by all below
+    rows, taken = _fresh(spark, raw_path, root, mark)
+    fresh = storage.replace_table(rows, f"{stage}/stg_flights")    # new rows only; read by all below
     new_mark = high_water_mark(fresh, "inserted_at")
-    run_id = re.sub(r"\D", "", new_mark or "none")          # a folder name of the same run, if repeated
-    silver = upsert(spark, silver_path, _with_silver_key(fresh), SILVER_KEY_COL, "flight_date", order_by=VERSION)
+    # a folder name of the same run, if repeated
+    run_id = re.sub(r"\D", "", new_mark or "none") if taken is None else uuid.uuid5(
+        uuid.NAMESPACE_OID, " ".join(f"{e['load']} {e['attempt']}" for e in taken)).hex
+    upsert(spark, silver_path, _with_silver_key(fresh), SILVER_KEY_COL, "flight_date", order_by=VERSION)
 
     airports = layers.materialise(dims.dim_airports(spark), "dim_airports", "table", root=root)
     stored = lambda name: layers.stored_layer(spark, root, "gold", name)
@@ -176,24 +211,29 @@ def build(spark: SparkSession, raw_path: str, root: str, full_checks: bool = Fal
     rows = fct_flights(fresh, airports, n_airports=dims.N_AIRPORTS, keep=["id_surrogate"])
     fact = upsert(spark, fact_path, rows, "flight_pk", "flight_date", order_by=["ingestion_timestamp", "id_surrogate"],
                   on_null_key="quarantine", run_id=run_id)
+
+    suite, state = _declared_suite(), _state(root, "quality")
+    dim_tables = {"dim_aircrafts": aircrafts, "dim_airports": airports, "dim_calendar": calendar}
+    tables = {"stg_flights": silver_path, "fct_flights": fact_path}
+    of = lambda model: [c for c in suite if c.model == model]      # noqa: E731
+    Q.refresh(spark, state, "stg_flights", silver_path, SILVER_KEY_COL, of("stg_flights"), dim_tables, everything=full_checks)
+    aside = {}
     if new_mark is not None:
-        # written last: a failure before it leaves the older mark, and applying
-        # the same rows again changes nothing
+        at = f"{fact_path}_rejected/run_id={run_id}"
+        aside[f"rejected {run_id}"] = spark.read.schema(rows.schema).parquet(at) if fact["rejected_rows"] else None
+    Q.refresh(spark, state, "fct_flights", fact_path, "flight_pk", of("fct_flights"), dim_tables, aside, full_checks)
+    verdict = D.dq_run(dim_tables, [c for c in suite if c.model in dim_tables]).unionByName(
+        Q.verdict(spark, state, tables, suite, dim_tables))
+    report = layers.materialise(verdict, "dq_report", "table", root=root)
+
+    # written last: after a failure before it the same rows are applied again, which
+    # changes nothing
+    if taken:
+        loads.mark_built(spark, _state(root, "built_loads"), taken)
+    if new_mark is not None and (mark is None or new_mark > mark):
         _write_state(spark, _state(root, "fct_flights_high_water_mark"), new_mark)
-
-    def checked(path: str, frame: DataFrame, touched: list[str]) -> DataFrame:
-        schema = table_schema(spark, path) or frame.schema
-        if full_checks and path_exists(spark, path):
-            return spark.read.schema(schema).parquet(path)
-        return read_partitions(spark, path, touched, schema)
-
-    fct = checked(fact_path, rows, fact["touched"])
-    if fact["rejected_rows"]:
-        bad = spark.read.schema(rows.schema).parquet(f"{fact_path}_rejected/run_id={run_id}")
-        fct = fct.select(*rows.columns).unionByName(bad)
-    models = {"stg_flights": checked(silver_path, _with_silver_key(fresh), silver["touched"]), "dim_aircrafts": aircrafts,
-              "dim_airports": airports, "dim_calendar": calendar, "fct_flights": fct.select(*FACT_COLUMNS)}
-    report = layers.materialise(D.dq_run(models, _declared_suite()), "dq_report", "table", root=root)
+    for path in (silver_path, fact_path, state):
+        snapshots.sweep(spark, path)
     storage.delete(spark, stage)
     return report
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from aerolake.sources.schemas import STATE_VECTOR_FIELDS
@@ -44,10 +44,62 @@ def with_bronze_columns(df: DataFrame, batch_ts, id_offset: int = 0,
               .withColumn(ts_col, F.lit(batch_ts).cast("timestamp_ntz")))
 
 
+def with_dense_ids(stored: DataFrame, id_offset: int = 1, id_col: str = "id_surrogate") -> DataFrame:
+    """Rows of Parquet files numbered from ``id_offset`` without gaps, by file name
+    and place in the file.
+
+    Distributed prefix sums: rows are counted by file (from the footers), the counts
+    become running offsets, and a row's number is its file's offset plus its place.
+    No row is sorted or moved for it, and the same files give the same numbers.
+    ``stored`` is a plain scan: the numbers count what lies in the files."""
+    file, row = F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")
+    counts = stored.select(file).groupBy("__file").agg(F.count(F.lit(1)).alias("n"))
+    # one row a file: the only window without partitions is over these
+    before = F.coalesce(F.sum("n").over(Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("__file", before.alias("__before"))
+    return stored.select("*", file, row).join(offsets, "__file").withColumn(
+        id_col, F.col("__before") + F.col("__row") + F.lit(id_offset)).drop("__file", "__row", "__before")
+
+
 # ------------------------------------------------------------------ S10
+def content_digest(columns) -> list[Column]:
+    """Aggregates that tell two multisets of rows apart whatever their order: the
+    number of rows, and sum and exclusive-or of the rows' hashes.  Values count with
+    their type, NULLs with their place."""
+    null_map = F.concat(*[F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in columns])
+    row = F.xxhash64(null_map, *[F.col(c) for c in columns])
+    return [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row.cast("decimal(20,0)")), F.lit(0)).cast("string").alias("total"),
+            F.coalesce(F.bit_xor(row), F.lit(0)).alias("parity")]
+
+
+class ContentReconciliation:
+    """``content_digest`` at two points, of rows that pass by (``observe``, no job of
+    their own) or of a table that is read."""
+
+    def __init__(self, columns, name: str = "content"):
+        self.columns = list(columns)
+        self.observations = {side: Observation(f"{name}_{side}_{uuid.uuid4().hex[:8]}") for side in ("in", "out")}
+
+    def tap(self, df: DataFrame, side: str) -> DataFrame:
+        return df.observe(self.observations[side], *content_digest(self.columns))
+
+    def digest(self, side: str) -> tuple:
+        """What passed; a plan that was found empty before it ran counts as no rows."""
+        seen = self.observations[side].get
+        return int(seen.get("n") or 0), str(seen.get("total") or "0"), int(seen.get("parity") or 0)
+
+    def of(self, df: DataFrame) -> tuple:
+        """The digest of a table (one aggregate)."""
+        return tuple(df.agg(*content_digest(self.columns)).first())
+
+    def agrees(self) -> bool:
+        return self.digest("in") == self.digest("out")
+
+
 class Reconciliation:
     """Counts rows at two points of one plan with ``observe`` (no extra
-    ``count()`` jobs); read the numbers after the action that writes."""
+    ``count()`` jobs); read the numbers after the action that writes.  Counts alone
+    don't see changed contents: ``ContentReconciliation`` does."""
 
     def __init__(self, name: str = "reconcile"):
         tag = uuid.uuid4().hex[:8]          # observation names must be unique within a plan
