@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from aerolake.operators.incremental import high_water_mark, upsert
-from aerolake import jobs
+from aerolake import jobs, loads, snapshots
 from aerolake.plans import build, dims, layers, telemetry
 from aerolake.plans.fact import FACT_COLUMNS, fct_flights
 from aerolake.plans.oracle import sql, stg_chain
@@ -232,9 +232,9 @@ def q_incremental_upsert(spark, sf_dir):
     path = fresh_path(spark, "fct_flights")
     first = fct_flights(stg_flights(bronze1), airports, n_airports=dims.N_AIRPORTS)
     upsert(spark, path, first, "flight_pk", "flight_date")
-    fresh = stg_flights_since(bronze_all, high_water_mark(spark.read.parquet(path)))
+    fresh = stg_flights_since(bronze_all, high_water_mark(snapshots.read(spark, path)))
     upsert(spark, path, fct_flights(fresh, airports, n_airports=dims.N_AIRPORTS), "flight_pk", "flight_date")
-    return spark.read.parquet(path).select(*FACT_COLUMNS)
+    return snapshots.read(spark, path).select(*FACT_COLUMNS)
 
 
 _MONTH_OR_NULL = "CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(date_trunc('month', o_orderdate) AS DATE) END"
@@ -248,7 +248,7 @@ def q_upsert_null_partition(spark, sf_dir):
     path = fresh_path(spark, "upsert-null")
     for part in range(3):
         upsert(spark, path, orders.where(f"o_orderkey % 3 = {part}"), "o_orderkey", "order_month")
-    return spark.read.schema(orders.schema).parquet(path).select(*orders.columns)
+    return snapshots.read(spark, path).select(*orders.columns)
 
 
 @register("upsert_ties", sql(
@@ -261,7 +261,7 @@ def q_upsert_ties(spark, sf_dir):
     for modulus, load_no, v in ((1, 1, 1), (3, 1, 2), (5, 0, 3)):
         batch = orders.where(f"o_orderkey % {modulus} = 0").withColumn("load_no", F.lit(load_no)).withColumn("v", F.lit(v))
         upsert(spark, path, batch, "o_orderkey", "order_month", order_by="load_no")
-    return spark.read.parquet(path).select("o_orderkey", "order_month", "load_no", "v")
+    return snapshots.read(spark, path).select("o_orderkey", "order_month", "load_no", "v")
 
 
 _UNTIMED = {"bronze_u": "SELECT * REPLACE (CASE WHEN event_id % 17 = 0 THEN NULL ELSE time_position END AS time_position) FROM bronze",
@@ -276,7 +276,7 @@ def q_upsert_untimed(spark, sf_dir):
     path = fresh_path(spark, "upsert-untimed")
     rows = fct_flights(stg_flights(bronze), dims.dim_airports(spark), n_airports=dims.N_AIRPORTS)
     upsert(spark, path, rows, "flight_pk", "flight_date", on_null_key="quarantine", run_id="r1")
-    kept = spark.read.schema(rows.schema).parquet(path).select(*rows.columns, F.lit(False).alias("rejected"))
+    kept = snapshots.read(spark, path).select(*rows.columns, F.lit(False).alias("rejected"))
     aside = spark.read.schema(rows.schema).parquet(f"{path}_rejected/run_id=r1").select(*rows.columns, F.lit(True).alias("rejected"))
     return kept.union(aside)
 

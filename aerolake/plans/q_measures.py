@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from aerolake import constants as K
+from aerolake.operators import bitmaps as B
 from aerolake.operators import measures as M
 from aerolake.plans import build, questions as Q
 from aerolake.plans.dims import dim_aircrafts
 from aerolake.plans.oracle import _q, period_case, sql
 from aerolake.plans.registry import register
 from aerolake.functions.categorise import day_period
+from aerolake.session import fresh_path
 
 # ----------------------------------------------------------------- A1-A5
 @register("total_signals", sql("SELECT count(flight_pk) AS total_signals FROM fct", "fct"))
@@ -206,3 +210,23 @@ def q_peak_hours(spark, sf_dir):
 @register("q_idle_hours", sql(f"SELECT * FROM ({_HOURLY}) ORDER BY active_aircraft ASC, hour_24 ASC LIMIT 3", "fct"))
 def q_idle_hours(spark, sf_dir):
     return Q.idle_hours(build.gold_fact(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ A2, A7 by bitmaps
+@register("active_aircraft_cube", sql(
+    "SELECT airport_code, flight_date, hour_24, count(DISTINCT aircraft_id) AS active_aircraft FROM fct "
+    "GROUP BY GROUPING SETS ((airport_code, flight_date, hour_24), (airport_code, flight_date), (airport_code), (flight_date), ())", "fct"))
+def q_active_aircraft_cube(spark, sf_dir):
+    """Exact unique aircraft by hour, day, airport and in all: the fact is read once for
+    the bitmaps of the hours, every coarser count is of united bitmaps."""
+    path = fresh_path(spark, "cube-fact")
+    build.gold_fact(spark, sf_dir).select("airport_code", "flight_date", "hour_24", "aircraft_id").distinct().write.parquet(path)
+    signals = spark.read.parquet(path)
+    finest = ["airport_code", "flight_date", "hour_24"]
+    leaves = B.group_bitmaps(signals, finest, "aircraft_id", B.dictionary(signals, "aircraft_id"))
+    stored = fresh_path(spark, "cube-bitmaps")
+    leaves.write.parquet(stored)
+    leaves = spark.read.schema(leaves.schema).parquet(stored)
+    levels = [finest, finest[:2], finest[:1], finest[1:2], []]
+    counts = [B.distinct_counts(leaves, level, "active_aircraft") for level in levels]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counts)

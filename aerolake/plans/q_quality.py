@@ -169,10 +169,12 @@ _MODEL_CTE = {"stg_flights": "stg", "dim_aircrafts": "dim_aircrafts", "dim_airpo
               "dim_calendar": "dim_calendar", "fct_flights": "fct"}
 
 
-def _suite_sql() -> str:
+def suite_sql(prefix: str = "", extra: dict | None = None) -> str:
+    """The suite over the models, or over CTEs of ``extra`` named with ``prefix``."""
+    cte = lambda model: prefix + _MODEL_CTE[model] if prefix + _MODEL_CTE[model] in (extra or {}) else _MODEL_CTE[model]     # noqa: E731
     parts = []
     for c in SUITE:
-        t = _MODEL_CTE[c.model]
+        t = cte(c.model)
         if c.kind == "unique":
             v = (f"(SELECT count(*) FROM (SELECT {c.column} FROM {t} WHERE {c.column} IS NOT NULL "
                  f"GROUP BY {c.column} HAVING count(*) > 1))")
@@ -185,14 +187,14 @@ def _suite_sql() -> str:
             vals = ", ".join(_q(x.lower()) for x in c.params["values"])
             v = f"(SELECT count(*) FROM {t} WHERE lower({c.column}) NOT IN ({vals}))"
         else:
-            pt, pf = _MODEL_CTE[c.params["to"]], c.params["field"]
+            pt, pf = cte(c.params["to"]), c.params["field"]
             v = (f"(SELECT count(DISTINCT {c.column}) FROM {t} WHERE {c.column} IS NOT NULL AND {c.column} "
                  f"NOT IN (SELECT {pf} FROM {pt} WHERE {pf} IS NOT NULL))")
         parts.append(f"SELECT {_q(c.model)} AS model, {_q(c.kind)} AS check_name, {_q(c.column)} AS column_name, "
                      f"CAST({v} AS BIGINT) AS violations")
     body = " UNION ALL ".join(parts)
     return sql(f"SELECT *, violations = 0 AS passed FROM ({body})", "stg", "fct", "dim_aircrafts",
-               "dim_calendar", "airports")
+               "dim_calendar", "airports", extra=extra)
 
 
 def declared_models(spark, sf_dir) -> dict:
@@ -207,6 +209,6 @@ def declared_models(spark, sf_dir) -> dict:
             "dim_calendar": dims.dim_calendar(stg), "fct_flights": fct}
 
 
-@register("dq_report", _suite_sql())
+@register("dq_report", suite_sql())
 def q_dq_report(spark, sf_dir):
     return D.dq_run(declared_models(spark, sf_dir), SUITE)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from aerolake import constants as K
+from aerolake import snapshots, storage
 from aerolake.functions.clean import instant_to_ntz, typed_telemetry
 from aerolake.operators.geo import near_any
 from aerolake.plans import telemetry
@@ -20,6 +21,7 @@ from aerolake.plans.telemetry_vectors import SV_SQL_COLS, state_vectors
 from aerolake.session import fresh_path
 from aerolake.sources import sinks
 from aerolake.streaming import drain as S
+from aerolake.streaming.archive import archive_committed, noting_files, with_source_file
 
 SV_SQL = sql(f"SELECT {SV_SQL_COLS} FROM telemetry", "telemetry")
 
@@ -101,6 +103,21 @@ def q_archive_source(spark, sf_dir):
     return S.ingest_messages(messages)
 
 
+@register("archive_committed", SV_SQL)
+def q_archive_committed(spark, sf_dir):
+    """Every drained file lies in the archive, the last batch's too, and none in the
+    source: the messages are read from the archive alone."""
+    src = _message_files(spark, sf_dir)
+    archive, ledger = fresh_path(spark, "archive"), fresh_path(spark, "archive-ledger")
+    out, ckpt = fresh_path(spark, "staged"), fresh_path(spark, "ckpt")
+    stream = with_source_file(S.open_stream(spark, "text", src, options={"maxFilesPerTrigger": "3"}))
+    S.drain(stream, ckpt, foreach_batch=noting_files(ledger, S.staging_writer(out, transform=S.ingest_messages)))
+    archive_committed(spark, ledger, ckpt, archive)
+    if left := [n for n in storage.file_names(spark, src) if n.startswith("part-")]:
+        raise AssertionError(f"{len(left)} drained files are still in the source")
+    return S.ingest_messages(spark.read.text(archive).select("value"))
+
+
 # ------------------------------------------------------------------ T5
 @register("stream_fact_upsert", sql("SELECT * FROM fct", "fct"))
 def q_stream_fact_upsert(spark, sf_dir):
@@ -108,7 +125,7 @@ def q_stream_fact_upsert(spark, sf_dir):
     fact_path, ckpt = fresh_path(spark, "fct_flights"), fresh_path(spark, "ckpt")
     stream = S.open_stream(spark, "parquet", src, schema=schema, options={"maxFilesPerTrigger": "8"})
     S.drain(stream, ckpt, foreach_batch=S.fact_upsert_writer(spark, fact_path))
-    return spark.read.parquet(fact_path).select(*FACT_COLUMNS)
+    return snapshots.read(spark, fact_path).select(*FACT_COLUMNS)
 
 
 # ------------------------------------------------------------------ T1 with broken messages
@@ -152,7 +169,7 @@ def q_stream_dedup(spark, sf_dir):
         sinks.cluster_for_partitioned_write(bronze.where(part), "processing_date").write.partitionBy("processing_date").parquet(src)
         typed = typed_telemetry(S.open_stream(spark, "parquet", src, schema=bronze.schema, options={"maxFilesPerTrigger": "8"}))
         S.drain(typed, f"{ckpt}-{half}", foreach_batch=S.dedup_writer(out, ["aircraft_id", "position_timestamp"], "position_timestamp"))
-    return spark.read.parquet(out).select("aircraft_id", "position_timestamp")
+    return snapshots.read(spark, out).select("aircraft_id", "position_timestamp")
 
 
 # ------------------------------------------------------------------ T7
@@ -175,11 +192,12 @@ def q_stream_hourly_signals(spark, sf_dir):
     "SELECT date_trunc('hour', position_timestamp) AS window_start, count(DISTINCT aircraft_id) AS active_aircraft, "
     "true AS estimate_is_close FROM typed GROUP BY 1", "typed"))
 def q_stream_hourly_active(spark, sf_dir):
-    """The streamed estimate next to the exact count: within 5 % or one aircraft."""
-    exact = typed_telemetry(telemetry.bronze(spark, sf_dir)).groupBy(
-        F.date_trunc("hour", S.event_time("position_timestamp")).alias("h")).agg(
-        F.count_distinct("aircraft_id").alias("active_aircraft")).select(
-        instant_to_ntz("h").alias("window_start"), "active_aircraft")
+    """Exact from the stream's own bitmaps, next to the stream's estimate (within 5 % or
+    one aircraft)."""
+    src, schema, _ = _bronze_files(spark, sf_dir)
+    out, names, ckpt = fresh_path(spark, "hourly-bitmaps"), fresh_path(spark, "dictionary"), fresh_path(spark, "ckpt")
+    typed = typed_telemetry(S.open_stream(spark, "parquet", src, schema=schema, options={"maxFilesPerTrigger": "8"}))
+    S.drain(typed, ckpt, foreach_batch=S.hourly_bitmap_writer(out, names, "position_timestamp"))
     gap = F.abs(F.col("approx_aircraft") - F.col("active_aircraft"))
-    return exact.join(_hourly(spark, sf_dir), "window_start").select(
+    return S.hourly_aircraft(spark, out).join(_hourly(spark, sf_dir), "window_start").select(
         "window_start", "active_aircraft", (gap <= F.greatest(F.lit(1.0), F.col("active_aircraft") * 0.05)).alias("estimate_is_close"))

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from aerolake import constants as K
 from aerolake.functions.categorise import day_period
 from aerolake.operators.measures import active_aircraft_col, total_signals_col
+from aerolake.operators.quantiles import exact_percentiles
+from aerolake.session import fresh_path
 
 
 def _r(col, digits=4):
@@ -37,15 +39,21 @@ def approach_speed(fact: DataFrame) -> DataFrame:                             #
 
 
 def altitude_profile(star: DataFrame) -> DataFrame:                           # B4
-    air = star.filter(F.col("flight_status") == K.STATUS_AIR)
-    return air.groupBy("aircraft_category").agg(
+    """Percentiles are exact and found by refinement over the stored columns, so a
+    category's altitudes never meet in one task."""
+    path = fresh_path(star.sparkSession, "altitudes")
+    star.filter(F.col("flight_status") == K.STATUS_AIR).select("aircraft_category", "altitude_baro").write.parquet(path)
+    air = star.sparkSession.read.parquet(path)
+    by = ["aircraft_category"]
+    spread = air.groupBy(*by).agg(
         F.min("altitude_baro").alias("min_altitude"),
         _r(F.avg("altitude_baro")).alias("avg_altitude"),
         F.max("altitude_baro").alias("max_altitude"),
         _r(F.stddev_samp("altitude_baro")).alias("std_altitude"),
-        # exact; the partial state is a count per distinct altitude
-        *(_r(F.percentile("altitude_baro", q / 100)).alias(f"p{q}_altitude") for q in (25, 50, 75)),
         F.count(F.lit(1)).alias("n_signals"))
+    ranked = exact_percentiles(air, by, "altitude_baro", [0.25, 0.5, 0.75])
+    ranked = ranked.select(F.col("aircraft_category").alias("_category"), *[_r(f"p{q}").alias(f"p{q}_altitude") for q in (25, 50, 75)])
+    return spread.join(ranked, F.col("aircraft_category").eqNullSafe(F.col("_category")), "left").drop("_category")
 
 
 def peak_landing_takeoff(fact: DataFrame) -> DataFrame:                       # B5

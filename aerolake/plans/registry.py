@@ -28,7 +28,7 @@ def register(name: str, oracle: str | None = None):
 
 def _load():
     # importing the modules registers their queries
-    from aerolake.plans import q_core, q_measures, q_quality, q_io, q_stream  # noqa: F401
+    from aerolake.plans import q_build, q_core, q_measures, q_quality, q_io, q_stream  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

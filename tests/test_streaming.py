@@ -3,6 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from aerolake import snapshots
 from aerolake.plans import build, fact, telemetry
 from aerolake.session import fresh_path
 from aerolake.sources import sinks
@@ -60,7 +61,7 @@ def test_stream_fact_upsert_equals_batch_build(spark):
     fact_path, ckpt = fresh_path(spark, "fct"), fresh_path(spark, "ckpt")
     stream = S.open_stream(spark, "parquet", src, schema=bronze.schema, options={"maxFilesPerTrigger": "3"})
     S.drain(stream, ckpt, foreach_batch=S.fact_upsert_writer(spark, fact_path))
-    got = sorted(map(tuple, spark.read.parquet(fact_path).select(*fact.FACT_COLUMNS).collect()))
+    got = sorted(map(tuple, snapshots.read(spark, fact_path).select(*fact.FACT_COLUMNS).collect()))
     want = sorted(map(tuple, build.gold_fact(spark, SF).collect()))
     assert got == want
 
@@ -74,9 +75,9 @@ def test_stream_dedup_and_hourly(spark):
     out, ckpt = fresh_path(spark, "d"), fresh_path(spark, "ckpt")
     writer = S.dedup_writer(out, ["aircraft_id", "position_timestamp"], "position_timestamp")
     S.drain(typed(), ckpt, foreach_batch=writer)
-    assert spark.read.parquet(out).count() == 6
+    assert snapshots.read(spark, out).count() == 6
     writer(typed_telemetry(bronze), 99)                     # everything again, however late: nothing new
-    assert spark.read.parquet(out).count() == 6
+    assert snapshots.read(spark, out).count() == 6
     out2, ckpt2 = fresh_path(spark, "h"), fresh_path(spark, "ckpt")
     hourly = S.hourly_writer(out2, "position_timestamp")
     S.drain(typed(), ckpt2, foreach_batch=hourly)
@@ -122,4 +123,4 @@ def test_stream_ties_end_as_in_a_batch(spark):
     writer = S.fact_upsert_writer(spark, path)
     writer(high, 0)
     writer(low, 1)
-    assert {r.speed_kmh for r in spark.read.parquet(path).collect()} == {2.0}
+    assert {r.speed_kmh for r in snapshots.read(spark, path).collect()} == {2.0}
