@@ -146,45 +146,47 @@ def geofence_join(points: DataFrame, boxes: DataFrame, margin: float = GEOFENCE_
 
 def geofence_join_grid(points: DataFrame, boxes: DataFrame, margin: float = GEOFENCE_MARGIN_DEG,
                        lat: str = "latitude", lon: str = "longitude", keep=("airport_code",)) -> DataFrame:
-    """The join on grid cells.  Boxes of one level: one LEFT join.  Of several:
-    the matches of each level, and the points that match on none."""
+    """The join on grid cells.  Boxes of one level: one LEFT join.  Of several: the
+    points pass once, look up the candidates of their cell on each level, and give a
+    row for each that holds them."""
     keep = list(keep)
     levels = _levels(_prepared_boxes(boxes, margin, keep, None))
-    kinds = {f.name: f.dataType for f in boxes.schema.fields}
     inside = _closed_cond(lat, lon)
     found = [F.col(_P + k).alias(k) for k in keep]
     if len(levels) == 1:
         cell, some = levels[0]
         return _cell_join(points, _explode_cells(some, cell), inside, "left", lat, lon, cell).select(*points.columns, *found)
-    rest, parts = points, []
-    for cell, some in levels:
-        cells = _explode_cells(some, cell)
-        parts.append(_cell_join(points, cells, inside, "inner", lat, lon, cell).select(*points.columns, *found))
-        rest = _cell_join(rest, cells, inside, "left_anti", lat, lon, cell)
-    none = rest.select(*points.columns, *[F.lit(None).cast(kinds[k]).alias(k) for k in keep])
-    return reduce(lambda a, b: a.unionByName(b), parts, none)
+    hit = _with_hits(points, levels, [_P + k for k in keep], lat, lon).withColumn(_P + "hit", F.explode_outer(_P + "hits"))
+    kinds = {f.name: f.dataType for f in boxes.schema.fields}
+    return hit.select(*points.columns, *[F.col(_P + "hit")[_P + k].cast(kinds[k]).alias(k) for k in keep])
 
 
-def _geofence_first(points, boxes, margin, lat, lon, keep, order_col):
-    """At most one box per point: the lowest ``order_col`` among the boxes
-    that hold it.  Boxes are grouped per level and cell into a candidate array (a
-    dimension-side aggregate, sized by how many boxes overlap one cell), so
-    the point side is a plain many-to-one lookup per level with no dedup shuffle."""
-    order_col = order_col or keep[0]
-    fields = [_P + "order"] + [_P + k for k in keep]
-    kinds = {f.name: f.dataType for f in boxes.schema.fields}
+def _with_hits(points: DataFrame, levels, fields: list[str], lat: str, lon: str) -> DataFrame:
+    """``points`` with the array of boxes (``fields``) that hold each.  Boxes are
+    grouped per level and cell into candidate arrays (a dimension-side aggregate,
+    sized by how many boxes overlap one cell), so the points go once through a
+    many-to-one lookup per level, without a shuffle of matches."""
     out, hits = points, []
-    for n, (cell, some) in enumerate(_levels(_prepared_boxes(boxes, margin, keep, order_col))):
+    sides = [_P + x for x in ("lo_lat", "hi_lat", "lo_lon", "hi_lon")]
+    for n, (cell, some) in enumerate(levels):
         cands = f"{_P}cands{n}"
-        per_cell = _explode_cells(some, cell).groupBy(_P + "cell_lat", _P + "cell_lon").agg(F.array_sort(F.collect_list(
-            F.struct(*fields, *(_P + x for x in ("lo_lat", "hi_lat", "lo_lon", "hi_lon"))))).alias(cands))
+        per_cell = _explode_cells(some, cell).groupBy(_P + "cell_lat", _P + "cell_lon").agg(
+            F.collect_list(F.struct(*fields, *sides)).alias(cands))
         out = _cell_join(out, per_cell, F.lit(True), "left", lat, lon, cell).drop(_P + "cell_lat", _P + "cell_lon")
-        hit = F.get(F.filter(F.col(cands), lambda s: (
-            F.col(lat).between(s[_P + "lo_lat"], s[_P + "hi_lat"])
-            & F.col(lon).between(s[_P + "lo_lon"], s[_P + "hi_lon"]))), 0)
-        out = out.withColumn(f"{_P}hit{n}", F.when(hit.isNotNull(), F.struct(*(hit[f].alias(f) for f in fields)))).drop(cands)
-        hits.append(f"{_P}hit{n}")
+        held = F.filter(F.col(cands), lambda s: F.col(lat).between(s[sides[0]], s[sides[1]]) & F.col(lon).between(s[sides[2]], s[sides[3]]))
+        hits.append(F.transform(F.coalesce(held, F.array()), lambda s: F.struct(*(s[f].alias(f) for f in fields))))
     if not hits:
-        return points.select("*", *[F.lit(None).cast(kinds[k]).alias(k) for k in keep])
-    best = F.array_min(F.filter(F.array(*hits), lambda h: h.isNotNull()))
-    return out.withColumn(_P + "best", best).select(*points.columns, *[F.col(_P + "best")[_P + k].alias(k) for k in keep])
+        return points.withColumn(_P + "hits", F.array(F.struct(*(F.lit(None).alias(f) for f in fields))))
+    found = hits[0] if len(hits) == 1 else F.concat(*hits)
+    return out.withColumn(_P + "hits", found).drop(*(f"{_P}cands{n}" for n in range(len(hits))))
+
+
+def _geofence_first(points, boxes, margin, lat, lon, keep, order_col):
+    """At most one box per point: the lowest ``order_col`` among the boxes that hold
+    it, without a dedup shuffle."""
+    order_col = order_col or keep[0]
+    fields = [_P + "order"] + [_P + k for k in keep]
+    kinds = {f.name: f.dataType for f in boxes.schema.fields}
+    hits = _with_hits(points, _levels(_prepared_boxes(boxes, margin, keep, order_col)), fields, lat, lon)
+    best = hits.withColumn(_P + "best", F.array_min(_P + "hits"))
+    return best.select(*points.columns, *[F.col(_P + "best")[_P + k].cast(kinds[k]).alias(k) for k in keep])
