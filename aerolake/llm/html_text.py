@@ -3,14 +3,17 @@
 A page is cut into flat blocks of text at block-level tags.  A block is
 described by its words and link density, those of the blocks before and after
 it, and by where it stands (an element that names itself navigation, advert,
-comment and so on; an article or main element; a heading).  A decision tree,
+comment and so on; an article or main element; a heading; a part of an article with
+a name that may or may not be such).  Formulas, and what stands in for media, are
+inline text.  A decision tree,
 grown here on a small labelled table of blocks (``html_training``), tells main
 text from the rest.  Pages are independent: one map step, no shuffle.
 
 Defined results: null or empty html, and pages without main text, give "".
 Scripts, styles, comments, hidden elements and the head are never text.  A
 single <br> is white space, several in a row end a block.  Markup may be broken:
-unclosed elements end with their parent, stray end tags are ignored.
+unclosed elements end with their parent, stray end tags are ignored.  Each row is
+judged by its own page: equal and repeated rows give equal texts.
 """
 
 from __future__ import annotations
@@ -26,11 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from aerolake.llm.common import released
+
 # Element names of HTML and words that sites use in class and id.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q
-    rp rt ruby s samp small span strike strong sub sup time tt u var wbr img""".split())
-NEVER_TEXT = frozenset("""head title noscript template svg math iframe object canvas audio video
+    rp rt ruby s samp small span strike strong sub sup time tt u var wbr img
+    object canvas audio video iframe svg select option optgroup datalist button textarea map noscript template
+    math semantics maction merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow
+    ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover annotation annotation-xml""".split())
+NEVER_TEXT = frozenset("""head title noscript template svg iframe annotation annotation-xml
     select button option datalist textarea map""".split())
 BOILERPLATE = frozenset("nav aside footer form menu dialog".split())
 CLASS_WORDS = frozenset("""ad ads advert adverts advertisement advertising adsense sponsor sponsored promo
@@ -40,8 +48,12 @@ CLASS_WORDS = frozenset("""ad ads advert adverts advertisement advertising adsen
     share sharing social follow related recommended recommendations trending popular more-stories outbrain taboola
     comment comments commentlist disqus respond replies reply discussion
     tags byline author-box author-bio metadata search searchbox form skip sr-only print-only hidden""".split())
+# words that may as well name a section of an article
+AMBIGUOUS = frozenset("""alert copyright disclaimer discussion foot follow header legal menu metadata popular rail
+    recommended recommendations related replies reply respond search social tabs tags trending""".split())
 MAIN_WORDS = frozenset("article articlebody content main story post entry text body page".split())
-COMMENT_WORDS = frozenset("comment comments commentlist disqus respond replies reply discussion related".split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus".split())
+ANSWER_WORDS = frozenset("respond replies reply discussion related".split())
 
 SCRIPTS = r"(?:script|style|xmp|noembed|noframes)"
 MARKUP = re.compile(
@@ -50,12 +62,12 @@ MARKUP = re.compile(
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>"
     r"|<[!?/][^>]*>", re.S | re.I)
-NO_MARKS = (False, False, False, False)
+NO_MARKS = (False, False, False, False, False, False)
 TELLING = re.compile(r"class|id|role|hidden|style|itemprop", re.I)
 ATTRIBUTE = re.compile(r"""(?P<k>class|id|role|hidden|style|aria-hidden|itemprop)\s*(?:=\s*(?:"(?P<a>[^"]*)"|'(?P<b>[^']*)'|(?P<c>[^\s>]+)))?""", re.I)
 
 FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after",
-            "boilerplate", "in_main", "outside_main", "heading")
+            "boilerplate", "in_main", "outside_main", "heading", "named")
 
 
 @dataclasses.dataclass
@@ -64,6 +76,7 @@ class Block:
     words: int
     link_density: float
     boilerplate: bool       # inside an element that names itself so
+    named: bool             # inside a part of an article whose name may say so
     in_main: bool           # inside an article or main element
     heading: bool
 
@@ -77,12 +90,14 @@ class _Open:
     never: bool
     heading: bool
     link: bool
+    named: bool
 
 
 @functools.lru_cache(maxsize=10_000)
-def _marks(attrs: str) -> tuple[bool, bool, bool, bool]:
-    """(boilerplate, comments, main, hidden) as an element's attributes say."""
-    boilerplate = comments = main = hidden = False
+def _marks(attrs: str) -> tuple[bool, bool, bool, bool, bool, bool]:
+    """(boilerplate, comments, main, hidden, perhaps boilerplate, perhaps comments) as an
+    element's attributes say."""
+    boilerplate = comments = main = hidden = perhaps = answers = False
     for m in ATTRIBUTE.finditer(attrs):
         key, value = m["k"].lower(), (m["a"] or m["b"] or m["c"] or "").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" \
@@ -98,11 +113,13 @@ def _marks(attrs: str) -> tuple[bool, bool, bool, bool]:
             for name in value.split():
                 parts = re.split(r"[-_:]+|(?<=\D)(?=\d)", name)
                 told = {name, parts[0], parts[-1]}
-                boilerplate |= bool(told & CLASS_WORDS) and not told & MAIN_WORDS
+                boilerplate |= bool(told & (CLASS_WORDS - AMBIGUOUS)) and not told & MAIN_WORDS
+                perhaps |= bool(told & AMBIGUOUS) and not told & MAIN_WORDS
                 comments |= bool(told & COMMENT_WORDS)
+                answers |= bool(told & ANSWER_WORDS)
                 main |= name in ("article-body", "articlebody", "article-content", "post-content", "entry-content",
                                  "post-body", "story-body", "main-content")
-    return boilerplate, comments, main, hidden
+    return boilerplate, comments, main, hidden, perhaps, answers
 
 
 def _plain(text: str) -> str:
@@ -126,7 +143,8 @@ def blocks(page: str) -> list[Block]:
                 top = stack[-1] if stack else None
                 linked = len(_plain(" ".join(link_text)).split()) if link_text else 0
                 out.append(Block(" ".join(words), len(words), min(1.0, linked / len(words)),
-                                 bool(top and top.boilerplate), bool(top and top.main), bool(top and top.heading)))
+                                 bool(top and top.boilerplate), bool(top and top.named), bool(top and top.main),
+                                 bool(top and top.heading)))
             text.clear()
             link_text.clear()
 
@@ -183,12 +201,16 @@ def blocks(page: str) -> list[Block]:
                     break
                 if stack[at].name not in INLINE and stack[at].name not in ends:
                     break
-        top = stack[-1] if stack else _Open("", False, False, False, False, False, False)
+        top = stack[-1] if stack else _Open("", False, False, False, False, False, False, False)
         # the links of a page rarely say anything but where they lead
-        boilerplate, comments, main, hidden = _marks(attrs) if attrs and TELLING.search(attrs) else NO_MARKS
+        boilerplate, comments, main, hidden, perhaps, answers = _marks(attrs) if attrs and TELLING.search(attrs) else NO_MARKS
+        # within an article such a name is weighed by the tree, elsewhere it tells
+        named = perhaps and top.main
+        if not top.main:
+            boilerplate, comments = boilerplate or perhaps, comments or answers
         whole = name in ("html", "body", "main", "article")
         if whole:
-            boilerplate = comments and name == "article"
+            boilerplate, named = comments and name == "article", False
         main |= name in ("main", "article")
         own = boilerplate or name in BOILERPLATE or comments or (name == "header" and not top.main)
         inherited = top.boilerplate
@@ -196,7 +218,7 @@ def blocks(page: str) -> list[Block]:
             inherited = False               # a wrapper's class says nothing about the article in it
         stack.append(_Open(name, own or inherited, comments or top.comments, main or top.main,
                            top.never or hidden or name in NEVER_TEXT,
-                           top.heading or name in ("h1", "h2", "h3", "h4", "h5", "h6"), top.link or name == "a"))
+                           top.heading or name in ("h1", "h2", "h3", "h4", "h5", "h6"), top.link or name == "a", named or top.named))
     add(page[done:])
     flush()
     return out
@@ -207,7 +229,7 @@ def features(found: list[Block]) -> list[tuple]:
     has_main = any(b.in_main and not b.boilerplate for b in found)
     sides = [(0, 0.0), *((b.words, b.link_density) for b in found), (0, 0.0)]
     return [(b.words, b.link_density, *sides[i], *sides[i + 2], b.boilerplate, b.in_main,
-             has_main and not b.in_main, b.heading) for i, b in enumerate(found)]
+             has_main and not b.in_main, b.heading, b.named) for i, b in enumerate(found)]
 
 
 class DecisionTree:
@@ -289,4 +311,4 @@ def extract_text(df: DataFrame, html_col: str = "html", text_col: str = "text")
             columns = [c for i, c in enumerate(batch.columns) if i != at]
             yield pa.RecordBatch.from_arrays([*columns, texts], [*(f.name for f in fields), text_col])
 
-    return df.mapInArrow(run, T.StructType([*fields, T.StructField(text_col, T.StringType())]))
+    return df.mapInArrow(released(run), T.StructType([*fields, T.StructField(text_col, T.StringType())]))

@@ -41,6 +41,14 @@ PAGES: list[tuple[str, str]] = [
      "++++---+-"),
     (f"""<body><div>Login</div><div>Search</div><div>Help</div><p>{LONG}{MORE}</p><h2>What came after</h2><p>{MORE}</p><p>{LONG}</p><div>Imprint</div><div>Terms</div></body>""",
      "---++++--"),
+    # sections of an article whose names may also be those of something else
+    (f"""<body><article><h1>Tolls</h1><p>{LONG}</p><section id="discussion"><h2>Discussion</h2><p>{MORE}</p><p>{LONG}</p></section>
+<div class="related"><p>{LINK.format('More on tar')}</p></div><div class="legal-history"><h3>The law of 1851</h3><p>{LONG}{MORE}</p><p>Repealed.</p></div>
+<div class="social">Follow us</div><div class="follow">{LINK.format('Mail')} {LINK.format('Letters')}</div><p>{MORE}</p></article></body>""",
+     "+++++-+++--+"),
+    (f"""<body><main><h1>Rates</h1><p>{MORE}</p><div class="popular"><p>{LINK.format('Ten nets')}</p><p>{LINK.format('Five ropes')}</p></div>
+<div id="related-work"><p>{LONG}</p></div><div class="tags">{LINK.format('fish')} {LINK.format('law')}</div><p>{LONG}</p></main></body>""",
+     "++--+-+"),
     # one-line articles
     ("<body><nav><a>A</a></nav><article><p>Gone.</p></article><footer>f</footer></body>", "-+-"),
     ("<body><div class='ad'>x y z</div><article><h1>One</h1></article></body>", "-+"),

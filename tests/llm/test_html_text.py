@@ -9,6 +9,8 @@ from aerolake.llm import html_text as h
 from aerolake.llm import html_training
 from aerolake.llm.common import prepare
 
+PROSE = "The court of the town held that no toll was due on boats that were built before the great storm of that year."
+
 CASES = [
     (None, ""), ("", ""), ("<", None), ("no markup " * 20, None),
     ("<article>A &amp; B &lt;c&gt; &#233;&nbsp;x</article>", "A & B <c> é x"),
@@ -25,6 +27,16 @@ CASES = [
     ("<article><p>a</p></b></div></p><p>b", "a\n\nb"),
     ("<article><script>never closed <p>x</p>", ""),
     ("<article><p a=\"unclosed>x</p><p>y</p></article>", None),
+    # formulas and what stands in for media are inline text; form fields are none, and cut no sentence
+    ("<article><p>we see <math><mi>x</mi><mo>=</mo><msup><mn>2</mn><mi>n</mi></msup><annotation>x=2^n</annotation></math> holds.</p></article>",
+     "we see x=2n holds."),
+    ("<article><p>the <video><source src=a>film of it</video> and <iframe>no</iframe>the <select><option>no</select>rest</p></article>",
+     "the film of it and the rest"),
+    # sections of an article whose names may be those of something else
+    (f"<article><h1>T</h1><p>{PROSE}</p><section id='discussion'><h2>Discussion</h2><p>{PROSE}</p></section>"
+     f"<div class='legal-history'><p>{PROSE}</p></div><div class='related'><p><a>{PROSE}</a></p></div><div class='ad'>{PROSE}</div></article>",
+     "\n\n".join(["T", PROSE, "Discussion", PROSE, PROSE])),
+    (f"<article><p>{PROSE}</p></article><section id='discussion'><p>{PROSE}</p></section>", PROSE),
 ]
 
 
