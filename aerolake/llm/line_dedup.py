@@ -1,7 +1,8 @@
 """Line dedup by a segment-partition edit join (operator 7).
 
-Lines (``\\n``-separated, of at least ``MIN_CHARS`` code points) are linked when
-their edit distance is at most ``THRESHOLD``.  A line is cut into THRESHOLD + 1
+Lines (``\\n``-separated, with a word) are duplicates when they are equal, and lines
+of at least ``MIN_CHARS`` code points are linked when their edit distance is at most
+``THRESHOLD`` (in shorter ones two edits make another word).  A line is cut into THRESHOLD + 1
 even segments; a line within the threshold must hold one of them unchanged, at
 about the same place.  So every line is posted under its segments (index), and
 under those of its substrings that could be a segment of a line of its own
@@ -11,10 +12,12 @@ length or up to THRESHOLD shorter, at the few starts that the lengths leave open
 1. Light postings (key, line id) are combined map-side into per-key minima and
    maxima; keys that two different lines share survive.  Text is not moved.
 2. Only the lines under surviving keys are fetched.  Each key is merged where it
-   lies, in blocks of ``BLOCK`` lines a side, and only pairs confirmed by the
-   banded bit-parallel edit distance leave the task.
+   lies, in blocks of ``BLOCK`` lines a side.  Pairs whose counts of characters
+   differ by more than the threshold allows are passed over (an array step for a
+   line against a block); those confirmed by the banded bit-parallel edit distance
+   leave the task.
 3. Of equal lines the first (least doc_id, then line number) stays; it goes too
-   if a linked line stands earlier.  Lines below ``MIN_CHARS`` always stay.
+   if a linked line stands earlier.  Lines without a word always stay.
 
 Copies of a line are one line id throughout, a hot key is cut in blocks, and the
 joins are on line ids or documents, which adaptive execution can split.
@@ -36,11 +39,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolake.llm.common import stored
+from aerolake.llm.common import released, stored
 
 THRESHOLD = 2
 MIN_CHARS = 20
-BLOCK = 1000
+BLOCK = 2000
+CHARACTER_CLASSES = 32      # of the counts that are compared before the distance
+BLANKS = " \t\n\v\f\r"
 SEEN_LINES = 100_000        # line ids that a task remembers to post a line once
 
 INDEX, PROBE = 1, 2
@@ -157,23 +162,23 @@ def edit_distance_within(a: str, b: str, threshold: int) -> bool:
     return bool(rows[threshold] >> (len(a) - len(b) + threshold) & 1)
 
 
+def _with_words(text: str | None) -> list[tuple[int, str]]:
+    return [(k, x) for k, x in enumerate(text.split("\n")) if x.strip(BLANKS)] if text else []
+
+
 def _eligible(text: str | None, min_chars: int) -> list[tuple[int, str]]:
-    if not text:
-        return []
-    return [(k, x) for k, x in enumerate(text.split("\n")) if len(x) >= min_chars]
+    return [(k, x) for k, x in _with_words(text) if len(x) >= min_chars]
 
 
-def _occurrences(min_chars: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            docs, numbers, digests = [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for k, line in _eligible(text, min_chars):
-                    docs.append(doc_id), numbers.append(k), digests.append(line_digest(line))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(docs, pa.int64()), pa.array(numbers, pa.int32()), pa.array(digests, pa.binary()),
-                 pa.array([line_id(d) for d in digests], pa.int64())], ["doc_id", "line_no", "line", "id"])
-    return run
+def _occurrences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        docs, numbers, digests = [], [], []
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for k, line in _with_words(text):
+                docs.append(doc_id), numbers.append(k), digests.append(line_digest(line))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(docs, pa.int64()), pa.array(numbers, pa.int32()), pa.array(digests, pa.binary()),
+             pa.array([line_id(d) for d in digests], pa.int64())], ["doc_id", "line_no", "line", "id"])
 
 
 def _post(min_chars: int, threshold: int):
@@ -213,16 +218,37 @@ def _fetch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(texts, pa.string())], ["line", "id", "line_text"])
 
 
+def character_counts(texts: list[str]) -> np.ndarray:
+    """How often each class of characters occurs in each text.  An edit changes the
+    sum of the absolute differences between two texts' counts by 2 at most."""
+    lengths = [len(x) for x in texts]
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    classes = (points * np.uint32(2654435761)) >> np.uint32(27)
+    cells = np.repeat(np.arange(len(texts)) * CHARACTER_CLASSES, lengths) + classes
+    return np.bincount(cells, minlength=len(texts) * CHARACTER_CLASSES).reshape(-1, CHARACTER_CLASSES).astype(np.int32)
+
+
 def _merge(threshold: int):
     """Links (u, v) within each (key, i, j) group of rows sorted by group."""
     def links(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
         same = rows[0][1] == rows[0][2]
-        left = rows if same else [r for r in rows if r[3] == 0]
-        right = rows if same else [r for r in rows if r[3] == 1]
-        for n, (*_, role, line, text) in enumerate(left):
-            for *_, other_role, other, other_text in right[n + 1:] if same else right:
-                if (role == INDEX or other_role == INDEX) and line != other and edit_distance_within(
-                        text, other_text, threshold):
+        left = [k for k, r in enumerate(rows) if same or r[3] == 0]
+        right = np.array([k for k, r in enumerate(rows) if same or r[3] == 1], dtype=np.int64)
+        if not left or not len(right):
+            return
+        codes: dict[bytes, int] = {}
+        which = np.array([codes.setdefault(r[5], len(codes)) for r in rows])
+        index = np.array([r[4] == INDEX for r in rows])
+        counts = character_counts([r[6] for r in rows])
+        of_right, counts_right, index_right = which[right], counts[right], index[right]
+        for n, k in enumerate(left):
+            at = n + 1 if same else 0
+            near = np.abs(counts_right[at:] - counts[k]).sum(axis=1) <= 2 * threshold
+            near &= (index_right[at:] | index[k]) & (of_right[at:] != which[k])
+            line, text = rows[k][5:]
+            for o in right[at:][near].tolist():
+                other, other_text = rows[o][5:]
+                if edit_distance_within(text, other_text, threshold):
                     yield (line, other) if line < other else (other, line)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,11 +272,11 @@ def _merge(threshold: int):
     return run
 
 
-def line_occurrences(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc_id, line_no, line, id) of every eligible line; ``line`` is its 128-bit
+def line_occurrences(docs: DataFrame) -> DataFrame:
+    """(doc_id, line_no, line, id) of every line with a word; ``line`` is its 128-bit
     digest, ``id`` the first half of that."""
     return docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        _occurrences(min_chars), "doc_id bigint, line_no int, line binary, id bigint")
+        released(_occurrences), "doc_id bigint, line_no int, line binary, id bigint")
 
 
 def line_links(docs: DataFrame, lines: DataFrame, min_chars: int = MIN_CHARS,
@@ -258,7 +284,7 @@ def line_links(docs: DataFrame, lines: DataFrame, min_chars: int = MIN_CHARS,
     """(u, v), u < v: the digests of all different lines within the threshold;
     ``lines`` has one row (line, id, first place) for each line of ``docs``."""
     posts = docs.where("doc_id is not null").select("text").mapInArrow(
-        _post(min_chars, threshold), "key bigint, id bigint, role tinyint")
+        released(_post(min_chars, threshold)), "key bigint, id bigint, role tinyint")
     # as few columns as possible: these are the widest shuffles.  The join is the
     # same at every size, a broadcast of keys would grow with the corpus
     shared = posts.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("key")
@@ -268,7 +294,7 @@ def line_links(docs: DataFrame, lines: DataFrame, min_chars: int = MIN_CHARS,
         F.collect_set("first.line_no").alias("_numbers"))
     texts = stored(docs.select(F.col("doc_id").cast("bigint").alias("_id"), "text").where("text is not null").join(
         wanted, "_id").select("text", "_numbers").mapInArrow(
-            _fetch, "line binary, id bigint, line_text string").dropDuplicates(["line"]), "line-texts")
+            released(_fetch), "line binary, id bigint, line_text string").dropDuplicates(["line"]), "line-texts")
 
     sizes = kept.groupBy("key").agg(F.count("*").alias("n_posts"))
     n = F.ceil(F.col("n_posts") / BLOCK).cast("int")
@@ -278,14 +304,14 @@ def line_links(docs: DataFrame, lines: DataFrame, min_chars: int = MIN_CHARS,
         (F.col("_g") > F.col("_o")).cast("int").alias("side"), "role", "id")
     group = ["key", "i", "j"]
     return spread.join(texts, "id").select(*group, "side", "role", "line", "line_text").repartition(
-        *group).sortWithinPartitions(*group).mapInArrow(_merge(threshold), "u binary, v binary").distinct()
+        *group).sortWithinPartitions(*group).mapInArrow(released(_merge(threshold)), "u binary, v binary").distinct()
 
 
 def line_decisions(docs: DataFrame, min_chars: int = MIN_CHARS, threshold: int = THRESHOLD) -> DataFrame:
-    """(doc_id, line_no, line, n_copies, n_links, kept) of every eligible line of
+    """(doc_id, line_no, line, n_copies, n_links, kept) of every line with a word of
     ``docs`` (doc_id, text); n_links counts the different lines it is linked with."""
     docs = docs.select("doc_id", "text")
-    occurrences = stored(line_occurrences(docs, min_chars), "line-occurrences")
+    occurrences = stored(line_occurrences(docs), "line-occurrences")
     first = stored(occurrences.groupBy("line", "id").agg(F.min(F.struct("doc_id", "line_no")).alias("first"),
                                                          F.count("*").alias("n_copies")), "line-first")
     links = stored(line_links(docs, first, min_chars, threshold), "line-links")

@@ -66,11 +66,11 @@ def brute(rows, min_chars, k):
     for doc, text in rows:
         if doc is not None:
             for n, line in enumerate((text or "").split("\n")):
-                if len(line) >= min_chars:
+                if line.strip(" \t\n\v\f\r"):
                     places.setdefault(line, []).append((doc, n))
     first = {x: min(p) for x, p in places.items()}
     near = {x: [] for x in places}
-    lines = sorted(places, key=len)
+    lines = sorted((x for x in places if len(x) >= min_chars), key=len)
     for i, x in enumerate(lines):
         for y in lines[i + 1:]:
             if len(y) - len(x) > k:
@@ -125,7 +125,7 @@ def test_removal(spark):
     out = d.deduplicate_lines(df)
     assert out.schema == df.schema
     assert sorted(map(tuple, out.collect()), key=str) == sorted([
-        (1, f"{a}\n{b}\nshort", 5), (2, f"{c}\nshort", 6), (3, None, 7), (4, "", 8), (None, f"{a}\n{a}", 9),
+        (1, f"{a}\n{b}\nshort", 5), (2, c, 6), (3, None, 7), (4, "", 8), (None, f"{a}\n{a}", 9),
         (5, "", 10), (6, "", 11), (6, "", 11)], key=str)
     assert d.deduplicate_lines(df.limit(0)).count() == 0
 
@@ -145,3 +145,23 @@ def test_query(spark):
     assert {r.doc_id: [r.n_lines, r.n_links, r.removed_lines] for r in out} == {
         doc: [a, b, sorted(c)] for doc, (a, b, c) in expected.items()}
     assert all(r.n_removed == len(r.removed_lines) for r in out)
+
+
+def test_character_counts_bound_the_distance():
+    for _ in range(2000):
+        a = "".join(rng.choice("abc é漢😀") for _ in range(rng.randint(1, 30)))
+        b = edited(a, 2)
+        x = d.character_counts([a, b])
+        assert x.sum() == len(a) + len(b) and abs(x[0] - x[1]).sum() <= 4
+
+
+def test_many_lines_with_one_segment(spark):
+    """6,000 different lines whose first third is one text, and two that are close."""
+    prepare(spark)
+    r = random.Random(9)
+    head = "the same beginning, "
+    lines = [head + "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(40)) for _ in range(6000)]
+    lines.append(lines[17][:-1] + "!")
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(8)
+    out = {x.doc_id: (x.n_links, x.kept) for x in d.line_decisions(df).where("n_links > 0").collect()}
+    assert out == {17: (1, True), 6000: (1, False)}
