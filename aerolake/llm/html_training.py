@@ -49,6 +49,9 @@ PAGES: list[tuple[str, str]] = [
     (f"""<body><main><h1>Rates</h1><p>{MORE}</p><div class="popular"><p>{LINK.format('Ten nets')}</p><p>{LINK.format('Five ropes')}</p></div>
 <div id="related-work"><p>{LONG}</p></div><div class="tags">{LINK.format('fish')} {LINK.format('law')}</div><p>{LONG}</p></main></body>""",
      "++--+-+"),
+    (f"""<body><article><h1>Dues</h1><p>{LONG}</p><div class="related"><p>{LINK.format(LONG)}</p></div><p>{MORE}</p><div class="social">Follow us everywhere you go</div>
+<p>{LONG}</p><div class="popular"><p>{LINK.format(MORE)}</p></div><p>So.</p><p>{LINK.format(MORE)}</p></article></body>""",
+     "++-+-+-++"),
     # one-line articles
     ("<body><nav><a>A</a></nav><article><p>Gone.</p></article><footer>f</footer></body>", "-+-"),
     ("<body><div class='ad'>x y z</div><article><h1>One</h1></article></body>", "-+"),
