@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake import jobs, loads, snapshots
-from aerolake.plans import layers, telemetry
+from aerolake.constants import GEOFENCE_MARGIN_DEG
+from aerolake.operators import clustering
+from aerolake.plans import build, dims, layers, telemetry
 from aerolake.plans.fact import FACT_COLUMNS
 from aerolake.plans.oracle import CTES, sql, stg_chain
 from aerolake.plans.q_quality import suite_sql
@@ -134,3 +136,18 @@ def q_source_by_name(spark, sf_dir):
     bronze.where("id_surrogate % 2 <> 0").createOrReplaceTempView(view)
     registry = {"raw.flights_even": path, "raw.flights_odd": view}
     return source(spark, registry, "raw", "flights_even").unionByName(source(spark, registry, "raw", "flights_odd"))
+
+
+# ------------------------------------------------------------------ J1, P22: a fact laid out by place
+@register("geofence_clustered", sql(
+    "SELECT f.flight_pk, f.airport_code, f.latitude, f.longitude FROM fct f WHERE f.airport_code = 'CGH'", "fct"))
+def q_geofence_clustered(spark, sf_dir):
+    """The fact in files along a space-filling curve; the signals of one airport are
+    those in its box, read from the files whose bounds meet it."""
+    fact = build.gold_fact(spark, sf_dir).select("flight_pk", "airport_code", "latitude", "longitude")
+    path = fresh_path(spark, "clustered-fact")
+    clustering.write_clustered(fact, path, files=64)
+    box = dims.dim_airports(spark).where("airport_code = 'CGH'").first()
+    m = GEOFENCE_MARGIN_DEG
+    found = clustering.read_box(spark, path, fact.schema, box.lat_min - m, box.lat_max + m, box.lon_min - m, box.lon_max + m)
+    return found.where("airport_code = 'CGH'")
