@@ -23,9 +23,10 @@ Aggregate.  The evidence of a document is the sum over significant segments of
 documents' histogram, turns it into a score in (0, 1).
 
 Cost: one pass over all documents for the counts (rows to the shuffle: the
-different forms of a task), two over the training documents, one for the scores.  The
-documents are never shuffled: the training labels are a bounded sample
-(``MAX_TRAINING_ROWS``) and broadcast.
+different words of a task; forms are made of the aggregated words), one over the
+training documents, whose word scores are kept, one for the scores.  The documents
+are never shuffled: the training labels are a bounded sample (``MAX_TRAINING_ROWS``)
+and broadcast.
 
 Defined results: null or empty text has no tokens and evidence 0, and is scored
 like any document without a significant segment.  Without training rows of both
@@ -48,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolake.llm.common import stored
+from aerolake.llm.common import released, stored
 
 MAX_TRAINING_ROWS = 100_000     # bound of the labelled sample (a hash sample beyond it)
 PRIOR_TOKENS = 5_000.0          # weight of the prior, in tokens
@@ -59,7 +60,8 @@ BINS_PER_UNIT = 16              # of log(1 + evidence), for the calibration hist
 
 PREFIXES = range(3, 8)          # lengths of the prefixes that a word counts for
 LONGEST_WHOLE = 12              # longer words count by their prefixes only
-WORDS_HELD = 150_000            # distinct words a counting task or a word cache holds
+WORDS_HELD = 150_000            # distinct words a counting task holds
+SCORES_HELD = 250_000           # words whose score a task remembers, in each of two generations
 
 TOKEN = re.compile(r"[^\W\d_]+")
 PASSAGE = "array<struct<start:int,end:int,score:double,evalue:double>>"
@@ -93,10 +95,14 @@ class WordScores(dict):
     def __init__(self, ratios: dict[int, float], drift: float):
         super().__init__()
         self.ratios, self.drift = ratios, drift
+        self.older: dict[str, float] = {}
 
     def __missing__(self, word: str) -> float:
-        value = max((self.ratios.get(k, 0.0) for k in forms(word)), key=abs, default=0.0) - self.drift
-        if len(self) >= WORDS_HELD:
+        value = self.older.get(word)
+        if value is None:
+            value = max((self.ratios.get(k, 0.0) for k in forms(word)), key=abs, default=0.0) - self.drift
+        if len(self) >= SCORES_HELD:
+            self.older = dict(self)
             self.clear()
         self[word] = value
         return value
@@ -135,7 +141,7 @@ def maximal_segments(x: np.ndarray) -> list[tuple[int, int, float]]:
 
 
 def _map(df: DataFrame, run, schema) -> DataFrame:
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(released(run), schema)
 
 
 def _training_rows(labels: DataFrame, max_rows: int) -> DataFrame:
@@ -148,43 +154,48 @@ def _training_rows(labels: DataFrame, max_rows: int) -> DataFrame:
     return rows.withColumnRenamed("doc_id", "_id")
 
 
-def _form_counts(docs: DataFrame, training: DataFrame) -> DataFrame:
-    """(form, n_all, n_clean, n_toxic) over every document."""
+def _word_counts(docs: DataFrame, training: DataFrame) -> DataFrame:
+    """(word, n_all, n_clean, n_toxic) over every document; a word counts once a document."""
     joined = docs.join(F.broadcast(training), F.col("doc_id") == F.col("_id"), "left").select("text", "_y")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_word = [collections.Counter() for _ in range(2)]     # clean, toxic
-        rest: collections.Counter = collections.Counter()       # unlabelled
-
-        def spread() -> Iterator[pa.RecordBatch]:
-            at: list[int] = []
-            n: list[int] = []
-            ends = [0]
-            for words in (rest, *by_word):
-                for word, times in words.items():
-                    found = forms(word)
-                    at += found
-                    n += [times] * len(found)
-                words.clear()
-                ends.append(len(at))
-            keys, where = np.unique(np.array(at, dtype=np.uint64), return_inverse=True)
-            counts = [np.bincount(where[i:j], weights=n[i:j], minlength=len(keys)).astype(np.int64)
-                      for i, j in zip(ends, ends[1:])]
-            counts[0] += counts[1] + counts[2]
-            for i in range(0, len(keys), 50_000):
-                some = slice(i, i + 50_000)
+        by_label = [collections.Counter() for _ in range(3)]    # clean, toxic, unlabelled
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for at, words in enumerate(by_label):
+                n = pa.array(list(words.values()), pa.int64())
+                none = pa.array(np.zeros(len(words), dtype=np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[some].view(np.int64)), *(pa.array(c[some]) for c in counts)],
-                    ["form", "n_all", "n_clean", "n_toxic"])
+                    [pa.array(list(words), pa.string()), n, n if at == 0 else none, n if at == 1 else none],
+                    ["word", "n_all", "n_clean", "n_toxic"])
+                words.clear()
 
         for batch in batches:
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                (rest if y is None else by_word[y > 0]).update(set(words_of(text)))
-            if len(rest) + len(by_word[0]) + len(by_word[1]) > WORDS_HELD:
-                yield from spread()
-        yield from spread()
+                by_label[2 if y is None else int(y > 0)].update(set(words_of(text)))
+            if sum(map(len, by_label)) > WORDS_HELD:
+                yield from rows()
+        yield from rows()
+
+    return _map(joined, run, "word string, n_all bigint, n_clean bigint, n_toxic bigint").groupBy("word").agg(
+        *(F.sum(c).alias(c) for c in ("n_all", "n_clean", "n_toxic")))
+
+
+def _form_counts(words: DataFrame) -> DataFrame:
+    """(form, n_all, n_clean, n_toxic) from the counts of words."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [forms(word) for word in batch.column(0).to_pylist()]
+            keys, where = np.unique(np.array([k for f in found for k in f], dtype=np.uint64), return_inverse=True)
+            times = [len(f) for f in found]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.view(np.int64)),
+                 *(pa.array(np.bincount(where, weights=np.repeat(batch.column(i).to_numpy(), times),
+                                        minlength=len(keys)).astype(np.int64)) for i in (1, 2, 3))],
+                ["form", "n_all", "n_clean", "n_toxic"])
 
-    rows = _map(joined, run, "form bigint, n_all bigint, n_clean bigint, n_toxic bigint")
+    rows = _map(words.select("word", "n_all", "n_clean", "n_toxic"), run,
+                "form bigint, n_all bigint, n_clean bigint, n_toxic bigint")
     return rows.groupBy("form").agg(*(F.sum(c).alias(c) for c in ("n_all", "n_clean", "n_toxic")))
 
 
@@ -249,7 +260,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -
     """``docs`` (doc_id, text); ``labels`` (doc_id, toxic): the rows to learn from."""
     docs = docs.select("doc_id", "text")
     training = _training_rows(labels, max_rows)
-    counts = stored(_form_counts(docs, training), "toxicity-forms")
+    counts = stored(_form_counts(_word_counts(docs, training)), "toxicity-forms")
     n_forms, *sums = counts.agg(F.count("*"), *(F.coalesce(F.sum(c), F.lit(0)) for c in ("n_all", "n_clean", "n_toxic"))).first()
     if not sums[1] or not sums[2]:
         n, toxic = training.agg(F.count("*"), F.sum("_y")).first()
@@ -257,16 +268,18 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -
         return ToxicityModel(None, drift=1.0, intercept=math.log(max(share, 1e-20) / max(1 - share, 1e-20)))
     found = _form_ratios(counts, (sums[0] + 0.5 * n_forms, sums[1], sums[2])).toArrow()     # bounded by the sample
     ratios = dict(zip(found["form"].to_numpy().view(np.uint64).tolist(), found["ratio"].to_pylist()))
-    sample = docs.join(F.broadcast(training), F.col("doc_id") == F.col("_id")).select("text", "_y")
+    # the training texts are read and cut into words once: their word scores are kept
+    sample = stored(_map(docs.join(F.broadcast(training), F.col("doc_id") == F.col("_id")).select("text", "_y"),
+                         _sample_scores(ratios), "y int, scores binary"), "toxicity-sample")
     # how often clean text has which word score (in steps of 1 / STEPS)
-    clean = _map(sample.where("_y = 0"), _score_histogram(ratios), "step int, n bigint").groupBy(
+    clean = _map(sample.where("y = 0").select("scores"), _score_histogram, "step int, n bigint").groupBy(
         "step").agg(F.sum("n").alias("n")).toArrow()
     x, p = clean["step"].to_numpy() / STEPS, clean["n"].to_numpy().astype(float)
     p /= max(1.0, p.sum())
     drift = max(0.0, float((p * x).sum())) + DRIFT
     lam = solve_lambda(x - drift, p)
 
-    segments = stored(_map(sample, _segment_sums(ratios, drift), "y int, n int, sums array<double>"),
+    segments = stored(_map(sample, _segment_sums(drift), "y int, n int, sums array<double>"),
                       "toxicity-training")
     best = F.coalesce(F.array_max("sums"), F.lit(0.0))
     k_log = segments.where("y = 0 and n > 0").agg(
@@ -285,29 +298,35 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -
     return dataclasses.replace(model, slope=slope, intercept=intercept)
 
 
-def _score_histogram(ratios: dict[int, float]):
+def _sample_scores(ratios: dict[int, float]):
+    """Rows (text, label) as (label, the word scores as 64-bit floats)."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores, steps = WordScores(ratios, 0.0), collections.Counter()
+        scores = WordScores(ratios, 0.0)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                at, n = np.unique(np.rint(scores.of(text) * STEPS).astype(np.int32), return_counts=True)
-                steps.update(dict(zip(at.tolist(), n.tolist())))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(steps), pa.int32()), pa.array(list(steps.values()), pa.int64())], ["step", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(1).cast(pa.int32()),
+                 pa.array([scores.of(text).tobytes() for text in batch.column(0).to_pylist()], pa.binary())], ["y", "scores"])
     return run
 
 
-def _segment_sums(ratios: dict[int, float], drift: float):
+def _score_histogram(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        all_scores = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=np.float64)
+        at, n = np.unique(np.rint(all_scores * STEPS).astype(np.int32), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n.astype(np.int64))], ["step", "n"])
+
+
+def _segment_sums(drift: float):
+    """Rows (label, word scores) as (label, number of words, sums of the segments)."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = WordScores(ratios, drift)
         for batch in batches:
             ns, sums = [], []
-            for text in batch.column(0).to_pylist():
-                x = scores.of(text)
+            for scores in batch.column(1).to_pylist():
+                x = np.frombuffer(scores, dtype=np.float64) - drift
                 ns.append(len(x))
                 sums.append([s for _, _, s in maximal_segments(x)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1).cast(pa.int32()), pa.array(ns, pa.int32()), pa.array(sums, pa.list_(pa.float64()))],
+                [batch.column(0), pa.array(ns, pa.int32()), pa.array(sums, pa.list_(pa.float64()))],
                 ["y", "n", "sums"])
     return run
 
