@@ -19,6 +19,7 @@ from aerolake.plans.staging import stg_flights, stg_flights_since
 from aerolake.plans.telemetry_vectors import SV_SQL_COLS, state_vectors
 from aerolake.session import fresh_path
 from aerolake.sources import ingest, sinks
+from aerolake.sources.split_documents import read_documents_split
 from aerolake.sources.tables import read_table
 
 SV_SQL = sql(f"SELECT {SV_SQL_COLS} FROM telemetry", "telemetry")
@@ -47,6 +48,17 @@ def q_read_state_vectors(spark, sf_dir):
     return ingest.typed_projection(rows)
 
 
+_BRACKETS = "CASE WHEN time_position % 7 = 0 THEN 'x]\"[,' || callsign ELSE callsign END"
+
+
+@register("read_state_vectors_split", sql(f"SELECT * REPLACE ({_BRACKETS} AS callsign) FROM (SELECT {SV_SQL_COLS} FROM telemetry)", "telemetry"))
+def q_read_state_vectors_split(spark, sf_dir):
+    """Documents read in byte ranges, some with brackets and quotes in a string."""
+    path = fresh_path(spark, "state-vector-docs")
+    sinks.write_state_vector_documents(_vectors(spark, sf_dir).withColumn("callsign", F.expr(_BRACKETS)), path)
+    return ingest.typed_projection(read_documents_split(spark, path))
+
+
 @register("read_state_vectors_lines", SV_SQL)
 def q_read_state_vectors_lines(spark, sf_dir):
     rows = ingest.read_state_vectors(spark, _message_lines(spark, sf_dir), layout="lines")
