@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 import heapq
 import struct
 from collections.abc import Iterable, Iterator
@@ -30,7 +31,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CACHE_WORDS = 100_000       # words per cache generation (two generations a worker)
+from aerolake.llm.common import released, worker_state
+
+CACHE_WORDS = 400_000       # words per cache generation (two generations a worker, about 200 bytes a word)
 CACHED_PAIRS = 400_000      # pairs whose rank a worker remembers
 LONGEST_CACHED = 64         # longer words are encoded, not kept
 
@@ -42,6 +45,20 @@ def load_ranks(path: str) -> dict[bytes, int]:
                 for tok, rank in (line.split() for line in f if line.strip())}
 
 
+class _Pairs(dict):
+    """left << 32 | right -> rank of their merge, or -1; remembers a bounded number."""
+
+    def __init__(self, ranks: dict[bytes, int], token: dict[int, bytes]):
+        super().__init__()
+        self.ranks, self.token = ranks, token
+
+    def __missing__(self, key: int) -> int:
+        if len(self) > CACHED_PAIRS:
+            self.clear()
+        rank = self[key] = self.ranks.get(self.token[key >> 32] + self.token[key & 0xFFFFFFFF], -1)
+        return rank
+
+
 class MergeReplay:
     """Encodes words by replaying merges in rank order over all words at once."""
 
@@ -49,20 +66,11 @@ class MergeReplay:
         self.ranks = ranks
         self.token = {rank: tok for tok, rank in ranks.items()}
         self.first = [ranks[bytes([b])] for b in range(256)]
-        self.pairs: dict[int, int] = {}         # (left, right) -> rank of the merge, or -1
+        self.byte_pairs = [ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
+        self.pairs = _Pairs(ranks, self.token)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _pair(self, left: int, right: int) -> int:
-        key = left << 32 | right
-        rank = self.pairs.get(key)
-        if rank is None:
-            if len(self.pairs) > CACHED_PAIRS:
-                self.pairs.clear()
-            rank = self.ranks.get(self.token[left] + self.token[right], -1)
-            self.pairs[key] = rank
-        return rank
-
     def replay(self, words: list[bytes]) -> list[list[int]]:
         """Token ids of each word.
 
@@ -78,7 +86,7 @@ class MergeReplay:
         starts: list[int] = []
         postings: dict[int, list[int]] = {}
         heap: list[int] = []
-        pair, first = self._pair, self.first
+        pairs, first, byte_pairs = self.pairs, self.first, self.byte_pairs
 
         def post(rank: int, at: int) -> None:
             places = postings.get(rank)
@@ -97,10 +105,16 @@ class MergeReplay:
             word_of.extend([w] * n)
             nxt[-1] = -1
             prv[base] = -1
-            for at in range(base, base + n - 1):
-                rank = pair(sym[at], sym[at + 1])
+            at = base
+            for left, right in zip(word, word[1:]):
+                rank = byte_pairs[left << 8 | right]
                 if rank >= 0:
-                    post(rank, at)
+                    places = postings.get(rank)
+                    if places is None:
+                        post(rank, at)
+                    else:
+                        places.append(at)
+                at += 1
 
         while heap:
             rank = heapq.heappop(heap)
@@ -110,7 +124,7 @@ class MergeReplay:
             later: list[int] = []
             for at in places:
                 right = nxt[at]
-                if right < 0 or sym[at] < 0 or pair(sym[at], sym[right]) != rank:
+                if right < 0 or sym[at] < 0 or pairs[sym[at] << 32 | sym[right]] != rank:
                     continue
                 if waiting and word_of[at] in waiting:
                     later.append(at)
@@ -120,13 +134,13 @@ class MergeReplay:
                 nxt[at] = after
                 if after >= 0:
                     prv[after] = at
-                    new = pair(rank, sym[after])
+                    new = pairs[rank << 32 | sym[after]]
                     if new >= 0:
                         post(new, at)
                         if new < rank:
                             waiting.add(word_of[at])
                 if before >= 0:
-                    new = pair(sym[before], rank)
+                    new = pairs[sym[before] << 32 | rank]
                     if new >= 0:
                         post(new, before)
                         if new < rank:
@@ -146,34 +160,34 @@ class MergeReplay:
     def encode(self, texts_words: list[list[str]]) -> list[bytes]:
         """Little-endian ids of each text, given as its list of words."""
         known: dict[str, bytes] = {}
-        fresh: list[str] = []
+        fresh: dict[str, bytes] = {}
         young, old, ranks = self.young, self.old, self.ranks
         for words in texts_words:
-            for word in set(words):
-                if word not in known:
-                    ids = young.get(word) or old.get(word)
-                    if ids is None:
-                        raw = word.encode("utf-8", "surrogatepass")
-                        rank = ranks.get(raw)
-                        if rank is None:
-                            fresh.append(word)
-                            ids = b""
-                        else:
-                            ids = struct.pack("<I", rank)
-                    known[word] = ids
-        merged = self.replay([w.encode("utf-8", "surrogatepass") for w in fresh])
-        for word, ids in zip(fresh, merged):
-            known[word] = packed = struct.pack(f"<{len(ids)}I", *ids)
-            if len(word) <= LONGEST_CACHED:
-                young[word] = packed
+            for word in set(words).difference(known):
+                ids = young.get(word) or old.get(word)
+                if ids is None:
+                    raw = word.encode("utf-8", "surrogatepass")
+                    rank = ranks.get(raw)
+                    if rank is None:
+                        fresh[word] = raw
+                        ids = b""
+                    else:
+                        ids = struct.pack("<I", rank)
+                known[word] = ids
+        for word, ids in zip(fresh, self.replay(list(fresh.values()))):
+            known[word] = struct.pack(f"<{len(ids)}I", *ids)
+        # words of this block stay for the next ones
+        young.update((w, known[w]) for w in fresh if len(w) <= LONGEST_CACHED)
         if len(young) > CACHE_WORDS:
             self.old, self.young = young, {}
         return [b"".join(map(known.__getitem__, words)) for words in texts_words]
 
+    def decode(self, ids: bytes) -> bytes:
+        return b"".join(map(self.token.__getitem__, memoryview(ids).cast("I").tolist()))
+
 
-@functools.lru_cache(maxsize=2)
 def _codec(path: str) -> MergeReplay:
-    return MergeReplay(load_ranks(path))
+    return worker_state(("bpe", path), lambda: MergeReplay(load_ranks(path)))
 
 
 @functools.lru_cache(maxsize=2)
@@ -204,7 +218,7 @@ def bpe_encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "te
             texts = batch.column(at).to_pylist()
             yield _append(batch, codec.encode([words(t) if t else [] for t in texts]), ids_col)
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(ids_col, T.BinaryType())]))
+    return df.mapInArrow(released(run), T.StructType([*df.schema.fields, T.StructField(ids_col, T.BinaryType())]))
 
 
 def bpe_decode(df: DataFrame, ranks_path: str, ids_col: str = "ids",
@@ -215,10 +229,27 @@ def bpe_decode(df: DataFrame, ranks_path: str, ids_col: str = "ids",
     at = df.columns.index(ids_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = _codec(ranks_path).token
+        codec = _codec(ranks_path)
         for batch in batches:
-            yield _append(batch, [
-                b"".join(map(token.__getitem__, memoryview(ids).cast("I").tolist())) if ids else b""
-                for ids in batch.column(at).to_pylist()], bytes_col)
+            yield _append(batch, [codec.decode(ids) if ids else b"" for ids in batch.column(at).to_pylist()], bytes_col)
+
+    return df.mapInArrow(released(run), T.StructType([*df.schema.fields, T.StructField(bytes_col, T.BinaryType())]))
+
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(bytes_col, T.BinaryType())]))
+def round_trip_digests(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of ``df`` (doc_id, text): encoded,
+    then decoded from the ids, in one step, so that neither leaves the task."""
+    id_type = df.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec, words = _codec(ranks_path), _words(pattern)
+        for batch in batches:
+            encoded = codec.encode([words(t) if t else [] for t in batch.column(1).to_pylist()])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(ids) // 4 for ids in encoded], pa.int64()),
+                 pa.array([hashlib.sha256(ids).hexdigest() for ids in encoded], pa.string()),
+                 pa.array([hashlib.sha256(codec.decode(ids)).hexdigest() for ids in encoded], pa.string())],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return df.select("doc_id", "text").mapInArrow(
+        released(run), f"doc_id {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -71,11 +71,7 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bpe_digests(docs: DataFrame) -> DataFrame:
     """Encode and decode ``docs`` (doc_id, text); one row of digests per document."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe_codec.bpe_encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    decoded = bpe_codec.bpe_decode(encoded.select("doc_id", "ids"), ranks)
-    return decoded.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
-        sha256_hex("ids").alias("ids_sha256"), sha256_hex("decoded").alias("decoded_sha256"))
+    return bpe_codec.round_trip_digests(docs, ranks, public_tokenizers.PATTERN)
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

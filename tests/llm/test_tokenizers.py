@@ -100,3 +100,14 @@ def test_queries(spark, reference_encoding):
         ids = reference_encoding.encode_ordinary(t or "")
         expected[d] = (len(ids), sha(struct.pack(f"<{len(ids)}I", *ids)), sha((t or "").encode()))
     assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got} == expected
+
+
+def test_digests_equal_encoding_and_decoding_apart(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)] + [(0, "again"), (None, "no id"), (99, "long " * 300_000)],
+                               "doc_id bigint, text string")
+    prepare(spark)
+    sha = lambda b: hashlib.sha256(b).hexdigest()      # noqa: E731
+    apart = bpe_codec.bpe_decode(bpe_codec.bpe_encode(df, RANKS, P.PATTERN), RANKS).collect()
+    got = bpe_codec.round_trip_digests(df, RANKS, P.PATTERN).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(
+        repr((r.doc_id, len(r.ids) // 4, sha(bytes(r.ids)), sha(bytes(r.decoded)))) for r in apart)
