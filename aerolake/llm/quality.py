@@ -80,7 +80,9 @@ def _repeated(words: list[bytes]) -> int:
 
 
 def text_statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` plus ``COUNTS`` and ``base_failed``; the text itself is dropped."""
+    """``df`` plus ``COUNTS`` and ``base_failed``; the text itself is dropped.  Columns
+    of ``df`` with these names are replaced."""
+    df = df.select(*[c for c in df.columns if c.lower() not in (*COUNTS, "base_failed")])
     at = df.columns.index(text_col)
     fields = [f for f in df.schema.fields if f.name != text_col]
 
@@ -248,9 +250,11 @@ def _groups(rows: DataFrame, min_group: int) -> DataFrame:
 
 def judge(statistics: DataFrame, share: float = SHARE, cutoff: float = CUTOFF, min_group: int = MIN_GROUP) -> DataFrame:
     """``statistics`` (of ``text_statistics``, with lang and source) plus group,
-    distance (squared, null without a verdict) and kept."""
-    rows = stored(statistics, "quality-statistics")
-    passed = rows.where(~F.col("base_failed"))
+    distance (squared, null without a verdict) and kept.  Columns with these names are
+    replaced, all others are carried along whatever they are called."""
+    carried = [c for c in statistics.columns if c.lower() not in ("group", "distance", "kept")]
+    rows = stored(statistics.select(F.struct(*carried).alias("_row")), "quality-statistics")
+    passed = rows.where(~F.col("_row.base_failed")).select("_row", *[F.col(f"_row.{c}").alias(c) for c in ("lang", "source", *COUNTS)])
     groups = stored(_groups(passed, min_group), "quality-groups")
     same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     grouped = stored(passed.join(groups.toDF("_lang", "_source", "group"), same).drop("_lang", "_source").select(
@@ -258,8 +262,8 @@ def judge(statistics: DataFrame, share: float = SHARE, cutoff: float = CUTOFF, m
     large = grouped.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") >= min_group).select("group")
     found = estimate(grouped.join(large, "group", "left_semi").select("group", *NAMES), share)
     judged = grouped.join(found, "group", "left").withColumn("distance", _distance())
-    out = judged.select(*rows.columns, "group", "distance",
+    out = judged.select("_row.*", "group", "distance",
                         F.coalesce(F.col("distance") <= chi2_quantile(cutoff, P), F.lit(True)).alias("kept"))
-    failed = rows.where("base_failed").select("*", F.lit(None).cast("string").alias("group"),
+    failed = rows.where("_row.base_failed").select("_row.*", F.lit(None).cast("string").alias("group"),
                                               F.lit(None).cast("double").alias("distance"), F.lit(False).alias("kept"))
     return out.unionByName(failed)

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from aerolake.llm import quality as q
 from aerolake.llm.common import prepare
@@ -122,6 +123,21 @@ def test_copies_of_one_junk_text(spark, share):
     assert sum(row.kept for row in out if row.doc_id >= n) >= 0.99 * (400 - n)
 
 
+def test_clashing_columns(spark, corpus):
+    """Names of the operator's own columns on the input: results replace theirs, all
+    others are carried along."""
+    prepare(spark)
+    rows, _ = corpus
+    plain = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    names = ["n_words", "Group", "distance", "kept", "centre", "spread", "length", "falling", "n", "limit", "base_failed", "repeats"]
+    clash = plain.select("*", *[F.lit("x").alias(c) for c in names])
+    out = q.judge(q.text_statistics(clash))
+    assert {"centre", "spread", "length", "falling", "n", "limit", "repeats"} <= set(out.columns) and out.where("centre = 'x'").count() == len(rows)
+    columns = ["doc_id", *q.COUNTS, "base_failed", "kept", "distance", "group"]
+    wanted = q.judge(q.text_statistics(plain)).select(*columns)
+    assert sorted(map(repr, map(tuple, out.select(*columns).collect()))) == sorted(map(repr, map(tuple, wanted.collect())))
+
+
 def test_empty(spark):
     prepare(spark)
     df = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
