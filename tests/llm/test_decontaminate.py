@@ -100,3 +100,34 @@ def test_leaks(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 6, 7, 9]
     assert d.leaked_pairs(df.limit(0), benchmark).count() == 0
     assert d.decontaminate(df, benchmark.limit(0)).count() == df.count()
+
+
+def test_query(spark):
+    """Every document against every item, cut at shared seeds only by set operations."""
+    from aerolake.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    docs = {r.doc_id: d.tokens(r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    items = {r.item_id: d.tokens(r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    grams = lambda t: {tuple(t[i:i + d.MIN_MATCH]) for i in range(len(t) - d.MIN_MATCH + 1)}      # noqa: E731
+    of_item = {i: grams(t) for i, t in items.items()}
+    expected, close = {}, set()
+    for doc, t in docs.items():
+        mine = grams(t)
+        for item, w in items.items():
+            shared = mine & of_item[item]
+            if (d.MIN_MATCH * len(shared)) < d.MIN_COVERAGE * len(w):
+                continue                        # fewer seeds than the coverage needs
+            # only tokens in shared seeds can be tiled
+            near = sorted({p for i in range(len(t) - 3) if tuple(t[i:i + 4]) in shared for p in range(i, i + 4)})
+            part = [x for a, p in enumerate(near) for x in ([None] if a and near[a - 1] != p - 1 else []) + [t[p]]]
+            matched = sum(n for _, _, n in brute_tiling(w, part, d.MIN_MATCH))
+            share = matched / len(w)
+            if abs(share - d.MIN_COVERAGE) < 0.05:
+                close.add((doc, item))          # ties may be broken either way
+            elif share >= d.MIN_COVERAGE:
+                expected[(doc, item)] = (len(w), matched)
+    out = {(r.doc_id, r.item_id): (r.n_item_tokens, r.n_matched) for r in queries.op1_decontamination(spark, sf).collect()}
+    assert expected and out.keys() - close == expected.keys()
+    for pair, (n, matched) in expected.items():
+        assert out[pair][0] == n and abs(out[pair][1] - matched) <= 0.05 * n

@@ -89,6 +89,8 @@ def test_fit_and_score(spark, corpus):
 def test_forms_are_counted_apart(spark, corpus):
     """Ratios equal those from plain counts by the forms' names; forms that share a checksum share nothing."""
     import zlib
+
+    from aerolake.llm import toxicity as x
     from collections import Counter
 
     prepare(spark)
@@ -138,6 +140,8 @@ def test_without_both_classes(spark):
 def test_query(spark):
     import zlib
 
+    from aerolake.llm import toxicity as x
+
     from aerolake.llm import queries
 
     sf = "/root/testdata/sf0.01"
@@ -149,3 +153,80 @@ def test_query(spark):
     truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     held = [(truth[r.doc_id], r.predicted) for r in out if r.held_out and r.doc_id in truth]
     assert sum(a == b for a, b in held) >= 0.9 * len(held)
+
+
+def test_query_scores_equal_a_plain_version(spark):
+    """The whole operator over again on the driver, forms under their names, segments by
+    trying all, for the scores of the query."""
+    import collections
+    import math
+    import zlib
+
+    from aerolake.llm import toxicity as x
+
+    from aerolake.llm import queries
+
+    sf = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()
+              if zlib.crc32(str(r.doc_id).encode()) % 5 and r.doc_id in texts}
+    words = {i: x.words_of(t) for i, t in texts.items()}
+
+    def names(word):
+        return [word[:n] + "-" for n in x.PREFIXES if n < len(word)] + ([word] if len(word) <= x.LONGEST_WHOLE else [])
+
+    counts = collections.defaultdict(lambda: [0, 0, 0])
+    for i, w in words.items():
+        for word in set(w):
+            for name in names(word):
+                c = counts[name]
+                c[0] += 1
+                if i in labels:
+                    c[2 if labels[i] else 1] += 1
+    totals = [sum(c[0] + 0.5 for c in counts.values()), sum(c[1] for c in counts.values()), sum(c[2] for c in counts.values())]
+    ratio = {}
+    for name, (n, clean, toxic) in counts.items():
+        a = x.PRIOR_TOKENS * (n + 0.5) / totals[0]
+        t, c = toxic + a, clean + a
+        delta = math.log(t / (totals[2] + x.PRIOR_TOKENS - t)) - math.log(c / (totals[1] + x.PRIOR_TOKENS - c))
+        ratio[name] = math.copysign(max(0.0, abs(delta) - x.SHRINK_SD * math.sqrt(1 / t + 1 / c)), delta)
+    value = {w: max((ratio[n] for n in names(w)), key=abs, default=0.0) for w in {w for ws in words.values() for w in ws}}
+    clean = collections.Counter(round(value[w] * x.STEPS) for i in labels if not labels[i] for w in words[i])
+    n_clean = sum(clean.values())
+    drift = max(0.0, sum(k * n for k, n in clean.items()) / x.STEPS / n_clean) + x.DRIFT
+    tail = lambda lam: sum(n / n_clean * math.exp(lam * (k / x.STEPS - drift)) for k, n in clean.items())      # noqa: E731
+    low, high = 1e-6, 64.0
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if tail(mid) < 1 else (low, mid)
+    lam = low
+
+    def segments(i):
+        """Maximal scoring segments by their definition: take the best, then both sides."""
+        s = [value[w] - drift for w in words[i]]
+
+        def best(a, b):
+            top, at = 0.0, None
+            total, start = 0.0, a
+            for k in range(a, b):
+                if total <= 0:
+                    total, start = 0.0, k
+                total += s[k]
+                if total > top + 1e-12:
+                    top, at = total, (start, k + 1)
+            return [] if at is None else [*best(a, at[0]), top, *best(at[1], b)]
+        return best(0, len(s))
+
+    found = {i: segments(i) for i in texts}
+    logs = [lam * max(found[i], default=0.0) - math.log(len(words[i])) for i in labels if not labels[i] and words[i]]
+    k = math.exp(sum(logs) / len(logs) - 0.5772156649015329)
+    z = {i: math.log1p(sum(max(0.0, lam * v - math.log(k * len(words[i]))) for v in found[i])) for i in texts}
+    bins = collections.Counter((math.floor(z[i] * x.BINS_PER_UNIT + 0.5), int(labels[i])) for i in labels)
+    at = np.array([b / x.BINS_PER_UNIT for b, _ in bins])
+    slope, intercept = x.fit_logistic(at, np.array([float(y) for _, y in bins]), np.array([float(n) for n in bins.values()]))
+    got = {r.doc_id: r for r in queries.op3_toxicity(spark, sf).collect()}
+    assert got.keys() == texts.keys()
+    for i, r in got.items():
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0)
+        assert math.isclose(r.score, 1 / (1 + math.exp(-(slope * z[i] + intercept))), rel_tol=1e-3, abs_tol=1e-4), i
+        assert r.predicted == int(r.score >= 0.5)
