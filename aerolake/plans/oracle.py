@@ -7,7 +7,6 @@ it is the independent statement of the expected result.
 
 from __future__ import annotations
 
-from aerolake import constants as K
 from aerolake.plans.telemetry import TELEMETRY_SQL
 
 
@@ -15,48 +14,38 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _airport_values() -> str:
-    rows = []
-    for r in K.AIRPORT_ROWS:
-        texts = ", ".join(_q(x) for x in r[:5])
-        nums = ", ".join(f"CAST({x!r} AS DOUBLE)" for x in r[5:])
-        rows.append(f"({texts}, {nums})")
-    return ",\n    ".join(rows)
+# FIXED VALUES, stated here a second time so that a wrong bound or label on the Spark
+# side shows as a difference.
+AIRPORT_VALUES = """('Sudeste', 'Sao Paulo', 'Sao Paulo', 'GRU', 'Guarulhos International', -23.55::DOUBLE, -23.35::DOUBLE, -46.6::DOUBLE, -46.3::DOUBLE),
+    ('Sudeste', 'Sao Paulo', 'Sao Paulo', 'CGH', 'Congonhas', -23.68::DOUBLE, -23.6::DOUBLE, -46.7::DOUBLE, -46.5::DOUBLE),
+    ('Sudeste', 'Sao Paulo', 'Campinas', 'VCP', 'Viracopos', -23.05::DOUBLE, -22.95::DOUBLE, -47.18::DOUBLE, -47.1::DOUBLE),
+    ('Não Mapeado', 'Não Mapeado', 'Em Rota', 'N/A', 'Espaço Aéreo Geral', 0::DOUBLE, 0::DOUBLE, 0::DOUBLE, 0::DOUBLE)"""
 
 
 def _continent_case(col: str) -> str:
-    groups: dict[str, list[str]] = {}
-    for ctry, cont in K.CONTINENT_OF_COUNTRY.items():
-        groups.setdefault(cont, []).append(ctry)
-    whens = " ".join(f"WHEN {col} IN ({', '.join(_q(c) for c in cs)}) THEN {_q(cont)}"
-                     for cont, cs in groups.items())
-    return f"CASE {whens} ELSE {_q(K.OTHER_CONTINENT)} END"
+    return (f"CASE WHEN {col} IN ('Brazil', 'Argentina', 'Chile', 'Uruguay', 'Colombia', 'Peru') THEN 'América do Sul' "
+            f"WHEN {col} IN ('United States', 'Canada', 'Mexico') THEN 'América do Norte' "
+            f"WHEN {col} IN ('France', 'Germany', 'United Kingdom', 'Portugal', 'Spain', 'Italy', 'Switzerland') THEN 'Europa' "
+            f"WHEN {col} = 'Desconhecido' THEN 'Desconhecido' ELSE 'Outros Continentes' END")
 
 
 def behavior_case(p: str = "") -> str:
-    return (f"CASE WHEN {p}on_ground = true THEN {_q(K.BEHAVIOR_GROUND)} "
-            f"WHEN {p}altitude_baro > {K.CRUISE_ALTITUDE} THEN {_q(K.BEHAVIOR_CRUISE)} "
-            f"WHEN {p}vertical_rate > {K.CLIMB_RATE} THEN {_q(K.BEHAVIOR_CLIMB)} "
-            f"WHEN {p}vertical_rate < {K.DESCENT_RATE} THEN {_q(K.BEHAVIOR_DESCENT)} "
-            f"ELSE {_q(K.BEHAVIOR_LEVEL)} END")
+    return (f"CASE WHEN {p}on_ground = true THEN 'Táxi / Estacionado' WHEN {p}altitude_baro > 15000 THEN 'Cruzeiro' "
+            f"WHEN {p}vertical_rate > 500 THEN 'Subida' WHEN {p}vertical_rate < -500 THEN 'Descida / Aproximação' ELSE 'Nivelado' END")
 
 
 def altitude_case(p: str = "") -> str:
-    return (f"CASE WHEN {p}on_ground = true THEN {_q(K.TIER_GROUND)} "
-            f"WHEN {p}altitude_baro < {K.ALT_LOW_BELOW} THEN {_q(K.ALT_LOW)} "
-            f"WHEN {p}altitude_baro BETWEEN {K.ALT_LOW_BELOW} AND {K.ALT_MID_MAX} THEN {_q(K.ALT_MID)} "
-            f"ELSE {_q(K.ALT_HIGH)} END")
+    return (f"CASE WHEN {p}on_ground = true THEN 'Solo' WHEN {p}altitude_baro < 10000 THEN 'Baixa Altitude (< 10k ft)' "
+            f"WHEN {p}altitude_baro BETWEEN 10000 AND 25000 THEN 'Média Altitude (10k-25k ft)' ELSE 'Alta Altitude (> 25k ft)' END")
 
 
 def speed_case(p: str = "") -> str:
-    return (f"CASE WHEN {p}on_ground = true THEN {_q(K.TIER_GROUND)} "
-            f"WHEN {p}speed_kmh < {K.SPEED_LOW_BELOW} THEN {_q(K.SPEED_LOW)} "
-            f"WHEN {p}speed_kmh BETWEEN {K.SPEED_LOW_BELOW} AND {K.SPEED_MID_MAX} THEN {_q(K.SPEED_MID)} "
-            f"ELSE {_q(K.SPEED_HIGH)} END")
+    return (f"CASE WHEN {p}on_ground = true THEN 'Solo' WHEN {p}speed_kmh < 400 THEN 'Lento / Aproximação' "
+            f"WHEN {p}speed_kmh BETWEEN 400 AND 700 THEN 'Cruzeiro Médio' ELSE 'Alta Velocidade' END")
 
 
 def status_case(p: str = "") -> str:
-    return f"CASE WHEN {p}on_ground = true THEN {_q(K.STATUS_GROUND)} ELSE {_q(K.STATUS_AIR)} END"
+    return f"CASE WHEN {p}on_ground = true THEN 'No Solo' ELSE 'Em Voo' END"
 
 
 def us_week_sql(d: str) -> str:
@@ -72,8 +61,7 @@ def calendar_cols(ts: str) -> str:
 
 
 def period_case(h: str) -> str:
-    whens = " ".join(f"WHEN {h} BETWEEN {lo} AND {hi} THEN {_q(lbl)}" for lbl, lo, hi in K.DAY_PERIODS)
-    return f"CASE {whens} ELSE {_q(K.DAY_PERIOD_OTHER)} END"
+    return f"CASE WHEN {h} BETWEEN 5 AND 11 THEN 'Manhã' WHEN {h} BETWEEN 12 AND 17 THEN 'Tarde' ELSE 'Noite' END"
 
 
 CTES: dict[str, tuple[list[str], str]] = {
@@ -99,7 +87,7 @@ CTES: dict[str, tuple[list[str], str]] = {
     SELECT *, row_number() OVER (PARTITION BY aircraft_id, position_timestamp
                                  ORDER BY inserted_at DESC NULLS LAST, id_surrogate DESC NULLS LAST) AS rn
     FROM typed) WHERE rn = 1"""),
-    "airports": ([], "SELECT * FROM (VALUES\n    " + _airport_values() +
+    "airports": ([], "SELECT * FROM (VALUES\n    " + AIRPORT_VALUES +
                  "\n  ) AS t(region, state, city, airport_code, airport_name, lat_min, lat_max, lon_min, lon_max)"),
     "fct": (["stg", "airports"], f"""SELECT
     left(s.aircraft_id, 50) || '-' || strftime(s.position_timestamp, '%Y-%m-%d %H:%M:%S') AS flight_pk,
