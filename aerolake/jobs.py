@@ -156,6 +156,7 @@ def _declared_suite():
 
 SILVER_KEY_COL = "silver_key"
 VERSION = ["inserted_at", "id_surrogate"]       # newest insert wins, then the greatest id
+DIMENSIONS = ("dim_airports", "dim_aircrafts", "dim_calendar")
 
 
 def _with_silver_key(stg: DataFrame) -> DataFrame:
@@ -176,6 +177,32 @@ def _fresh(spark: SparkSession, raw_path: str, root: str, mark: str | None) -> t
     return stg_flights(spark.createDataFrame([], bronze)), taken
 
 
+def _apply(spark: SparkSession, new: DataFrame, taken: list[dict] | None, root: str, stored: dict[str, DataFrame | None],
+           silver_path: str, fact_path: str) -> tuple[str | None, dict[str, DataFrame], dict[str, DataFrame | None]]:
+    """The new silver rows into silver, fact and dimensions.  Returns their greatest
+    insert time, the dimensions, and the fact rows set aside in this run, by its name."""
+    stage = fresh_path(spark, "build-fresh")
+    fresh = storage.replace_table(new, f"{stage}/stg_flights")      # read by all below
+    new_mark = high_water_mark(fresh, "inserted_at")
+    # a folder name of the same run, if repeated
+    run_id = re.sub(r"\D", "", new_mark or "none") if taken is None else uuid.uuid5(
+        uuid.NAMESPACE_OID, " ".join(f"{e['load']} {e['attempt']}" for e in taken)).hex
+    upsert(spark, silver_path, _with_silver_key(fresh), SILVER_KEY_COL, "flight_date", order_by=VERSION)
+    table = lambda df, name: layers.materialise(df, name, "table", root=root)      # noqa: E731
+    dim_tables = {"dim_airports": table(dims.dim_airports(spark), "dim_airports"),
+                  "dim_aircrafts": table(dims.merge_aircrafts(stored["dim_aircrafts"], fresh), "dim_aircrafts"),
+                  "dim_calendar": table(dims.merge_calendar(stored["dim_calendar"], fresh), "dim_calendar")}
+    rows = fct_flights(fresh, dim_tables["dim_airports"], n_airports=dims.N_AIRPORTS, keep=["id_surrogate"])
+    fact = upsert(spark, fact_path, rows, "flight_pk", "flight_date", order_by=["ingestion_timestamp", "id_surrogate"],
+                  on_null_key="quarantine", run_id=run_id)
+    aside: dict[str, DataFrame | None] = {}
+    if new_mark is not None:
+        at = f"{fact_path}_rejected/run_id={run_id}"
+        aside[f"rejected {run_id}"] = spark.read.schema(rows.schema).parquet(at) if fact["rejected_rows"] else None
+    storage.delete(spark, stage)
+    return new_mark, dim_tables, aside
+
+
 def build(spark: SparkSession, raw_path: str, root: str, full_checks: bool = False) -> DataFrame:
     """One model run over the bronze table; returns the DQ verdict table.
 
@@ -191,36 +218,19 @@ def build(spark: SparkSession, raw_path: str, root: str, full_checks: bool = Fal
     written, a run without new rows reads none and keeps the verdict.  ``full_checks``
     describes every partition anew.
     """
-    silver_path = layers.layer_path(root, "silver", "stg_flights")
-    fact_path = layers.layer_path(root, "gold", "fct_flights")
+    silver_path, fact_path = layers.layer_path(root, "silver", "stg_flights"), layers.layer_path(root, "gold", "fct_flights")
     mark = read_mark(spark, root)
-    stage = fresh_path(spark, "build-fresh")
-    rows, taken = _fresh(spark, raw_path, root, mark)
-    fresh = storage.replace_table(rows, f"{stage}/stg_flights")    # new rows only; read by all below
-    new_mark = high_water_mark(fresh, "inserted_at")
-    # a folder name of the same run, if repeated
-    run_id = re.sub(r"\D", "", new_mark or "none") if taken is None else uuid.uuid5(
-        uuid.NAMESPACE_OID, " ".join(f"{e['load']} {e['attempt']}" for e in taken)).hex
-    upsert(spark, silver_path, _with_silver_key(fresh), SILVER_KEY_COL, "flight_date", order_by=VERSION)
-
-    airports = layers.materialise(dims.dim_airports(spark), "dim_airports", "table", root=root)
-    stored = lambda name: layers.stored_layer(spark, root, "gold", name)
-    aircrafts = layers.materialise(dims.merge_aircrafts(stored("dim_aircrafts"), fresh), "dim_aircrafts", "table", root=root)
-    calendar = layers.materialise(dims.merge_calendar(stored("dim_calendar"), fresh), "dim_calendar", "table", root=root)
-
-    rows = fct_flights(fresh, airports, n_airports=dims.N_AIRPORTS, keep=["id_surrogate"])
-    fact = upsert(spark, fact_path, rows, "flight_pk", "flight_date", order_by=["ingestion_timestamp", "id_surrogate"],
-                  on_null_key="quarantine", run_id=run_id)
+    new, taken = _fresh(spark, raw_path, root, mark)
+    idle = taken is not None and not any(e["n_rows"] for e in taken)
+    dim_tables = {name: layers.stored_layer(spark, root, "gold", name) for name in DIMENSIONS}
+    new_mark, aside = None, {}
+    if not idle or None in dim_tables.values() or not (snapshots.exists(spark, silver_path) and snapshots.exists(spark, fact_path)):
+        new_mark, dim_tables, aside = _apply(spark, new, taken, root, dim_tables, silver_path, fact_path)
 
     suite, state = _declared_suite(), _state(root, "quality")
-    dim_tables = {"dim_aircrafts": aircrafts, "dim_airports": airports, "dim_calendar": calendar}
     tables = {"stg_flights": silver_path, "fct_flights": fact_path}
     of = lambda model: [c for c in suite if c.model == model]      # noqa: E731
     Q.refresh(spark, state, "stg_flights", silver_path, SILVER_KEY_COL, of("stg_flights"), dim_tables, everything=full_checks)
-    aside = {}
-    if new_mark is not None:
-        at = f"{fact_path}_rejected/run_id={run_id}"
-        aside[f"rejected {run_id}"] = spark.read.schema(rows.schema).parquet(at) if fact["rejected_rows"] else None
     Q.refresh(spark, state, "fct_flights", fact_path, "flight_pk", of("fct_flights"), dim_tables, aside, full_checks)
     verdict = D.dq_run(dim_tables, [c for c in suite if c.model in dim_tables]).unionByName(
         Q.verdict(spark, state, tables, suite, dim_tables))
@@ -234,7 +244,6 @@ def build(spark: SparkSession, raw_path: str, root: str, full_checks: bool = Fal
         _write_state(spark, _state(root, "fct_flights_high_water_mark"), new_mark)
     for path in (silver_path, fact_path, state):
         snapshots.sweep(spark, path)
-    storage.delete(spark, stage)
     return report
 
 

@@ -111,8 +111,8 @@ def q_stamp_date(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ S6, S7 over orders
-REWRITE_MONTH = "1996-03-01"
 ORDERS_SQL_MONTH = "CAST(date_trunc('month', o_orderdate) AS DATE) AS order_month"
+BUSIEST_SQL = f"(SELECT order_month FROM (SELECT {ORDERS_SQL_MONTH} FROM orders) GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)"
 
 
 def _orders_by_month(spark, sf_dir):
@@ -120,27 +120,31 @@ def _orders_by_month(spark, sf_dir):
     return o.withColumn("order_month", F.trunc("o_orderdate", "month"))
 
 
+def _busiest_month(orders) -> str:
+    return str(orders.groupBy("order_month").count().orderBy(F.desc("count"), "order_month").first()["order_month"])
+
+
 @register("partition_overwrite", sql(
     f"SELECT * FROM (SELECT *, {ORDERS_SQL_MONTH} FROM orders) "
-    f"WHERE NOT (order_month = DATE '{REWRITE_MONTH}' AND o_orderpriority <> '1-URGENT')"))
+    f"WHERE NOT (order_month = {BUSIEST_SQL} AND o_orderpriority <> '1-URGENT')"))
 def q_partition_overwrite(spark, sf_dir):
     path = fresh_path(spark, "orders-by-month")
     orders = _orders_by_month(spark, sf_dir)
     sinks.write_partitions(orders, path, "order_month")
     # a rerun of one month with fewer rows replaces that month only
-    redo = orders.filter((F.col("order_month") == F.lit(REWRITE_MONTH).cast("date"))
+    redo = orders.filter((F.col("order_month") == F.lit(_busiest_month(orders)).cast("date"))
                          & (F.col("o_orderpriority") == "1-URGENT"))
     sinks.write_partitions(redo, path, "order_month")
     return spark.read.parquet(path).select(*orders.columns)
 
 
 @register("scan_partition", sql(
-    f"SELECT * FROM (SELECT *, {ORDERS_SQL_MONTH} FROM orders) WHERE order_month = DATE '{REWRITE_MONTH}'"))
+    f"SELECT * FROM (SELECT *, {ORDERS_SQL_MONTH} FROM orders) WHERE order_month = {BUSIEST_SQL}"))
 def q_scan_partition(spark, sf_dir):
     path = fresh_path(spark, "orders-by-month")
     orders = _orders_by_month(spark, sf_dir)
     sinks.write_partitions(orders, path, "order_month")
-    return ingest.scan_partition(spark, path, "order_month", REWRITE_MONTH).select(*orders.columns)
+    return ingest.scan_partition(spark, path, "order_month", _busiest_month(orders)).select(*orders.columns)
 
 
 @register("poll_batches", sql(
@@ -216,14 +220,16 @@ def q_flight_legs(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ N1-N6
-LOAD1_END = "2024-01-16 00:00:00"     # first load: rows inserted before this instant
-_LOAD1 = {"bronze1": f"SELECT * FROM bronze WHERE inserted_at < TIMESTAMP '{LOAD1_END}'",
+# first load: rows inserted before the middle of the time that the table covers
+_LOAD1 = {"bronze1": "SELECT * FROM bronze WHERE inserted_at < (SELECT make_timestamp("
+                     "(epoch_us(min(inserted_at)) + epoch_us(max(inserted_at))) // 2) FROM bronze)",
           **stg_chain("bronze1", "l1_")}
 
 
 def _loads(spark, sf_dir):
     bronze_all = telemetry.bronze(spark, sf_dir)
-    bronze1 = bronze_all.filter(F.col("inserted_at") < F.lit(LOAD1_END).cast("timestamp_ntz"))
+    first, last = bronze_all.agg(F.min("inserted_at"), F.max("inserted_at")).first()
+    bronze1 = bronze_all.filter(F.col("inserted_at") < F.lit(str(first + (last - first) // 2)).cast("timestamp_ntz"))
     return bronze1, bronze_all
 
 

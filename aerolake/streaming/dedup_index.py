@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 
 from aerolake import snapshots, storage
 
-BUCKETS = 16            # of a day
-PAGES = 4               # bitmaps of 32,768 bits of a bucket
+BUCKETS = 4             # of a day: folders of stored keys
+PAGES = 16              # bitmaps of 32,768 bits of a bucket
 PAGE_BITS = 32_768
 
 
