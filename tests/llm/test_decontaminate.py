@@ -88,13 +88,17 @@ def test_leaks(spark):
     df = spark.createDataFrame([(i, t, "x") for i, t in docs.items()] + [(1, docs[1], "again")],
                                "doc_id long, text string, item_id string")
     expected = {(1, 0), (1, 13), (2, 1), (8, 2), (8, 3)}
-    for block_bytes in (1 << 20, 200):      # one block, several blocks
-        pairs = d.leaked_pairs(df, benchmark, block_bytes=block_bytes).collect()
+    for options in ({}, {"filter_bits": 1 << 15, "group_items": 1}):
+        pairs = d.leaked_pairs(df, benchmark, **options).collect()
         assert {(r.doc_id, r.item_id) for r in pairs} == expected
         assert len(pairs) == 7
         assert all(r.coverage == r.n_matched / r.n_item_tokens >= 0.5 for r in pairs)
     one = next(r for r in pairs if (r.doc_id, r.item_id) == (2, 1))
     assert sum(t.length for t in one.tiles) == 30 and len(one.tiles) == 2
+    marked = d.mark_leaks(df, benchmark, leaks_col="found")
+    assert marked.columns == [*df.columns, "found"]
+    assert sorted((r.doc_id, x.item_id) for r in marked.collect() for x in r.found) == sorted(
+        [*expected, (1, 0), (1, 13)])
     kept = d.decontaminate(df, benchmark)
     assert kept.columns == df.columns
     assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 6, 7, 9]
@@ -102,6 +106,31 @@ def test_leaks(spark):
     assert d.decontaminate(df, benchmark.limit(0)).count() == df.count()
 
 
+def test_rare_seeds_lose_no_leak():
+    """Whatever seeds a text holds: if they cover enough of the item, one of them is rare."""
+    for _ in range(2000):
+        n, k = rng.randint(4, 30), rng.randint(2, 4)
+        seeds = [rng.randint(1, 12) for _ in range(n - k + 1)]
+        counts = {s: rng.choice([1, 1, 2, 50, 1000]) for s in set(seeds)}
+        share = rng.choice([0.3, 0.5, 0.9, 1.0])
+        rare = d.rare_seeds(list(range(len(seeds))), seeds, [counts[s] for s in seeds], n, k, share)
+        held = {s for s in counts if rng.random() < 0.6}
+        cover = {p for i, s in enumerate(seeds) if s in held for p in range(i, i + k)}
+        assert len(cover) < share * n or held & set(rare)
+
+
+def test_frequent_phrases(spark):
+    """A phrase of all texts and items joins nothing; items made of it alone are found all the same."""
+    prepare(spark)
+    phrase = " ".join(words(6, 50))
+    items = {i: " ".join(words(12, 100 + i)) + " " + phrase for i in range(30)} | {99: phrase}
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    docs = {i: f"{' '.join(words(40, 1000 + i))} {phrase}" for i in range(200)} | {500: items[7], 501: items[8] + " x"}
+    df = spark.createDataFrame([(i, t) for i, t in docs.items()], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in d.leaked_pairs(df, benchmark).collect()}
+    assert got == {(i, 99) for i in docs} | {(500, 7), (501, 8)}
+
+
 def test_query(spark):
     """Every document against every item, cut at shared seeds only by set operations."""
     from aerolake.llm import queries
