@@ -1,11 +1,14 @@
 """Partitioned Parquet tables whose readers see one commit.
 
-``<path>/data/snapshot_write=<id>/<partition folders>``   what one write made
-``<path>/commits/<number>.json``                          partition folder -> write id
-
-A write puts its partitions under a folder of its own and then commits a manifest
-that names, for each partition of the table, the write that holds it
-(``commitlog``).  Nothing that a reader may be reading is moved or deleted: a
+``<path>/data/snapshot_write=<id>/<files>``    what one write made
+``<path>/commits/<number>.json``               partition -> write id and files of it
+
+A write brings the rows of a partition together and puts them, in order of the
+partitions, into files cut by size alone: small partitions share a file and a large
+one has several, so the number of files follows the bytes and not the number of
+partitions.  It then commits a manifest that names, for each partition of the table,
+the write and the files that hold it (``commitlog``); rows that a file has of other
+partitions than these are passed over by readers.  Nothing that a reader may be reading is moved or deleted: a
 ``Snapshot`` keeps its manifest's files until ``sweep`` retires it.  Writers that
 touched different partitions both get in; where they touched the same, the second
 merges again onto what the first committed.  A write that stops half way leaves
@@ -15,7 +18,9 @@ files that no manifest names.
 from __future__ import annotations
 
 import json
+import re
 import uuid
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -26,6 +31,9 @@ from aerolake import commitlog, storage
 
 WRITE = "snapshot_write"
 TRIES = 20
+FEW = 1000              # values of a partition column that a scan is filtered by
+NULL_NAME = "__HIVE_DEFAULT_PARTITION__"
+_SPECIAL = re.compile(r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]""")        # escaped in the names of folders
 
 
 class CommitConflict(Exception):
@@ -38,7 +46,9 @@ class Snapshot:
     version: int
     schema: StructType
     partition_by: tuple[str, ...]
-    folders: dict[str, str]                 # partition folder -> id of the write that holds it
+    folders: dict[str, str]                 # partition -> id of the write that holds it
+    files: dict[str, tuple[str, ...]]       # partition -> names of the files of that write with its rows
+    sizes: dict[tuple[str, str], int]       # (write, file) -> number of partitions that the file was written with
 
 
 def _commits(path: str) -> str:
@@ -55,19 +65,39 @@ def snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snap
     if not number:
         return None
     head, *rows = commitlog.read(spark, _commits(path), number)
+    files = [(f["write"], f["file"]) for f in head["files"]]
     return Snapshot(path, number, StructType.fromJson(json.loads(head["schema"])), tuple(head["partition_by"]),
-                    {r["partition"]: r["write"] for r in rows})
+                    {r["partition"]: r["write"] for r in rows},
+                    {r["partition"]: tuple(files[k][1] for k in r["files"]) for r in rows},
+                    {key: f["partitions"] for key, f in zip(files, head["files"])})
 
 
 def read_snapshot(spark: SparkSession, snap: Snapshot, partitions=None) -> DataFrame:
-    """The rows of ``snap``; ``partitions``: of these partition folders alone (the
-    others are neither listed nor read)."""
-    names = snap.folders if partitions is None else [p for p in partitions if p in snap.folders]
-    paths = [f"{_data(snap.path, snap.folders[n])}/{n}" for n in names]
-    if not paths:
+    """The rows of ``snap``; ``partitions``: of these partitions alone (files without
+    rows of them are neither listed nor read)."""
+    names = list(snap.folders) if partitions is None else [p for p in partitions if p in snap.folders]
+    wanted = Counter((snap.folders[p], f) for p in names for f in snap.files[p])
+    if not wanted:
         return spark.createDataFrame([], snap.schema)
-    return (spark.read.schema(StructType(snap.schema.fields).add(WRITE, "string")).option("basePath", _data(snap.path))
-            .parquet(*paths).select(*snap.schema.names))
+    rows = (spark.read.schema(StructType(snap.schema.fields).add(WRITE, "string")).option("basePath", _data(snap.path))
+            .parquet(*[f"{_data(snap.path, w)}/{f}" for w, f in sorted(wanted)]))
+    if any(snap.sizes[key] != n for key, n in wanted.items()):
+        rows = _of_partitions(spark, snap, rows, names)
+    return rows.select(*snap.schema.names)
+
+
+def _of_partitions(spark: SparkSession, snap: Snapshot, rows: DataFrame, names: list[str]) -> DataFrame:
+    """Those of ``rows`` (with their write) that lie in the named partitions as of ``snap``."""
+    by = snap.partition_by
+    values = [partition_values(p) for p in names]
+    first = {v[0] for v in values}
+    kind = snap.schema[by[0]].dataType
+    if len(first) <= FEW and None not in first and kind.typeName() in ("date", "string", "integer", "long"):
+        rows = rows.where(F.col(by[0]).isin([F.lit(v).cast(kind) for v in first]))      # skips row groups
+    fields = ", ".join(f"__p{k} string" for k in range(len(by)))
+    live = spark.createDataFrame([(*v, snap.folders[p]) for p, v in zip(names, values)], f"{fields}, __write string")
+    same = [F.nullif(F.col(c).cast("string"), F.lit("")).eqNullSafe(F.col(f"__p{k}")) for k, c in enumerate(by)]
+    return rows.join(F.broadcast(live), [*same, F.col(WRITE) == F.col("__write")], "left_semi")
 
 
 def read(spark: SparkSession, path: str, version: int | None = None, partitions=None) -> DataFrame:
@@ -82,41 +112,68 @@ def exists(spark: SparkSession, path: str) -> bool:
     return commitlog.latest(spark, _commits(path)) > 0
 
 
+def _partition_name(columns, values) -> str:
+    """As a partitioned write names the folder; '' and NULL share one."""
+    return "/".join(f"{_escaped(c)}={_escaped(v) if v else NULL_NAME}" for c, v in zip(columns, values))
+
+
+def _escaped(text: str) -> str:
+    return _SPECIAL.sub(lambda m: f"%{ord(m[0]):02X}", text)
+
+
+def partition_values(name: str) -> list[str | None]:
+    """The values (as text, None for '' and NULL) in a partition's name."""
+    texts = [part.partition("=")[2] for part in name.split("/")]
+    return [None if t == NULL_NAME else re.sub("%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)), t) for t in texts]
+
+
 def partition_names(spark: SparkSession, df: DataFrame, partition_by) -> list[str]:
-    """The partition folders that rows of ``df`` belong to, as a write names them."""
-    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    """The partitions that rows of ``df`` belong to, by the names of their folders in a
+    partitioned write."""
     values = df.select(*[F.col(c).cast("string").alias(c) for c in partition_by]).distinct().collect()
-    return sorted({"/".join(name(c, row[c]) for c in partition_by) for row in values})     # '' and NULL share one
+    return sorted({_partition_name(partition_by, row) for row in values})
 
 
-def _write(spark: SparkSession, path: str, df: DataFrame, partition_by) -> tuple[str, list[str]]:
+def _write(spark: SparkSession, path: str, df: DataFrame, partition_by) -> tuple[str, dict[str, set[str]]]:
+    """Write ``df``; returns the write's id and the files with rows of each partition."""
     write = uuid.uuid4().hex
-    df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(_data(path, write))
-    return write, storage.partition_folders(spark, _data(path, write), len(partition_by))
+    df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by).write.parquet(_data(path, write))
+    rows = spark.read.schema(df.schema).parquet(_data(path, write))
+    values = [F.col(c).cast("string") for c in partition_by]
+    held: dict[str, set[str]] = {}
+    for *value, file in rows.select(*values, F.col("_metadata.file_name")).distinct().collect():
+        held.setdefault(_partition_name(partition_by, value), set()).add(file)
+    return write, held
 
 
 def _commit(spark: SparkSession, path: str, base: Snapshot | None, schema: StructType, partition_by,
-            changed: dict[str, str | None]) -> Snapshot | None:
-    """Commit ``changed`` (partition -> write, None: gone) onto ``base``; None if a
-    newer commit is there."""
-    folders = {**(base.folders if base else {}), **changed}
-    folders = {k: v for k, v in folders.items() if v is not None}
+            write: str, held: dict[str, set[str]], drop=()) -> Snapshot | None:
+    """Commit the partitions that ``write`` holds (partition -> files) and the removal
+    of those in ``drop`` onto ``base``; None if a newer commit is there."""
+    gone = set(drop)
+    folders = {p: w for p, w in base.folders.items() if p not in gone} if base else {}
+    folders |= dict.fromkeys(held, write)
+    files = {p: tuple(sorted(held[p])) if p in held else base.files[p] for p in folders}
+    sizes = (base.sizes if base else {}) | {(write, f): n for f, n in Counter(f for fs in held.values() for f in fs).items()}
+    used = sorted({(w, f) for p, w in folders.items() for f in files[p]})
+    sizes = {key: sizes[key] for key in used}
+    place = {key: k for k, key in enumerate(used)}
     number = (base.version if base else 0) + 1
-    head = {"schema": schema.json(), "partition_by": list(partition_by)}
-    rows = [head, *({"partition": k, "write": v} for k, v in sorted(folders.items()))]
+    head = {"schema": schema.json(), "partition_by": list(partition_by),
+            "files": [{"write": w, "file": f, "partitions": sizes[w, f]} for w, f in used]}
+    rows = [head, *({"partition": p, "write": w, "files": [place[w, f] for f in files[p]]} for p, w in sorted(folders.items()))]
     if not commitlog.commit(spark, _commits(path), number, rows):
         return None
-    return Snapshot(path, number, schema, tuple(partition_by), folders)
+    return Snapshot(path, number, schema, tuple(partition_by), folders, files, sizes)
 
 
 def replace_partitions(spark: SparkSession, path: str, df: DataFrame, partition_by, drop=()) -> Snapshot:
     """Replace the partitions that ``df`` has rows of, and remove those named in
     ``drop``, in one commit; the last writer of a partition wins."""
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    write, names = _write(spark, path, df, parts)
-    changed = dict.fromkeys(drop) | dict.fromkeys(names, write)
+    write, held = _write(spark, path, df, parts)
     for _ in range(TRIES):
-        if done := _commit(spark, path, snapshot(spark, path), df.schema, parts, changed):
+        if done := _commit(spark, path, snapshot(spark, path), df.schema, parts, write, held, drop):
             return done
     raise CommitConflict(path)
 
@@ -192,14 +249,14 @@ def _set_aside(spark: SparkSession, path: str, bad: DataFrame, n_bad: int, run_i
 
 
 def _merge(spark, path, base, good, schema, key, parts, order_by, touched) -> Snapshot:
-    write, merged_on = None, None
+    write, held, merged_on = None, {}, None
     for _ in range(TRIES):
         stored = {p: base.folders[p] for p in touched if p in base.folders} if base else {}
         if write is None or stored != merged_on:        # nothing merged yet, or another writer changed it since
             current = read_snapshot(spark, base, stored) if stored else None
-            write, _ = _write(spark, path, merge_frames(current, good, key, order_by), parts)
+            write, held = _write(spark, path, merge_frames(current, good, key, order_by), parts)
             merged_on = stored
-        if done := _commit(spark, path, base, schema, parts, dict.fromkeys(touched, write)):
+        if done := _commit(spark, path, base, schema, parts, write, held):
             return done
         base = snapshot(spark, path)
     raise CommitConflict(path)
@@ -208,19 +265,19 @@ def _merge(spark, path, base, good, schema, key, parts, order_by, touched) -> Sn
 def sweep(spark: SparkSession, path: str, keep: int = 3, orphan_seconds: float = 86_400) -> int:
     """Delete the commits before the last ``keep`` and the data that no kept one
     names; what no commit ever named only when older than ``orphan_seconds`` (it may
-    be of a writer at work).  Returns the number of folders deleted."""
+    be of a writer at work).  Returns the number of folders and files deleted."""
     numbers = commitlog.numbers(spark, _commits(path))
     kept, retired = numbers[-keep:], numbers[:-keep]
-    named = {(w, p) for n in kept for p, w in snapshot(spark, path, n).folders.items()}
+    named = {key for n in kept for key in snapshot(spark, path, n).sizes}
     writes = {w for w, _ in named}
-    old = {(w, p) for n in retired for p, w in snapshot(spark, path, n).folders.items()}
+    old = {key for n in retired for key in snapshot(spark, path, n).sizes}
     gone = 0
     for w in {w for w, _ in old} - writes:                  # whole writes first: one call each
         storage.delete(spark, _data(path, w))
         gone += 1
-    for w, p in old - named:
+    for w, f in old - named:
         if w in writes:
-            storage.delete(spark, f"{_data(path, w)}/{p}")
+            storage.delete(spark, f"{_data(path, w)}/{f}")
             gone += 1
     for folder in (_data(path), f"{path.rstrip('/')}/staged"):
         for name in storage.subfolders(spark, folder):

@@ -121,3 +121,25 @@ def test_ids_taken_by_another_load_are_not_used_twice(spark, monkeypatch):
     assert firsts == [1, 11] and entry["first_id"] == 11
     assert loads.record(spark, raw, "load_id=mine", 5, "t", lambda first: None)["first_id"] == 11       # as many rows
     assert loads.record(spark, raw, "load_id=mine", 6, "t", lambda first: None)["first_id"] == 16
+
+
+def test_files_follow_the_bytes_and_not_the_partitions(spark):
+    path = fresh_path(spark, "t")
+    rows = spark.range(3000).selectExpr("concat('k', id) AS k", "date_add(date'2024-01-01', cast(id % 600 AS int)) AS p", "'a' AS v")
+    snapshots.upsert(spark, path, rows, "k", "p")
+    assert len(snapshots.snapshot(spark, path).folders) == 600 and len(snapshots.read(spark, path).inputFiles()) <= 8
+    out = snapshots.upsert(spark, path, rows.where("p < date'2024-02-01'").withColumn("v", F.lit("b")), "k", "p")
+    assert len(out["touched"]) == 31 and len(snapshots.read(spark, path).inputFiles()) <= 16
+    count = lambda **k: {r.v: r["count"] for r in snapshots.read(spark, path, **k).groupBy("v").count().collect()}     # noqa: E731
+    assert count() == {"a": 3000 - 155, "b": 155} and count(version=1) == {"a": 3000}
+    assert count(partitions=["p=2024-01-31", "p=2024-02-01"]) == {"a": 5, "b": 5}
+    assert snapshots.read(spark, path).distinct().count() == 3000
+
+
+def test_names_are_read_back(spark):
+    values = ["x=1/y", "é %", "a\"b#c%25'*:?\\{[]^\x01\x7f", "plain", "", None]
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    names = snapshots.partition_names(spark, df, ["s"])
+    path_of = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    assert names == sorted({path_of("s", v) for v in values})
+    assert {snapshots.partition_values(n)[0] for n in names} == set(values) - {""}
