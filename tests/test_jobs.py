@@ -203,6 +203,22 @@ def test_only_changed_partitions_are_described(spark):
     assert go() == [f"flight_date={day}"] and sorted(go(everything=True)) == sorted(every)
 
 
+def test_a_build_over_many_days_writes_few_files(spark):
+    from aerolake.plans import telemetry
+    bronze = telemetry.bronze(spark, "/root/testdata/sf0.001").withColumn(
+        "time_position", F.col("time_position") + F.expr("event_id div 3") * 86_400)
+    raw, root = fresh_path(spark, "raw"), fresh_path(spark, "wh")
+    files = {}
+    for n, half in enumerate((0, 1)):
+        _bronze_load(spark, raw, f"half{half}", bronze.where(f"event_id % 2 = {half}"), f"2024-02-0{n + 1} 00:00:00")
+        verdict = _verdict(jobs.build(spark, raw, root))
+        for name in ("silver/stg_flights", "gold/fct_flights", "_state/quality"):
+            files[name] = len(snapshots.read(spark, f"{root}/{name}").inputFiles())
+    assert len(snapshots.snapshot(spark, f"{root}/silver/stg_flights").folders) > 300 and max(files.values()) <= 24
+    assert verdict == _verdict(jobs.build(spark, raw, root, full_checks=True))
+    assert verdict[("stg_flights", "unique", "id_surrogate")] == 0
+
+
 def test_a_late_load_is_built(spark):
     from aerolake.plans import telemetry
     bronze = telemetry.bronze(spark, "/root/testdata/sf0.001").where("event_id % 3 = 0")
