@@ -46,6 +46,19 @@ def test_a_retried_batch_replaces_its_keys(spark):
     assert sorted(r.id for r in D.read_keys(spark, path).collect()) == [f"a{i}" for i in range(1, 8)]
 
 
+def test_files_of_keys_do_not_follow_the_days(spark):
+    path = fresh_path(spark, "dedup")
+    rows = lambda k: spark.range(k, 3000, 2).selectExpr(                      # noqa: E731
+        "concat('a', id div 3) AS id", "cast(date_add(date'2024-01-01', cast(id div 6 AS int)) AS timestamp_ntz) AS ts")
+    done = [D.add_keys(spark, path, rows(k % 2), ["id"], "ts", k) for k in (0, 1, 2)]
+    # three ids in a row share a key, so the odd ones have every key of the even ones
+    assert [d["new"] for d in done] == [1000, 0, 0] and done[1]["maybe"] == 1000
+    assert D.read_keys(spark, path).distinct().count() == 1000 == D.read_keys(spark, path).count()
+    assert len(D.read_keys(spark, path).inputFiles()) <= 24
+    index = D.snapshots.read(spark, D._index_path(path))
+    assert index.selectExpr("sum(bit_count(bits))").first()[0] <= 1000 and index.count() <= 1000
+
+
 def test_bits(spark):
     df = spark.range(40_000).where("id % 7 = 0 and id < 32768")
     bits = df.agg(F.bitmap_construct_agg("id").alias("bits"))
