@@ -14,7 +14,7 @@ A corpus-wide suffix array is cut into independent pieces by content:
    windows repeat, and nothing else has to move.
 2. Only for grams with different contexts are context bytes fetched and equal
    ones merged.  The windows of many grams are put in suffix order together
-   (ranks of 8, 16, ... bytes up to the window), and the earlier matches are read
+   (ranks of 4, 8, ... bytes up to the window), and the earlier matches are read
    off the order by previous and next smaller positions: the longest previous
    factor of a position is its longest common prefix with either neighbour.
    Run backwards, the same finds the later matches.
@@ -36,6 +36,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +50,8 @@ BLOCK_BITS = 21             # texts are hashed in blocks of up to 2 MiB
 BUCKET = 8192               # different contexts of one gram that a task compares (about 2.3 MB)
 SORT_BYTES = 1 << 20        # context bytes that are put in suffix order together
 
+ROUNDS = 64                 # of looking past entries, all at once
+
 BASE = 0x9FB21C651E98DF25
 INVERSE = pow(BASE, -1, 1 << 64)
 U = np.uint64
@@ -137,97 +140,123 @@ def contexts(texts: list[bytes], min_bytes: int = MIN_BYTES, gram: int = GRAM):
 
 # --- suffix order of a bucket of contexts ------------------------------------
 
+def _ranks(key: np.ndarray, bits: int) -> np.ndarray:
+    """Dense ranks of unsigned keys below ``2 ** bits``.  Where key and place fit one
+    number, numbers are sorted in place of an order of places."""
+    n = len(key)
+    width = max(1, n - 1).bit_length()
+    if bits + width > 64 or not n:
+        return np.unique(key, return_inverse=True)[1].astype(np.int64)
+    packed = key << U(width) | np.arange(n, dtype=np.uint64)
+    packed.sort()
+    at = (packed & U((1 << width) - 1)).astype(np.int64)
+    packed >>= U(width)
+    out = np.empty(n, dtype=np.int64)
+    out[at] = np.concatenate(([0], np.cumsum(packed[1:] != packed[:-1])))
+    return out
+
+
+def _pair_ranks(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Dense ranks of pairs of ranks."""
+    bits = [int(r.max()).bit_length() if len(r) else 0 for r in (high, low)]
+    return _ranks(high.astype(np.uint64) << U(bits[1]) | low.astype(np.uint64), sum(bits))
+
+
 def window_ranks(data: bytes, starts: np.ndarray, length: int) -> np.ndarray:
     """Rank of the ``length`` bytes from each start, in byte order (equal strings
     have equal ranks)."""
     x = np.frombuffer(data + b"\0" * 8, dtype=np.uint8)
     n = len(data)
     key = np.zeros(n, dtype=np.uint64)
-    for k in range(8):
+    for k in range(4):
         key = key << U(8) | x[k:k + n]
-    ranks = {8: np.unique(key, return_inverse=True)[1].astype(np.int64)}
-    size = 8
+    ranks = {4: _ranks(key, 32)}
+    size = 4
     while size * 2 <= length:
         r = ranks[size]
-        ranks[size * 2] = np.unique(r << 32 | np.concatenate((r[size:], np.zeros(min(size, n), dtype=np.int64)))[:n],
-                                    return_inverse=True)[1].astype(np.int64)
+        ranks[size * 2] = _pair_ranks(r, np.concatenate((r[size:], np.zeros(min(size, n), dtype=np.int64)))[:n])
         size *= 2
     out, at = np.zeros(len(starts), dtype=np.int64), 0
     for size in sorted(ranks, reverse=True):
         while at + size <= length:
-            out = np.unique(out << 32 | ranks[size][starts + at], return_inverse=True)[1].astype(np.int64)
+            out = _pair_ranks(out, ranks[size][starts + at]) if at else ranks[size][starts]
             at += size
     for k in range(at, length):
-        out = np.unique(out << 8 | x[starts + k], return_inverse=True)[1].astype(np.int64)
-    return out
-
-
-def longest_previous_factors(position: list[int], lcp: list[int]) -> list[int]:
+        out = _pair_ranks(out, x[starts + k])
+    return _ranks(out.astype(np.uint64), int(out.max()).bit_length()) if len(out) else out
+
+
+def _with_smaller_before(position: np.ndarray, lcp: np.ndarray, past=np.greater) -> np.ndarray:
+    """The common prefix of each entry with the last one before it at a smaller
+    position (or an equal one, with ``greater``), 0 without one.  ``lcp`` is that of
+    each entry with the one before it.
+
+    Entries look past neighbours at greater positions, all at once: what such a
+    neighbour has passed lies at greater positions too, so its own reach is taken over.
+    """
+    n = len(position)
+    place = np.concatenate((np.arange(-1, n - 1), [-1]))          # the entry before the first is none
+    common = np.concatenate((lcp, [0]))
+    common[0] = 0
+    at = np.concatenate((position, [np.iinfo(np.int64).min]))
+    left = np.arange(n)
+    for _ in range(ROUNDS):
+        left = left[past(at[place[left]], at[left]) & (common[left] > 0)]
+        if not len(left):
+            return common[:-1]
+        over = place[left]
+        common[left], place[left] = np.minimum(common[left], common[over]), place[over]
+    for i in left.tolist():                                         # many small steps: one by one
+        while common[i] > 0 and past(at[place[i]], at[i]):
+            common[i], place[i] = min(common[i], common[place[i]]), place[place[i]]
+    return common[:-1]
+
+
+def longest_previous_factors(position, lcp) -> np.ndarray:
     """For entries in suffix order with their text positions and the longest common
     prefix of each with the entry before it: the length of the longest match of
     each at an earlier position.
 
-    One scan keeps a stack of increasing positions: an entry leaves it when a
-    smaller position comes (its next smaller), and what then lies below it is its
-    previous smaller."""
-    out = [0] * len(position)
-    stack: list[tuple[int, int]] = []       # (entry, lcp with the entry below it)
-    for i in range(len(position)):
-        common = lcp[i] if i else 0
-        while stack and position[stack[-1][0]] > position[i]:
-            entry, below = stack.pop()
-            out[entry] = max(below, common)
-            common = min(common, below)
-        stack.append((i, common if stack else 0))
-    while stack:
-        entry, below = stack.pop()
-        out[entry] = below
-    return out
+    That is the longer common prefix of those with its previous and its next entry in
+    suffix order at a smaller position."""
+    position, lcp = np.asarray(position, dtype=np.int64), np.asarray(lcp, dtype=np.int64)
+    if not len(position):
+        return lcp
+    before = _with_smaller_before(position, lcp)
+    after = _with_smaller_before(position[::-1], np.concatenate(([0], lcp[:0:-1])), np.greater_equal)
+    return np.maximum(before, after[::-1])
 
 
-def repeated_windows(rows: list[tuple[bytes, int]], min_bytes: int) -> list[list[tuple[int, bool, bool]]]:
-    """For contexts (bytes, text position of the first window): per context the
-    (offset, earlier, later) of its windows that stand elsewhere."""
+def repeated_windows(rows: list[tuple[bytes, int]], min_bytes: int) -> tuple[np.ndarray, ...]:
+    """For contexts (bytes, text position of the first window): the runs of windows that
+    stand elsewhere, consecutive and with equal flags, as (context, first, last,
+    earlier, later) arrays in order."""
     data = b"".join(r[0] for r in rows)
-    begins = np.concatenate(([0], np.cumsum([len(r[0]) for r in rows])))[:-1]
-    counts = np.array([len(r[0]) - min_bytes + 1 for r in rows])
+    lengths = np.array([len(r[0]) for r in rows])
+    begins = np.cumsum(lengths) - lengths
+    counts = lengths - min_bytes + 1
     owner = np.repeat(np.arange(len(rows)), counts)
     offset = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     rank = window_ranks(data, begins[owner] + offset, min_bytes)
-    order = np.argsort(rank, kind="stable")
-    same = rank[order][1:] == rank[order][:-1]
-    grouped = np.zeros(len(order), dtype=bool)
-    grouped[1:] |= same
-    grouped[:-1] |= same
-    order = order[grouped]                  # windows without an equal one have no match of min_bytes
-    out: list[list[tuple[int, bool, bool]]] = [[] for _ in rows]
-    if len(order):
-        lcp = (np.concatenate(([False], np.diff(rank[order]) == 0)) * min_bytes).tolist()
-        position = [rows[o][1] + k for o, k in zip(owner[order].tolist(), offset[order].tolist())]
-        earlier = longest_previous_factors(position, lcp)
-        later = longest_previous_factors([-p for p in position], lcp)
-        for w, e, l in zip(order.tolist(), earlier, later):
-            out[owner[w]].append((int(offset[w]), e >= min_bytes, l >= min_bytes))
-    for found in out:
-        found.sort()
-    return out
+    # windows without an equal one have no match of min_bytes
+    window = np.flatnonzero(np.bincount(rank)[rank] > 1) if len(rank) else np.zeros(0, dtype=np.int64)
+    owner, offset, rank = owner[window], offset[window], rank[window]
+    position = np.array([r[1] for r in rows], dtype=np.int64)[owner] + offset
+    order = np.lexsort((position, rank))
+    lcp = np.concatenate(([0], np.diff(rank[order]) == 0))[:len(order)] * min_bytes
+    earlier, later = np.zeros(len(order), dtype=bool), np.zeros(len(order), dtype=bool)
+    earlier[order] = longest_previous_factors(position[order], lcp) >= min_bytes
+    later[order] = longest_previous_factors(-position[order], lcp) >= min_bytes
+    ends = np.flatnonzero((np.diff(owner) != 0) | (np.diff(offset) != 1) | (np.diff(earlier) != 0) | (np.diff(later) != 0))
+    first = np.concatenate(([0], ends + 1))[:len(owner)]
+    last = np.concatenate((ends, [len(owner) - 1]))[:len(owner)]
+    return owner[first], offset[first], offset[last], earlier[first], later[first]
 
 
 # --- Spark -------------------------------------------------------------------
 
 RUN = "array<struct<first:int,last:int,earlier:boolean,later:boolean>>"
-RUN_ARROW = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("earlier", pa.bool_()), ("later", pa.bool_())]))
-
-
-def _runs(windows: list[tuple[int, bool, bool]]) -> list[dict]:
-    """Consecutive windows with equal flags, joined."""
-    out: list[dict] = []
-    for k, e, l in windows:
-        if out and out[-1]["last"] == k - 1 and out[-1]["earlier"] == e and out[-1]["later"] == l:
-            out[-1]["last"] = k
-        else:
-            out.append({"first": k, "last": k, "earlier": e, "later": l})
-    return out
+RUN_ARROW = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("earlier", pa.bool_()), ("later", pa.bool_())])
 
 
 def _keys(docs: DataFrame) -> DataFrame:
@@ -253,17 +282,24 @@ def _places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["g", "doc_id", "t", "lo", "hi"])
 
 
+def _flat(lists: pa.ListArray, *names: str) -> tuple[np.ndarray, list[pa.Array]]:
+    """The structs of a column of lists: the number of each one's list, and the named fields."""
+    fields = lists.flatten()
+    at = np.repeat(np.arange(len(lists)), pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+    return at, [fields.field(n) for n in names]
+
+
 def _cut_contexts(min_bytes: int):
     """Rows (doc_id, t, text, places) as rows (g, doc_id, t, lo, context)."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            for doc_id, t, text, places in zip(*(c.to_pylist() for c in batch.columns)):
-                out += [(p["g"], doc_id, t, p["lo"], text[p["lo"]:p["hi"] + min_bytes]) for p in places]
-            columns = list(zip(*out)) or [()] * 5
+            at, (g, lo, hi) = _flat(batch.column(3), "g", "lo", "hi")
+            texts = batch.column(2).to_pylist()
+            cut = [texts[k][a:b] for k, a, b in zip(at.tolist(), lo.to_pylist(), (hi.to_numpy() + min_bytes).tolist())]
+            at = pa.array(at)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()),
-                 pa.array(columns[3], pa.int32()), pa.array(columns[4], pa.binary())], ["g", "doc_id", "t", "lo", "context"])
+                [g, batch.column(0).take(at), batch.column(1).take(at), lo, pa.array(cut, pa.binary())],
+                ["g", "doc_id", "t", "lo", "context"])
     return run
 
 
@@ -272,10 +308,12 @@ def _order_buckets(min_bytes: int):
     def finish(rows: list[tuple]) -> pa.RecordBatch:
         # text order of the contexts' first copies: document and place in one number
         documents = {d: k for k, d in enumerate(sorted({r[1] for r in rows}))}
-        found = repeated_windows([(r[3], (documents[r[1]] << 40) + r[2]) for r in rows], min_bytes)
+        owner, *fields = repeated_windows([(r[3], (documents[r[1]] << 40) + r[2]) for r in rows], min_bytes)
+        runs = pa.StructArray.from_arrays([pa.array(f, t.type) for f, t in zip(fields, RUN_ARROW)], fields=list(RUN_ARROW))
+        offsets = pa.array(np.searchsorted(owner, np.arange(len(rows) + 1)).astype(np.int32))
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.binary()),
-             pa.array([_runs(f) for f in found], RUN_ARROW)], ["g", "context", "runs"])
+             pa.ListArray.from_arrays(offsets, runs)], ["g", "context", "runs"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -396,21 +434,46 @@ def merged(runs: list[dict], min_bytes: int, keep_first: bool) -> list[tuple[int
     return spans
 
 
+def _covered(runs: pa.ListArray, min_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``merged`` of every list of a column, without first copies kept: (list, start,
+    end) arrays in order.  A list's number stands above the places of its runs."""
+    at, (first, last) = _flat(runs, "first", "last")
+    start = (at << 32) + first.to_numpy().astype(np.int64)
+    end = (at << 32) + last.to_numpy().astype(np.int64) + min_bytes
+    order = np.argsort(start, kind="stable")
+    start, end = start[order], np.maximum.accumulate(end[order])
+    opens = np.flatnonzero(np.concatenate(([True], start[1:] > end[:-1]))[:len(start)])
+    closes = np.concatenate((opens[1:] - 1, [len(start) - 1]))[:len(opens)]
+    low = (1 << 32) - 1
+    return start[opens] >> 32, start[opens] & low, end[closes] & low
+
+
+def _kept_firsts(runs: pa.ListArray, min_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``_covered``, with first copies kept."""
+    spans = [(k, a, b) for k, r in enumerate(runs.to_pylist()) for a, b in merged(r or [], min_bytes, True)]
+    table = np.array(spans, dtype=np.int64).reshape(-1, 3)
+    return table[:, 0], table[:, 1], table[:, 2]
+
+
 def _remove(min_bytes: int, keep_first: bool, at: int):
-    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    find = _kept_firsts if keep_first else _covered
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, spans = [], []
-            for text, runs in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
+            texts = batch.column(at).to_pylist()
+            owner, start, end = find(batch.column(batch.num_columns - 1), min_bytes)
+            offsets = np.searchsorted(owner, np.arange(len(texts) + 1))
+            begins, stops = start.tolist(), end.tolist()
+            kept = []
+            for text, a, b in zip(texts, offsets[:-1].tolist(), offsets[1:].tolist()):
                 text = text or b""
-                found = merged(runs or [], min_bytes, keep_first)
-                cuts = [0, *(x for s in found for x in s), len(text)]
-                kept.append(b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2])))
-                spans.append([{"start": a, "end": b} for a, b in found])
+                kept.append(text if a == b else b"".join(
+                    text[i:j] for i, j in zip([0, *stops[a:b]], [*begins[a:b], len(text)])))
+            spans = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.StructArray.from_arrays(
+                [pa.array(start, pa.int64()), pa.array(end, pa.int64())], names=["start", "end"]))
             columns = [c for i, c in enumerate(batch.columns[:-1]) if i != at]
             names = [n for i, n in enumerate(batch.schema.names[:-1]) if i != at]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(kept, pa.binary()), pa.array(spans, span)],
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(kept, pa.binary()), spans],
                                              [*names, "kept", "spans"])
     return run
 

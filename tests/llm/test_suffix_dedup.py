@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from aerolake.llm import suffix_dedup as s
@@ -30,6 +31,49 @@ def test_longest_previous_factors():
             i: max((common(i, j) for j in range(i)), default=0) for i in range(n)}
 
 
+def scanned(position, lcp):
+    """Longest previous factors by one scan with a stack of increasing positions."""
+    out, stack = [0] * len(position), []
+    for i in range(len(position)):
+        common = lcp[i] if i else 0
+        while stack and position[stack[-1][0]] > position[i]:
+            entry, below = stack.pop()
+            out[entry], common = max(below, common), min(common, below)
+        stack.append((i, common if stack else 0))
+    for entry, below in stack:
+        out[entry] = below
+    return out
+
+
+@pytest.mark.parametrize("rounds", [0, 2, 64])
+def test_factors_all_at_once_are_those_of_a_scan(rounds, monkeypatch):
+    monkeypatch.setattr(s, "ROUNDS", rounds)
+    for _ in range(200):
+        n = rng.randint(0, 60)
+        position = [rng.randint(0, rng.choice([5, 1000])) for _ in range(n)]
+        if rng.random() < 0.4:
+            position.sort(reverse=rng.random() < 0.5)
+        lcp = [rng.choice([0, 200, 200, 200, rng.randint(0, 300)]) for _ in range(n)]
+        assert s.longest_previous_factors(position, lcp).tolist() == scanned(position, lcp)
+
+
+def test_ranks_of_wide_keys():
+    for bits in (1, 40, 62):
+        key = np.array([rng.randrange(1 << bits) for _ in range(300)] * 2, dtype=np.uint64)
+        assert s._ranks(key, bits).tolist() == np.unique(key, return_inverse=True)[1].tolist()
+
+
+def test_spans_of_a_batch_are_those_of_each_text():
+    fields = [("first", pa.int32()), ("last", pa.int32()), ("earlier", pa.bool_()), ("in_first", pa.bool_()), ("g", pa.int64())]
+    lists = [[{"first": a, "last": a + rng.randint(0, 90), "earlier": rng.random() < 0.5, "in_first": False, "g": 1}
+              for a in (rng.randint(0, 3000) for _ in range(rng.randint(0, 12)))] for _ in range(80)] + [None, []]
+    runs = pa.array(lists, pa.list_(pa.struct(fields)))
+    for find, keep_first in ((s._covered, False), (s._kept_firsts, True)):
+        for part in (runs, runs.slice(30, 25), runs.slice(80)):
+            got = list(zip(*(c.tolist() for c in find(part, 200))))
+            assert got == [(k, a, b) for k, r in enumerate(part.to_pylist()) for a, b in s.merged(r or [], 200, keep_first)]
+
+
 def test_window_ranks():
     data = bytes(rng.choice(b"ab") for _ in range(3000))
     for length in (8, 13, 29, 64, 200):
