@@ -37,7 +37,7 @@ from aerolake.plans import dims, layers
 from aerolake.plans.fact import FACT_COLUMNS, fct_flights
 from aerolake.plans.staging import stg_flights, stg_flights_since
 from aerolake.functions.clean import silver_key
-from aerolake.session import build_session, fresh_path
+from aerolake.session import build_session, fresh_path, local_rows, side_by_side
 from aerolake.sources import ingest as I
 from aerolake.sources import sinks as S
 from aerolake.sources.schemas import BRONZE_EXTRA_FIELDS, STATE_VECTOR_FIELDS, ordered_schema
@@ -111,7 +111,7 @@ def _read_state(spark: SparkSession, path: str):
 
 
 def _write_state(spark: SparkSession, path: str, value) -> None:
-    storage.replace_table(spark.createDataFrame([(value,)], f"value {'string' if isinstance(value, str) else 'bigint'}").coalesce(1), path)
+    storage.replace_table(local_rows(spark, [(value,)], f"value {'string' if isinstance(value, str) else 'bigint'}").coalesce(1), path)
 
 
 def load(spark: SparkSession, parquet_root: str, processing_date: str, raw_path: str,
@@ -174,7 +174,7 @@ def _fresh(spark: SparkSession, raw_path: str, root: str, mark: str | None) -> t
     if names := [e["load"] for e in taken if e["n_rows"]]:
         return stg_flights(loads.read_loads(spark, raw_path, names)), taken
     bronze = ordered_schema(STATE_VECTOR_FIELDS + BRONZE_EXTRA_FIELDS)
-    return stg_flights(spark.createDataFrame([], bronze)), taken
+    return stg_flights(local_rows(spark, [], bronze)), taken
 
 
 def _apply(spark: SparkSession, new: DataFrame, taken: list[dict] | None, root: str, stored: dict[str, DataFrame | None],
@@ -182,19 +182,22 @@ def _apply(spark: SparkSession, new: DataFrame, taken: list[dict] | None, root:
     """The new silver rows into silver, fact and dimensions.  Returns their greatest
     insert time, the dimensions, and the fact rows set aside in this run, by its name."""
     stage = fresh_path(spark, "build-fresh")
-    fresh = storage.replace_table(new, f"{stage}/stg_flights")      # read by all below
+    fresh = storage.replace_table(_with_silver_key(new), f"{stage}/stg_flights")      # read by all below
     new_mark = high_water_mark(fresh, "inserted_at")
     # a folder name of the same run, if repeated
     run_id = re.sub(r"\D", "", new_mark or "none") if taken is None else uuid.uuid5(
         uuid.NAMESPACE_OID, " ".join(f"{e['load']} {e['attempt']}" for e in taken)).hex
-    upsert(spark, silver_path, _with_silver_key(fresh), SILVER_KEY_COL, "flight_date", order_by=VERSION)
     table = lambda df, name: layers.materialise(df, name, "table", root=root)      # noqa: E731
-    dim_tables = {"dim_airports": table(dims.dim_airports(spark), "dim_airports"),
-                  "dim_aircrafts": table(dims.merge_aircrafts(stored["dim_aircrafts"], fresh), "dim_aircrafts"),
-                  "dim_calendar": table(dims.merge_calendar(stored["dim_calendar"], fresh), "dim_calendar")}
-    rows = fct_flights(fresh, dim_tables["dim_airports"], n_airports=dims.N_AIRPORTS, keep=["id_surrogate"])
-    fact = upsert(spark, fact_path, rows, "flight_pk", "flight_date", order_by=["ingestion_timestamp", "id_surrogate"],
-                  on_null_key="quarantine", run_id=run_id)
+    airports = table(dims.dim_airports(spark), "dim_airports")
+    rows = fct_flights(fresh, airports, n_airports=dims.N_AIRPORTS, keep=["id_surrogate"])
+    _, aircrafts, calendar, fact = side_by_side(
+        spark,
+        lambda: upsert(spark, silver_path, fresh, SILVER_KEY_COL, "flight_date", order_by=VERSION, stored=True, one_version=True),
+        lambda: table(dims.merge_aircrafts(stored["dim_aircrafts"], fresh), "dim_aircrafts"),
+        lambda: table(dims.merge_calendar(stored["dim_calendar"], fresh), "dim_calendar"),
+        lambda: upsert(spark, fact_path, rows, "flight_pk", "flight_date", order_by=["ingestion_timestamp", "id_surrogate"],
+                       on_null_key="quarantine", run_id=run_id, one_version=True))
+    dim_tables = {"dim_airports": airports, "dim_aircrafts": aircrafts, "dim_calendar": calendar}
     aside: dict[str, DataFrame | None] = {}
     if new_mark is not None:
         at = f"{fact_path}_rejected/run_id={run_id}"
@@ -230,8 +233,10 @@ def build(spark: SparkSession, raw_path: str, root: str, full_checks: bool = Fal
     suite, state = _declared_suite(), _state(root, "quality")
     tables = {"stg_flights": silver_path, "fct_flights": fact_path}
     of = lambda model: [c for c in suite if c.model == model]      # noqa: E731
-    Q.refresh(spark, state, "stg_flights", silver_path, SILVER_KEY_COL, of("stg_flights"), dim_tables, everything=full_checks)
-    Q.refresh(spark, state, "fct_flights", fact_path, "flight_pk", of("fct_flights"), dim_tables, aside, full_checks)
+    side_by_side(
+        spark,
+        lambda: Q.refresh(spark, state, "stg_flights", silver_path, SILVER_KEY_COL, of("stg_flights"), dim_tables, everything=full_checks),
+        lambda: Q.refresh(spark, state, "fct_flights", fact_path, "flight_pk", of("fct_flights"), dim_tables, aside, full_checks))
     verdict = D.dq_run(dim_tables, [c for c in suite if c.model in dim_tables]).unionByName(
         Q.verdict(spark, state, tables, suite, dim_tables))
     report = layers.materialise(verdict, "dq_report", "table", root=root)
@@ -242,8 +247,7 @@ def build(spark: SparkSession, raw_path: str, root: str, full_checks: bool = Fal
         loads.mark_built(spark, _state(root, "built_loads"), taken)
     if new_mark is not None and (mark is None or new_mark > mark):
         _write_state(spark, _state(root, "fct_flights_high_water_mark"), new_mark)
-    for path in (silver_path, fact_path, state):
-        snapshots.sweep(spark, path)
+    side_by_side(spark, *[lambda path=path: snapshots.sweep(spark, path) for path in (silver_path, fact_path, state)])
     return report
 
 

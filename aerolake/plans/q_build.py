@@ -24,7 +24,7 @@ def commit_load(spark: SparkSession, raw_path: str, name: str, rows: DataFrame)
     """Bronze rows that have their ids and times already, as one committed load."""
     keyed = rows.withColumn("load_id", F.lit(name))
     loads.record(spark, raw_path, f"load_id={name}", keyed.count(), "",
-                 lambda first_id: sinks.write_partitions(keyed, raw_path, ["load_id"]))
+                 lambda first_id: sinks.write_partitions(keyed, raw_path, ["load_id"], clustered=False))
 
 
 # ------------------------------------------------------------------ D1, D6: state by partition

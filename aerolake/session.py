@@ -4,8 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # Settings every job here is written against.  Shuffle partitions are a
 # default for local runs; on a cluster pass a value sized so that one
@@ -84,6 +90,22 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def local_rows(spark: SparkSession, rows, schema) -> DataFrame:
+    """``rows`` (tuples) of metadata as a local relation: unlike a frame over an RDD its
+    size is known to the planner and none of it is a task."""
+    kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    columns = list(zip(*rows)) or [()] * len(kind)
+    arrow = to_arrow_schema(kind)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow), kind)
+
+
+def side_by_side(spark: SparkSession, *steps: Callable) -> list:
+    """What ``steps`` return, each in a thread of its own: their jobs share the cluster,
+    so that one's last tasks and driver work do not leave it idle."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(s)) for s in steps]]
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused path under the shared folder (never reused)."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

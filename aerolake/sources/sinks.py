@@ -23,11 +23,12 @@ def cluster_for_partitioned_write(df: DataFrame, by) -> DataFrame:
     return df.hint("rebalance", *by)
 
 
-def write_partitions(df: DataFrame, path: str, by, fmt: str = "parquet", dynamic: bool = True) -> None:
+def write_partitions(df: DataFrame, path: str, by, fmt: str = "parquet", dynamic: bool = True, clustered: bool = True) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic partition
-    overwrite, set on this write only); the other partitions survive."""
+    overwrite, set on this write only); the other partitions survive.
+    ``clustered=False``: rows of one partition, written by the tasks that have them."""
     by = [by] if isinstance(by, str) else list(by)
-    w = cluster_for_partitioned_write(df, by).write.mode("overwrite").partitionBy(*by).format(fmt)
+    w = (cluster_for_partitioned_write(df, by) if clustered else df).write.mode("overwrite").partitionBy(*by).format(fmt)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
     w.save(path)

@@ -66,6 +66,13 @@ def read_bytes(spark: SparkSession, path: str) -> bytes:
         stream.close()
 
 
+def stamp(spark: SparkSession, path: str) -> tuple[int, int]:
+    """When a file last changed, and its length."""
+    fs, p = _fs(spark, path)
+    status = fs.getFileStatus(p)
+    return status.getModificationTime(), status.getLen()
+
+
 def age_seconds(spark: SparkSession, path: str) -> float:
     """Seconds since the folder or file last changed."""
     fs, p = _fs(spark, path)

@@ -143,3 +143,60 @@ def test_names_are_read_back(spark):
     path_of = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
     assert names == sorted({path_of("s", v) for v in values})
     assert {snapshots.partition_values(n)[0] for n in names} == set(values) - {""}
+
+
+def _many(spark, v, ks, n_parts=300):
+    return spark.createDataFrame([(f"k{k}", k % n_parts, v) for k in ks], "k string, p int, v int")
+
+
+def test_a_writer_need_not_parse_what_it_committed(spark, monkeypatch):
+    path = fresh_path(spark, "t")
+    parsed, real = [], commitlog.read
+    monkeypatch.setattr(commitlog, "read", lambda *a: parsed.append(a[2]) or real(*a))
+    for v in (1, 2):
+        snapshots.upsert(spark, path, _many(spark, v, range(600)), "k", "p")
+        snapshots.sweep(spark, path)
+    assert parsed == [] and snapshots.read(spark, path).where("v = 2").count() == 600
+    # one line for the partitions that share their files, and one of each before, is read alike
+    monkeypatch.undo()
+    head, *rows = commitlog.read(spark, f"{path}/commits", 2)
+    assert len(rows) <= 8 and sum(len(r["partitions"]) for r in rows) == 300
+    former = [head, *({"partition": p, "write": r["write"], "files": r["files"]} for r in rows for p in r["partitions"])]
+    assert commitlog.commit(spark, f"{path}/commits", 3, former)
+    old, new = snapshots.snapshot(spark, path, 2), snapshots.snapshot(spark, path)
+    assert (old.folders, old.files) == (new.folders, new.files)
+
+
+def test_a_table_made_anew_at_its_path_is_read_anew(spark):
+    from aerolake import storage
+    path = fresh_path(spark, "t")
+    for v in (1, 2):
+        snapshots.upsert(spark, path, _many(spark, v, range(5 * v)), "k", "p")
+        assert _rows(snapshots.read(spark, path, 1).select("v").distinct()) == [(v,)]
+        storage.delete(spark, path)
+
+
+@pytest.mark.parametrize("rows, files", [(1_000_000, 4), (0, 4), (1_000_000, 0)])
+def test_versions_merged_after_one_shuffle_or_two(spark, rows, files, monkeypatch):
+    """A stored batch with one version of each key: newer, older and equal ones, in
+    partitions that are small or not."""
+    monkeypatch.setattr(snapshots, "SMALL_ROWS", rows)
+    monkeypatch.setattr(snapshots, "SMALL_FILES", files)
+    path, at = fresh_path(spark, "t"), fresh_path(spark, "batch")
+    wanted = {}
+    for n, ks in enumerate((range(0, 900), range(450, 1500), range(0, 1500, 7))):
+        batch = [(f"k{k}", None if k % 300 == 299 else k % 300, n if k % 3 else 1, n) for k in ks]
+        spark.createDataFrame(batch, "k string, p int, o int, n int").write.parquet(f"{at}/{n}")
+        stored = spark.read.parquet(f"{at}/{n}")
+        out = snapshots.upsert(spark, path, stored, "k", "p", order_by="o", stored=True, one_version=True)
+        for k, p, o, m in batch:
+            if k not in wanted or o >= wanted[k][1]:
+                wanted[k] = (p, o, m)
+        assert out["batch_rows"] == len(batch) and stored.count() == len(batch)
+        assert _rows(snapshots.read(spark, path)) == sorted(((k, *r) for k, r in wanted.items()), key=str)
+        assert not _staged(spark, path)
+
+
+def _staged(spark, path):
+    from aerolake import storage
+    return storage.subfolders(spark, f"{path}/staged")
