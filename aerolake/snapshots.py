@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from aerolake import commitlog, storage
 from aerolake.session import local_rows
@@ -105,7 +105,7 @@ def read_snapshot(spark: SparkSession, snap: Snapshot, partitions=None) -> DataF
     wanted = Counter((snap.folders[p], f) for p in names for f in snap.files[p])
     if not wanted:
         return local_rows(spark, [], snap.schema)
-    rows = (spark.read.schema(StructType(snap.schema.fields).add(WRITE, "string")).option("basePath", _data(snap.path))
+    rows = (spark.read.schema(StructType([*snap.schema.fields, StructField(WRITE, StringType())])).option("basePath", _data(snap.path))
             .parquet(*[f"{_data(snap.path, w)}/{f}" for w, f in sorted(wanted)]))
     if any(snap.sizes[key] != n for key, n in wanted.items()):
         rows = _of_partitions(spark, snap, rows, names)

@@ -157,6 +157,9 @@ def test_a_writer_need_not_parse_what_it_committed(spark, monkeypatch):
         snapshots.upsert(spark, path, _many(spark, v, range(600)), "k", "p")
         snapshots.sweep(spark, path)
     assert parsed == [] and snapshots.read(spark, path).where("v = 2").count() == 600
+    for _ in range(2):                  # what is kept stays as it was committed
+        assert snapshots.snapshot(spark, path).schema.fieldNames() == snapshots.read(spark, path).columns == ["k", "p", "v"]
+        assert len(snapshots.snapshot(spark, path).schema.fields) == 3
     # one line for the partitions that share their files, and one of each before, is read alike
     monkeypatch.undo()
     head, *rows = commitlog.read(spark, f"{path}/commits", 2)
